@@ -18,66 +18,82 @@ VALUE_DDL = (
 )
 
 
-def _cut(data: Column, at: Column, size) -> Column:
-    return F.substr(data, at, size if isinstance(size, Column) else F.lit(size))
+# Bytes beyond the end read as nothing or as a wrong number. That is harmless, because a struct is
+# only made if the data reach its last field. Every helper names its inputs once, which keeps the
+# expressions small where one position depends on the lengths before it.
+
+
+def _number(data: Column, at: Column, size: int) -> Column:
+    return F.conv(F.hex(F.substr(data, at, F.lit(size))), 16, 10)
+
+
+def _size(data, at):
+    return _number(data, at, 2).try_cast("int")
 
 
 def _int16(data, at):
-    raw = F.conv(F.hex(_cut(data, at, 2)), 16, 10).try_cast("int")
-    return F.when(F.length(data) >= at + 1, F.when(raw >= 32768, raw - 65536).otherwise(raw))
+    return ((_number(data, at, 2).try_cast("int") + 32768) % 65536 - 32768).cast("int")
 
 
 def _int32(data, at):
-    raw = F.conv(F.hex(_cut(data, at, 4)), 16, 10).try_cast("bigint")
-    signed = F.when(raw >= 2147483648, raw - 4294967296).otherwise(raw)
-    return F.when(F.length(data) >= at + 3, signed.cast("int"))
+    raw = _number(data, at, 4).try_cast("bigint")
+    return ((raw + 2147483648) % 4294967296 - 2147483648).cast("int")
 
 
 def _int64(data, at):
-    return F.when(
-        F.length(data) >= at + 7, F.conv(F.hex(_cut(data, at, 8)), 16, -10).try_cast("bigint")
-    )
+    return F.conv(F.hex(F.substr(data, at, F.lit(8))), 16, -10).try_cast("bigint")
 
 
-def _string(data, at):
-    """(text, position after it); both NULL if the bytes end too early or the length is negative."""
-    size = _int16(data, at)
-    end = F.when((size >= 0) & (F.length(data) >= at + 1 + size), at + 2 + size)
-    return F.when(end.isNotNull(), _cut(data, at + 2, size).cast("string")), end
+def _text(data, at, size):
+    return F.substr(data, at, size).cast("string")
 
 
 def decode_offset_keys(df: DataFrame, column: str = "key") -> DataFrame:
     """Add ``key_version`` and ``offset_key``; the struct is NULL if the bytes do not decode."""
-    data, start = F.col(column), F.lit(3)
-    version = _int16(data, F.lit(1))
-    group, after_group = _string(data, start)
-    topic, after_topic = _string(data, after_group)
-    partition = _int32(data, after_topic)
+    data = F.col(column)
+    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
+    group_size = _size(data, F.lit(3))
+    topic_at = group_size + 5
+    topic_size = _size(data, topic_at)
+    partition_at = topic_at + topic_size + 2
+    has_group = (group_size < 32768) & (F.length(data) >= group_size + 4)
+    has_partition = (topic_size < 32768) & (F.length(data) >= partition_at + 3)
 
     def row(*fields):
         return F.struct(*[f.alias(n) for f, n in zip(fields, ("group", "topic", "partition"))]).cast(KEY_DDL)
 
-    key = F.when(version.isin(0, 1) & partition.isNotNull(), row(group, topic, partition)).when(
-        (version == 2) & after_group.isNotNull(), row(group, F.lit(None), F.lit(None))
-    )
+    group = _text(data, F.lit(5), group_size)
+    key = F.when(
+        version.isin(0, 1) & has_group & has_partition,
+        row(group, _text(data, topic_at + 2, topic_size), _int32(data, partition_at)),
+    ).when((version == 2) & has_group, row(group, F.lit(None), F.lit(None)))
     return df.withColumns({"key_version": version, "offset_key": key})
 
 
 def decode_offset_values(df: DataFrame, column: str = "value") -> DataFrame:
     """Add ``value_version`` and ``offset_value``; the struct is NULL if the bytes do not decode."""
     data = F.col(column)
-    version = _int16(data, F.lit(1))
-    offset = _int64(data, F.lit(3))
-    epoch = F.when(version == 3, _int32(data, F.lit(11)))
-    metadata, end = _string(data, F.when(version == 3, F.lit(15)).otherwise(F.lit(11)))
-    committed = _int64(data, end)
-    expires = F.when(version == 1, _int64(data, end + 8))
-    complete = (
-        version.between(0, 3) & committed.isNotNull() & ((version != 1) | expires.isNotNull())
-    )
+    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
     names = ("offset", "leader_epoch", "metadata", "commit_timestamp", "expire_timestamp")
-    fields = (offset, epoch, metadata, committed, expires)
-    value = F.when(complete, F.struct(*[f.alias(n) for f, n in zip(fields, names)]).cast(VALUE_DDL))
+
+    def layout(metadata_at: int, epoch: Column, with_expiry: bool):
+        size = _size(data, F.lit(metadata_at))
+        end = size + (metadata_at + 2)
+        fields = (
+            _int64(data, F.lit(3)),
+            epoch,
+            _text(data, F.lit(metadata_at + 2), size),
+            _int64(data, end),
+            _int64(data, end + 8) if with_expiry else F.lit(None),
+        )
+        complete = (size < 32768) & (F.length(data) >= end + (15 if with_expiry else 7))
+        return F.when(complete, F.struct(*[f.alias(n) for f, n in zip(fields, names)]).cast(VALUE_DDL))
+
+    value = (
+        F.when(version.isin(0, 2), layout(11, F.lit(None), False))
+        .when(version == 1, layout(11, F.lit(None), True))
+        .when(version == 3, layout(15, _int32(data, F.lit(11)), False))
+    )
     return df.withColumns({"value_version": version, "offset_value": value})
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.commits import encode_offset_key, encode_offset_value
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.operators.records import rename_topics
-from tidelog.schema import HEADERS_DDL
+from tidelog.schema import HEADERS_DDL, LOG_SCHEMA
 from tidelog.session import scratch
 from tidelog.sources.sinks import assign_offsets, write_backup
 
@@ -76,6 +76,12 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored offset log."""
+    path = once(spark, sf_dir, "commits", lambda p: _commits(spark, sf_dir).write.parquet(p))
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def _commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as binary offset commits: every key and value version, tombstones, unknown versions."""
     event, user = F.col("event_id"), F.col("user_id")
     ms = epoch_ms("ts")

@@ -59,7 +59,7 @@ def manifest(name):
     pad = """lpad(CAST(min("offset") AS VARCHAR), greatest(15, length(CAST(min("offset") AS VARCHAR)))::INTEGER, '0')"""
     return f"""SELECT topic, "partition", segment_id, min("offset") AS first_offset, max("offset") AS last_offset,
         count(*) AS records, arg_max("timestamp", "offset") AS last_timestamp, max("timestamp") AS max_timestamp,
-        topic || '/' || {name} || "partition" || '/' || topic || '-' || "partition" || '-' || {pad} || '.avro' AS name
+        topic || '/' || {name}"partition" || '/' || topic || '-' || "partition" || '-' || {pad} || '.avro' AS name
       FROM sg GROUP BY topic, "partition", segment_id"""
 
 
