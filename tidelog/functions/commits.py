@@ -12,12 +12,6 @@ value 3    offset INT64, leader epoch INT32, metadata STRING, commit timestamp I
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY_DDL = "struct<group:string,topic:string,partition:int>"
-VALUE_DDL = (
-    "struct<offset:bigint,leader_epoch:int,metadata:string,commit_timestamp:bigint,expire_timestamp:bigint>"
-)
-
-
 # Bytes beyond the end read as nothing or as a wrong number. That is harmless, because a struct is
 # only made if the data reach its last field. Every helper names its inputs once, which keeps the
 # expressions small where one position depends on the lengths before it.
@@ -48,51 +42,63 @@ def _text(data, at, size):
     return F.substr(data, at, size).cast("string")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside filters, which share nothing."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _is(data, *versions):
+    return F.substring(data, 1, 2).isin(*[F.lit(v.to_bytes(2, "big")) for v in versions])
+
+
 def decode_offset_keys(df: DataFrame, column: str = "key") -> DataFrame:
     """Add ``key_version`` and ``offset_key``; the struct is NULL if the bytes do not decode."""
     data = F.col(column)
-    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
-    group_size = _size(data, F.lit(3))
-    topic_at = group_size + 5
-    topic_size = _size(data, topic_at)
-    partition_at = topic_at + topic_size + 2
-    has_group = (group_size < 32768) & (F.length(data) >= group_size + 4)
-    has_partition = (topic_size < 32768) & (F.length(data) >= partition_at + 3)
 
-    def row(*fields):
-        return F.struct(*[f.alias(n) for f, n in zip(fields, ("group", "topic", "partition"))]).cast(KEY_DDL)
+    def row(group, topic, partition):
+        return F.struct(group.alias("group"), topic.alias("topic"), partition.alias("partition"))
 
-    group = _text(data, F.lit(5), group_size)
-    key = F.when(
-        version.isin(0, 1) & has_group & has_partition,
-        row(group, _text(data, topic_at + 2, topic_size), _int32(data, partition_at)),
-    ).when((version == 2) & has_group, row(group, F.lit(None), F.lit(None)))
-    return df.withColumns({"key_version": version, "offset_key": key})
+    def with_topic(group_size, topic_size):
+        partition_at = group_size + topic_size + 7
+        complete = (topic_size < 32768) & (F.length(data) >= partition_at + 3)
+        topic = _text(data, group_size + 7, topic_size)
+        return F.when(complete, row(_text(data, F.lit(5), group_size), topic, _int32(data, partition_at)))
+
+    def with_group(group_size):
+        complete = (group_size < 32768) & (F.length(data) >= group_size + 4)
+        partition_key = _let(_size(data, group_size + 5), lambda topic_size: with_topic(group_size, topic_size))
+        group_key = row(_text(data, F.lit(5), group_size), F.lit(None).cast("string"), F.lit(None).cast("int"))
+        return F.when(complete & _is(data, 0, 1), partition_key).when(complete & _is(data, 2), group_key)
+
+    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
+    return df.withColumns({"key_version": version, "offset_key": _let(_size(data, F.lit(3)), with_group)})
 
 
 def decode_offset_values(df: DataFrame, column: str = "value") -> DataFrame:
     """Add ``value_version`` and ``offset_value``; the struct is NULL if the bytes do not decode."""
     data = F.col(column)
-    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
-    names = ("offset", "leader_epoch", "metadata", "commit_timestamp", "expire_timestamp")
-
-    def layout(metadata_at: int, epoch: Column, with_expiry: bool):
-        size = _size(data, F.lit(metadata_at))
-        end = size + (metadata_at + 2)
-        fields = (
-            _int64(data, F.lit(3)),
-            epoch,
-            _text(data, F.lit(metadata_at + 2), size),
-            _int64(data, end),
-            _int64(data, end + 8) if with_expiry else F.lit(None),
-        )
-        complete = (size < 32768) & (F.length(data) >= end + (15 if with_expiry else 7))
-        return F.when(complete, F.struct(*[f.alias(n) for f, n in zip(fields, names)]).cast(VALUE_DDL))
+    none_int, none_long = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+
+    def layout(metadata_at: int, epoch: Column, expires):
+        def row(size):
+            end = size + (metadata_at + 2)
+            complete = (size < 32768) & (F.length(data) >= end + (15 if expires else 7))
+            fields = F.struct(
+                _int64(data, F.lit(3)).alias("offset"),
+                epoch.alias("leader_epoch"),
+                _text(data, F.lit(metadata_at + 2), size).alias("metadata"),
+                _int64(data, end).alias("commit_timestamp"),
+                (_int64(data, end + 8) if expires else none_long).alias("expire_timestamp"),
+            )
+            return F.when(complete, fields)
+
+        return _let(_size(data, F.lit(metadata_at)), row)
 
+    version = F.when(F.length(data) >= 2, _int16(data, F.lit(1)))
     value = (
-        F.when(version.isin(0, 2), layout(11, F.lit(None), False))
-        .when(version == 1, layout(11, F.lit(None), True))
-        .when(version == 3, layout(15, _int32(data, F.lit(11)), False))
+        F.when(_is(data, 0, 2), layout(11, none_int, False))
+        .when(_is(data, 1), layout(11, none_int, True))
+        .when(_is(data, 3), layout(15, _int32(data, F.lit(11)), False))
     )
     return df.withColumns({"value_version": version, "offset_value": value})
 

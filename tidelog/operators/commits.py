@@ -27,13 +27,20 @@ def commits_by_group(df: DataFrame, policy: str = "last") -> DataFrame:
     if policy not in ("last", "max"):
         raise ValueError(f"unknown policy {policy!r}")
     commits = valid_offset_records(decode_offset_log(df)).filter("offset_value IS NOT NULL")
-    position = F.struct(F.col("partition").alias("p"), F.col("offset").alias("o"))
-    committed = F.col("offset_value.offset")
-    return commits.groupBy(
+    named = commits.select(
         F.col("offset_key.group").alias("group"),
         F.col("offset_key.topic").alias("topic"),
         F.col("offset_key.partition").alias("partition"),
-    ).agg((F.max_by(committed, position) if policy == "last" else F.max(committed)).alias("committed"))
+        F.col("offset_value.offset").alias("committed"),
+        F.col("partition").alias("_log"),
+        F.col("offset").alias("_at"),
+    )
+    by = ["group", "topic", "partition"]
+    if policy == "max":
+        return named.groupBy(*by).agg(F.max("committed").alias("committed"))
+    # per log partition first: plain numbers in the buffers keep both steps hash aggregations
+    per_log = named.groupBy(*by, "_log").agg(F.max_by("committed", "_at").alias("committed"))
+    return per_log.groupBy(*by).agg(F.max_by("committed", "_log").alias("committed"))
 
 
 def committed_from_log(df: DataFrame, group: str, topic: str, policy: str = "last") -> DataFrame:

@@ -83,7 +83,8 @@ def exclude_group(df: DataFrame, group: str) -> DataFrame:
 
 def valid_offset_records(df: DataFrame) -> DataFrame:
     """Decoded offset records that name a partition of a topic."""
-    return df.filter((F.col("offset_key.partition") > -1) & (F.col("offset_key.topic") != ""))
+    # one condition on the whole struct, so that the key is decoded once
+    return df.filter(F.exists(F.array("offset_key"), lambda k: (k["partition"] > -1) & (k["topic"] != "")))
 
 
 def resume_after(df: DataFrame, positions: DataFrame) -> DataFrame:
