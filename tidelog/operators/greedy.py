@@ -23,6 +23,7 @@ SPAN = 1 << 20
 WIDTHS_PER_SPAN = 16
 NEVER = -(1 << 62)
 BATCH = 1 << 20
+FRAME = 1 << 14
 
 
 def _merge(at, to):
@@ -75,44 +76,66 @@ def mark(x, start, width):
     return starts[np.searchsorted(starts, x, side="right") - 1], int(starts[-1])
 
 
-def _runs(batches, names):
-    """Consecutive pieces of equal ``names`` from sorted batches, as (group values, frame)."""
+def _runs(batches, names, values):
+    """Consecutive pieces of equal ``names`` from sorted batches: group values and arrays."""
     for pdf in batches:
         if len(pdf):
-            same = (pdf[names] == pdf[names].shift()).all(axis=1).to_numpy()
-            cuts = np.append(np.flatnonzero(~same), len(pdf))
+            groups = [pdf[n].to_numpy() for n in names]
+            arrays = [pdf[v].to_numpy(np.int64) for v in values]
+            new = np.zeros(len(pdf), bool)
+            for g in groups:
+                new[1:] |= g[1:] != g[:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), len(pdf)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                yield tuple(pdf[names].iloc[lo]), pdf.iloc[lo:hi]
+                yield tuple(g[lo] for g in groups), [v[lo:hi] for v in arrays]
+
+
+class _Out:
+    """Collects pieces of output and hands them on as frames of a good size."""
+
+    def __init__(self, names, values):
+        self.names, self.values, self.pieces, self.rows = names, values, [], 0
+
+    def add(self, group, *arrays):
+        self.pieces.append((group, arrays))
+        self.rows += len(arrays[0])
+
+    def frames(self, last=False):
+        if self.pieces and (last or self.rows >= FRAME):
+            sizes = [len(arrays[0]) for _, arrays in self.pieces]
+            columns = {
+                n: np.repeat(np.array([g[i] for g, _ in self.pieces], dtype=object), sizes)
+                for i, n in enumerate(self.names)
+            }
+            for i, v in enumerate(self.values):
+                columns[v] = np.concatenate([arrays[i] for _, arrays in self.pieces])
+            self.pieces, self.rows = [], 0
+            yield pd.DataFrame(columns)
 
 
 def _summarize(keys, width):
     names = [*keys, "_block"]
 
     def run(batches):
-        group, waiting, steps = None, [], None
+        out, group, waiting, size, steps = _Out(names, ["_at", "_to"]), None, [], 0, None
 
         def absorb():
-            nonlocal steps, waiting
-            if waiting:
-                part = step_function(np.concatenate(waiting), width)
-                steps = part if steps is None else compose(steps, part, width)
-                waiting = []
-
-        def emit():
-            absorb()
-            out = pd.DataFrame(dict(zip(names, group)), index=range(len(steps[0])))
-            return out.assign(_at=steps[0], _to=steps[1])
-
-        for key, piece in _runs(batches, names):
+            part = step_function(np.concatenate(waiting), width)
+            return part if steps is None else compose(steps, part, width)
+
+        for key, (x,) in _runs(batches, names, ["_x"]):
             if key != group:
                 if group is not None:
-                    yield emit()
-                group, waiting, steps = key, [], None
-            waiting.append(piece["_x"].to_numpy(np.int64))
-            if sum(map(len, waiting)) >= BATCH:
-                absorb()
+                    out.add(group, *absorb())
+                    yield from out.frames()
+                group, waiting, size, steps = key, [], 0, None
+            elif size >= BATCH:
+                steps, waiting, size = absorb(), [], 0
+            waiting.append(x)
+            size += len(x)
         if group is not None:
-            yield emit()
+            out.add(group, *absorb())
+        yield from out.frames(last=True)
 
     return run
 
@@ -121,19 +144,18 @@ def _enter(keys, width):
     names = [*keys, "_block"]
 
     def run(batches):
-        key, block, at, to, start = None, None, [], [], NEVER
-
-        def leave():
-            return int(follow((np.concatenate(at), np.concatenate(to)), start, width))
-
-        for group, piece in _runs(batches, names):
-            if group != (*(key or ()), block):
-                if key is not None:
-                    start = leave() if group[:-1] == key else NEVER
-                key, block, at, to = group[:-1], group[-1], [], []
-                yield pd.DataFrame([{**dict(zip(names, group)), "_enter": start}])
-            at.append(piece["_at"].to_numpy(np.int64))
-            to.append(piece["_to"].to_numpy(np.int64))
+        out, group, at, to, start = _Out(names, ["_enter"]), None, [], [], NEVER
+        for key, (x, y) in _runs(batches, names, ["_at", "_to"]):
+            if key != group:
+                if group is not None:
+                    after = int(follow((np.concatenate(at), np.concatenate(to)), start, width))
+                    start = after if key[:-1] == group[:-1] else NEVER
+                group, at, to = key, [], []
+                out.add(group, np.array([start], dtype=np.int64))
+                yield from out.frames()
+            at.append(x)
+            to.append(y)
+        yield from out.frames(last=True)
 
     return run
 
@@ -142,12 +164,14 @@ def _mark(keys, width):
     names = [*keys, "_block"]
 
     def run(batches):
-        group, start = None, None
-        for key, piece in _runs(batches, names):
+        out, group, start = _Out(names, ["_x", "_start"]), None, None
+        for key, (x, enter) in _runs(batches, names, ["_x", "_enter"]):
             if key != group:
-                group, start = key, int(piece["_enter"].iloc[0])
-            starts, start = mark(piece["_x"].to_numpy(np.int64), start, width)
-            yield piece[[*keys, "_x"]].assign(_start=starts)
+                group, start = key, int(enter[0])
+            starts, start = mark(x, start, width)
+            out.add(key, x, starts)
+            yield from out.frames()
+        yield from out.frames(last=True)
 
     return run
 
@@ -186,6 +210,7 @@ def greedy_starts(
         blocks.join(entered, [*keys, "_block"])
         .repartition(*keys, "_block")
         .sortWithinPartitions(*keys, "_block", "_x")
-        .mapInPandas(_mark(keys, width), f"{key_ddl}, _x bigint, _start bigint")
+        .mapInPandas(_mark(keys, width), f"{key_ddl}, _block bigint, _x bigint, _start bigint")
+        .drop("_block")
     )
     return marked.withColumnsRenamed({"_x": at, "_start": "start"})
