@@ -34,11 +34,12 @@ def test_running_max_over_blocks(skewed_log):
         assert [r[2] for r in records] == list(np.maximum.accumulate([r[1] for r in records]))
 
 
-def test_no_task_gets_a_whole_hot_partition(skewed_log):
-    # rows per shuffle partition of the numbered log: the hot topic-partition is spread
-    numbered = number_records(skewed_log.repartition(8), block=64).withColumn("p", F.spark_partition_id())
-    tasks = numbered.filter("topic = 'hot'").groupBy("p").count().collect()
-    assert len(tasks) > 1 or skewed_log.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+def test_a_hot_partition_is_spread_over_tasks(spark, skewed_log):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    numbered = number_records(skewed_log, block=64).withColumn("task", F.spark_partition_id())
+    tasks = [r["count"] for r in numbered.filter("topic = 'hot'").groupBy("task").count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 4 and max(tasks) < 4000
 
 
 def test_prefix_sum(spark):

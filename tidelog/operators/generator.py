@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.headers import add_header
 from tidelog.operators.ordering import number_records, prefix_sum
 from tidelog.schema import HEADERS_DDL, MESSAGE_NUMBER_HEADER
+from tidelog.session import small_side
 
 
 #: Repetitions of one chunk that are generated together in one task.
@@ -36,7 +37,8 @@ def repeat_to(chunks: DataFrame, messages: int) -> DataFrame:
     """
     used = chunks.filter(F.col("_chunk") < messages)
     rounds = F.expr(f"({messages - 1} - _chunk) div _n")
-    paged = used.withColumn("_page", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(({messages - 1} - _chunk) div _n) div {PAGE}"))))
+    pages = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(({messages - 1} - _chunk) div _n) div {PAGE}"))
+    paged = used.withColumn("_page", F.explode(pages))
     if messages > PAGE:
         # many repetitions of few chunks: spread the pages before they grow
         paged = paged.repartition("path", "_chunk", "_page")
@@ -47,11 +49,19 @@ def repeat_to(chunks: DataFrame, messages: int) -> DataFrame:
     )
 
 
-def message_index(messages: DataFrame) -> DataFrame:
+def messages_per_file(files: DataFrame, size: int, messages: int | None = None) -> DataFrame:
+    """Rows (path, _n): how many messages a file gives. Uses a ``length`` column, where there is one."""
+    length = F.col("length") if "length" in files.columns else F.length("content").cast("bigint")
+    chunks = F.floor(length / size)
+    return files.select("path", chunks.alias("_c")).filter("_c > 0").select(
+        "path", (F.col("_c") if messages is None else F.lit(messages)).cast("bigint").alias("_n")
+    )
+
+
+def message_index(messages: DataFrame, per_file: DataFrame) -> DataFrame:
     """Add ``index``: 0, 1, 2 … over all messages, files by path, then by position in the file."""
-    per_file = messages.groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
     base = prefix_sum(per_file, "path", "_n").select("path", F.col("base").alias("_base"))
-    return messages.join(base, "path").withColumn("index", F.col("_base") + F.col("pos")).drop("_base")
+    return messages.join(small_side(base), "path").withColumn("index", F.col("_base") + F.col("pos")).drop("_base")
 
 
 def partition_of(index: Column, partitions: int, weights=None) -> Column:
@@ -82,7 +92,8 @@ def generate_log(
     files: DataFrame, topic: str, size: int, partitions: int, weights=None, messages: int | None = None
 ) -> DataFrame:
     """Messages of all files, keyed by file name, as rows of a log."""
-    spread = assign_partitions(message_index(chunk_files(files, size, messages)), partitions, weights)
+    indexed = message_index(chunk_files(files, size, messages), messages_per_file(files, size, messages))
+    spread = assign_partitions(indexed, partitions, weights)
     return number_messages(spread).select(
         F.lit(topic).alias("topic"),
         "partition",

@@ -584,7 +584,9 @@ def repeat_to(spark, sf_dir):
 
 @query
 def weighted_round_robin(spark, sf_dir):
-    spread = G.assign_partitions(G.message_index(G.chunk_files(D.document_files(spark, sf_dir), CHUNK)), 4, WEIGHTS)
+    files = D.document_files(spark, sf_dir)
+    indexed = G.message_index(G.chunk_files(files, CHUNK), G.messages_per_file(files, CHUNK))
+    spread = G.assign_partitions(indexed, 4, WEIGHTS)
     return spread.select("path", F.col("pos").cast("bigint").alias("pos"), "index", "partition")
 
 
@@ -663,4 +665,4 @@ def stream_progress_marks(spark, sf_dir):
     marks = scratch(spark, "marks")
     source = spark.readStream.schema(LOG_SCHEMA).parquet(exported(spark, sf_dir))
     finished(T.stream_progress_marks(source, marks, scratch(spark, "checkpoint"), MARK_EVERY, poll_seconds=None))
-    return spark.read.parquet(marks).select("topic", "partition", "offset")
+    return spark.read.parquet(marks + "/announced").select("topic", "partition", "offset")

@@ -23,10 +23,17 @@ def plan_segments(df: DataFrame, flush_size: int, schedule_ms: int | None = None
     return segment_manifest(segment(df, flush_size, schedule_ms, timezone))
 
 
-def restore(df: DataFrame, topic_map, now_ms, positions: DataFrame | None = None) -> DataFrame:
-    """Records to produce: not restored yet, once each, under the target topic, with stamped headers."""
+def restore(
+    df: DataFrame, topic_map, now_ms, positions: DataFrame | None = None, dedupe: bool = True
+) -> DataFrame:
+    """Records to produce: not restored yet, once each, under the target topic, with stamped headers.
+
+    ``dedupe=False`` saves a shuffle of all records, for backups written with batch ids, which hold
+    every record once.
+    """
     rows = df if positions is None else resume_after(df, positions)
-    return stamp_restore_headers(rename_topics(dedupe_log(rows), topic_map), now_ms)
+    rows = dedupe_log(rows) if dedupe else rows
+    return stamp_restore_headers(rename_topics(rows, topic_map), now_ms)
 
 
 def translate(

@@ -57,3 +57,8 @@ DEFAULT_RETENTION_DAYS = 1
 DEFAULT_POLL_SECONDS = 5
 DEFAULT_MAX_RECORDS = 100
 ACTIVATE, PASSIVATE = "ACTIVATE", "PASSIVATE"
+
+
+def file_format(name: str) -> str:
+    """Data source name. Spark 4.1 ships its Avro source, but registers no short name for it."""
+    return "org.apache.spark.sql.avro.AvroFileFormat" if name == "avro" else name

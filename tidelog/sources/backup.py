@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.records import _topics
-from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA
+from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA, file_format
 
 
 def _schema(generation: bool, batches: bool) -> T.StructType:
@@ -19,10 +19,11 @@ def _schema(generation: bool, batches: bool) -> T.StructType:
 
 
 def scan_backup(
-    spark: SparkSession, root: str, topics=None, generation: str | None = None, batches: bool = False
+    spark: SparkSession, root: str, topics=None, generation: str | None = None, batches: bool = False,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Records of a backup, of some topics or all. ``generation`` is needed if the backup has them."""
-    df = spark.read.schema(_schema(generation is not None, batches)).parquet(root)
+    df = spark.read.format(file_format(fmt)).schema(_schema(generation is not None, batches)).load(root)
     if topics is not None:
         df = df.filter(F.col("topic").isin(_topics(topics)))
     if generation is not None:

@@ -6,8 +6,8 @@ _SCHEMA = "path string, modificationTime timestamp, length bigint, content binar
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files (path, content) of a folder."""
-    return spark.read.format("binaryFile").load(folder).select("path", "content")
+    """Files (path, length, content) of a folder."""
+    return spark.read.format("binaryFile").load(folder).select("path", "length", "content")
 
 
 def watch_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:

@@ -4,12 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.envelopes import decode_envelopes
-from tidelog.schema import HEADERS_DDL, LOG_COLUMNS
+from tidelog.schema import HEADERS_DDL, LOG_COLUMNS, file_format
 
-# bytes come as text of one character per byte
-_JSON_DDL = (
-    "topic string, partition int, offset bigint, timestamp bigint, key string, value string,"
-    " headers map<string,string>"
+# old files keep headers as a map
+_ENVELOPE_DDL = (
+    "topic string, partition int, offset bigint, timestamp bigint, key binary, value binary,"
+    " headers map<string,binary>"
 )
 
 
@@ -35,40 +35,13 @@ def import_record_objects(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _avro_deployed(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
-        return True
-    except Exception:
-        return False
-
-
 def import_avro_segments(spark: SparkSession, root: str) -> DataFrame:
-    """Avro container files in any codec.
-
-    Uses Spark's Avro source where it is deployed. Otherwise Avro's own Hadoop input format, which
-    Spark ships, reads the files: it splits large files at their sync markers and gives JSON.
-    """
-    if _avro_deployed(spark):
-        rows = spark.read.format("avro").option("recursiveFileLookup", "true").load(root)
-        headers = F.map_entries("headers").cast(HEADERS_DDL)
-        return rows.withColumn("headers", headers).select(*LOG_COLUMNS)
-    lines = spark.sparkContext.hadoopFile(
-        root,
-        "org.apache.avro.mapred.AvroAsTextInputFormat",
-        "org.apache.hadoop.io.Text",
-        "org.apache.hadoop.io.Text",
-        conf={"mapreduce.input.fileinputformat.input.dir.recursive": "true"},
-    ).keys()
-    parsed = spark.createDataFrame(lines, "string").select(F.from_json("value", _JSON_DDL).alias("r"))
-    raw = lambda text: F.encode(text, "ISO-8859-1")
-    headers = F.transform(
-        F.map_entries("r.headers"),
-        lambda e: F.struct(e["key"].alias("key"), raw(e["value"]).alias("value")),
-    )
-    return parsed.select(
-        "r.topic", "r.partition", "r.offset", "r.timestamp",
-        raw(F.col("r.key")).alias("key"),
-        raw(F.col("r.value")).alias("value"),
-        headers.cast(HEADERS_DDL).alias("headers"),
+    """Avro container files below ``root``, in any codec. Spark splits large files."""
+    rows = (
+        spark.read.format(file_format("avro"))
+        .schema(_ENVELOPE_DDL)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.avro")
+        .load(root)
     )
+    return rows.withColumn("headers", F.map_entries("headers").cast(HEADERS_DDL)).select(*LOG_COLUMNS)

@@ -2,12 +2,12 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.headers import add_header
 from tidelog.operators.ordering import BLOCK, number_records, offset_block
-from tidelog.schema import LOG_COLUMNS, TOPIC_PARTITION
+from tidelog.schema import LOG_COLUMNS, TOPIC_PARTITION, file_format
 from tidelog.session import small_side
 
 KEYS = list(TOPIC_PARTITION)
@@ -25,11 +25,13 @@ def write_backup(
     """File records under ``topic=/[generation=/]partition=/[batch_id=/]``, sorted by offset.
 
     One shuffle, by topic, partition and offset block: records that belong together meet in one
-    file, and a topic-partition that holds much of the log is still written by many tasks.
+    file, and a topic-partition that holds much of the log is still written by many tasks. The
+    rebalance hint lets adaptive execution split large tasks and join small ones, so file sizes
+    follow ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and not the number of tasks.
 
     With a ``batch_id`` the write may be repeated: it replaces what the same batch wrote before
     and nothing else. ``codec`` and ``fmt`` go to the writer: Parquet takes none, snappy, gzip and
-    zstd; ``fmt="avro"``, where deployed, takes uncompressed, snappy, bzip2, deflate and xz.
+    zstd; Avro takes uncompressed, snappy, bzip2, deflate and xz.
     """
     rows, folders = df.select(*LOG_COLUMNS), ["topic"]
     if generation is not None:
@@ -39,8 +41,9 @@ def write_backup(
     if batch_id is not None:
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         folders.append("batch_id")
-    placed = rows.repartition(*KEYS, offset_block("offset", block)).sortWithinPartitions(*folders, "offset")
-    writer = placed.write.format(fmt).option("compression", codec).partitionBy(*folders)
+    blocked = rows.withColumn("_block", offset_block("offset", block)).hint("rebalance", *KEYS, "_block")
+    placed = blocked.drop("_block").sortWithinPartitions(*folders, "offset")
+    writer = placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders)
     if batch_id is None:
         writer.mode("append").save(root)
     else:
@@ -60,17 +63,36 @@ def assign_offsets(df: DataFrame, ends: DataFrame | None = None, block: int = BL
     return numbered.withColumn("offset", base + F.col("_rn") - 1).select(*df.columns)
 
 
-def _write_kafka(df: DataFrame, options: Mapping, wave_offsets: int) -> None:
-    # The order inside a partition must hold, so each topic-partition is produced by one task at a
-    # time. Waves of offset ranges bound what such a task handles.
-    bounds = df.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-    if bounds.lo is None:
-        return
+def offset_waves(df: DataFrame, wave_rows: int, block: int = BLOCK) -> list[tuple[int, int]]:
+    """Offset ranges in order, each with about ``wave_rows`` records of a topic-partition at most.
+
+    A range is made of whole offset blocks, so it holds at most ``wave_rows + block`` of them. One
+    row per range comes to the driver.
+    """
+    per_block = (
+        df.groupBy(*KEYS, offset_block("offset", block).alias("_block"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_block")
+        .agg(F.max("_n").alias("_n"))
+    )
+    before = F.sum("_n").over(Window.orderBy("_block")) - F.col("_n")
+    waves = (
+        per_block.withColumn("_wave", F.floor(before / wave_rows))
+        .groupBy("_wave")
+        .agg(F.min("_block").alias("lo"), F.max("_block").alias("hi"))
+        .orderBy("_wave")
+    )
+    return [(r.lo * block, (r.hi + 1) * block - 1) for r in waves.collect()]
+
+
+def _write_kafka(df: DataFrame, options: Mapping, wave_rows: int) -> None:
+    # The order inside a partition must hold, so a topic-partition is produced by one task at a
+    # time. Waves of offset ranges bound what that task handles; the range is pushed to the scan.
     stamped = add_header(df, "x-old-timestamp", F.col("timestamp").cast("string"))
-    for start in range(bounds.lo, bounds.hi + 1, wave_offsets):
-        wave = stamped.filter((F.col("offset") >= start) & (F.col("offset") < start + wave_offsets))
+    for lo, hi in offset_waves(df.select(*KEYS, "offset"), wave_rows):
         (
-            wave.repartition(*KEYS)
+            stamped.filter(F.col("offset").between(lo, hi))
+            .repartition(*KEYS)
             .sortWithinPartitions(*KEYS, "offset")
             .select("topic", "partition", "key", "value", "headers")
             .write.format("kafka")
@@ -79,17 +101,17 @@ def _write_kafka(df: DataFrame, options: Mapping, wave_offsets: int) -> None:
         )
 
 
-def write_log(df: DataFrame, target, ends: DataFrame | None = None, wave_offsets: int = BLOCK) -> None:
+def write_log(df: DataFrame, target, ends: DataFrame | None = None, wave_rows: int = BLOCK) -> None:
     """Produce restored records: to Kafka (a dict of options) or to a Parquet log (a path).
 
     Topic, partition, key, value and headers are kept. A Kafka sink cannot set the timestamp, so it
     travels in the header ``x-old-timestamp``; a table keeps it and gets new offsets here.
     """
     if isinstance(target, Mapping):
-        _write_kafka(df, target, wave_offsets)
+        _write_kafka(df, target, wave_rows)
     else:
-        placed = assign_offsets(df, ends).repartition(*KEYS, offset_block())
-        placed.sortWithinPartitions(*KEYS, "offset").write.mode("append").parquet(target)
+        # numbering has brought neighbours together already: sort, no further shuffle
+        assign_offsets(df, ends).sortWithinPartitions(*KEYS, "offset").write.mode("append").parquet(target)
 
 
 def drop_generation(

@@ -68,21 +68,23 @@ def stream_restore(
 def stream_progress_marks(
     df: DataFrame, marks: str, checkpoint: str, mark_every: int, poll_seconds: float | None = DEFAULT_POLL_SECONDS
 ) -> StreamingQuery:
-    """Append announced offsets per batch under ``marks``; each batch continues from the last ones.
+    """Append announced offsets under ``marks/announced``, one folder per batch.
 
-    The announcements of earlier batches are the state. They are read from the table itself, and a
-    repeated batch ignores and replaces its own.
+    ``marks/last`` holds, per batch, the last announcement of every topic-partition: the state the
+    next batch continues from. A repeated batch reads its predecessor's state and replaces its own.
     """
 
     def run(batch, batch_id):
-        spark = batch.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(marks)
-        announced = None
-        if batch_id > 0 and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            schema = "topic string, partition int, offset bigint, batch_id bigint"
-            earlier = spark.read.schema(schema).parquet(marks).filter(F.col("batch_id") < batch_id)
-            announced = earlier.groupBy(*KEYS).agg(F.max("offset").alias("offset"))
-        out = progress_marks(batch, mark_every, announced).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(marks)
+        def put(rows, name):
+            rows.write.mode("overwrite").parquet(f"{marks}/{name}/batch_id={batch_id}")
+
+        last = None
+        if batch_id > 0:
+            schema = "topic string, partition int, offset bigint"
+            last = batch.sparkSession.read.schema(schema).parquet(f"{marks}/last/batch_id={batch_id - 1}")
+        put(progress_marks(batch, mark_every, last), "announced")
+        told = batch.sparkSession.read.parquet(f"{marks}/announced/batch_id={batch_id}").select(*KEYS, "offset")
+        both = told if last is None else told.unionByName(last)
+        put(both.groupBy(*KEYS).agg(F.max("offset").alias("offset")), "last")
 
     return _start(df, run, checkpoint, poll_seconds)
