@@ -327,3 +327,23 @@ def test_record_expiry_keeps_the_open_segment(make_log):
 def test_only_small_sides_are_broadcast(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(small_side(spark.range(10), 10)) and not hinted(small_side(spark.range(11), 10))
+
+
+def test_shared_folder(spark):
+    from tidelog import session
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master, applicationId = "local[2]", "app-without-setting"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.shared_dir(Session()) == session.shared_dir(Session()) != session.shared_dir(spark)
+    Context.master = "yarn"
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())

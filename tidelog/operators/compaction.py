@@ -90,8 +90,7 @@ def progress_marks(
     ``announced`` (topic, partition, offset) continues from earlier announcements.
     """
     begun = None if announced is None else announced.select(*KEYS, F.col("offset").alias("start"))
-    marks = greedy_starts(df, "offset", mark_every + 1, resume=begun, span=span)
-    return marks.filter("offset = start").select(*KEYS, "offset")
+    return greedy_starts(df, "offset", mark_every + 1, resume=begun, span=span)
 
 
 def peer_name(instance: str, initial_status: str = ACTIVATE) -> str:

@@ -8,12 +8,13 @@ The chain of starts is sequential, so it is no window function. It is still comp
    start before it.
 3. Every block marks its own starts from there.
 
-Steps 1 and 3 run in parallel over blocks of one key, in batches, with numpy inside the tasks.
-A block spans at least 16 widths, so step 2 reads a small part of the positions.
+Steps 1 and 3 run in parallel over blocks of one key, in Arrow batches, with numpy inside the
+tasks. A block spans at least 16 widths, so step 2 reads a small part of the positions.
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,58 +67,60 @@ def compose(first, second, width):
 
 
 def mark(x, start, width):
-    """For sorted positions, the start each belongs to, and the last start."""
-    starts = [start]
+    """Indices of the starts among sorted positions that follow a last start."""
+    found = []
     i = int(np.searchsorted(x, start + width))
     while i < len(x):
-        starts.append(int(x[i]))
-        i = int(np.searchsorted(x, starts[-1] + width))
-    starts = np.asarray(starts, dtype=np.int64)
-    return starts[np.searchsorted(starts, x, side="right") - 1], int(starts[-1])
+        found.append(i)
+        i += int(np.searchsorted(x[i:], x[i] + width))
+    return np.asarray(found, dtype=np.int64)
 
 
 def _runs(batches, names, values):
     """Consecutive pieces of equal ``names`` from sorted batches: group values and arrays."""
-    for pdf in batches:
-        if len(pdf):
-            groups = [pdf[n].to_numpy() for n in names]
-            arrays = [pdf[v].to_numpy(np.int64) for v in values]
-            new = np.zeros(len(pdf), bool)
-            for g in groups:
-                new[1:] |= g[1:] != g[:-1]
-            cuts = [0, *np.flatnonzero(new).tolist(), len(pdf)]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                yield tuple(g[lo] for g in groups), [v[lo:hi] for v in arrays]
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for name in names:
+            column = batch.column(name)
+            changed = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+            new[1:] |= changed.to_numpy(zero_copy_only=False)
+        cuts = [0, *np.flatnonzero(new).tolist(), n]
+        arrays = [batch.column(v).to_numpy() for v in values]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield tuple(batch.column(name)[lo].as_py() for name in names), [v[lo:hi] for v in arrays]
 
 
 class _Out:
-    """Collects pieces of output and hands them on as frames of a good size."""
+    """Collects pieces of output and hands them on as batches of a good size."""
 
-    def __init__(self, names, values):
-        self.names, self.values, self.pieces, self.rows = names, values, [], 0
+    def __init__(self, names, types, values):
+        self.names, self.types, self.values = names, types, values
+        self.pieces, self.rows = [], 0
 
     def add(self, group, *arrays):
-        self.pieces.append((group, arrays))
-        self.rows += len(arrays[0])
+        if len(arrays[0]):
+            self.pieces.append((group, arrays))
+            self.rows += len(arrays[0])
 
-    def frames(self, last=False):
+    def batches(self, last=False):
         if self.pieces and (last or self.rows >= FRAME):
-            sizes = [len(arrays[0]) for _, arrays in self.pieces]
-            columns = {
-                n: np.repeat(np.array([g[i] for g, _ in self.pieces], dtype=object), sizes)
-                for i, n in enumerate(self.names)
-            }
-            for i, v in enumerate(self.values):
-                columns[v] = np.concatenate([arrays[i] for _, arrays in self.pieces])
+            which = np.repeat(np.arange(len(self.pieces)), [len(arrays[0]) for _, arrays in self.pieces])
+            columns = [
+                pa.array([g[i] for g, _ in self.pieces], type).take(pa.array(which))
+                for i, type in enumerate(self.types)
+            ]
+            for i in range(len(self.values)):
+                columns.append(pa.array(np.concatenate([arrays[i] for _, arrays in self.pieces]), pa.int64()))
             self.pieces, self.rows = [], 0
-            yield pd.DataFrame(columns)
+            yield pa.RecordBatch.from_arrays(columns, [*self.names, *self.values])
 
 
-def _summarize(keys, width):
-    names = [*keys, "_block"]
-
+def _summarize(names, types, width):
     def run(batches):
-        out, group, waiting, size, steps = _Out(names, ["_at", "_to"]), None, [], 0, None
+        out, group, waiting, size, steps = _Out(names, types, ["_at", "_to"]), None, [], 0, None
 
         def absorb():
             part = step_function(np.concatenate(waiting), width)
@@ -127,7 +130,7 @@ def _summarize(keys, width):
             if key != group:
                 if group is not None:
                     out.add(group, *absorb())
-                    yield from out.frames()
+                    yield from out.batches()
                 group, waiting, size, steps = key, [], 0, None
             elif size >= BATCH:
                 steps, waiting, size = absorb(), [], 0
@@ -135,62 +138,75 @@ def _summarize(keys, width):
             size += len(x)
         if group is not None:
             out.add(group, *absorb())
-        yield from out.frames(last=True)
+        yield from out.batches(last=True)
 
     return run
 
 
-def _enter(keys, width):
-    names = [*keys, "_block"]
-
+def _enter(names, types, width):
     def run(batches):
-        out, group, at, to, start = _Out(names, ["_enter"]), None, [], [], NEVER
+        out, group, at, to, start = _Out(names, types, ["_x", "_and"]), None, [], [], NEVER
         for key, (x, y) in _runs(batches, names, ["_at", "_to"]):
             if key != group:
                 if group is not None:
                     after = int(follow((np.concatenate(at), np.concatenate(to)), start, width))
                     start = after if key[:-1] == group[:-1] else NEVER
                 group, at, to = key, [], []
-                out.add(group, np.array([start], dtype=np.int64))
-                yield from out.frames()
+                out.add(group, np.array([NEVER]), np.array([start]))
+                yield from out.batches()
             at.append(x)
             to.append(y)
-        yield from out.frames(last=True)
+        yield from out.batches(last=True)
 
     return run
 
 
-def _mark(keys, width):
-    names = [*keys, "_block"]
-
+def _mark(names, types, width):
     def run(batches):
-        out, group, start = _Out(names, ["_x", "_start"]), None, None
-        for key, (x, enter) in _runs(batches, names, ["_x", "_enter"]):
+        out, group, start = _Out(names, types, ["_x", "_and"]), None, NEVER
+        for key, (x, extra) in _runs(batches, names, ["_x", "_and"]):
             if key != group:
-                group, start = key, int(enter[0])
-            starts, start = mark(x, start, width)
-            out.add(key, x, starts)
-            yield from out.frames()
-        yield from out.frames(last=True)
+                # the first row of a block is not a position, it brings the last start before it
+                group, start, x, extra = key, int(extra[0]), x[1:], extra[1:]
+            found = mark(x, start, width)
+            if len(found):
+                start = int(x[found[-1]])
+                out.add(key, x[found], extra[found])
+                yield from out.batches()
+        yield from out.batches(last=True)
 
     return run
 
 
 def greedy_starts(
-    positions: DataFrame, at: str, width: int, keys=TOPIC_PARTITION, resume: DataFrame | None = None, span: int | None = None
+    positions: DataFrame,
+    at: str,
+    width: int,
+    keys=TOPIC_PARTITION,
+    extra: str | None = None,
+    resume: DataFrame | None = None,
+    span: int | None = None,
 ) -> DataFrame:
-    """Rows (keys, ``at``, ``start``): every distinct position with the start it belongs to.
+    """The starts among ``positions``: rows (keys, ``at``[, ``extra``]).
 
-    ``resume`` holds (keys, start): a chain already begun, which the positions continue.
+    ``positions`` are distinct inside ``keys`` and are read twice. ``extra`` is an integer column to
+    bring along. ``resume`` holds (keys, start): a chain already begun, which the positions continue.
     """
     keys = list(keys)
     span = span or max(SPAN, WIDTHS_PER_SPAN * width)
-    key_ddl = ", ".join(f"`{k}` {positions.schema[k].dataType.simpleString()}" for k in keys)
-    distinct = positions.select(*keys, F.col(at).cast("bigint").alias("_x")).distinct()
-    blocks = distinct.withColumn("_block", F.expr(f"_x div {span}"))
-    by_block = blocks.repartition(*keys, "_block").sortWithinPartitions(*keys, "_block", "_x")
-    steps = by_block.mapInPandas(
-        _summarize(keys, width), f"{key_ddl}, _block bigint, _at bigint, _to bigint"
+    names = [*keys, "_block"]
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}
+    types = [*[kinds[positions.schema[k].dataType.simpleString()] for k in keys], pa.int64()]
+    ddl = ", ".join(f"`{k}` {positions.schema[k].dataType.simpleString()}" for k in keys) + ", _block bigint"
+
+    def sorted_blocks(df, *order):
+        return df.repartition(*names).sortWithinPartitions(*names, *order)
+
+    blocks = positions.select(
+        *keys, F.col(at).cast("bigint").alias("_x"), F.col(extra or at).cast("bigint").alias("_and")
+    ).withColumn("_block", F.expr(f"_x div {span}"))
+    steps = sorted_blocks(blocks.drop("_and"), "_x").mapInArrow(
+        _summarize(names, types, width), f"{ddl}, _at bigint, _to bigint"
     )
     if resume is not None:
         # a step function that ends every chain at the given start
@@ -203,14 +219,10 @@ def greedy_starts(
         steps = steps.unionByName(begun)
     entered = (
         steps.repartition(*keys)
-        .sortWithinPartitions(*keys, "_block", "_at")
-        .mapInPandas(_enter(keys, width), f"{key_ddl}, _block bigint, _enter bigint")
+        .sortWithinPartitions(*names, "_at")
+        .mapInArrow(_enter(names, types, width), f"{ddl}, _x bigint, _and bigint")
     )
-    marked = (
-        blocks.join(entered, [*keys, "_block"])
-        .repartition(*keys, "_block")
-        .sortWithinPartitions(*keys, "_block", "_x")
-        .mapInPandas(_mark(keys, width), f"{key_ddl}, _block bigint, _x bigint, _start bigint")
-        .drop("_block")
+    starts = sorted_blocks(blocks.unionByName(entered), "_x").mapInArrow(
+        _mark(names, types, width), f"{ddl}, _x bigint, _and bigint"
     )
-    return marked.withColumnsRenamed({"_x": at, "_start": "start"})
+    return starts.select(*keys, F.col("_x").alias(at), *([F.col("_and").alias(extra)] if extra else []))

@@ -52,13 +52,11 @@ def running_max(
     out: str = "running",
     block: int = BLOCK,
 ) -> DataFrame:
-    """Add ``out``: the largest ``value`` of this and all earlier records of ``keys``."""
+    """Add ``out``: the largest ``value`` of all records of ``keys`` up to this one's ``order``."""
     keys = list(keys)
     valued = df.withColumn("_value", value)
     before = _carry(valued, keys, order, block, F.max("_value"), F.max)
-    inside = (
-        Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    inside = Window.partitionBy(*keys, "_block").orderBy(order)
     local = valued.withColumn("_block", offset_block(order, block)).withColumn(
         "_top", F.max("_value").over(inside)
     )

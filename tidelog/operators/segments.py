@@ -7,6 +7,7 @@ from tidelog.functions.names import segment_name
 from tidelog.operators.greedy import greedy_starts
 from tidelog.operators.ordering import BLOCK, number_records, running_max
 from tidelog.schema import OFFSET_PAD_WIDTH, TOPIC_PARTITION
+from tidelog.session import checkpointed
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -46,19 +47,20 @@ def segment_by_interval(
 
     ``segment_id`` is the arrival time of the segment's first record.
     """
-    timed = arrival_clock(df, clock, "_arrival", block)
-    # the first record of every arrival time: a unique (topic, partition, offset) to join on, so
-    # that many records with one arrival time do not meet in one task
-    ticks = timed.groupBy(*KEYS, "_arrival").agg(F.min("offset").alias("offset"))
-    starts = (
-        greedy_starts(ticks, "_arrival", interval_ms, span=span)
-        .filter("_arrival = start")
-        .join(ticks, [*KEYS, "_arrival"])
-        .select(*KEYS, "offset", "start")
+    # one row per arrival time, with its first record; read twice below, hence the checkpoint
+    ticks = checkpointed(
+        arrival_clock(df.select(*KEYS, "offset", clock), clock, "_arrival", block)
+        .filter("_arrival IS NOT NULL")
+        .groupBy(*KEYS, "_arrival")
+        .agg(F.min("offset").alias("offset"))
     )
-    return running_max(
-        df.join(starts, [*KEYS, "offset"], "left"), F.col("start"), out="segment_id", block=block
-    ).drop("start")
+    starts = greedy_starts(ticks, "_arrival", interval_ms, extra="offset", span=span)
+    # starts join the records as extra rows at their offsets: no join that could meet a hot key
+    marked = df.withColumn("_start", F.lit(None).cast("bigint")).unionByName(
+        starts.withColumnRenamed("_arrival", "_start"), allowMissingColumns=True
+    ).withColumn("_added", F.col("_start").isNotNull())
+    filled = running_max(marked, F.col("_start"), out="segment_id", block=block)
+    return filled.filter("NOT _added").drop("_start", "_added")
 
 
 def segment(

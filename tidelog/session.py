@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: positions, topic maps, policies) is far below 1 KB, so this stays under about 100 MB.
 BROADCAST_ROWS = 100_000
 
+_local_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir`` of the session.
@@ -21,9 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    chosen = tempfile.mkdtemp(prefix="tidelog-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    # the setting is fixed once a session runs, so the choice is remembered here
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="tidelog-")
+    return _local_dirs[app]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -25,9 +25,8 @@ def write_backup(
     """File records under ``topic=/[generation=/]partition=/[batch_id=/]``, sorted by offset.
 
     One shuffle, by topic, partition and offset block: records that belong together meet in one
-    file, and a topic-partition that holds much of the log is still written by many tasks. The
-    rebalance hint lets adaptive execution split large tasks and join small ones, so file sizes
-    follow ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and not the number of tasks.
+    file, and a topic-partition that holds much of the log is still written by many tasks. There is
+    at most one file per block, however many small topic-partitions a task writes.
 
     With a ``batch_id`` the write may be repeated: it replaces what the same batch wrote before
     and nothing else. ``codec`` and ``fmt`` go to the writer: Parquet takes none, snappy, gzip and
@@ -41,8 +40,7 @@ def write_backup(
     if batch_id is not None:
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         folders.append("batch_id")
-    blocked = rows.withColumn("_block", offset_block("offset", block)).hint("rebalance", *KEYS, "_block")
-    placed = blocked.drop("_block").sortWithinPartitions(*folders, "offset")
+    placed = rows.repartition(*KEYS, offset_block("offset", block)).sortWithinPartitions(*folders, "offset")
     writer = placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders)
     if batch_id is None:
         writer.mode("append").save(root)
