@@ -347,3 +347,31 @@ def test_shared_folder(spark):
     Context.master = "yarn"
     with pytest.raises(ValueError):
         session.shared_dir(Session())
+
+
+def test_restore_from_refuses_the_wrong_depth(spark, skewed_log, stored):
+    got = jobs.restore_from(spark, stored, "hot:cold,t1", 1)
+    assert {r.topic for r in got.select("topic").distinct().collect()} == {"cold", "t1"}
+    with pytest.raises(ValueError, match="no backup named"):
+        root = scratch(spark, "mixed")
+        sinks.write_backup(skewed_log, root, generation="g")
+        os.makedirs(f"{root}/topic=hot/generation=g/partition=0/deeper")
+        path = glob.glob(f"{root}/topic=hot/generation=g/partition=0/*.parquet")[0]
+        os.link(path, f"{root}/topic=hot/generation=g/part.parquet")
+        jobs.restore_from(spark, root, "hot", 1, "g")
+    with pytest.raises(ValueError, match="contains generations"):
+        jobs.restore_from(spark, root, "t1", 1)
+
+
+def test_idle_segments_close(make_log):
+    log = make_log([{"offset": o, "timestamp": 1000 * o} for o in range(5)])
+    manifest = jobs.plan_segments(log, 100, 60_000)
+    commit = lambda now: S.commit_offsets(manifest, 100, 60_000, now).first().commit_offset
+    assert commit(59_999) is None and commit(60_000) == 5
+    assert S.commit_offsets(manifest, 100).first().commit_offset is None
+
+
+def test_empty_as_null(spark, tmp_path):
+    avro_container(spark, str(tmp_path / "a.avro"), [("t", 0, 1, 1, b"", b"", None)])
+    assert bytes(L.import_avro_segments(spark, str(tmp_path)).first().value) == b""
+    assert L.import_avro_segments(spark, str(tmp_path), empty_as_null=True).first().value is None

@@ -1,11 +1,11 @@
 """Record-wise projections, filters, resume and order."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.commits import decode_offset_keys, decode_offset_values
 from tidelog.functions.names import parse_topic_map
-from tidelog.schema import HEADERS_DDL, LOG_COLUMNS, TOPIC_PARTITION
+from tidelog.schema import DEFAULT_MAX_RECORDS, HEADERS_DDL, LOG_COLUMNS, TOPIC_PARTITION
 from tidelog.session import small_side
 
 KEYS = list(TOPIC_PARTITION)
@@ -76,7 +76,7 @@ def rename_topics(df: DataFrame, mapping) -> DataFrame:
 
 def exclude_group(df: DataFrame, group: str) -> DataFrame:
     """Drop offset-log records of ``group`` (any case) whose key and value decode; keep all others."""
-    decoded = decode_offset_values(decode_offset_keys(df.withColumns({"_k": F.col("key"), "_v": F.col("value")}), "_k"), "_v")
+    decoded = decode_offset_values(decode_offset_keys(df))
     named = F.lower("offset_key.group") == group.lower()
     return decoded.filter(~F.coalesce(named & F.col("offset_value").isNotNull(), F.lit(False))).select(*df.columns)
 
@@ -106,7 +106,7 @@ def dedupe_log(df: DataFrame, event_time: str | None = None, delay: str = "1 hou
     return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(coordinate).drop("_event_time")
 
 
-def batch_cap(df: DataFrame, max_records: int) -> DataFrame:
+def batch_cap(df: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
     """At most ``max_records`` records per poll: lowest partition first, then lowest offset."""
     return df.orderBy("partition", "offset").limit(max_records)
 

@@ -110,13 +110,25 @@ def segment_manifest(df: DataFrame, generation: str | None = None, pad: int = OF
     )
 
 
-def commit_offsets(manifest: DataFrame, flush_size: int) -> DataFrame:
-    """Offset to commit per topic-partition: last offset of the closed segments + 1.
+def commit_offsets(
+    manifest: DataFrame,
+    flush_size: int,
+    schedule_ms: int | None = None,
+    now_ms=None,
+    timezone: str = "UTC",
+) -> DataFrame:
+    """Offset to commit per topic-partition: last offset of the closed segments + 1, NULL if none is.
 
-    Every segment but the newest is closed; the newest one only if it is full. NULL if none is.
+    Every segment but the newest is closed. The newest one is closed if it is full, or, given a
+    schedule and the time, if a rotation has passed since its last record: an idle segment is not
+    kept open.
     """
     newest = manifest.groupBy(*KEYS).agg(F.max("first_offset").alias("_newest"))
     closed = (F.col("first_offset") < F.col("_newest")) | (F.col("records") >= flush_size)
+    if schedule_ms and now_ms is not None:
+        now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms).cast("bigint")
+        passed = schedule_bucket(now, schedule_ms, timezone) > schedule_bucket("max_timestamp", schedule_ms, timezone)
+        closed |= F.coalesce(passed, F.lit(False))
     return (
         manifest.join(newest, KEYS)
         .groupBy(*KEYS)

@@ -1,6 +1,6 @@
 """Every operator run over the driver's tables, by name. ``oracle.py`` has the same in SQL."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import headers as H
@@ -15,10 +15,11 @@ from tidelog.operators import retention as X
 from tidelog.operators import segments as S
 from tidelog.plans import derived as D
 from tidelog.plans import jobs
-from tidelog.schema import HEADERS_DDL, LOG_COLUMNS, LOG_SCHEMA
+from tidelog.schema import LOG_SCHEMA, file_format
 from tidelog.session import scratch
 from tidelog.sources import backup as B
 from tidelog.sources import files as W
+from tidelog.sources.legacy import import_avro_segments as import_segments
 from tidelog.sources.log import read_log, stream_log
 from tidelog.sources.sinks import drop_generation, write_backup, write_log
 from tidelog.streaming import jobs as T
@@ -125,6 +126,24 @@ def check_layout(spark, sf_dir):
     return good.unionByName(bad)
 
 
+@query
+def import_avro_segments(spark, sf_dir):
+    def write(path):
+        # the envelope of old files: headers are a map
+        log = D.event_log(spark, sf_dir).withColumn("headers", H.headers_map())
+        log.write.format(file_format("avro")).option("compression", "deflate").save(path)
+
+    return flat(import_segments(spark, D.once(spark, sf_dir, "containers", write)))
+
+
+@query
+def scan_avro_backup(spark, sf_dir):
+    root = D.once(
+        spark, sf_dir, "avro", lambda path: write_backup(D.event_log(spark, sf_dir), path, codec="xz", fmt="avro")
+    )
+    return flat(B.scan_backup(spark, root, "ev-click,ev-view", fmt="avro"))
+
+
 # ---- record transforms ------------------------------------------------------------------------
 
 
@@ -429,6 +448,12 @@ def commit_offsets_mixed(spark, sf_dir):
     return S.commit_offsets(jobs.plan_segments(D.event_log(spark, sf_dir), 20, SCHEDULE_MS), 20)
 
 
+@query
+def commit_offsets_idle(spark, sf_dir):
+    manifest = jobs.plan_segments(D.event_log(spark, sf_dir), 20, SCHEDULE_MS)
+    return S.commit_offsets(manifest, 20, SCHEDULE_MS, DAY0 + 30 * DAY_MS - SCHEDULE_MS // 2)
+
+
 # ---- compaction and generations ---------------------------------------------------------------
 
 
@@ -626,6 +651,26 @@ def write_log_table(spark, sf_dir):
     return flat(spark.read.schema(LOG_SCHEMA).parquet(target))
 
 
+@query
+def replayed_batch(spark, sf_dir):
+    root, log = scratch(spark, "replayed"), D.event_log(spark, sf_dir)
+    for batch_id, part in ((0, F.col("timestamp") < MID), (1, F.col("timestamp") >= MID), (0, F.col("timestamp") < MID)):
+        write_backup(log.filter(part), root, batch_id=batch_id)
+    return flat(B.scan_backup(spark, root, batches=True))
+
+
+@query
+def backup_offset_log(spark, sf_dir):
+    root = scratch(spark, "offsets")
+    jobs.backup_offsets(D.commit_log(spark, sf_dir), root, GROUP.lower())
+    return B.scan_backup(spark, root).select("partition", "offset", F.hex("key").alias("key"))
+
+
+@query
+def restore_from_backup(spark, sf_dir):
+    return flat(jobs.restore_from(spark, D.event_backup(spark, sf_dir), MAP_TEXT, D.RESTORED_AT))
+
+
 @query
 def stream_backup(spark, sf_dir):
     root = scratch(spark, "streamed")

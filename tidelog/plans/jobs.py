@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.operators.commits import committed_from_log, translate_offsets
 from tidelog.operators.compaction import caught_up, latest_per_key, live_generation
-from tidelog.operators.records import dedupe_log, rename_topics, resume_after, select_topics, to_envelope
+from tidelog.functions.names import parse_topic_map
+from tidelog.operators.inventory import require_layout
+from tidelog.operators.records import dedupe_log, exclude_group, rename_topics, resume_after, select_topics, to_envelope
 from tidelog.operators.segments import segment, segment_manifest
+from tidelog.sources.backup import list_files, scan_backup
 from tidelog.sources.sinks import write_backup
 
 GENERATION_COLUMNS = "topic string, generation string, promoted_at timestamp"
@@ -18,6 +21,11 @@ def backup(df: DataFrame, root: str, topics, codec: str = "zstd", batch_id: int
     write_backup(to_envelope(select_topics(df, topics)), root, codec=codec, batch_id=batch_id)
 
 
+def backup_offsets(df: DataFrame, root: str, group: str, batch_id: int | None = None) -> None:
+    """Back up the consumer-offset log, without the commits of the backup's own ``group``."""
+    write_backup(exclude_group(to_envelope(df), group), root, batch_id=batch_id)
+
+
 def plan_segments(df: DataFrame, flush_size: int, schedule_ms: int | None = None, timezone: str = "UTC") -> DataFrame:
     """Manifest of the segments a log is cut into."""
     return segment_manifest(segment(df, flush_size, schedule_ms, timezone))
@@ -36,6 +44,21 @@ def restore(
     return stamp_restore_headers(rename_topics(rows, topic_map), now_ms)
 
 
+def restore_from(
+    spark: SparkSession, root: str, topic_map: str, now_ms, generation: str | None = None,
+    positions: DataFrame | None = None, dedupe: bool = True, batches: bool = False,
+) -> DataFrame:
+    """Records to produce from the backup at ``root``: the topics of ``topic_map`` (``a:b,c``).
+
+    A backup whose files lie at another depth than asked for is refused.
+    """
+    topics = list(parse_topic_map(topic_map))
+    files = list_files(spark, root).filter(F.col("topic").isin(topics))
+    require_layout(files, generation, "relative")
+    log = scan_backup(spark, root, topics, generation, batches)
+    return restore(log, topic_map, now_ms, positions, dedupe)
+
+
 def translate(
     offset_log: DataFrame, restored: DataFrame, group: str, old_topic: str, new_topic: str,
     policy: str = "first_at_or_after",

@@ -63,11 +63,12 @@ def manifest(name):
       FROM sg GROUP BY topic, "partition", segment_id"""
 
 
-def commits(flush):
-    return f""", mf AS (SELECT topic, "partition", min("offset") AS f, max("offset") AS l, count(*) AS n
+def commits(flush, last_seen="0", passed="false"):
+    return f""", mf AS (SELECT topic, "partition", min("offset") AS f, max("offset") AS l, count(*) AS n,
+                 {last_seen} AS a
                  FROM sg GROUP BY topic, "partition", segment_id),
     nw AS (SELECT topic, "partition", max(f) AS nf FROM mf GROUP BY 1, 2)
-    SELECT topic, "partition", max(CASE WHEN f < nf OR n >= {flush} THEN l END) + 1 AS commit_offset
+    SELECT topic, "partition", max(CASE WHEN f < nf OR n >= {flush} OR {passed} THEN l END) + 1 AS commit_offset
     FROM mf JOIN nw USING (topic, "partition") GROUP BY 1, 2"""
 
 
@@ -269,5 +270,14 @@ ORACLE = {
         SELECT {ROW_RESTORED} FROM ev LEFT JOIN ps USING (topic, "partition")
         WHERE last_offset IS NULL OR "offset" > last_offset""",
 }
+ORACLE["import_avro_segments"] = ORACLE["envelope_roundtrip"]
+ORACLE["scan_avro_backup"] = EV_ROWS + " WHERE topic IN ('ev-click', 'ev-view')"
+ORACLE["replayed_batch"] = EV_ROWS
+ORACLE["backup_offset_log"] = ORACLE["exclude_group"]
+ORACLE["restore_from_backup"] = ORACLE["restore_job"] + " WHERE topic IN ('ev-click', 'ev-view', 'ev-error')"
+NOW_IDLE = DAY0 + 30 * DAY_MS - SCHEDULE_MS // 2
+ORACLE["commit_offsets_idle"] = mixed(EV, "ev", 20, SCHEDULE_MS) + commits(
+    20, "max(a)", f"{BUCKET.format(t=NOW_IDLE, ms=SCHEDULE_MS)} > {BUCKET.format(t='a', ms=SCHEDULE_MS)}"
+)
 ORACLE["stream_dedupe"] = ORACLE["dedupe_log"]
 ORACLE["stream_progress_marks"] = ORACLE["progress_marks"]

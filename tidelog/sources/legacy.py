@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.envelopes import decode_envelopes
+from tidelog.operators.records import decode_nulls
 from tidelog.schema import HEADERS_DDL, LOG_COLUMNS, file_format
 
 # old files keep headers as a map
@@ -13,10 +14,11 @@ _ENVELOPE_DDL = (
 )
 
 
-def import_record_objects(spark: SparkSession, root: str) -> DataFrame:
+def import_record_objects(spark: SparkSession, root: str, empty_as_null: bool = False) -> DataFrame:
     """One object per record, named ``topic/partition/offset``; the body is the record's Avro datum.
 
     The coordinate is taken from the path. Objects whose body does not decode keep a NULL payload.
+    ``empty_as_null`` reads empty keys and values as NULL, which old files could not tell apart.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
@@ -24,7 +26,7 @@ def import_record_objects(spark: SparkSession, root: str) -> DataFrame:
     decoded = decode_envelopes(files, "content")
     coordinate = r"([^/]+)/(\d+)/(\d+)$"
     part = lambda i: F.regexp_extract("path", coordinate, i)
-    return decoded.filter(F.col("path").rlike(coordinate)).select(
+    log = decoded.filter(F.col("path").rlike(coordinate)).select(
         part(1).alias("topic"),
         part(2).cast("int").alias("partition"),
         part(3).cast("bigint").alias("offset"),
@@ -33,9 +35,10 @@ def import_record_objects(spark: SparkSession, root: str) -> DataFrame:
         "record.value",
         "record.headers",
     )
+    return decode_nulls(log) if empty_as_null else log
 
 
-def import_avro_segments(spark: SparkSession, root: str) -> DataFrame:
+def import_avro_segments(spark: SparkSession, root: str, empty_as_null: bool = False) -> DataFrame:
     """Avro container files below ``root``, in any codec. Spark splits large files."""
     rows = (
         spark.read.format(file_format("avro"))
@@ -44,4 +47,5 @@ def import_avro_segments(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.avro")
         .load(root)
     )
-    return rows.withColumn("headers", F.map_entries("headers").cast(HEADERS_DDL)).select(*LOG_COLUMNS)
+    log = rows.withColumn("headers", F.map_entries("headers").cast(HEADERS_DDL)).select(*LOG_COLUMNS)
+    return decode_nulls(log) if empty_as_null else log
