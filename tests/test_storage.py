@@ -59,7 +59,7 @@ def test_batch_files_are_sorted(spark, skewed_log):
     for path in paths:
         offsets = pq.ParquetFile(path).read()["offset"].to_pylist()
         assert offsets == sorted(offsets)
-    assert B.scan_backup(spark, root, generation="g 1/x", batches=True).count() == 20_000
+    assert B.scan_backup(spark, root, generation="g 1/x").count() == 20_000
 
 
 def test_scans_prune(spark, stored):
@@ -78,12 +78,21 @@ def test_scans_prune(spark, stored):
 
 def test_topics_that_look_like_other_types(spark, make_log):
     root = scratch(spark, "names")
-    log = make_log([{"topic": t, "offset": 1} for t in ("007", "a=b", "ü/x", "2024-01-01", "a", "ab")])
+    log = make_log([{"topic": t, "offset": 1} for t in ("007", "a=b", "ü/x", "2024-01-01", "a", "a+b", "a%b")])
     sinks.write_backup(log, root)
     assert rows(B.scan_backup(spark, root)) == rows(log)
     assert B.scan_backup(spark, root, "a").count() == 1
     listed = {r.topic for r in B.list_files(spark, root).collect()}
-    assert listed == {"007", "a=b", "ü/x", "2024-01-01", "a", "ab"}
+    assert listed == {"007", "a=b", "ü/x", "2024-01-01", "a", "a+b", "a%b"}
+    assert sinks.delete_files(B.list_files(spark, root)) == 7 and not glob.glob(f"{root}/*/*/*.parquet")
+
+
+def test_generations_are_not_mixed(spark, make_log):
+    root = scratch(spark, "mixed")
+    for name in ("one", "two"):
+        sinks.write_backup(make_log([{}]), root, generation=name)
+    with pytest.raises(ValueError, match="generations"):
+        B.scan_backup(spark, root)
 
 
 def test_empty_and_null_stay_apart(spark, make_log):
@@ -106,7 +115,7 @@ def test_replayed_batch_replaces_only_itself(spark, skewed_log):
     first, second = skewed_log.filter("offset < 30000"), skewed_log.filter("offset >= 30000")
     for batch_id, part in ((0, first), (1, second), (1, second), (0, first)):
         sinks.write_backup(part, root, batch_id=batch_id)
-    assert rows(B.scan_backup(spark, root, batches=True)) == rows(skewed_log)
+    assert rows(B.scan_backup(spark, root)) == rows(skewed_log)
 
 
 def test_read_log_bounds(spark, skewed_log):
@@ -228,7 +237,7 @@ def test_record_objects(spark, tmp_path):
     for offset in range(12):
         folder = tmp_path / "store" / "a-topic" / "3"
         folder.mkdir(parents=True, exist_ok=True)
-        body = encode_record("a-topic", 3, offset, 50, None, b"%d" % offset, [{"key": "h", "value": b"1"}])
+        body = encode_record("a-topic", 3, offset, 50, None, b"%d" % offset, [("h", b"1")])
         (folder / f"{offset:015d}").write_bytes(MARKER + b"12345678" + body)
     (tmp_path / "store" / "a-topic" / "3" / "000000000000099").write_bytes(b"\x01broken")
     got = sorted((r.topic, r.partition, r.offset, r.value and bytes(r.value)) for r in L.import_record_objects(spark, str(tmp_path)).collect())

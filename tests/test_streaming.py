@@ -48,12 +48,12 @@ def test_kill_and_restart(spark, skewed_log, source, monkeypatch):
     monkeypatch.setattr(T, "write_backup", dying)
     with pytest.raises(Exception, match="killed"):
         run()
-    assert 0 < B.scan_backup(spark, root, batches=True).count() < 20_000
+    assert 0 < B.scan_backup(spark, root).count() < 20_000
     monkeypatch.setattr(T, "write_backup", real)
     run()
-    assert rows(B.scan_backup(spark, root, batches=True)) == rows(skewed_log)
+    assert rows(B.scan_backup(spark, root)) == rows(skewed_log)
     run()
-    assert B.scan_backup(spark, root, batches=True).count() == 20_000
+    assert B.scan_backup(spark, root).count() == 20_000
 
 
 def test_new_data_reaches_the_backup_and_the_restore(spark, skewed_log):
@@ -64,7 +64,7 @@ def test_new_data_reaches_the_backup_and_the_restore(spark, skewed_log):
         wait(T.stream_backup_sink(stream_log(spark, source, TOPICS), root, points[0], poll_seconds=None))
         restored = B.stream_backup(spark, root, max_files=7, batches=True)
         wait(T.stream_restore(restored, target, points[1], "hot:cold", now_ms=1, poll_seconds=None))
-    got = B.scan_backup(spark, target, batches=True)
+    got = B.scan_backup(spark, target)
     assert got.count() == got.select("topic", "partition", "offset").distinct().count() == 20_000
     assert got.filter("topic = 'cold'").count() == 10_000
     assert got.filter(F.size("headers") == 2).count() == 20_000

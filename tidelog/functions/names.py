@@ -68,10 +68,24 @@ def parse_topic_pair(text) -> Column:
     )
 
 
-def parse_topic_map(text: str) -> dict[str, str]:
-    """Option text ``a:b,c`` to ``{"a": "b", "c": "c"}``."""
-    pairs = (item.strip().split(":", 1) for item in text.split(",") if item.strip())
-    return {pair[0].strip(): pair[-1].strip() for pair in pairs}
+def parse_topic_map(text: str) -> dict[str, list[str]]:
+    """Option text ``a:b,c,a:d`` to ``{"a": ["b", "d"], "c": ["c"]}``. A topic may have several targets."""
+    targets: dict[str, list[str]] = {}
+    for item in filter(str.strip, text.split(",")):
+        source, _, target = item.partition(":")
+        names = targets.setdefault(source.strip(), [])
+        if (name := target.strip() or source.strip()) not in names:
+            names.append(name)
+    return targets
+
+
+def target_topics(topic, targets: dict[str, list[str]]) -> Column:
+    """Array of the target names of a topic; its own name, if it has none."""
+    own = F.array(_col(topic))
+    if not targets:
+        return own
+    lookup = F.create_map(*[c for s, t in targets.items() for c in (F.lit(s), F.array(*map(F.lit, t)))])
+    return F.coalesce(F.try_element_at(lookup, _col(topic)), own)
 
 
 def parse_offset_spec(df: DataFrame, spec: str = "spec") -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.names import parse_topic_map
+from tidelog.functions.names import parse_topic_map, target_topics
 
 
 def backup_inventory(df: DataFrame, topic_map: str = "") -> DataFrame:
@@ -16,14 +16,12 @@ def backup_inventory(df: DataFrame, topic_map: str = "") -> DataFrame:
         .groupBy("topic")
         .agg(F.count_distinct("partition").alias("partitions"), F.sort_array(F.collect_set("partition")).alias("ids"))
     )
-    names = parse_topic_map(topic_map)
-    target = F.col("topic")
-    if names:
-        lookup = F.create_map(*[F.lit(t) for pair in names.items() for t in pair])
-        target = F.coalesce(F.try_element_at(lookup, F.col("topic")), target)
     return counted.select(
-        F.col("topic").alias("source_topic"), target.alias("target_topic"), "partitions", "ids"
-    ).orderBy(F.desc("partitions"), "source_topic")
+        F.col("topic").alias("source_topic"),
+        F.explode(target_topics("topic", parse_topic_map(topic_map))).alias("target_topic"),
+        "partitions",
+        "ids",
+    ).orderBy(F.desc("partitions"), "source_topic", "target_topic")
 
 
 def check_layout(paths: DataFrame, generation: str | None = None, path: str = "path") -> DataFrame:

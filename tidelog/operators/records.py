@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.commits import decode_offset_keys, decode_offset_values
-from tidelog.functions.names import parse_topic_map
+from tidelog.functions.names import parse_topic_map, target_topics
 from tidelog.schema import DEFAULT_MAX_RECORDS, HEADERS_DDL, LOG_COLUMNS, TOPIC_PARTITION
 from tidelog.session import small_side
 
@@ -59,19 +59,18 @@ def union_topics(*parts: DataFrame) -> DataFrame:
 def rename_topics(df: DataFrame, mapping) -> DataFrame:
     """Target topic names. ``mapping`` is text ``a:b,c``, a dict, or rows (source_topic, target_topic).
 
-    Topics without a mapping keep their name. An option text becomes a literal map, without a join.
+    Topics without a mapping keep their name; a topic with several targets goes to each of them.
+    An option text becomes a literal map, without a join.
     """
     if isinstance(mapping, DataFrame):
-        # small_side looks at the size; a topic has one target
         renamed = df.join(
             small_side(mapping.select(F.col("source_topic").alias("topic"), "target_topic")), "topic", "left"
         )
         return renamed.withColumn("topic", F.coalesce("target_topic", "topic")).select(*df.columns)
-    pairs = parse_topic_map(mapping) if isinstance(mapping, str) else mapping
-    if not pairs:
-        return df
-    names = F.create_map(*[F.lit(text) for pair in pairs.items() for text in pair])
-    return df.withColumn("topic", F.coalesce(F.try_element_at(names, F.col("topic")), F.col("topic")))
+    targets = parse_topic_map(mapping) if isinstance(mapping, str) else {s: [t] for s, t in mapping.items()}
+    names = target_topics("topic", targets)
+    single = all(len(t) == 1 for t in targets.values())
+    return df.withColumn("topic", F.get(names, F.lit(0)) if single else F.explode(names))
 
 
 def exclude_group(df: DataFrame, group: str) -> DataFrame:

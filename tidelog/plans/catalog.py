@@ -656,7 +656,7 @@ def replayed_batch(spark, sf_dir):
     root, log = scratch(spark, "replayed"), D.event_log(spark, sf_dir)
     for batch_id, part in ((0, F.col("timestamp") < MID), (1, F.col("timestamp") >= MID), (0, F.col("timestamp") < MID)):
         write_backup(log.filter(part), root, batch_id=batch_id)
-    return flat(B.scan_backup(spark, root, batches=True))
+    return flat(B.scan_backup(spark, root))
 
 
 @query
@@ -676,7 +676,7 @@ def stream_backup(spark, sf_dir):
     root = scratch(spark, "streamed")
     source = stream_log(spark, exported(spark, sf_dir), list(f"ev-{t}" for t in D.EVENT_TYPES), max_per_trigger=4)
     finished(T.stream_backup_sink(source, root, scratch(spark, "checkpoint"), poll_seconds=None))
-    return flat(B.scan_backup(spark, root, batches=True))
+    return flat(B.scan_backup(spark, root))
 
 
 @query
@@ -690,7 +690,7 @@ def stream_restore(spark, sf_dir):
             source, target, scratch(spark, "checkpoint"), MAP_TEXT, positions, D.RESTORED_AT, poll_seconds=None
         )
     )
-    return flat(B.scan_backup(spark, target, batches=True))
+    return flat(B.scan_backup(spark, target))
 
 
 @query

@@ -46,7 +46,7 @@ def restore(
 
 def restore_from(
     spark: SparkSession, root: str, topic_map: str, now_ms, generation: str | None = None,
-    positions: DataFrame | None = None, dedupe: bool = True, batches: bool = False,
+    positions: DataFrame | None = None, dedupe: bool = True,
 ) -> DataFrame:
     """Records to produce from the backup at ``root``: the topics of ``topic_map`` (``a:b,c``).
 
@@ -55,7 +55,7 @@ def restore_from(
     topics = list(parse_topic_map(topic_map))
     files = list_files(spark, root).filter(F.col("topic").isin(topics))
     require_layout(files, generation, "relative")
-    log = scan_backup(spark, root, topics, generation, batches)
+    log = scan_backup(spark, root, topics, generation)
     return restore(log, topic_map, now_ms, positions, dedupe)
 
 

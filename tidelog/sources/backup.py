@@ -12,18 +12,19 @@ from tidelog.operators.records import _topics
 from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA, file_format
 
 
-def _schema(generation: bool, batches: bool) -> T.StructType:
+def _schema(generation: bool, batches: bool = False) -> T.StructType:
     extra = [T.StructField("generation", T.StringType())] if generation else []
     extra += [T.StructField("batch_id", T.LongType())] if batches else []
     return T.StructType([*LOG_SCHEMA.fields, *extra])
 
 
 def scan_backup(
-    spark: SparkSession, root: str, topics=None, generation: str | None = None, batches: bool = False,
-    fmt: str = "parquet",
+    spark: SparkSession, root: str, topics=None, generation: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Records of a backup, of some topics or all. ``generation`` is needed if the backup has them."""
-    df = spark.read.format(file_format(fmt)).schema(_schema(generation is not None, batches)).load(root)
+    """Records of a backup, of some topics or all. A backup with generations needs the name of one."""
+    df = spark.read.format(file_format(fmt)).schema(_schema(generation is not None)).load(root)
+    if generation is None and "generation" in df.columns:
+        raise ValueError("the backup contains generations, name one")
     if topics is not None:
         df = df.filter(F.col("topic").isin(_topics(topics)))
     if generation is not None:
@@ -74,7 +75,9 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     )
 
     def folder(name):
-        return F.nullif(F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1)), F.lit(""))
+        # a plus sign is itself here, but stands for a blank in URL texts
+        text = F.replace(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
+        return F.nullif(F.url_decode(text), F.lit(""))
 
     parts = F.concat_ws("/", folder("topic"), folder("generation"), folder("partition"), F.element_at(F.split("path", "/"), -1))
     return files.withColumns(

@@ -135,6 +135,6 @@ def delete_files(files: DataFrame, path: str = "path") -> int:
     spark = files.sparkSession
     conf, gone = spark._jsc.hadoopConfiguration(), 0
     for row in files.select(path).toLocalIterator():
-        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row[0]))
+        target = spark._jvm.org.apache.hadoop.fs.Path(row[0])
         gone += bool(target.getFileSystem(conf).delete(target, False))
     return gone
