@@ -76,8 +76,8 @@ def translate_offsets(
 
     ``exact``               first record with exactly the committed old offset, else no row
     ``exact_or_last``       … else the newest stamped record of the partition
-    ``first_at_or_after``   record of the smallest old offset at or after the committed one; the
-                            end of the partition if the group had read everything
+    ``first_at_or_after``   first record whose old offset is the committed one or later, so that
+                            none is missed; the end of the partition if the group had read all
 
     One aggregation by partition with partial sums; the committed side is one row per partition.
     """
@@ -91,12 +91,8 @@ def translate_offsets(
     elif policy == "exact_or_last":
         answer = F.coalesce(hit, newest)
     elif policy == "first_at_or_after":
-        # least (old, new) at or after the commit; struct order compares the old offset first
-        at = F.when(
-            (F.col("_old") >= 0) & (F.col("_old") >= F.col("committed")),
-            F.struct(F.col("_old"), F.col("_new")),
-        )
-        answer = F.coalesce(F.min(at)["_new"], newest + 1)
+        later = F.when((F.col("_old") >= 0) & (F.col("_old") >= F.col("committed")), F.col("_new"))
+        answer = F.coalesce(F.min(later), newest + 1)
     else:
         raise ValueError(f"unknown policy {policy!r}")
     return pairs.groupBy(*keys).agg(answer.alias("new_offset")).filter("new_offset IS NOT NULL")

@@ -62,8 +62,10 @@ def expire_records(df: DataFrame, hours: int, now_ms) -> DataFrame:
     segments = df.groupBy(*KEYS, "segment_id").agg(
         F.max("timestamp").alias("_last"), F.min("offset").alias("_first")
     )
-    newest = segments.groupBy(*KEYS).agg(F.max("_first").alias("_newest"))
-    kept = segments.join(newest, KEYS).filter(
-        (F.col("_last") >= now - hours * 3_600_000) | (F.col("_first") == F.col("_newest"))
+    # both sides of the join read the same columns, so Spark builds the segments once and reuses them
+    newest = segments.groupBy(*KEYS).agg(
+        F.max("_first").alias("_newest"), F.max_by("_last", "_first").alias("_newest_last")
     )
+    open_segment = (F.col("_first") == F.col("_newest")) & F.col("_last").eqNullSafe(F.col("_newest_last"))
+    kept = segments.join(newest, KEYS).filter((F.col("_last") >= now - hours * 3_600_000) | open_segment)
     return df.join(kept, [*KEYS, "segment_id"], "left_semi")

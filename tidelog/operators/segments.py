@@ -47,14 +47,15 @@ def segment_by_interval(
 
     ``segment_id`` is the arrival time of the segment's first record.
     """
-    # one row per arrival time, with its first record; read twice below, hence the checkpoint
+    # one row per arrival time, with its first record, and one row per segment: both are read twice,
+    # hence the checkpoints
     ticks = checkpointed(
         arrival_clock(df.select(*KEYS, "offset", clock), clock, "_arrival", block)
         .filter("_arrival IS NOT NULL")
         .groupBy(*KEYS, "_arrival")
         .agg(F.min("offset").alias("offset"))
     )
-    starts = greedy_starts(ticks, "_arrival", interval_ms, extra="offset", span=span)
+    starts = checkpointed(greedy_starts(ticks, "_arrival", interval_ms, extra="offset", span=span))
     # starts join the records as extra rows at their offsets: no join that could meet a hot key
     marked = df.withColumn("_start", F.lit(None).cast("bigint")).unionByName(
         starts.withColumnRenamed("_arrival", "_start"), allowMissingColumns=True
@@ -123,14 +124,23 @@ def commit_offsets(
     schedule and the time, if a rotation has passed since its last record: an idle segment is not
     kept open.
     """
-    newest = manifest.groupBy(*KEYS).agg(F.max("first_offset").alias("_newest"))
-    closed = (F.col("first_offset") < F.col("_newest")) | (F.col("records") >= flush_size)
-    if schedule_ms and now_ms is not None:
+    def closed(records, max_timestamp):
+        full = F.col(records) >= flush_size
+        if not schedule_ms or now_ms is None:
+            return full
         now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms).cast("bigint")
-        passed = schedule_bucket(now, schedule_ms, timezone) > schedule_bucket("max_timestamp", schedule_ms, timezone)
-        closed |= F.coalesce(passed, F.lit(False))
-    return (
-        manifest.join(newest, KEYS)
-        .groupBy(*KEYS)
-        .agg((F.max(F.when(closed, F.col("last_offset"))) + 1).alias("commit_offset"))
+        passed = schedule_bucket(now, schedule_ms, timezone) > schedule_bucket(max_timestamp, schedule_ms, timezone)
+        return full | F.coalesce(passed, F.lit(False))
+
+    # both sides of the join read the same columns, so Spark builds the manifest once and reuses it
+    needed = manifest.select(*KEYS, "first_offset", "last_offset", "records", "max_timestamp")
+    newest = needed.groupBy(*KEYS).agg(
+        F.max("first_offset").alias("_first"),
+        F.max("last_offset").alias("_last"),
+        F.max_by("records", "first_offset").alias("_records"),
+        F.max_by("max_timestamp", "first_offset").alias("_max_timestamp"),
+    )
+    last = F.when(closed("_records", "_max_timestamp"), F.col("_last")).otherwise(
+        F.when(F.col("first_offset") < F.col("_first"), F.col("last_offset"))
     )
+    return needed.join(newest, KEYS).groupBy(*KEYS).agg((F.max(last) + 1).alias("commit_offset"))
