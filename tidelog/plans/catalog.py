@@ -579,9 +579,8 @@ def expire_files(spark, sf_dir):
         F.concat(F.lit("job-rule-"), "topic").alias("rule_id"), "topic", F.lit(None).cast("string").alias("generation"),
         F.when(F.col("topic") == "ev-click", 30).otherwise(1).alias("days"), (F.col("topic") != "ev-view").alias("enabled"),
     )
-    files = B.list_files(spark, D.event_backup(spark, sf_dir))
     later = F.current_timestamp() + F.make_interval(days=F.lit(2))
-    return X.expired_files(files, policy, later).select("topic", "partition").distinct()
+    return jobs.expire_files(spark, D.event_backup(spark, sf_dir), policy, later).select("topic", "partition").distinct()
 
 
 @query

@@ -77,7 +77,7 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored offset log."""
-    path = once(spark, sf_dir, "commits", lambda p: _commits(spark, sf_dir).write.parquet(p))
+    path = once(spark, sf_dir, "commits", lambda p: _commits(spark, sf_dir).repartitionByRange("offset").write.parquet(p))
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 

@@ -4,11 +4,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.headers import stamp_restore_headers
+from tidelog.functions.names import parse_topic_map
 from tidelog.operators.commits import committed_from_log, translate_offsets
 from tidelog.operators.compaction import caught_up, latest_per_key, live_generation
-from tidelog.functions.names import parse_topic_map
 from tidelog.operators.inventory import require_layout
 from tidelog.operators.records import dedupe_log, exclude_group, rename_topics, resume_after, select_topics, to_envelope
+from tidelog.operators.retention import expired_files
 from tidelog.operators.segments import segment, segment_manifest
 from tidelog.sources.backup import list_files, scan_backup
 from tidelog.sources.sinks import write_backup
@@ -59,6 +60,11 @@ def restore_from(
     return restore(log, topic_map, now_ms, positions, dedupe)
 
 
+def expire_files(spark: SparkSession, root: str, policy: DataFrame, now: Column) -> DataFrame:
+    """Files of the backup at ``root`` that a rule lets go. Deleting them is a second, explicit call."""
+    return expired_files(list_files(spark, root), policy, now)
+
+
 def translate(
     offset_log: DataFrame, restored: DataFrame, group: str, old_topic: str, new_topic: str,
     policy: str = "first_at_or_after",
