@@ -283,3 +283,13 @@ def test_offset_index(spark, make_log):
     mapping = spark.createDataFrame([("t", "n")], "source_topic string, target_topic string")
     got = sorted((r.old_offset, r.new_offset, r.new_topic) for r in C.offset_index(log, restored, mapping).collect())
     assert got == [(1, 0, "n"), (3, 1, "n"), (5, 2, "n"), (7, 3, "n"), (9, 4, "n")]
+
+
+def test_positions_per_target(spark, make_log):
+    from tidelog.plans import jobs
+
+    log = make_log([{"topic": t, "offset": o} for t in ("a", "b") for o in range(4)])
+    done = jobs.restore_positions(log.filter("offset < 2"), "a:x,b:x").filter("source_topic = 'a'")
+    got = sorted((r.topic, r.offset) for r in jobs.restore(log, "a:x,a:y,b:x", 0, done).collect())
+    # a is continued in x and starts in y; b, which goes to x too, has no position of its own
+    assert got == sorted([("x", 2), ("x", 3)] + [("y", o) for o in range(4)] + [("x", o) for o in range(4)])

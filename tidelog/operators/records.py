@@ -86,11 +86,11 @@ def valid_offset_records(df: DataFrame) -> DataFrame:
     return df.filter(F.exists(F.array("offset_key"), lambda k: (k["partition"] > -1) & (k["topic"] != "")))
 
 
-def resume_after(df: DataFrame, positions: DataFrame) -> DataFrame:
+def resume_after(df: DataFrame, positions: DataFrame, keys=TOPIC_PARTITION) -> DataFrame:
     """Records above the last restored offset of their topic-partition; all, where none is known."""
-    last = small_side(positions.select(*KEYS, "last_offset"))
+    last = small_side(positions.select(*keys, "last_offset"))
     return (
-        df.join(last, KEYS, "left")
+        df.join(last, list(keys), "left")
         .filter("last_offset IS NULL OR offset > last_offset")
         .select(*df.columns)
     )

@@ -665,6 +665,24 @@ def backup_offset_log(spark, sf_dir):
     return B.scan_backup(spark, root).select("partition", "offset", F.hex("key").alias("key"))
 
 
+SEVERAL = "ev-click:one,ev-click:two,ev-view:one"
+
+
+@query
+def restore_positions(spark, sf_dir):
+    return jobs.restore_positions(D.event_log(spark, sf_dir), SEVERAL)
+
+
+@query
+def restore_resumed_by_target(spark, sf_dir):
+    log = B.scan_backup(spark, D.event_backup(spark, sf_dir))
+    # one of the two targets of a topic had been restored up to the middle
+    done = jobs.restore_positions(log.filter(F.col("timestamp") < MID), "ev-click:one,ev-view:one").filter(
+        F.col("target_topic") == "one"
+    )
+    return flat(jobs.restore(log, SEVERAL, D.RESTORED_AT, done))
+
+
 @query
 def restore_from_backup(spark, sf_dir):
     return flat(jobs.restore_from(spark, D.event_backup(spark, sf_dir), MAP_TEXT, D.RESTORED_AT))

@@ -37,12 +37,25 @@ def restore(
 ) -> DataFrame:
     """Records to produce: not restored yet, once each, under the target topic, with stamped headers.
 
-    ``dedupe=False`` saves a shuffle of all records, for backups written with batch ids, which hold
+    ``positions`` holds (topic, partition, last_offset), or, for topics with several targets, what
+    ``restore_positions`` gives. ``dedupe=False`` saves a shuffle of all records, for backups written with batch ids, which hold
     every record once.
     """
-    rows = df if positions is None else resume_after(df, positions)
+    by_target = positions is not None and "target_topic" in positions.columns
+    rows = df if positions is None or by_target else resume_after(df, positions)
     rows = dedupe_log(rows) if dedupe else rows
-    return stamp_restore_headers(rename_topics(rows, topic_map), now_ms)
+    rows = rename_topics(rows.withColumn("source_topic", F.col("topic")), topic_map)
+    if by_target:
+        known = positions.withColumn("topic", F.col("target_topic"))
+        rows = resume_after(rows, known, ("source_topic", "topic", "partition"))
+    return stamp_restore_headers(rows.select(*df.columns), now_ms)
+
+
+def restore_positions(df: DataFrame, topic_map) -> DataFrame:
+    """How far the records ``df`` bring a restore: (source_topic, target_topic, partition, last_offset)."""
+    ends = df.groupBy("topic", "partition").agg(F.max("offset").alias("last_offset"))
+    renamed = rename_topics(ends.withColumn("source_topic", F.col("topic")), topic_map)
+    return renamed.select("source_topic", F.col("topic").alias("target_topic"), "partition", "last_offset")
 
 
 def restore_from(

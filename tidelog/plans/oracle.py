@@ -270,6 +270,15 @@ ORACLE = {
         SELECT {ROW_RESTORED} FROM ev LEFT JOIN ps USING (topic, "partition")
         WHERE last_offset IS NULL OR "offset" > last_offset""",
 }
+TARGETS = """tg AS (SELECT * FROM (VALUES ('ev-click', 'one'), ('ev-click', 'two'), ('ev-view', 'one')) t(topic, target))"""
+ORACLE["restore_positions"] = f"""WITH {EV}, {TARGETS} SELECT topic AS source_topic, coalesce(target, topic) AS target_topic,
+    "partition", max("offset") AS last_offset FROM ev LEFT JOIN tg USING (topic) GROUP BY 1, 2, 3"""
+ORACLE["restore_resumed_by_target"] = f"""WITH {EV}, {TARGETS}, ps AS (
+      SELECT topic, 'one' AS target, "partition", max("offset") AS last_offset FROM ev
+      WHERE "timestamp" < {MID} AND topic IN ('ev-click', 'ev-view') GROUP BY 1, 3),
+    rn AS (SELECT ev.*, coalesce(target, topic) AS target FROM ev LEFT JOIN tg USING (topic))
+    SELECT target AS topic, "partition", "offset", "timestamp", hex(k) AS key, hex(v) AS value, {STAMP} AS headers
+    FROM rn LEFT JOIN ps USING (topic, target, "partition") WHERE last_offset IS NULL OR "offset" > last_offset"""
 ORACLE["import_avro_segments"] = ORACLE["envelope_roundtrip"]
 ORACLE["scan_avro_backup"] = EV_ROWS + " WHERE topic IN ('ev-click', 'ev-view')"
 ORACLE["replayed_batch"] = EV_ROWS
