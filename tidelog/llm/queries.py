@@ -1,11 +1,14 @@
 """The queries of this package over the test tables, and what SQL can say of them."""
 
-from tidelog.llm import warc
+from tidelog.llm import line_dedup, mixing, warc
 
 QUERIES = {
     "op1_warc_reassembly": warc.op1_warc_reassembly,
+    "op3_source_mix": mixing.op3_source_mix,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE = {
     "op1_warc_reassembly": warc.OP1_SQL,
+    "op10_line_dedup": line_dedup.OP10_SQL,
 }
