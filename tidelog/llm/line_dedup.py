@@ -148,7 +148,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                 )
 
     out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
-    return joined.mapInArrow(without, out.add("n_lines", "bigint").add("n_dropped", "bigint"))
+    return joined.mapInArrow(without, out.add("n_lines", T.LongType()).add("n_dropped", T.LongType()))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
