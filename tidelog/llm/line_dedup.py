@@ -94,10 +94,13 @@ class LineRuns:
         self.levels = []
 
     def _merge(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
+        # keys are unique in a run, and all runs are bucketed and sorted alike: a merge, with no shuffle
+        merged = runs[0]
         for run in runs[1:]:
-            rows = rows.unionByName(run)
-        return rows.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"))
+            other = run.select("key", F.col("n_docs").alias("n"), F.col("top_doc").alias("top"))
+            total = F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))
+            merged = merged.join(other, "key", "full").select("key", total.alias("n_docs"), F.greatest("top_doc", "top").alias("top_doc"))
+        return merged
 
     def settled(self) -> DataFrame:
         """``key`` and ``top_doc`` of the lines that enough documents hold."""

@@ -19,7 +19,7 @@ BLOCK_WORDS = 1024
 MOST_PASSES = 3
 WEIGHTS = (1, 2, 3)
 #: Documents that one window sorts, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_096
 #: Slots that one window ranks; points have 40 bits, so that products of them fit 62 bits.
 PAGE_SLOTS = 1 << 16
 POINT_BITS = 40

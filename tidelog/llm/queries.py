@@ -1,14 +1,18 @@
 """The queries of this package over the test tables, and what SQL can say of them."""
 
-from tidelog.llm import line_dedup, mixing, warc
+from tidelog.llm import line_dedup, mixing, quality, url_templates, warc
 
 QUERIES = {
     "op1_warc_reassembly": warc.op1_warc_reassembly,
+    "op2_url_templates": url_templates.op2_url_templates,
     "op3_source_mix": mixing.op3_source_mix,
+    "op6_quality_cascade": quality.op6_quality_cascade,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE = {
     "op1_warc_reassembly": warc.OP1_SQL,
+    "op2_url_templates": url_templates.OP2_SQL,
+    "op6_quality_cascade": quality.OP6_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
