@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import table
+from tidelog.llm.common import stored, table
 
 #: Levels of the tree; segments below them are one wildcard.
 DEPTH = 4
@@ -55,6 +55,8 @@ def _wild(urls: DataFrame, depth: int, min_support: int, chi_square: float) -> D
     """``template`` of every URL (``host``, ``segments``, ``good``, ``bad``)."""
     rows = urls.withColumn("template", F.lit(""))
     for level in range(depth):
+        # written between levels, or each level's plan would hold the one before three times
+        rows = stored(rows, "url-level")
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = rows.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(
             F.count(F.lit(1)).alias("n"), F.sum("good").alias("g"), F.sum("bad").alias("b")
@@ -70,6 +72,7 @@ def _wild(urls: DataFrame, depth: int, min_support: int, chi_square: float) -> D
         rows = rows.join(kept.select("host", "template", "segment", F.lit(True).alias("own")), ["host", "template", "segment"], "left")
         step = F.when(F.col("segment").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("own"), F.col("segment")).otherwise(F.lit("*"))))
         rows = rows.withColumn("template", F.concat("template", step)).drop("own", "segment")
+    rows = stored(rows, "url-leaves")
     deeper = F.when(F.size("segments") > depth, F.lit("/**")).otherwise(F.lit(""))
     return rows.withColumn("template", F.concat("template", deeper))
 
