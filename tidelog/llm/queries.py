@@ -1,12 +1,15 @@
 """The queries of this package over the test tables, and what SQL can say of them."""
 
-from tidelog.llm import line_dedup, mixing, quality, url_templates, warc
+from tidelog.llm import language, line_dedup, mixing, near_dedup, quality, substring_dedup, url_templates, warc
 
 QUERIES = {
     "op1_warc_reassembly": warc.op1_warc_reassembly,
     "op2_url_templates": url_templates.op2_url_templates,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_bag_minhash": near_dedup.op4_bag_minhash,
     "op6_quality_cascade": quality.op6_quality_cascade,
+    "op8_language_mixture": language.op8_language_mixture,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
@@ -14,5 +17,6 @@ ORACLE = {
     "op1_warc_reassembly": warc.OP1_SQL,
     "op2_url_templates": url_templates.OP2_SQL,
     "op6_quality_cascade": quality.OP6_SQL,
+    "op9_substring_dedup": substring_dedup.OP9_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
