@@ -2,10 +2,13 @@
 
 A shingle of weight w takes part in the Poisson processes on (0, 1], (1, 2], (2, 4] ... up to w, of the last of which it
 keeps the points below w. A signature component is the earliest point that falls to it, so two documents agree in a
-component with the probability of their weighted Jaccard similarity. Bands of components make buckets. In a bucket some
-members, the pivots, are compared with all others; then only buckets that still hold several classes go on, with eight times
-as many pivots, until no two classes of a bucket are left uncompared. So no link between bucket mates is lost, and a bucket
-of copies costs one comparison for each member.
+component with the probability of their weighted Jaccard similarity. Bands of components make buckets.
+
+Buckets are worked off without listing their pairs. First a pivot of each bucket, the member that shares most with others,
+is compared with the rest, then a few more pivots where several classes are left. Groups of near copies are one class by
+then. What is left are crowds of texts that are alike but below the threshold: their members' signatures are compared in
+blocks inside tasks, and only pairs whose signatures could belong to a link come out. Every pair that comes out of
+either way is verified on its whole multisets, and no two classes of a bucket are left uncompared.
 """
 
 from __future__ import annotations
@@ -23,9 +26,15 @@ from tidelog.llm.components import components
 SHINGLE_WORDS = 5
 #: Weighted Jaccard similarity of a link, as a fraction.
 SIMILARITY = (4, 5)
-COMPONENTS = 128
-#: At a similarity of 0.8 a pair misses all bands of four components with a probability below 1e-7.
-BAND = 4
+COMPONENTS = 240
+#: At a similarity of 0.8 a pair misses all forty bands with a probability of 5e-6.
+BAND = 6
+#: Pivots of the first rounds.
+PIVOTS = (1, 3)
+#: Equal components that signatures in a crowd need: at a similarity of 0.8 a pair has fewer with a probability of 2e-6.
+EQUAL = 163
+#: Members of a crowd, about, whose signatures a task holds as one block.
+CROWD_BLOCK = 512
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = 0xD1B54A32D192ED03
@@ -91,21 +100,27 @@ def bands(signatures: np.ndarray, rows: int = BAND) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Sixteen bits of every component."""
+    return (mix(np.ascontiguousarray(signatures).view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (hash of the text), ``n`` (shingles) and ``buckets`` of ``docs``; a text without words has none."""
+    """``doc_id``, ``key`` (hash of the text), ``n`` (shingles), ``buckets`` and ``sketch`` of ``docs``; a text without words has no bucket."""
 
     def sign(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 bags = [shingles(t) for t in part.column("text").to_pylist()]
-                found = bands(bag_signatures(bags))
-                lists = [b.tolist() if len(bag) else [] for b, bag in zip(found, bags, strict=True)]
+                signatures = bag_signatures(bags)
+                lists = [b.tolist() if len(bag) else [] for b, bag in zip(bands(signatures), bags, strict=True)]
+                sizes, short = pa.array([len(b) for b in bags], pa.int64()), [x.tobytes() for x in sketches(signatures)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), pa.array([len(b) for b in bags], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "n", "buckets"],
+                    [part.column("doc_id"), part.column("key"), sizes, pa.array(lists, pa.list_(pa.int64())), pa.array(short, pa.binary())],
+                    names=["doc_id", "key", "n", "buckets", "sketch"],
                 )
 
-    return keyed(docs).mapInArrow(sign, "doc_id bigint, key binary, n bigint, buckets array<bigint>")
+    return keyed(docs).mapInArrow(sign, "doc_id bigint, key binary, n bigint, buckets array<bigint>, sketch binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -131,49 +146,92 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
 
 
-def link_buckets(buckets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Classes (``node``, ``label``) that the links between members of common buckets make.
+def _alike(table: pa.Table, own: int, other: int) -> pa.Table:
+    """Pairs between two blocks of a crowd (or inside one) with different labels and enough equal components."""
+    keys, labels = table.column("key").to_pylist(), np.unique(table.column("label").to_pylist(), return_inverse=True)[1]
+    short = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(keys), -1)
+    size, block = table.column("n").to_numpy(), table.column("block").to_numpy()
+    least, whole = SIMILARITY
+    found: list[tuple] = []
+    here, there = np.flatnonzero(block == own), np.flatnonzero(block == other)
+    for i in here.tolist():
+        rest = there[there > i] if own == other else there
+        rest = rest[(labels[rest] != labels[i]) & (size[rest] * whole >= size[i] * least) & (size[i] * whole >= size[rest] * least)]
+        for j in rest[(short[rest] == short[i]).sum(axis=1) >= EQUAL].tolist():
+            found.append((keys[i], keys[j]))
+    columns = zip(*found, strict=True) if found else [[], []]
+    return pa.table([pa.array(list(c), pa.binary()) for c in columns], names=["a", "b"])
+
+
+def crowd_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) that may be links among ``rows`` (``bucket``, ``key``, ``n``, ``label``, ``sketch``, ``members``: size of the bucket)."""
+    blocks = F.ceil(F.col("members") / CROWD_BLOCK).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.hash("key"), blocks)).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
+
+    def alike(key, table):
+        return _alike(table, key[1].as_py(), key[2].as_py())
+
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(alike, "a binary, b binary").distinct()
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (``node``, ``label``; other nodes are their own) after ``links`` (``a``, ``b``) have joined classes."""
+    if labels is None:
+        return components(links)
+    old = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}"))
+    between = links.join(old("a"), "a", "left").join(old("b"), "b", "left")
+    between = between.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a <> b")
+    moves = components(between)
+    known = labels.unionByName(moves.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+    renamed = moves.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return stored(known.join(renamed, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "classes")
+
+
+def _active(buckets: DataFrame, labels: DataFrame | None, used: int) -> DataFrame:
+    """Rows of buckets that hold several classes and members beyond the pivots that were used, with ``label`` and ``members``."""
+    rows = buckets.withColumn("label", F.col("key"))
+    if labels is not None:
+        rows = buckets.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    many = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+    many = many.filter((F.col("low") != F.col("high")) & (F.col("members") > used + 1)).select("bucket", "members")
+    return stored(rows.join(many, "bucket"), "buckets")
+
+
+def link_buckets(buckets: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame | None:
+    """Classes (``node``, ``label``) that the links between members of common buckets make, None if there is no bucket.
 
     ``buckets``: ``bucket``, ``key``, ``n``. Pairs whose sizes alone forbid the similarity are not compared.
     """
-    labels, tested, used, pivots = None, None, 0, 1
+    labels, tested, used = None, None, 0
+    # the sum of the sizes of a member's buckets tells how much it shares with others
+    shared = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "key")
+    weights = buckets.join(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("key").agg(F.sum("size").alias("weight"))
+    buckets = stored(buckets.join(weights, "key"), "buckets")
     least, whole = SIMILARITY
-    while True:
-        rows = buckets
-        if labels is not None:
-            rows = rows.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-        else:
-            rows = rows.withColumn("label", F.col("key"))
-        many = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-        many = many.filter((F.col("_low") != F.col("_high")) & (F.col("_n") > used + 1)).select("bucket")
-        rows = stored(rows.join(many, "bucket"), "buckets")
+    for pivots in PIVOTS:
+        rows = _active(buckets, labels, used)
         if not rows.limit(1).count():
             return labels
-        buckets = rows.drop("label")
-        # the first members of a bucket by key; the limit on the rank holds in each task before the shuffle
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
-        chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= used + pivots).filter(F.col("rank") > used)
-        chosen = chosen.select("bucket", F.col("key").alias("p"), F.col("n").alias("pn"), F.col("label").alias("plabel"))
-        near = (F.col("n") * whole >= F.col("pn") * least) & (F.col("pn") * whole >= F.col("n") * least)
-        pairs = rows.join(chosen, "bucket").filter((F.col("label") != F.col("plabel")) & near)
-        # a pivot in front, so that its text is read once for many members
-        pairs = pairs.select(F.col("p").alias("a"), F.col("key").alias("b"), "label", "plabel").distinct()
+        buckets = rows.drop("label", "members")
+        # the limit on the rank holds in each task before the shuffle
+        chosen = rows.withColumn("rank", F.row_number().over(shared)).filter(F.col("rank") <= used + pivots).filter(F.col("rank") > used)
+        chosen = chosen.select("bucket", F.col("key").alias("a"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label"))
+        near = (F.col("n") * whole >= F.col("pivot_n") * least) & (F.col("pivot_n") * whole >= F.col("n") * least)
+        pairs = rows.join(chosen, "bucket").filter((F.col("label") != F.col("pivot_label")) & near).select("a", F.col("key").alias("b")).distinct()
         if tested is not None:
             # other buckets have brought them together before
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        seen = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tested = seen if tested is None else tested.unionByName(seen)
-        links = stored(verified(pairs.select("a", "b"), texts), "links")
-        joined = links.join(pairs, ["a", "b"]).select(F.col("plabel").alias("a"), F.col("label").alias("b"))
-        merged = components(joined)
-        moves = merged.select(F.col("node").alias("old"), F.col("label").alias("new"))
-        if labels is None:
-            labels = merged
-        else:
-            older = labels.unionByName(merged.select("node", F.col("node").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
-            labels = stored(older.join(moves, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label")), "classes")
-        used, pivots = used + pivots, pivots * 8
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tested = both if tested is None else tested.unionByName(both)
+        labels = _merged(labels, verified(pairs, texts))
+        used += pivots
+    rows = _active(buckets, labels, used)
+    if not rows.limit(1).count():
+        return labels
+    pairs = stored(crowd_pairs(rows.join(sketches, "key")).join(tested, ["a", "b"], "left_anti"), "pairs")
+    return _merged(labels, verified(pairs, texts))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -184,15 +242,17 @@ def near_classes(docs: DataFrame) -> DataFrame:
     words is one shingle. A null text, or one without words, is in a class of its own, of size 1. Repeated rows are copies.
     """
     signatures = stored(signed(docs), "signatures")
-    texts = signatures.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("buckets").alias("buckets"))
+    texts = signatures.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")
+    )
     rows = texts.select(F.explode("buckets").alias("bucket"), "key", "n")
     crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
     buckets = stored(rows.join(crowded, "bucket"), "buckets")
-    wanted = buckets.select("key").distinct().join(texts.select("key", "doc_id"), "key")
+    wanted = stored(buckets.select("key").distinct().join(texts.select("key", "doc_id", "sketch"), "key"), "members")
     same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     bodies = keyed(docs).join(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")), same, "left_semi")
     bodies = stored(bodies.select("key", "text"), "texts")
-    labels = link_buckets(buckets, bodies)
+    labels = link_buckets(buckets, bodies, wanted.select("key", "sketch"))
     found = signatures.select("doc_id", "key", "n")
     if labels is None:
         found = found.withColumn("label", F.col("key"))
