@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 #: Bytes that the vectorised steps look at together; their memory is a small multiple of it.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -43,7 +43,7 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 8 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` in which ``column`` holds about ``limit`` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, total = 0, 0

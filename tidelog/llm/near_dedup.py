@@ -235,11 +235,12 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, sketches: DataFrame) -> D
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key``, ``class_id`` and ``class_size`` of every row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id``, ``key``, ``label``, ``class_id`` and ``class_size`` of every row of ``docs`` (``doc_id``, ``text``).
 
     A class is a connected component of links: equal texts, or a weighted Jaccard similarity of at least 0.8 between
     multisets of five-word shingles. Its ``class_id`` is its smallest ``doc_id`` (null only if all are). A text of fewer
     words is one shingle. A null text, or one without words, is in a class of its own, of size 1. Repeated rows are copies.
+    ``label`` names the class by the hash of one of its texts; it is null for a document without words.
     """
     signatures = stored(signed(docs), "signatures")
     texts = signatures.groupBy("key").agg(
@@ -262,7 +263,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     joined = found.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).join(classes, "label", "left")
     own = F.col("n") > 0
     return joined.select(
-        "doc_id", "key", F.when(own, F.col("_first")).otherwise(F.col("doc_id")).alias("class_id"),
+        "doc_id", "key", "label", F.when(own, F.col("_first")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(own, F.col("_size")).otherwise(F.lit(1)).alias("class_size"),
     )
 

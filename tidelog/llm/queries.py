@@ -1,13 +1,15 @@
 """The queries of this package over the test tables, and what SQL can say of them."""
 
-from tidelog.llm import language, line_dedup, mixing, near_dedup, quality, substring_dedup, url_templates, warc
+from tidelog.llm import language, line_dedup, mixing, near_dedup, packing, quality, search, substring_dedup, url_templates, warc
 
 QUERIES = {
     "op1_warc_reassembly": warc.op1_warc_reassembly,
     "op2_url_templates": url_templates.op2_url_templates,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_bag_minhash": near_dedup.op4_bag_minhash,
+    "op5_packing": packing.op5_packing,
     "op6_quality_cascade": quality.op6_quality_cascade,
+    "op7_bm25_search": search.op7_bm25_search,
     "op8_language_mixture": language.op8_language_mixture,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,

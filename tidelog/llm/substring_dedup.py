@@ -4,6 +4,9 @@ Every window of words has a minimiser: the smallest hash among the short word ru
 same minimiser at the same place travel as one packed string, keyed by the minimiser, so equal windows meet in one
 bucket at a fraction of the volume of all windows. A bucket is sorted by document; of every window its first document is
 kept, and later documents' occurrences are reported. Windows are compared by their words, not by hashes.
+
+A minimiser that a sample shows to be common would make a hot bucket. Its windows travel one by one, each keyed by its own
+words, and a task sends each of them once: what it has sent for a smaller document needs no further comparison.
 """
 
 from __future__ import annotations
@@ -29,52 +32,106 @@ COMMON_SHARE = 1 / 2_000
 #: Stands for a null identifier, which comes after all others.
 LAST = (1 << 63) - 1
 
+#: Windows of common minimisers that a task remembers.
+REMEMBERED = 100_000
+
 PACKED_DDL = "bucket bigint, doc bigint, version int, start int, words binary"
 RANGE_DDL = "doc bigint, version int, start int, end int"
 
 
-def super_kmers(text: bytes, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Minimisers, first words and packed words (joined by blanks) of the super-k-mers of ``text``."""
-    packed = b" ".join(text.split())
-    hashes = word_hashes(packed)
-    if len(hashes) < window:
-        return np.empty(0, np.int64), np.empty(0, np.int32), []
-    ends = np.append(np.flatnonzero(np.frombuffer(packed, np.uint8) == 32), len(packed))
-    runs = window_hashes(hashes, run)
-    place = np.arange(len(hashes) - window + 1)
-    place = place + np.lib.stride_tricks.sliding_window_view(runs, window - run + 1).argmin(axis=1)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    # a string ends with the last word of its last window
-    last = np.append(first[1:], len(place)) + window - 2
-    begin = np.where(first == 0, 0, ends[first - 1] + 1)
-    strings = [packed[a:b] for a, b in zip(begin.tolist(), ends[last].tolist(), strict=True)]
-    return runs[place[first]].view(np.int64), first.astype(np.int32), strings
+def super_kmers(texts: list[bytes], window: int = WINDOW, run: int = RUN):
+    """Super-k-mers of ``texts``, whose words are joined by blanks.
 
-
-def pack(docs: DataFrame, part: int = 0, parts: int = 1, window: int = WINDOW) -> DataFrame:
-    """Super-k-mers (``PACKED_DDL``) of ``doc``, ``version``, ``text`` whose minimisers belong to ``part``."""
+    The texts joined by blanks; minimiser, text, first window, windows in all and first word of each super-k-mer (the
+    last two as numbers of windows and of words of the joined texts); where each word begins and ends.
+    """
+    counts = np.array([t.count(b" ") + 1 if t else 0 for t in texts], np.int64)
+    joined = b" ".join(t for t in texts if t)
+    hashes = word_hashes(joined)
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
+    begins = np.append(0, ends[:-1] + 1)
+    n = max(len(hashes) - window + 1, 0)
+    if not n:
+        none = np.empty(0, np.int64)
+        return joined, none, none, none, none, none, begins, ends
+    runs = window_hashes(hashes, run)
+    place = _smallest(runs, window - run + 1)
+    after = np.cumsum(counts)
+    text = np.repeat(np.arange(len(texts)), counts)[:n]
+    # windows over the end of a text are none
+    whole = np.arange(n) + window <= after[text]
+    fresh = whole.copy()
+    fresh[1:] &= ~whole[:-1] | (place[1:] != place[:-1])
+    first = np.flatnonzero(fresh)
+    stop = np.flatnonzero(np.append(fresh | ~whole, True))
+    last = stop[np.searchsorted(stop, first, "right")]
+    own = text[first]
+    return joined, runs[place[first]].view(np.int64), own, first - (after - counts)[own], last - first, first, begins, ends
+
+
+def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the first of the smallest of ``width`` neighbours is, for every run of them."""
+    n = len(values) - width + 1
+    at, low = np.arange(n), values[:n].copy()
+    for k in range(1, width):
+        smaller = values[k : k + n] < low
+        at[smaller] = np.flatnonzero(smaller) + k
+        np.minimum(low, values[k : k + n], out=low)
+    return at
+
+
+def pack(docs: DataFrame, part: int = 0, parts: int = 1, window: int = WINDOW, common: frozenset = frozenset()) -> DataFrame:
+    """Super-k-mers (``PACKED_DDL``) of ``doc``, ``version``, ``text`` whose minimisers belong to ``part``.
+
+    Those of ``common`` minimisers are cut into windows. A row without words is a window known to be covered.
+    """
+    hot = np.array(sorted(common), np.int64)
 
     def rows(batches):
+        sent: dict[bytes, int] = {}
         for batch in batches:
             for piece in slices(batch, "text"):
-                for doc, version, text in zip(*(piece.column(c).to_pylist() for c in ("doc", "version", "text")), strict=True):
-                    buckets, starts, strings = super_kmers((text or "").encode(), window)
-                    if parts > 1:
-                        mine = np.flatnonzero((buckets >> 7) % parts == part)
-                        buckets, starts, strings = buckets[mine], starts[mine], [strings[i] for i in mine.tolist()]
-                    n = len(strings)
-                    for a in range(0, n, 50_000):
-                        own = strings[a : a + 50_000]
-                        k = len(own)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(buckets[a : a + k]), pa.array(np.full(k, doc, np.int64)), pa.array(np.full(k, version, np.int32)),
-                             pa.array(starts[a : a + k]), pa.array(own, pa.binary())],
-                            names=["bucket", "doc", "version", "start", "words"],
-                        )
+                doc, version = (piece.column(c).to_numpy() for c in ("doc", "version"))
+                texts = [b" ".join((t or "").encode().split()) for t in piece.column("text").to_pylist()]
+                joined, bucket, of, start, size, first, begins, ends = super_kmers(texts, window)
+                mine = np.ones(len(bucket), bool) if parts == 1 else (bucket >> 7) % parts == part
+                often = mine & np.isin(bucket, hot) if len(hot) else np.zeros(len(bucket), bool)
+                if often.any():
+                    yield _common_windows(often, of, start, size, first, begins, ends, joined, doc, version, sent, window)
+                    if len(sent) > REMEMBERED:
+                        sent.clear()
+                for some in np.array_split(np.flatnonzero(mine & ~often), 1 + len(bucket) // 20_000):
+                    # a string ends with the last word of its last window
+                    spans = zip(begins[first[some]].tolist(), ends[(first + size)[some] + window - 2].tolist(), strict=True)
+                    words = pa.array([joined[a:b] for a, b in spans], pa.binary())
+                    yield _packed_batch(bucket[some], doc[of[some]], version[of[some]], start[some].astype(np.int32), words)
 
     return docs.mapInArrow(rows, PACKED_DDL)
 
 
+def _packed_batch(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "doc", "version", "start", "words"])
+
+
+def _common_windows(often, of, start, size, first, begins, ends, joined, doc, version, sent, window) -> pa.RecordBatch:
+    """Windows of the super-k-mers ``often``, keyed by their words; without words if ``sent`` has them for a smaller document."""
+    rows: list[tuple] = []
+    for k in np.flatnonzero(often).tolist():
+        own, seen_in = int(doc[of[k]]), int(version[of[k]])
+        for i in range(int(size[k])):
+            word = int(first[k]) + i
+            words = joined[begins[word] : ends[word + window - 1]]
+            key = int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True)
+            if sent.setdefault(words, own) < own:
+                # nothing is left to find out, so it goes anywhere
+                rows.append((key ^ own, own, seen_in, int(start[k]) + i, None))
+            else:
+                sent[words] = own
+                rows.append((key, own, seen_in, int(start[k]) + i, words))
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    return _packed_batch(*(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)))
+
+
 def _covered(words: bytes, doc: int, seen: dict, window: int) -> list[tuple[int, int]]:
     """Ranges of words of a packed string covered by windows that smaller documents hold; notes new windows in ``seen``."""
     own = words.split(b" ")
@@ -88,8 +145,11 @@ def _covered(words: bytes, doc: int, seen: dict, window: int) -> list[tuple[int,
     return found
 
 
-def _bucket_ranges(window: int):
-    """For rows in order of bucket and document: the covered ranges, as places in the documents."""
+def bucket_ranges(packed: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Covered ranges (``RANGE_DDL``) of super-k-mers; buckets of one document never leave the JVM."""
+    same = Window.partitionBy("bucket")
+    shared = packed.withColumn("low", F.min("doc").over(same)).withColumn("high", F.max("doc").over(same))
+    rows = shared.filter("low < high OR words IS NULL").drop("low", "high").sortWithinPartitions("bucket", "doc")
 
     def ranges(batches):
         bucket, seen, whole = None, {}, {}
@@ -97,6 +157,9 @@ def _bucket_ranges(window: int):
             out: list[tuple] = []
             columns = [batch.column(c).to_pylist() for c in ("bucket", "doc", "version", "start", "words")]
             for key, doc, version, start, words in zip(*columns, strict=True):
+                if words is None:
+                    out.append((doc, version, start, start + window))
+                    continue
                 if key != bucket:
                     bucket, seen, whole = key, {}, {}
                 if whole.setdefault(words, doc) < doc:
@@ -104,71 +167,22 @@ def _bucket_ranges(window: int):
                     out.append((doc, version, start, start + words.count(b" ") + 1))
                 else:
                     out += [(doc, version, start + a, start + b) for a, b in _covered(words, doc, seen, window)]
-            yield _range_batch(out)
-
-    return ranges
-
-
-def _range_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
-    columns = zip(*rows, strict=True) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc", "version", "start", "end"])
-
-
-def bucket_ranges(packed: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Covered ranges (``RANGE_DDL``) of super-k-mers; buckets of one document never leave the JVM."""
-    same = Window.partitionBy("bucket")
-    shared = packed.withColumn("low", F.min("doc").over(same)).withColumn("high", F.max("doc").over(same)).filter("low < high")
-    rows = shared.drop("low", "high").sortWithinPartitions("bucket", "doc")
-    return rows.mapInArrow(_bucket_ranges(window), RANGE_DDL)
-
-
-def common_bucket_ranges(packed: DataFrame, window: int = WINDOW) -> DataFrame:
-    """As ``bucket_ranges`` for buckets that many documents share.
-
-    Equal strings are reduced to their first document before the shuffle. Only those firsts meet in the buckets;
-    every other occurrence is covered whole, which a join by string finds, and adaptive execution splits its hot keys.
-    """
-    firsts = stored(packed.groupBy("bucket", "words").agg(F.min("doc").alias("doc")), "common-strings")
-    other = packed.join(firsts.select("bucket", "words", F.col("doc").alias("first")), ["bucket", "words"])
-    own = F.col("doc") == F.col("first")
-    size = F.size(F.split(F.col("words").cast("string"), " "))
-    whole = other.filter(~own).select("doc", "version", "start", (F.col("start") + size).alias("end"))
-    # places of the firsts themselves come back through the string
-    parts = firsts.withColumn("version", F.lit(0)).withColumn("start", F.lit(0))
-    inside = parts.repartition("bucket").sortWithinPartitions("bucket", "doc").mapInArrow(
-        _first_ranges(window), "bucket bigint, words binary, doc bigint, a int, b int"
-    )
-    placed = other.filter(own).select("bucket", "words", "doc", "version", "start").join(inside, ["bucket", "words", "doc"])
-    return whole.unionByName(placed.select("doc", "version", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end")))
-
-
-def _first_ranges(window: int):
-    def ranges(batches):
-        bucket, seen = None, {}
-        for batch in batches:
-            out: list[tuple] = []
-            for key, doc, words in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc", "words")), strict=True):
-                if key != bucket:
-                    bucket, seen = key, {}
-                out += [(key, words, doc, a, b) for a, b in _covered(words, doc, seen, window)]
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "words", "doc", "a", "b"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            found = zip(*out, strict=True) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, kinds, strict=True)], names=["doc", "version", "start", "end"])
 
-    return ranges
+    return rows.mapInArrow(ranges, RANGE_DDL)
 
 
-def common_buckets(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, share: float = COMMON_SHARE) -> list[int]:
+def common_buckets(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, share: float = COMMON_SHARE) -> frozenset:
     """Minimisers of at least ``share`` of the strings of a sample, so never more than ``1 / share``. They steer the plan, not the result."""
     total = docs.count()
     if not total:
-        return []
+        return frozenset()
     sample = pack(docs.sample(min(1.0, sample_docs / total), seed=7)).groupBy("bucket").count()
     sample = stored(sample, "bucket-sample")
     strings = sample.agg(F.sum("count")).first()[0] or 0
-    least = max(50, strings * share)
-    return [r["bucket"] for r in sample.filter(F.col("count") >= least).collect()]
+    return frozenset(r["bucket"] for r in sample.filter(F.col("count") >= max(50, strings * share)).collect())
 
 
 def dedup_windows(docs: DataFrame, window: int = WINDOW, passes: int = PASSES, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -183,16 +197,10 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, passes: int = PASSES, s
     )
     narrow = keyed.select("doc", "version", "text")
     common = common_buckets(narrow, sample_docs)
-    found = []
+    ranges = None
     for part in range(passes):
-        packed = pack(narrow, part, passes, window)
-        usual = packed.filter(~F.col("bucket").isin(common)) if common else packed
-        found.append(stored(bucket_ranges(usual, window), "ranges"))
-        if common:
-            found.append(stored(common_bucket_ranges(packed.filter(F.col("bucket").isin(common)), window), "common-ranges"))
-    ranges = found[0]
-    for more in found[1:]:
-        ranges = ranges.unionByName(more)
+        found = stored(bucket_ranges(pack(narrow, part, passes, window, common), window), "ranges")
+        ranges = found if ranges is None else ranges.unionByName(found)
     release(docs.sparkSession)
     per_doc = ranges.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(
         F.collect_list(F.struct("start", "end")).alias("ranges")
