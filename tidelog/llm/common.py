@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once, safe against lost executors."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = scratch(spark, label)
     df.write.parquet(path)
+    del df
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
