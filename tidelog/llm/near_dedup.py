@@ -6,8 +6,8 @@ component with the probability of their weighted Jaccard similarity. Bands of co
 
 Buckets are worked off without listing their pairs. First a pivot of each bucket, the member that shares most with others,
 is compared with the rest, then a few more pivots where several classes are left. Groups of near copies are one class by
-then. What is left are crowds of texts that are alike but below the threshold: their members' signatures are compared in
-blocks inside tasks, and only pairs whose signatures could belong to a link come out. Every pair that comes out of
+then. What is left are crowds of texts that are alike but below the threshold: their members get longer signatures, which
+are compared in blocks inside tasks, and only pairs that could be a link by them come out. Every pair that comes out of
 either way is verified on its whole multisets, and no two classes of a bucket are left uncompared.
 """
 
@@ -31,8 +31,10 @@ COMPONENTS = 240
 BAND = 6
 #: Pivots of the first rounds.
 PIVOTS = (1, 3)
-#: Equal components that signatures in a crowd need: at a similarity of 0.8 a pair has fewer with a probability of 2e-6.
-EQUAL = 163
+#: Components of a crowd's signatures, of which a byte each is compared, and how many need to be equal: at a similarity of
+#: 0.8 a pair has fewer with a probability of 2e-6.
+CROWD_COMPONENTS = 1024
+EQUAL = 761
 #: Members of a crowd, about, whose signatures a task holds as one block.
 CROWD_BLOCK = 512
 
@@ -100,27 +102,34 @@ def bands(signatures: np.ndarray, rows: int = BAND) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    """Sixteen bits of every component."""
-    return (mix(np.ascontiguousarray(signatures).view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+def sketches(texts: DataFrame) -> DataFrame:
+    """``key`` and ``sketch`` of ``texts`` (``key``, ``text``): a byte of every component of a long signature."""
+
+    def sketch(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                signatures = bag_signatures([shingles(t) for t in part.column("text").to_pylist()], CROWD_COMPONENTS)
+                short = (mix(signatures.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([x.tobytes() for x in short], pa.binary())], names=["key", "sketch"])
+
+    return texts.select("key", "text").mapInArrow(sketch, "key binary, sketch binary")
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (hash of the text), ``n`` (shingles), ``buckets`` and ``sketch`` of ``docs``; a text without words has no bucket."""
+    """``doc_id``, ``key`` (hash of the text), ``n`` (shingles) and ``buckets`` of ``docs``; a text without words has none."""
 
     def sign(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 bags = [shingles(t) for t in part.column("text").to_pylist()]
-                signatures = bag_signatures(bags)
-                lists = [b.tolist() if len(bag) else [] for b, bag in zip(bands(signatures), bags, strict=True)]
-                sizes, short = pa.array([len(b) for b in bags], pa.int64()), [x.tobytes() for x in sketches(signatures)]
+                found = bands(bag_signatures(bags))
+                lists = [b.tolist() if len(bag) else [] for b, bag in zip(found, bags, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), sizes, pa.array(lists, pa.list_(pa.int64())), pa.array(short, pa.binary())],
-                    names=["doc_id", "key", "n", "buckets", "sketch"],
+                    [part.column("doc_id"), part.column("key"), pa.array([len(b) for b in bags], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                    names=["doc_id", "key", "n", "buckets"],
                 )
 
-    return keyed(docs).mapInArrow(sign, "doc_id bigint, key binary, n bigint, buckets array<bigint>, sketch binary")
+    return keyed(docs).mapInArrow(sign, "doc_id bigint, key binary, n bigint, buckets array<bigint>")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -149,7 +158,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _alike(table: pa.Table, own: int, other: int) -> pa.Table:
     """Pairs between two blocks of a crowd (or inside one) with different labels and enough equal components."""
     keys, labels = table.column("key").to_pylist(), np.unique(table.column("label").to_pylist(), return_inverse=True)[1]
-    short = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(keys), -1)
+    short = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
     size, block = table.column("n").to_numpy(), table.column("block").to_numpy()
     least, whole = SIMILARITY
     found: list[tuple] = []
@@ -158,7 +167,7 @@ def _alike(table: pa.Table, own: int, other: int) -> pa.Table:
         rest = there[there > i] if own == other else there
         rest = rest[(labels[rest] != labels[i]) & (size[rest] * whole >= size[i] * least) & (size[i] * whole >= size[rest] * least)]
         for j in rest[(short[rest] == short[i]).sum(axis=1) >= EQUAL].tolist():
-            found.append((keys[i], keys[j]))
+            found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
     columns = zip(*found, strict=True) if found else [[], []]
     return pa.table([pa.array(list(c), pa.binary()) for c in columns], names=["a", "b"])
 
@@ -198,7 +207,7 @@ def _active(buckets: DataFrame, labels: DataFrame | None, used: int) -> DataFram
     return stored(rows.join(many, "bucket"), "buckets")
 
 
-def link_buckets(buckets: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame | None:
+def link_buckets(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Classes (``node``, ``label``) that the links between members of common buckets make, None if there is no bucket.
 
     ``buckets``: ``bucket``, ``key``, ``n``. Pairs whose sizes alone forbid the similarity are not compared.
@@ -230,7 +239,8 @@ def link_buckets(buckets: DataFrame, texts: DataFrame, sketches: DataFrame) -> D
     rows = _active(buckets, labels, used)
     if not rows.limit(1).count():
         return labels
-    pairs = stored(crowd_pairs(rows.join(sketches, "key")).join(tested, ["a", "b"], "left_anti"), "pairs")
+    long = stored(sketches(texts.join(rows.select("key").distinct(), "key", "left_semi")), "sketches")
+    pairs = stored(crowd_pairs(rows.join(long, "key")).join(tested, ["a", "b"], "left_anti"), "pairs")
     return _merged(labels, verified(pairs, texts))
 
 
@@ -244,16 +254,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
     """
     signatures = stored(signed(docs), "signatures")
     texts = signatures.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("buckets").alias("buckets")
     )
     rows = texts.select(F.explode("buckets").alias("bucket"), "key", "n")
     crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
     buckets = stored(rows.join(crowded, "bucket"), "buckets")
-    wanted = stored(buckets.select("key").distinct().join(texts.select("key", "doc_id", "sketch"), "key"), "members")
+    wanted = stored(buckets.select("key").distinct().join(texts.select("key", "doc_id"), "key"), "members")
     same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     bodies = keyed(docs).join(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")), same, "left_semi")
     bodies = stored(bodies.select("key", "text"), "texts")
-    labels = link_buckets(buckets, bodies, wanted.select("key", "sketch"))
+    labels = link_buckets(buckets, bodies)
     found = signatures.select("doc_id", "key", "n")
     if labels is None:
         found = found.withColumn("label", F.col("key"))
