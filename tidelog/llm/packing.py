@@ -129,10 +129,10 @@ def fractional(counts: dict[int, int], size: int = SEQUENCE, rounds: int = ROUND
     In every round each length may be covered a little further; a configuration is used as often as none of its lengths
     gets ahead of that.
     """
-    lengths = np.array(sorted(counts))
+    lengths = np.array(sorted(counts), np.int64)
     need = np.array([counts[x] for x in lengths.tolist()], float)
     covered, uses = np.zeros(len(lengths)), Counter()
-    for turn in range(rounds):
+    for turn in range(rounds if counts else 0):
         done = turn / rounds
         limit = min(1.0, done + 2 / rounds)
         # a length is worth its room, less where it is covered beyond the others, and nothing at the limit
