@@ -2,15 +2,17 @@
 
 A shard is the index of some thousand documents: postings by term, cut into blocks of document numbers, with the largest
 impact of each term in each block. A query sums its terms' block maxima to bounds and reads the blocks in order of their
-bounds, until no bound reaches the score of the k-th document found. Terms that most documents hold are kept as dense
-rows, so their part of bounds and scores is a product of matrices. Document frequencies, number and length of documents are
-those of all shards together, so the shards' results merge exactly. Queries come in blocks of bounded size.
+bounds, until no bound reaches the score of the k-th document found. Terms that many documents hold are kept as dense
+rows: a product of matrices gives their part of all scores for many queries, and its maximum in a block is a closer bound
+than the sum of maxima. Document frequencies, number and length of documents are those of all shards together, so the
+shards' results merge exactly. Queries come in blocks of bounded size.
 """
 
 from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from tidelog.llm.common import scratch, slices, stored, table, word_hashes
 TOP = 10
 K1, B = 1.2, 0.75
 #: Documents of a shard (their numbers fit 16 bits) and of a block, and postings after which a shard ends early.
-SHARD_DOCS = 8_192
+SHARD_DOCS = 16_384
 BLOCK_DOCS = 64
 SHARD_POSTINGS = 6_000_000
 #: Share of a shard's documents from which a term's row is dense.
@@ -31,8 +33,11 @@ DENSE = 1 / 16
 QUERY_TERMS = 2_000_000
 #: Queries in the whole table are the documents whose identifier divides by this.
 EVERY = 50
-#: Far above rounding errors of a score, far below a difference of scores.
-_CLOSE = 1e-7
+#: Queries whose dense parts are computed together.
+TOGETHER = 64
+#: Scores are rounded to so many digits, far above their errors; a bound must be lower by more than the rounding to be passed over.
+DIGITS = 6
+_CLOSE = 1e-5
 
 INDEX_DDL = "n_docs bigint, n_words bigint, postings binary"
 RESULT_DDL = "query bigint, version int, doc_id bigint, score double"
@@ -161,38 +166,45 @@ class Shard:
         common = np.flatnonzero(sizes >= max(2, DENSE * self.n))
         self.row = np.full(len(sizes), -1)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.n))
-        self.dense_max = np.zeros((len(common), self.blocks))
+        self.dense = np.zeros((len(common), self.blocks * BLOCK_DOCS))
         for r, t in enumerate(common.tolist()):
             mine = slice(starts[t], starts[t + 1])
             self.dense[r, self.docs[mine]] = self.impact[mine]
-            parts = slice(self.first[t], self.first[t + 1])
-            self.dense_max[r, self.part_block[parts]] = self.part_max[parts]
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """Document numbers and scores of the ``top`` best, and of those as good as the last."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, weights = at[here], weights[here]
-        rows = self.row[at]
-        often, rare = rows >= 0, rows < 0
-        parts, of = _ranges(self.first[at[rare]], self.first[at[rare] + 1])
-        by = weights[rare][of]
-        bound = np.bincount(self.part_block[parts], self.part_max[parts] * by, self.blocks) + weights[often] @ self.dense_max[rows[often]]
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of ``queries`` (terms, weights) document numbers and scores of the ``top`` best, and of those as good as the last."""
+        for begin in range(0, len(queries), TOGETHER):
+            rare, weights = [], np.zeros((min(TOGETHER, len(queries) - begin), len(self.dense)))
+            for q, (terms, own) in enumerate(queries[begin : begin + TOGETHER]):
+                at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+                here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+                at, own = at[here], own[here]
+                rows = self.row[at]
+                often = rows >= 0
+                weights[q, rows[often]] = own[often]
+                rare.append((at[~often], own[~often]))
+            dense = weights @ self.dense
+            peaks = dense.reshape(len(dense), self.blocks, BLOCK_DOCS).max(axis=2)
+            for q, (at, own) in enumerate(rare):
+                yield self._best(dense[q], peaks[q], at, own, top)
+
+    def _best(self, dense: np.ndarray, peaks: np.ndarray, at: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+        parts, of = _ranges(self.first[at], self.first[at + 1])
+        by, blocks = weights[of], self.part_block[parts]
+        bound = np.bincount(blocks, self.part_max[parts] * by, self.blocks) + peaks
         order = np.argsort(-bound, kind="stable")
         docs, scores, least, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
         while done < len(order) and bound[order[done]] > 0 and bound[order[done]] >= least - _CLOSE:
             chosen = order[done : done + step]
             chosen = chosen[bound[chosen] >= least - _CLOSE]
-            done, step = done + step, step * 2
+            done, step = done + step, step * 4
             wanted = np.zeros(self.blocks, bool)
             wanted[chosen] = True
-            mine = np.flatnonzero(wanted[self.part_block[parts]])
+            mine = np.flatnonzero(wanted[blocks])
             postings, which = _ranges(self.part[parts[mine]], self.part_end[parts[mine]])
-            score = np.bincount(self.docs[postings], self.impact[postings] * by[mine][which], self.n)
+            score = np.bincount(self.docs[postings], self.impact[postings] * by[mine][which], len(dense))
             members = (chosen[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
-            members = members[members < self.n]
-            found = score[members] + _in_order(weights[often], self.dense[rows[often]][:, members])
+            found = score[members] + dense[members]
             hit = found > 0
             docs, scores = np.concatenate([docs, members[hit]]), np.concatenate([scores, found[hit]])
             if len(scores) > top:
@@ -202,14 +214,6 @@ class Shard:
         return docs, scores
 
 
-def _in_order(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Weighted sum of ``rows``, each added in turn, so that equal documents have equal scores wherever they are."""
-    out = np.zeros(rows.shape[1])
-    for w, row in zip(weights, rows, strict=True):
-        out += w * row
-    return out
-
-
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All integers from ``first`` to below ``last``, range after range, and of which range each is."""
     sizes = last - first
@@ -230,11 +234,11 @@ def search_block(index: DataFrame, queries: pa.Table, mean_size: float, top: int
             for blob in batch.column("postings"):
                 shard = Shard(blob.as_py(), mean_size)
                 rows: list[tuple] = []
-                for query, version, terms, weights in asked.value:
-                    docs, scores = shard.search(terms, weights, top)
+                found = shard.search([x[2:] for x in asked.value], top)
+                for (query, version, _, _), (docs, scores) in zip(asked.value, found, strict=True):
                     ids, known = shard.ids[docs].tolist(), shard.known[docs].tolist()
                     # what other shards may tie with, too: the best by score and identifier
-                    best = sorted((-round(s, 9), not k, i) for s, k, i in zip(scores.tolist(), known, ids, strict=True))[:top]
+                    best = sorted((-round(s, DIGITS), not k, i) for s, k, i in zip(scores.tolist(), known, ids, strict=True))[:top]
                     rows += [(query, version, None if unknown else i, -s) for s, unknown, i in best]
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
                 columns = zip(*rows, strict=True) if rows else [[]] * 4
@@ -246,7 +250,7 @@ def search_block(index: DataFrame, queries: pa.Table, mean_size: float, top: int
 def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """``query``, ``rank``, ``doc_id``, ``score``: for each of ``queries`` (``query``, ``text``) the ``top`` of ``docs`` (``doc_id``, ``text``).
 
-    BM25 over distinct query words, scores rounded to nine digits. Ties go by ``doc_id``, null last. Documents without a
+    BM25 over distinct query words, scores rounded to six digits. Ties go by ``doc_id``, null last. Documents without a
     word of the query have no score and no place. A query without words that the documents hold has no row, as has one
     without a text. A null ``query`` is left out. Repeated rows of ``docs`` are documents of their own; repeated queries
     with one text are asked once, those with other texts are ranked apart.
