@@ -195,6 +195,12 @@ def test_dedupe_and_cap(make_log):
     assert [(r.partition, r.offset) for r in R.batch_cap(R.dedupe_log(log), 3).collect()] == [(0, 1), (0, 2), (1, 1)]
 
 
+def test_polls_hold_every_record(skewed_log):
+    polls = R.poll_batches(skewed_log, 900).select("topic", "partition", "offset", "poll").collect()
+    order = sorted((r.topic, r.partition, r.offset) for r in polls)
+    assert {(r.topic, r.partition, r.offset): r.poll for r in polls} == {x: i // 900 for i, x in enumerate(order)}
+
+
 def test_segment_names(spark):
     rows = spark.createDataFrame([("a-b", 0, 7), ("t", 12, 10**16)], "topic string, partition int, o bigint")
     plain = [r[0] for r in rows.select(N.segment_name("topic", "partition", "o")).collect()]

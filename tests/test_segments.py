@@ -171,3 +171,12 @@ def test_open_tail_and_gaps(make_log):
 def test_pause_closes_a_segment(make_log):
     log = make_log([{"offset": 0, "timestamp": 0}, {"offset": 1, "timestamp": 10}, {"offset": 2, "timestamp": 2010}])
     assert S.segment(log, 7000, 500).select("segment_id").distinct().count() == 2
+
+
+def test_records_without_a_clock_stay(spark, make_log):
+    """Unknown timestamps, at first or all along, lose no record."""
+    log = make_log([{"offset": i, "timestamp": None if i < 6 or i % 4 == 0 else 1000 * i} for i in range(30)])
+    cut = {r.offset: r.segment_id for r in S.segment(log, 4, 10_000).collect()}
+    assert [cut[i] for i in range(6)] == ["none-0"] * 4 + ["none-1"] * 2 and len(cut) == 30
+    silent = make_log([{"offset": i, "timestamp": None} for i in range(10)])
+    assert S.segment(silent, 4, 10_000).count() == S.segment_by_interval(silent, 5).count() == 10

@@ -44,9 +44,9 @@ def test_backup_restore_identity(spark, skewed_log, stored):
 
 
 def test_files_are_sorted_and_a_hot_partition_is_split(stored):
-    hot = glob.glob(f"{stored}/topic=hot/partition=0/*.parquet")
+    hot = glob.glob(f"{stored}/topic=hot/partition=0/*/*.parquet")
     assert len(hot) > 1
-    for path in glob.glob(f"{stored}/*/*/*.parquet"):
+    for path in glob.glob(f"{stored}/*/*/*/*.parquet"):
         offsets = pq.ParquetFile(path).read()["offset"].to_pylist()
         assert offsets == sorted(offsets)
 
@@ -66,7 +66,7 @@ def test_scans_prune(spark, stored):
     df = B.scan_offset_range(spark, stored, "hot", 0, 300, 900)
     assert df.agg(F.min("offset"), F.max("offset"), F.count("*")).first()[:] == (300, 900, 101)
     plan = executed(df.select("value"))
-    assert "PartitionFilters: [" in plan and "topic" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert df.inputFiles() and all("/topic=hot/partition=0/" in f for f in df.inputFiles())
     assert "GreaterThanOrEqual(offset,300)" in plan
     assert "headers" not in plan.split("ReadSchema")[1]
     assert B.lookup_record(spark, stored, "hot", 0, 300).count() == 1
@@ -84,7 +84,7 @@ def test_topics_that_look_like_other_types(spark, make_log):
     assert B.scan_backup(spark, root, "a").count() == 1
     listed = {r.topic for r in B.list_files(spark, root).collect()}
     assert listed == {"007", "a=b", "ü/x", "2024-01-01", "a", "a+b", "a%b"}
-    assert sinks.delete_files(B.list_files(spark, root)) == 7 and not glob.glob(f"{root}/*/*/*.parquet")
+    assert sinks.delete_files(B.list_files(spark, root)) == 7 and not glob.glob(f"{root}/**/*.parquet", recursive=True)
 
 
 def test_generations_are_not_mixed(spark, make_log):
@@ -123,6 +123,16 @@ def test_read_log_bounds(spark, skewed_log):
     skewed_log.write.parquet(path)
     got = read_log(spark, path, "hot", start={"hot": {"0": 600}}, end={"hot": {"0": 606}})
     assert sorted(r.offset for r in got.collect()) == [600]
+    for start, end in ((-1, None), (-2, 606), (600, -1)):
+        got = read_log(spark, path, "hot", start={"hot": {"0": start}}, end="latest" if end is None else {"hot": {"0": end}})
+        wanted = skewed_log.filter("topic = 'hot'")
+        if start >= 0:
+            wanted = wanted.filter(F.col("offset") >= start)
+        if end and end >= 0:
+            wanted = wanted.filter(F.col("offset") < end)
+        assert got.count() == (0 if start == -1 else wanted.count())
+    with pytest.raises(ValueError, match="earliest"):
+        read_log(spark, path, "hot", end={"hot": {"0": -2}})
     assert read_log(spark, path, ["hot", "t1"]).select("topic").distinct().count() == 2
     with pytest.raises(Exception, match="kafka"):
         read_log(spark, {"kafka.bootstrap.servers": "x"}, "t").count()
@@ -191,17 +201,30 @@ def avro_container(spark, path, records, codec="null", sync=None):
     writer.close()
 
 
-def test_container_of_three_records(spark, tmp_path):
-    """Three records with Java-serialized payloads: all restored, two stamped headers each, renamed."""
-    folder = tmp_path / "test-topic" / "0"
+def test_container_round_trip(spark, tmp_path):
+    """A container whose payloads are serialized objects: restored whole, two stamped headers each, renamed."""
+    folder = tmp_path / "orders" / "4"
     folder.mkdir(parents=True)
-    payloads = [(b"-1443750699", b"-1644627781"), (b"-608605051", b"485587423"), (b"1432849122", b"1966709362")]
-    records = [("test-topic", 0, 9 + i, 1560000000000 + i, java_bytes(k), java_bytes(v), None) for i, (k, v) in enumerate(payloads)]
-    avro_container(spark, str(folder / "test-topic-0-000000000000009.avro"), records)
+    payloads = [(b"k-%d" % i, b"payload %d" % (i * i)) for i in range(17)]
+    records = [("orders", 4, 300 + 2 * i, 1_700_000_000_000 + i, java_bytes(k), java_bytes(v), None) for i, (k, v) in enumerate(payloads)]
+    avro_container(spark, str(folder / "orders-4-000000000000300.avro"), records)
     log = L.import_avro_segments(spark, str(tmp_path))
     assert sorted(bytes(r.key) for r in log.collect()) == sorted(java_bytes(k) for k, _ in payloads)
-    got = jobs.restore(log, "test-topic:new-topic", 7).collect()
-    assert len(got) == 3 and {r.topic for r in got} == {"new-topic"} and all(len(r.headers) == 2 for r in got)
+    got = jobs.restore(log, "orders:copies", 7).collect()
+    assert len(got) == 17 and {r.topic for r in got} == {"copies"} and all(len(r.headers) == 2 for r in got)
+
+
+def test_import_names_folders(spark, tmp_path):
+    """Topics and a generation choose folders; what does not exist is refused."""
+    for topic, generation, offset in (("a", "one", 5), ("a", "two", 6), ("b", None, 7)):
+        folder = tmp_path / topic / (generation or "") / "0"
+        folder.mkdir(parents=True)
+        avro_container(spark, str(folder / f"{topic}-0-{offset:015d}.avro"), [(topic, 0, offset, 1, b"k", b"v", None)])
+    read = lambda **k: [r.offset for r in L.import_avro_segments(spark, str(tmp_path), **k).collect()]
+    assert read(topics=["a"], generation="two") == [6] and read(topics="b") == [7] and sorted(read()) == [5, 6, 7]
+    for wrong in ({"topics": ["a"]}, {"topics": ["a"], "generation": "three"}, {"topics": ["c"]}):
+        with pytest.raises(ValueError, match="no segments"):
+            read(**wrong)
 
 
 @pytest.mark.parametrize("codec", ["null", "snappy", "deflate", "bzip2", "xz"])
@@ -324,6 +347,12 @@ def test_file_expiry(spark, skewed_log):
     assert B.scan_generation(spark, root, "hot", "g2").count() == 10_000
 
 
+def test_record_expiry_keeps_what_has_no_age(make_log):
+    log = make_log([{"offset": i, "timestamp": None if i < 8 else 1} for i in range(20)])
+    left = X.expire_records(S.segment_by_count(log, 4), 5, 100 * 3_600_000)
+    assert sorted(r.offset for r in left.collect()) == [*range(8), *range(16, 20)]
+
+
 def test_record_expiry_keeps_the_open_segment(make_log):
     hour = 3_600_000
     log = make_log([{"offset": i, "timestamp": i * hour} for i in range(10)])
@@ -338,24 +367,46 @@ def test_only_small_sides_are_broadcast(spark):
     assert hinted(small_side(spark.range(10), 10)) and not hinted(small_side(spark.range(11), 10))
 
 
+def test_small_sides_are_computed_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    side = small_side(spark.range(10).coalesce(1).mapInArrow(counted, "id bigint"))
+    assert side.join(spark.range(5), "id").count() == 5 and runs.value == 1
+
+
 def test_shared_folder(spark):
     from tidelog import session
 
     class Conf:
-        def get(self, key, default):
-            return default
+        settings = {"spark.sql.warehouse.dir": "store:/warehouse"}
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
 
     class Context:
-        master, applicationId = "local[2]", "app-without-setting"
+        def getCheckpointDir(self):
+            return None
 
     class Session:
         conf, sparkContext = Conf(), Context()
 
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert session.shared_dir(Session()) == session.shared_dir(Session()) != session.shared_dir(spark)
-    Context.master = "yarn"
-    with pytest.raises(ValueError):
-        session.shared_dir(Session())
+    assert session.shared_dir(Session()) == "store:/warehouse"
+    assert session.scratch(spark, "a").startswith(session.shared_dir(spark))
+
+
+def test_null_keys_join(spark):
+    from tidelog.session import join_null_safe
+
+    left = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, x int")
+    right = spark.createDataFrame([("a", 10), (None, 20)], "k string, y int")
+    got = sorted(map(tuple, join_null_safe(left, right, ["k"], "left").collect()), key=lambda r: r[1])
+    assert got == [("a", 1, 10), (None, 2, 20), ("b", 3, None)]
+    assert join_null_safe(left, right, ["k"], "left_anti").collect()[0].k == "b"
 
 
 def test_restore_from_refuses_the_wrong_depth(spark, skewed_log, stored):
@@ -365,11 +416,50 @@ def test_restore_from_refuses_the_wrong_depth(spark, skewed_log, stored):
         root = scratch(spark, "mixed")
         sinks.write_backup(skewed_log, root, generation="g")
         os.makedirs(f"{root}/topic=hot/generation=g/partition=0/deeper")
-        path = glob.glob(f"{root}/topic=hot/generation=g/partition=0/*.parquet")[0]
+        path = glob.glob(f"{root}/topic=hot/generation=g/partition=0/*/*.parquet")[0]
         os.link(path, f"{root}/topic=hot/generation=g/part.parquet")
         jobs.restore_from(spark, root, "hot", 1, "g")
     with pytest.raises(ValueError, match="contains generations"):
         jobs.restore_from(spark, root, "t1", 1)
+    for topics, generation in (("nowhere", None), ("hot,nowhere", None), ("hot", "missing")):
+        with pytest.raises(ValueError, match="no backup"):
+            jobs.restore_from(spark, stored, topics, 1, generation)
+
+
+def test_repeats_do_no_harm(spark, skewed_log):
+    root, target = scratch(spark, "again"), scratch(spark, "log")
+    for _ in range(2):
+        jobs.backup(skewed_log, root, "hot,t1")
+    assert B.scan_backup(spark, root).count() == skewed_log.filter("topic IN ('hot', 't1')").count()
+    for part in (skewed_log.filter("offset < 20000"), skewed_log.filter("offset >= 20000")):
+        sinks.write_log(part, target)
+    ends = spark.read.parquet(target).groupBy("topic", "partition").agg(
+        (F.max("offset") + 1 == F.count("*")).alias("gapless"), (F.count_distinct("offset") == F.count("*")).alias("unique")
+    )
+    assert ends.filter("NOT (gapless AND unique)").count() == 0
+
+
+@pytest.mark.parametrize("flush,schedule", [(700, None), (3, 200_000)])
+def test_one_file_per_segment(spark, skewed_log, flush, schedule):
+    root = scratch(spark, "segments")
+    sinks.write_segments(skewed_log, root, flush, schedule)
+    rows_ = spark.read.parquet(root).select("topic", "partition", "offset", "batch_id", F.col("_metadata.file_path").alias("file"))
+    per = rows_.groupBy("topic", "partition", "batch_id").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"), F.min("offset").alias("low"))
+    assert per.filter(f"files <> 1 OR n > {flush} OR low <> batch_id").count() == 0
+    wanted = S.segment(skewed_log, flush, schedule).select("topic", "partition", "segment_id").distinct().count()
+    assert per.count() == wanted and rows(B.scan_backup(spark, root)) == rows(skewed_log)
+
+
+def test_open_tail_waits(spark, make_log):
+    root, target = scratch(spark, "batches"), scratch(spark, "merged")
+    log = make_log([{"offset": i} for i in range(11)])
+    for i in range(4):
+        sinks.write_backup(log.filter(f"offset div 3 = {i}"), root, batch_id=i)
+    for _ in range(2):
+        jobs.merge_batches(spark, root, target, 4)
+    assert sorted(r.offset for r in B.scan_backup(spark, target).collect()) == [*range(8)]
+    jobs.merge_batches(spark, root, target, 4, open_tail=True)
+    assert B.scan_backup(spark, target).count() == 11
 
 
 def test_idle_segments_close(make_log):

@@ -80,11 +80,15 @@ def test_marks_continue_over_batches(spark, skewed_log):
 
 
 def test_stream_dedupe(spark, skewed_log):
+    """Eight triggers, each with records of all ages, most of them twice: nothing is lost, nothing comes twice."""
     source, out = scratch(spark, "twice"), scratch(spark, "once")
-    skewed_log.unionByName(skewed_log).write.parquet(source)
-    once = dedupe_log(spark.readStream.schema(LOG_SCHEMA).parquet(source))
-    wait(once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "c")).trigger(availableNow=True).start())
-    assert rows(spark.read.parquet(out)) == rows(skewed_log)
+    both = skewed_log.withColumn("r", F.lit(0)).unionByName(skewed_log.withColumn("r", F.lit(1)))
+    both.repartition(8, F.xxhash64("offset", "r")).drop("r").write.parquet(source)
+    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    wait(T.stream_dedupe_sink(stream, out, scratch(spark, "c"), poll_seconds=None))
+    assert rows(B.scan_backup(spark, out)) == rows(skewed_log)
+    with pytest.raises(ValueError, match="stream_dedupe_sink"):
+        dedupe_log(stream)
 
 
 # ---- generator
@@ -109,12 +113,6 @@ def test_weighted_round_robin(spark, partitions, weights):
         G.partition_of(F.col("id"), 2, (0,))
 
 
-def test_golden_round_robin(spark):
-    first = lambda n, w: [r[0] for r in spark.range(n).orderBy("id").select(G.partition_of(F.col("id"), 4, w)).collect()]
-    assert first(5, None) == [0, 1, 2, 3, 0]
-    assert first(14, (4, 1, 1, 1)) == first(14, (4,)) == [0, 0, 0, 0, 1, 2, 3, 0, 0, 0, 0, 1, 2, 3]
-
-
 def files(spark, *contents):
     return spark.createDataFrame([(f"f{i}", c) for i, c in enumerate(contents)], "path string, content binary")
 
@@ -122,13 +120,14 @@ def files(spark, *contents):
 def test_chunks(spark):
     got = G.chunk_files(files(spark, b"abcdefg", b"xy", b"", b"123456"), 3).collect()
     assert sorted((r.path, r.pos, bytes(r.value)) for r in got) == [
-        ("f0", 0, b"abc"), ("f0", 1, b"def"), ("f3", 0, b"123"), ("f3", 1, b"456")
+        ("f0", 0, b"abc"), ("f0", 1, b"def"), ("f0", 2, b"g"), ("f1", 0, b"xy"), ("f3", 0, b"123"), ("f3", 1, b"456")
     ]
 
 
 @pytest.mark.parametrize("messages", [1, 2, 7, 3 * G.PAGE + 5])
 def test_repeat(spark, messages):
-    got = G.chunk_files(files(spark, b"abcdefghi", b"xy"), 3, messages)
+    got = G.chunk_files(files(spark, b"abcdefghi", b""), 3, messages)
+    messages = -(-messages // 3) * 3
     parts = (b"abc", b"def", b"ghi")
     wanted = F.when(F.col("pos") % 3 == 0, F.lit(parts[0])).when(F.col("pos") % 3 == 1, F.lit(parts[1])).otherwise(F.lit(parts[2]))
     assert got.select("pos").distinct().count() == got.count() == messages
@@ -136,7 +135,7 @@ def test_repeat(spark, messages):
 
 
 def test_generated_log(spark):
-    log = G.generate_log(files(spark, b"a" * 10, b"b" * 10, b"c" * 10), "gen", 3, 4, (4,), messages=5)
+    log = G.generate_log(files(spark, b"a" * 13, b"b" * 13, b"c" * 13), "gen", 3, 4, (4,), messages=5)
     got = {r.offset: r for r in log.collect()}
     seen = {}
     for index, partition in enumerate(loop(4, (4,), 15)):
@@ -155,5 +154,29 @@ def test_watched_folder(spark, tmp_path):
         messages = G.chunk_files(W.watch_files(spark, str(folder)), 3, messages=6)
         wait(messages.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     got = spark.read.parquet(out).groupBy(F.element_at(F.split("path", "/"), -1).alias("f")).count().collect()
-    assert {r.f: r["count"] for r in got} == {"one": 6, "two": 6}
+    assert {r.f: r["count"] for r in got} == {"one": 8, "two": 8}
     assert G.chunk_files(W.read_files(spark, str(folder)), 4).count() == 6
+
+
+def test_watched_folder_becomes_a_log(spark, tmp_path):
+    """Two batches of files: offsets continue, and the messages of a key are its file."""
+    folder, target, checkpoint = tmp_path / "in", scratch(spark, "log"), scratch(spark, "checkpoint")
+    folder.mkdir()
+    for name in ("one", "two"):
+        (folder / name).write_bytes(bytes(range(100)) + name.encode())
+        wait(T.stream_files(W.watch_files(spark, str(folder)), target, checkpoint, "files", 7, 1, poll_seconds=None))
+    got = B.scan_backup(spark, target).orderBy("offset").collect()
+    assert [r.offset for r in got] == [*range(2 * 15)]
+    for name in ("one", "two"):
+        assert b"".join(bytes(r.value) for r in got if bytes(r.key) == name.encode()) == bytes(range(100)) + name.encode()
+
+
+def test_merged_topics_get_new_offsets(spark, skewed_log):
+    root, target = scratch(spark, "backup"), scratch(spark, "merged")
+    for i in range(3):
+        T.write_backup(skewed_log.filter(f"offset % 3 = {i}"), root, batch_id=i)
+    wait(T.stream_restore(B.stream_backup(spark, root, max_files=5), target, scratch(spark, "c"), "t0:one,t1:one,t2:one", poll_seconds=None))
+    got = B.scan_backup(spark, target).groupBy("topic", "partition").agg(
+        F.count("*").alias("n"), F.count_distinct("offset").alias("d"), F.max("offset").alias("top")
+    ).collect()
+    assert sum(r.n for r in got) == 20_000 and all(r.n == r.d == r.top + 1 for r in got)

@@ -14,16 +14,16 @@ PAGE = 1 << 16
 
 
 def chunk_files(files: DataFrame, size: int, messages: int | None = None) -> DataFrame:
-    """Messages (path, pos, value) of ``size`` bytes each; a shorter rest of a file is not sent.
+    """Messages (path, pos, value) of ``size`` bytes each; the rest of a file is a last, shorter one.
 
     ``files`` has (path, content). With ``messages`` the chunks of every file are repeated until
-    it gave exactly that many; a file without a full chunk gives none.
+    it gave at least that many, always in whole passes; an empty file gives none.
     """
-    count = F.expr(f"length(content) div {size}").cast("int")
+    count = F.ceil(F.length("content") / size).cast("int")
     chunks = F.transform(
         F.sequence(F.lit(0), count - 1), lambda i: F.substr(F.col("content"), i * size + 1, F.lit(size))
     )
-    usable = files.filter(F.length("content") >= size)
+    usable = files.filter(F.length("content") > 0)
     if messages is None:
         return usable.select("path", F.posexplode(chunks).alias("pos", "value"))
     cut = usable.select("path", count.alias("_n"), F.posexplode(chunks).alias("_chunk", "value"))
@@ -31,17 +31,14 @@ def chunk_files(files: DataFrame, size: int, messages: int | None = None) -> Dat
 
 
 def repeat_to(chunks: DataFrame, messages: int) -> DataFrame:
-    """Message ``pos`` of a file is its chunk ``pos % _n``, for every pos below ``messages``.
+    """Message ``pos`` of a file is its chunk ``pos % _n``, in as many whole passes as give ``messages``.
 
     ``chunks``: (path, _n, _chunk, value), ``_n`` being the file's number of chunks.
     """
-    used = chunks.filter(F.col("_chunk") < messages)
-    rounds = F.expr(f"({messages - 1} - _chunk) div _n")
-    pages = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(({messages - 1} - _chunk) div _n) div {PAGE}"))
-    paged = used.withColumn("_page", F.explode(pages))
-    if messages > PAGE:
-        # many repetitions of few chunks: spread the pages before they grow
-        paged = paged.repartition("path", "_chunk", "_page")
+    rounds = F.expr(f"({messages - 1}) div _n")
+    pages = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(({messages - 1}) div _n) div {PAGE}"))
+    # many repetitions of few chunks: spread the pages before they grow
+    paged = chunks.withColumn("_page", F.explode(pages)).repartition("path", "_chunk", "_page")
     first = F.col("_page") * PAGE
     turn = F.explode(F.sequence(first, F.least(rounds, first + (PAGE - 1))))
     return paged.withColumn("_round", turn).select(
@@ -52,10 +49,9 @@ def repeat_to(chunks: DataFrame, messages: int) -> DataFrame:
 def messages_per_file(files: DataFrame, size: int, messages: int | None = None) -> DataFrame:
     """Rows (path, _n): how many messages a file gives. Uses a ``length`` column, where there is one."""
     length = F.col("length") if "length" in files.columns else F.length("content").cast("bigint")
-    chunks = F.floor(length / size)
-    return files.select("path", chunks.alias("_c")).filter("_c > 0").select(
-        "path", (F.col("_c") if messages is None else F.lit(messages)).cast("bigint").alias("_n")
-    )
+    chunks = F.ceil(length / size)
+    sent = F.col("_c") if messages is None else F.ceil(F.lit(messages) / F.col("_c")) * F.col("_c")
+    return files.select("path", chunks.alias("_c")).filter("_c > 0").select("path", sent.cast("bigint").alias("_n"))
 
 
 def message_index(messages: DataFrame, per_file: DataFrame) -> DataFrame:

@@ -40,9 +40,14 @@ def check_layout(paths: DataFrame, generation: str | None = None, path: str = "p
     )
 
 
-def require_layout(paths: DataFrame, generation: str | None = None, path: str = "path") -> None:
-    """Refuse a backup whose files lie at another depth."""
-    wrong = check_layout(paths, generation, path).filter("NOT ok").first()
+def require_layout(paths: DataFrame, generation: str | None = None, path: str = "path", topics=()) -> None:
+    """Refuse a backup whose files lie at another depth, or that has none of one of ``topics``."""
+    found = check_layout(paths, generation, path)
+    missing = set(topics) - {r.topic for r in found.select("topic").collect()} if topics else set()
+    if missing:
+        named = "" if generation is None else f" named {generation}"
+        raise ValueError(f"no backup{named} of topic {', '.join(sorted(missing))}")
+    wrong = found.filter("NOT ok").first()
     if wrong is not None:
         raise ValueError(
             f"topic {wrong.topic}: "

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.schema import TOPIC_PARTITION
-from tidelog.session import checkpointed
+from tidelog.session import checkpointed, join_null_safe
 
 #: Offsets per block.
 BLOCK = 1 << 20
@@ -40,7 +40,7 @@ def number_records(
     before = _carry(df, keys, order, block, F.count(F.lit(1)), F.sum)
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     local = df.withColumn("_block", offset_block(order, block)).withColumn("_in_block", F.row_number().over(inside))
-    joined = local.join(before, [*keys, "_block"])
+    joined = join_null_safe(local, before, [*keys, "_block"])
     return joined.withColumn(out, F.col("_in_block") + F.coalesce("_carry", F.lit(0))).drop("_block", "_in_block", "_carry")
 
 
@@ -60,7 +60,7 @@ def running_max(
     local = valued.withColumn("_block", offset_block(order, block)).withColumn(
         "_top", F.max("_value").over(inside)
     )
-    joined = local.join(before, [*keys, "_block"])
+    joined = join_null_safe(local, before, [*keys, "_block"])
     return joined.withColumn(out, F.greatest("_top", "_carry")).drop("_block", "_value", "_top", "_carry")
 
 

@@ -1,12 +1,13 @@
 """Record-wise projections, filters, resume and order."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.commits import decode_offset_keys, decode_offset_values
 from tidelog.functions.names import parse_topic_map, target_topics
+from tidelog.operators.ordering import number_records
 from tidelog.schema import DEFAULT_MAX_RECORDS, HEADERS_DDL, LOG_COLUMNS, TOPIC_PARTITION
-from tidelog.session import small_side
+from tidelog.session import join_null_safe, small_side
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -90,24 +91,33 @@ def resume_after(df: DataFrame, positions: DataFrame, keys=TOPIC_PARTITION) -> D
     """Records above the last restored offset of their topic-partition; all, where none is known."""
     last = small_side(positions.select(*keys, "last_offset"))
     return (
-        df.join(last, list(keys), "left")
+        join_null_safe(df, last, keys, "left")
         .filter("last_offset IS NULL OR offset > last_offset")
         .select(*df.columns)
     )
 
 
-def dedupe_log(df: DataFrame, event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """One record per coordinate. A stream needs ``event_time`` (epoch ms column) to bound its state."""
-    coordinate = [*KEYS, "offset"]
-    if not df.isStreaming:
-        return df.dropDuplicates(coordinate)
-    timed = df.withColumn("_event_time", F.timestamp_millis(event_time or "timestamp"))
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(coordinate).drop("_event_time")
+def dedupe_log(df: DataFrame) -> DataFrame:
+    """One record per coordinate. For a stream see ``streaming.jobs.stream_dedupe_sink``, which forgets nothing."""
+    if df.isStreaming:
+        raise ValueError("a stream is deduplicated by tidelog.streaming.jobs.stream_dedupe_sink")
+    return df.dropDuplicates([*KEYS, "offset"])
+
+
+def poll_batches(df: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
+    """Add ``poll``: 0 for the first ``max_records`` records by topic, partition and offset, 1 for the next ones, and so on."""
+    numbered = number_records(df, out="_rn")
+    sizes = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_size"))
+    # one row per topic-partition
+    earlier = Window.orderBy(*KEYS).rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select(*KEYS, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    joined = join_null_safe(numbered, base, KEYS)
+    return joined.withColumn("poll", F.expr(f"(_base + _rn - 1) div {max_records}")).drop("_rn", "_base")
 
 
 def batch_cap(df: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
-    """At most ``max_records`` records per poll: lowest partition first, then lowest offset."""
-    return df.orderBy("partition", "offset").limit(max_records)
+    """The first poll alone: lowest topic first, then lowest partition, then lowest offset."""
+    return df.orderBy(*KEYS, "offset").limit(max_records)
 
 
 def restore_order(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.names import policy_scope
 from tidelog.schema import DEFAULT_RETENTION_DAYS, TOPIC_PARTITION
+from tidelog.session import join_null_safe
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -55,8 +56,8 @@ def expired_files(files: DataFrame, policy: DataFrame, now: Column) -> DataFrame
 def expire_records(df: DataFrame, hours: int, now_ms) -> DataFrame:
     """Records left after whole segments are dropped whose last message is older than ``hours``.
 
-    The newest segment of a topic-partition is still open and always stays. ``df`` has a
-    ``segment_id``.
+    The newest segment of a topic-partition is still open and always stays, as does one without any timestamp, whose
+    age nobody knows. ``df`` has a ``segment_id``.
     """
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
     segments = df.groupBy(*KEYS, "segment_id").agg(
@@ -67,5 +68,6 @@ def expire_records(df: DataFrame, hours: int, now_ms) -> DataFrame:
         F.max("_first").alias("_newest"), F.max_by("_last", "_first").alias("_newest_last")
     )
     open_segment = (F.col("_first") == F.col("_newest")) & F.col("_last").eqNullSafe(F.col("_newest_last"))
-    kept = segments.join(newest, KEYS).filter((F.col("_last") >= now - hours * 3_600_000) | open_segment)
-    return df.join(kept, [*KEYS, "segment_id"], "left_semi")
+    young = F.col("_last").isNull() | (F.col("_last") >= now - hours * 3_600_000)
+    kept = segments.join(newest, KEYS).filter(young | open_segment)
+    return join_null_safe(df, kept.select(*KEYS, "segment_id"), [*KEYS, "segment_id"], "left_semi")

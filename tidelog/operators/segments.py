@@ -75,6 +75,8 @@ def segment(
 ) -> DataFrame:
     """Rotate by count or by schedule, whichever comes first; either one restarts the count.
 
+    Records without a clock before the first one that has it are cut by count alone, in segments ``none-…``.
+
     ``monotone=True`` promises that the clock never goes back along the offsets, which saves the
     pass that computes the arrival clock.
     """
@@ -83,7 +85,8 @@ def segment(
             "segment_id", F.concat(F.lit("all-"), F.col("segment_id"))
         )
     timed = df.withColumn("_arrival", F.col(clock)) if monotone else arrival_clock(df, clock, "_arrival", block)
-    bucketed = timed.withColumn("_bucket", schedule_bucket("_arrival", schedule_ms, timezone))
+    bucket = F.coalesce(schedule_bucket("_arrival", schedule_ms, timezone).cast("string"), F.lit("none"))
+    bucketed = timed.withColumn("_bucket", bucket)
     numbered = number_records(bucketed, keys=[*KEYS, "_bucket"], out="_rn", block=block)
     part = F.expr(f"(_rn - 1) div {flush_size}")
     return numbered.withColumn("segment_id", F.concat_ws("-", F.col("_bucket"), part)).drop(

@@ -22,6 +22,7 @@ from tidelog.sources import files as W
 from tidelog.sources.legacy import import_avro_segments as import_segments
 from tidelog.sources.log import read_log, stream_log
 from tidelog.sources.sinks import drop_generation, write_backup, write_log
+from tidelog.sources.sinks import write_segments as put_segments
 from tidelog.streaming import jobs as T
 
 QUERIES: dict = {}
@@ -69,6 +70,14 @@ def finished(stream) -> None:
         raise stream.exception()
 
 
+def prepare(spark, sf_dir) -> None:
+    """Write the stored logs and backups that several queries read."""
+    exported(spark, sf_dir)
+    D.event_backup(spark, sf_dir)
+    D.commit_log(spark, sf_dir)
+    generations(spark, sf_dir)
+
+
 # ---- sources ----------------------------------------------------------------------------------
 
 
@@ -77,6 +86,16 @@ def read_log_from(spark, sf_dir):
     return flat(read_log(spark, exported(spark, sf_dir), "ev-click,ev-view", start={"ev-click": {"0": 500, "2": 900}}))
 
 
+@query
+def read_log_latest(spark, sf_dir):
+    return flat(
+        read_log(
+            spark, exported(spark, sf_dir), "ev-click,ev-view,ev-error",
+            start={"ev-click": {"0": -1, "1": -2}, "ev-view": {"0": 500}}, end={"ev-view": {"0": -1, "1": 900}},
+        )
+    )
+
+
 @query
 def scan_backup(spark, sf_dir):
     return flat(B.scan_backup(spark, D.event_backup(spark, sf_dir)))
@@ -136,6 +155,21 @@ def import_avro_segments(spark, sf_dir):
     return flat(import_segments(spark, D.once(spark, sf_dir, "containers", write)))
 
 
+@query
+def import_avro_generation(spark, sf_dir):
+    def write(path):
+        # topic/generation/partition folders, of which one generation is asked for
+        log = D.event_log(spark, sf_dir).withColumn("headers", H.headers_map())
+        for (topic,) in D.event_topics(spark, sf_dir).select("source_topic").collect():
+            for name, rows in (("gen-a", log), ("gen-b", log.filter("value IS NOT NULL"))):
+                for partition in range(4):
+                    mine = rows.filter((F.col("topic") == topic) & (F.col("partition") == partition))
+                    mine.coalesce(1).write.format(file_format("avro")).save(f"{path}/{topic}/{name}/{partition}")
+
+    root = D.once(spark, sf_dir, "instances", write)
+    return flat(import_segments(spark, root, topics=["ev-click", "ev-error"], generation="gen-b"))
+
+
 @query
 def scan_avro_backup(spark, sf_dir):
     root = D.once(
@@ -286,6 +320,11 @@ def batch_cap(spark, sf_dir):
     return flat(R.batch_cap(R.select_topics(D.event_log(spark, sf_dir), "ev-click"), 100))
 
 
+@query
+def poll_batches(spark, sf_dir):
+    return R.poll_batches(D.event_log(spark, sf_dir), 100).select("topic", "partition", "offset", "poll")
+
+
 @query
 def restore_order(spark, sf_dir):
     return flat(R.restore_order(D.event_log(spark, sf_dir)))
@@ -361,9 +400,8 @@ def offset_source(spark, sf_dir):
 
 def _translated(spark, sf_dir, policy):
     committed = C.commits_by_group(D.commit_log(spark, sf_dir)).filter(F.col("group") == GROUP)
-    mapping = {f"ev-{t}": f"r-{t}" for t in D.EVENT_TYPES}
     return C.translate_offsets(
-        R.rename_topics(committed, mapping), D.restored_log(spark, sf_dir), policy, keys=("topic", "partition")
+        R.rename_topics(committed, D.event_topics(spark, sf_dir)), D.restored_log(spark, sf_dir), policy, keys=("topic", "partition")
     )
 
 
@@ -392,6 +430,13 @@ def translate_job(spark, sf_dir):
     return jobs.translate(D.commit_log(spark, sf_dir), D.restored_log(spark, sf_dir), GROUP, "ev-click", "r-click")
 
 
+@query
+def translate_group_job(spark, sf_dir):
+    return jobs.translate_group(
+        D.restored_log(spark, sf_dir), GROUP, "ev-view", "r-view", offset_log=D.commit_log(spark, sf_dir), live=_live(spark, sf_dir)
+    )
+
+
 @query
 def offset_index(spark, sf_dir):
     types = D.table(spark, sf_dir, "events").select("event_type").distinct()
@@ -428,6 +473,17 @@ def segment_mixed_late(spark, sf_dir):
     return _segment_rows(S.segment(D.order_log(spark, sf_dir), FLUSH, DAY_MS))
 
 
+def _late_clock(spark, sf_dir):
+    """The event log whose first records have no timestamp, as every ninth later one has none."""
+    known = (F.col("offset") >= 400) & (F.col("offset") % 9 != 0)
+    return D.event_log(spark, sf_dir).withColumn("timestamp", F.when(known, F.col("timestamp")))
+
+
+@query
+def segment_null_clock(spark, sf_dir):
+    return _segment_rows(S.segment(_late_clock(spark, sf_dir), 20, SCHEDULE_MS))
+
+
 @query
 def segment_by_interval(spark, sf_dir):
     return _segment_rows(S.segment_by_interval(D.event_log(spark, sf_dir), INTERVAL_MS))
@@ -523,12 +579,11 @@ def generation_due(spark, sf_dir):
 def promote_generation(spark, sf_dir):
     log, manifest = D.event_log(spark, sf_dir), scratch(spark, "promotions")
     targets = log.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
-    for topic in (f"ev-{t}" for t in D.EVENT_TYPES):
-        # the second generation misses the tombstones, so it is live only where it has caught up
-        jobs.promote_generation(spark, manifest, topic, "gen-a", log, targets, F.timestamp_millis(F.lit(DAY0)))
-        jobs.promote_generation(
-            spark, manifest, topic, "gen-b", log.filter("value IS NOT NULL"), targets, F.timestamp_millis(F.lit(MID))
-        )
+    # the second generation misses the tombstones, so it is live only where it has caught up
+    jobs.promote_generations(spark, manifest, "gen-a", log, targets, F.timestamp_millis(F.lit(DAY0)))
+    jobs.promote_generations(
+        spark, manifest, "gen-b", log.filter("value IS NOT NULL"), targets, F.timestamp_millis(F.lit(MID))
+    )
     return jobs.current_generation(spark, manifest)
 
 
@@ -589,6 +644,29 @@ def expire_records(spark, sf_dir):
     return X.expire_records(cut, 24 * 10, DAY0 + 30 * DAY_MS).select("topic", "partition", "offset", "segment_id")
 
 
+@query
+def expire_unknown_age(spark, sf_dir):
+    # topics that never had a timestamp, among those that have
+    log = D.event_log(spark, sf_dir)
+    log = log.withColumn("timestamp", F.when(~F.col("topic").isin("ev-view", "ev-error"), F.col("timestamp")))
+    cut = S.segment_by_count(log, 100)
+    return X.expire_records(cut, 24 * 10, DAY0 + 30 * DAY_MS).select("topic", "partition", "offset", "segment_id")
+
+
+@query
+def expire_files_by_age(spark, sf_dir):
+    # the listing of a backup with generations, whose files are as old as their topic's and partition's number say
+    files = B.list_files(spark, generations(spark, sf_dir)).select("path", "topic", "generation", "partition")
+    days = F.col("partition") + F.length("topic")
+    files = files.withColumn("modified", F.timestamp_millis(F.lit(DAY0) - days * DAY_MS))
+    policy = D.event_topics(spark, sf_dir).select(
+        F.concat(F.lit("job-rule-"), "source_topic").alias("rule_id"), F.col("source_topic").alias("topic"),
+        F.when(F.col("source_topic") == "ev-click", "gen-b").when(F.col("source_topic") != "ev-view", "gen-a").alias("generation"),
+        F.lit(9).alias("days"), F.lit(True).alias("enabled"),
+    )
+    return X.expired_files(files, policy, F.timestamp_millis(F.lit(DAY0))).select("topic", "partition").distinct()
+
+
 # ---- generator --------------------------------------------------------------------------------
 
 
@@ -625,18 +703,35 @@ def message_numbers(spark, sf_dir):
 def watch_files(spark, sf_dir):
     folder = D.once(
         spark, sf_dir, "texts",
-        lambda path: D.table(spark, sf_dir, "documents").select("lang", F.col("text").alias("value"))
-        .write.partitionBy("lang").text(path),
+        lambda path: D.table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
+        .select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path),
     )
     out = scratch(spark, "watched")
     pieces = W.watch_files(spark, folder + "/*").select(
-        F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), F.length("content").cast("bigint").alias("bytes")
+        F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), F.length("content").cast("bigint").alias("bytes"),
+        F.md5("content").alias("digest"),
     )
     finished(
         pieces.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint"))
         .trigger(availableNow=True).start()
     )
-    return spark.read.parquet(out).groupBy("lang").agg(F.sum("bytes").alias("bytes"))
+    return spark.read.parquet(out).select("lang", "bytes", "digest")
+
+
+@query
+def watched_log(spark, sf_dir):
+    folder = D.once(
+        spark, sf_dir, "texts",
+        lambda path: D.table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
+        .select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path),
+    )
+    target = scratch(spark, "watched")
+    finished(
+        T.stream_files(
+            W.watch_files(spark, folder + "/*"), target, scratch(spark, "checkpoint"), "files", CHUNK, 4, WEIGHTS, poll_seconds=None
+        )
+    )
+    return B.scan_backup(spark, target).select("topic", "partition", "offset", F.md5(F.hex("value")).alias("digest"))
 
 
 # ---- sinks and streams ------------------------------------------------------------------------
@@ -658,6 +753,89 @@ def replayed_batch(spark, sf_dir):
     return flat(B.scan_backup(spark, root))
 
 
+@query
+def backup_repeated(spark, sf_dir):
+    root, log = scratch(spark, "repeated"), D.event_log(spark, sf_dir)
+    for _ in range(2):
+        jobs.backup(log, root, "ev-click,ev-view")
+    return flat(B.scan_backup(spark, root))
+
+
+@query
+def generation_repeated(spark, sf_dir):
+    root, log = scratch(spark, "generations"), D.event_log(spark, sf_dir)
+    for _ in range(2):
+        jobs.new_generation(log, root, "gen-a")
+    return flat(B.scan_generation(spark, root, "ev-click", "gen-a"))
+
+
+@query
+def bulk_then_stream(spark, sf_dir):
+    root, source, log = scratch(spark, "mixed"), scratch(spark, "source"), D.event_log(spark, sf_dir)
+    jobs.backup(log.filter(F.col("timestamp") < MID), root, [r.source_topic for r in D.event_topics(spark, sf_dir).collect()])
+    log.filter(F.col("timestamp") >= MID).write.parquet(source)
+    later = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 2).parquet(source)
+    finished(T.stream_backup_sink(later, root, scratch(spark, "checkpoint"), poll_seconds=None))
+    return flat(B.scan_backup(spark, root))
+
+
+@query
+def write_log_appended(spark, sf_dir):
+    target, log = scratch(spark, "target"), D.event_log(spark, sf_dir)
+    write_log(log.filter(F.col("timestamp") < MID), target)
+    write_log(log.filter(F.col("timestamp") >= MID), target)
+    return flat(spark.read.schema(LOG_SCHEMA).parquet(target))
+
+
+@query
+def restore_merged_topics(spark, sf_dir):
+    target = scratch(spark, "merged")
+    source = B.stream_backup(spark, D.event_backup(spark, sf_dir), max_files=3)
+    finished(
+        T.stream_restore(
+            source, target, scratch(spark, "checkpoint"), "ev-click:all,ev-view:all", now_ms=D.RESTORED_AT, poll_seconds=None
+        )
+    )
+    return B.scan_backup(spark, target).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("offset").alias("offsets"),
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.sum(H.old_offset()).alias("old_offsets"),
+    )
+
+
+def _files_of(spark, root):
+    rows = spark.read.schema(B._schema(False, True)).parquet(root)
+    return rows.groupBy("topic", "partition", F.col("batch_id").alias("first_offset")).agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("records"),
+        F.min("offset").alias("lowest"), F.max("offset").alias("last_offset"),
+    )
+
+
+@query
+def write_segments(spark, sf_dir):
+    root = scratch(spark, "segments")
+    for _ in range(2):
+        put_segments(D.event_log(spark, sf_dir), root, FLUSH)
+    return _files_of(spark, root)
+
+
+@query
+def write_segments_mixed(spark, sf_dir):
+    root = scratch(spark, "segments")
+    put_segments(D.event_log(spark, sf_dir), root, 20, SCHEDULE_MS)
+    return _files_of(spark, root)
+
+
+@query
+def merge_batches(spark, sf_dir):
+    root, target = scratch(spark, "streamed"), scratch(spark, "merged")
+    topics = [r.source_topic for r in D.event_topics(spark, sf_dir).collect()]
+    source = stream_log(spark, exported(spark, sf_dir), topics, max_per_trigger=2)
+    finished(T.stream_backup_sink(source, root, scratch(spark, "checkpoint"), poll_seconds=None))
+    jobs.merge_batches(spark, root, target, FLUSH)
+    return _files_of(spark, target)
+
+
 @query
 def backup_offset_log(spark, sf_dir):
     root = scratch(spark, "offsets")
@@ -691,7 +869,8 @@ def restore_from_backup(spark, sf_dir):
 @query
 def stream_backup(spark, sf_dir):
     root = scratch(spark, "streamed")
-    source = stream_log(spark, exported(spark, sf_dir), list(f"ev-{t}" for t in D.EVENT_TYPES), max_per_trigger=4)
+    topics = [r.source_topic for r in D.event_topics(spark, sf_dir).collect()]
+    source = stream_log(spark, exported(spark, sf_dir), topics, max_per_trigger=4)
     finished(T.stream_backup_sink(source, root, scratch(spark, "checkpoint"), poll_seconds=None))
     return flat(B.scan_backup(spark, root))
 
@@ -707,19 +886,21 @@ def stream_restore(spark, sf_dir):
             source, target, scratch(spark, "checkpoint"), MAP_TEXT, positions, D.RESTORED_AT, poll_seconds=None
         )
     )
-    return flat(B.scan_backup(spark, target))
+    # the target gave new offsets; the old ones stay in a header
+    return flat(B.scan_backup(spark, target).withColumn("offset", H.old_offset()))
 
 
 @query
 def stream_dedupe(spark, sf_dir):
-    path = D.once(spark, sf_dir, "lines", lambda p: D.line_log(spark, sf_dir).write.parquet(p))
-    out = scratch(spark, "deduped")
-    once = R.dedupe_log(spark.readStream.schema(LOG_SCHEMA).parquet(path), delay="30 days")
-    finished(
-        once.select("topic", "partition", "offset").writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", scratch(spark, "checkpoint")).trigger(availableNow=True).start()
+    # eight files, each with records of all ages
+    path = D.once(
+        spark, sf_dir, "lines",
+        lambda p: D.line_log(spark, sf_dir).repartition(8, F.xxhash64("offset", "timestamp", "key")).write.parquet(p),
     )
-    return spark.read.parquet(out)
+    out = scratch(spark, "deduped")
+    lines = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    finished(T.stream_dedupe_sink(lines, out, scratch(spark, "checkpoint"), poll_seconds=None))
+    return B.scan_backup(spark, out).select("topic", "partition", "offset")
 
 
 @query

@@ -15,7 +15,6 @@ from tidelog.session import scratch
 from tidelog.sources.sinks import assign_offsets, write_backup
 
 RESTORED_AT = 1_735_689_600_000
-EVENT_TYPES = ("view", "click", "signup", "purchase", "error")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +48,12 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every topic of the event log and its name ``r-…`` after a restore."""
+    types = table(spark, sf_dir, "events").select("event_type").distinct()
+    return types.select(F.concat(F.lit("ev-"), "event_type").alias("source_topic"), F.concat(F.lit("r-"), "event_type").alias("target_topic"))
+
+
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders``: a topic per status, eight partitions by customer; the clock goes back and forth."""
     return table(spark, sf_dir, "orders").select(
@@ -108,7 +113,7 @@ def _commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def restored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log without tombstones, produced again to topics ``r-…`` with new offsets."""
-    mapping = {f"ev-{t}": f"r-{t}" for t in EVENT_TYPES}
+    mapping = event_topics(spark, sf_dir)
     alive = event_log(spark, sf_dir).filter("value IS NOT NULL")
     return assign_offsets(rename_topics(stamp_restore_headers(alive, RESTORED_AT), mapping))
 

@@ -5,24 +5,30 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.functions.names import parse_topic_map
-from tidelog.operators.commits import committed_from_log, translate_offsets
+from tidelog.operators.commits import (
+    committed_from_log,
+    committed_from_table,
+    offset_source,
+    starting_offsets_json,
+    translate_offsets,
+)
 from tidelog.operators.compaction import caught_up, latest_per_key, live_generation
 from tidelog.operators.inventory import require_layout
 from tidelog.operators.records import dedupe_log, exclude_group, rename_topics, resume_after, select_topics, to_envelope
 from tidelog.operators.retention import expired_files
 from tidelog.operators.segments import segment, segment_manifest
 from tidelog.sources.backup import list_files, scan_backup
-from tidelog.sources.sinks import write_backup
+from tidelog.sources.sinks import BULK, write_backup, write_segments
 
 GENERATION_COLUMNS = "topic string, generation string, promoted_at timestamp"
 
 
-def backup(df: DataFrame, root: str, topics, codec: str = "zstd", batch_id: int | None = None) -> None:
-    """Back up the given topics of a log."""
+def backup(df: DataFrame, root: str, topics, codec: str = "zstd", batch_id: int = BULK) -> None:
+    """Back up the given topics of a log. Repeated, it replaces itself."""
     write_backup(to_envelope(select_topics(df, topics)), root, codec=codec, batch_id=batch_id)
 
 
-def backup_offsets(df: DataFrame, root: str, group: str, batch_id: int | None = None) -> None:
+def backup_offsets(df: DataFrame, root: str, group: str, batch_id: int = BULK) -> None:
     """Back up the consumer-offset log, without the commits of the backup's own ``group``."""
     write_backup(exclude_group(to_envelope(df), group), root, batch_id=batch_id)
 
@@ -64,11 +70,10 @@ def restore_from(
 ) -> DataFrame:
     """Records to produce from the backup at ``root``: the topics of ``topic_map`` (``a:b,c``).
 
-    A backup whose files lie at another depth than asked for is refused.
+    A backup without files of a topic or of the generation, or with files at another depth, is refused.
     """
     topics = list(parse_topic_map(topic_map))
-    files = list_files(spark, root).filter(F.col("topic").isin(topics))
-    require_layout(files, generation, "relative")
+    require_layout(list_files(spark, root, topics=topics), generation, "relative", topics)
     log = scan_backup(spark, root, topics, generation)
     return restore(log, topic_map, now_ms, positions, dedupe)
 
@@ -87,25 +92,58 @@ def translate(
     return translate_offsets(committed, select_topics(restored, [new_topic]), policy)
 
 
+def translate_group(
+    restored: DataFrame, group: str, old_topic: str, new_topic: str, manual: DataFrame | None = None,
+    offset_log: DataFrame | None = None, live: DataFrame | None = None, policy: str = "first_at_or_after",
+) -> DataFrame:
+    """Start offsets of a group in the restored topic, as the JSON that a Kafka source takes.
+
+    Offsets come from ``manual`` (partition, committed) if given, else from the backup's offset log, else from a table of
+    live commits.
+    """
+    backup = None if offset_log is None else committed_from_log(offset_log, group, old_topic)
+    current = None if live is None else committed_from_table(live, group, old_topic)
+    committed = offset_source(manual, backup, current)
+    return starting_offsets_json(translate_offsets(committed, select_topics(restored, [new_topic]), policy), new_topic)
+
+
+def merge_batches(
+    spark: SparkSession, root: str, target: str, flush_size: int, schedule_ms: int | None = None, timezone: str = "UTC",
+    open_tail: bool = False,
+) -> None:
+    """The many small files of a streamed backup as one file per segment below ``target``; repeated, it replaces itself."""
+    write_segments(scan_backup(spark, root), target, flush_size, schedule_ms, timezone, open_tail=open_tail)
+
+
 def new_generation(df: DataFrame, root: str, name: str) -> None:
-    """Full backup of compacted topics, beside the live one: the latest record of every key."""
+    """Full backup of compacted topics, beside the live one: the latest record of every key. Repeated, it replaces itself."""
     write_backup(latest_per_key(df), root, generation=name)
 
 
+def promote_generations(
+    spark: SparkSession, manifest: str, generation: str, progress: DataFrame, targets: DataFrame, now: Column
+) -> DataFrame:
+    """Make a generation live for every topic in which it has caught up. Returns (topic, generation) that it retires.
+
+    ``manifest`` is the path of the promotions table; the caller drops retired generations. Topics are judged
+    together: one aggregation, one append.
+    """
+    ready = caught_up(progress, targets).filter("complete")
+    rows = ready.select("topic", F.lit(generation).alias("generation"), now.alias("promoted_at"))
+    rows.coalesce(1).write.mode("append").parquet(manifest)
+    promotions = spark.read.schema(GENERATION_COLUMNS).parquet(manifest)
+    last = promotions.groupBy("topic").agg(F.max_by("generation", "promoted_at").alias("live")).filter(F.col("live") == generation)
+    return promotions.filter(F.col("generation") != generation).join(last, "topic", "left_semi").select("topic", "generation").distinct()
+
+
 def promote_generation(
     spark: SparkSession, manifest: str, topic: str, generation: str, progress: DataFrame, targets: DataFrame, now: Column
 ) -> DataFrame | None:
-    """Make a generation live once it has caught up. Returns the generations it retires, else None.
-
-    ``manifest`` is the path of the promotions table; the caller drops retired generations.
-    """
+    """``promote_generations`` for one topic: the generations it retires, None if it has not caught up."""
     here = F.col("topic") == topic
     if not caught_up(progress.filter(here), targets.filter(here)).filter("complete").count():
         return None
-    row = spark.range(1).select(F.lit(topic).alias("topic"), F.lit(generation).alias("generation"), now.alias("promoted_at"))
-    row.write.mode("append").parquet(manifest)
-    promotions = spark.read.schema(GENERATION_COLUMNS).parquet(manifest).filter(here)
-    return promotions.filter(F.col("generation") != generation).select("topic", "generation").distinct()
+    return promote_generations(spark, manifest, generation, progress.filter(here), targets.filter(here), now).filter(here)
 
 
 def current_generation(spark: SparkSession, manifest: str) -> DataFrame:

@@ -94,7 +94,7 @@ POSITIONS = f"""ps AS (SELECT topic, "partition", max("offset") AS last_offset F
 
 DOC = """doc AS (
   SELECT 'doc/' || lpad(CAST(doc_id AS VARCHAR), 18, '0') AS path, hex(encode(text)) AS h,
-         octet_length(encode(text)) // 1000 AS n FROM documents)"""
+         (octet_length(encode(text)) + 999) // 1000 AS n FROM documents)"""
 CHUNKS = DOC + """, ck AS (
   SELECT path, n, unnest(range(n)) AS pos, h FROM doc WHERE n > 0),
   ms AS (SELECT path, n, pos, substr(h, CAST(2000 * pos + 1 AS BIGINT), 2000) AS c FROM ck)"""
@@ -252,14 +252,14 @@ ORACLE = {
         WHERE last_ts >= {DAY0 + 20 * DAY_MS} OR segment_id = newest""",
     # generator
     "chunk_files": f"WITH {CHUNKS} SELECT path, pos, md5(c) AS digest FROM ms",
-    "repeat_to": f"""WITH {DOC}, rp AS (SELECT path, h, n, unnest(range(7)) AS pos FROM doc WHERE n > 0)
+    "repeat_to": f"""WITH {DOC}, rp AS (SELECT path, h, n, unnest(range((6 // n + 1) * n)) AS pos FROM doc WHERE n > 0)
         SELECT path, pos, md5(substr(h, CAST(2000 * (pos % n) + 1 AS BIGINT), 2000)) AS digest FROM rp""",
     "weighted_round_robin": SPREAD + """ SELECT path, pos, i AS "index", p AS "partition" FROM sp""",
     "message_numbers": SPREAD + """ SELECT 'generated' AS topic, p AS "partition", i AS "offset",
         hex(substr(path, 5)) AS key,
         CAST(row_number() OVER (PARTITION BY p ORDER BY i) AS VARCHAR) AS number FROM sp""",
-    "watch_files": """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes
-        FROM documents GROUP BY lang""",
+    "watch_files": """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes,
+        md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY lang""",
     # sinks and streams
     "write_log_table": f"""WITH {EV} SELECT {RENAMED} AS topic, "partition",
         row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS "offset", "timestamp",
@@ -290,3 +290,49 @@ ORACLE["commit_offsets_idle"] = mixed(EV, "ev", 20, SCHEDULE_MS) + commits(
 )
 ORACLE["stream_dedupe"] = ORACLE["dedupe_log"]
 ORACLE["stream_progress_marks"] = ORACLE["progress_marks"]
+ORACLE["poll_batches"] = f"""WITH {EV} SELECT topic, "partition", "offset",
+    (row_number() OVER (ORDER BY topic, "partition", "offset") - 1) // 100 AS poll FROM ev"""
+ORACLE["read_log_latest"] = EV_ROWS + """ WHERE topic IN ('ev-click', 'ev-view', 'ev-error')
+    AND NOT (topic = 'ev-click' AND "partition" = 0)
+    AND NOT (topic = 'ev-view' AND "partition" = 0 AND "offset" < 500)
+    AND NOT (topic = 'ev-view' AND "partition" = 1 AND "offset" >= 900)"""
+ORACLE["segment_null_clock"] = f"""WITH {EV}, lt AS (
+      SELECT topic, "partition", "offset", CASE WHEN "offset" >= 400 AND "offset" % 9 <> 0 THEN "timestamp" END AS t FROM ev),
+    ar AS (SELECT *, max(t) OVER (PARTITION BY topic, "partition" ORDER BY "offset" ROWS UNBOUNDED PRECEDING) AS a FROM lt),
+    bk AS (SELECT *, coalesce(CAST({BUCKET.format(t='a', ms=SCHEDULE_MS)} AS VARCHAR), 'none') AS b FROM ar)
+    SELECT topic, "partition", "offset", b || '-' || CAST((row_number() OVER (
+      PARTITION BY topic, "partition", b ORDER BY "offset") - 1) // 20 AS VARCHAR) AS segment_id FROM bk"""
+ORACLE["expire_unknown_age"] = f"""WITH {EV}, sg AS (SELECT topic, "partition", "offset",
+        CASE WHEN topic NOT IN ('ev-view', 'ev-error') THEN "timestamp" END AS t, {BY_COUNT.format(n=100)} AS segment_id FROM ev),
+    ws AS (SELECT *, max(t) OVER (PARTITION BY topic, "partition", segment_id) AS last_ts,
+             max(segment_id) OVER (PARTITION BY topic, "partition") AS newest FROM sg)
+    SELECT topic, "partition", "offset", segment_id FROM ws
+    WHERE last_ts IS NULL OR last_ts >= {DAY0 + 20 * DAY_MS} OR segment_id = newest"""
+ORACLE["expire_files_by_age"] = LATEST + """ SELECT DISTINCT topic, "partition" FROM lt
+    WHERE r = 1 AND v IS NOT NULL AND topic <> 'ev-click' AND "partition" + length(topic) > 9"""
+ORACLE["backup_repeated"] = EV_ROWS + " WHERE topic IN ('ev-click', 'ev-view')"
+ORACLE["generation_repeated"] = ORACLE["scan_generation"]
+ORACLE["bulk_then_stream"] = EV_ROWS
+ORACLE["write_log_appended"] = f"""WITH {EV} SELECT topic, "partition", row_number() OVER (PARTITION BY topic, "partition"
+    ORDER BY "timestamp" >= {MID}, "offset") - 1 AS "offset", "timestamp", hex(k) AS key, hex(v) AS value, headers FROM ev"""
+ORACLE["restore_merged_topics"] = f"""WITH {EV} SELECT CASE WHEN topic IN ('ev-click', 'ev-view') THEN 'all' ELSE topic END AS topic,
+    "partition", count(*) AS records, count(*) AS offsets, CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset,
+    CAST(sum("offset") AS BIGINT) AS old_offsets FROM ev GROUP BY 1, 2"""
+FILES = """ SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
+    min("offset") AS lowest, max("offset") AS last_offset FROM sg GROUP BY topic, "partition", segment_id"""
+ORACLE["write_segments"] = SEG + FILES
+ORACLE["write_segments_mixed"] = mixed(EV, "ev", 20, SCHEDULE_MS) + FILES
+ORACLE["merge_batches"] = SEG + f""", nw AS (SELECT topic, "partition", max(segment_id) AS newest FROM sg GROUP BY 1, 2),
+    cl AS (SELECT sg.topic, sg."partition", sg.segment_id, "offset",
+             count(*) OVER (PARTITION BY sg.topic, sg."partition", sg.segment_id) AS n, newest
+           FROM sg JOIN nw USING (topic, "partition"))
+    SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
+      min("offset") AS lowest, max("offset") AS last_offset FROM cl WHERE segment_id < newest OR n = {FLUSH}
+    GROUP BY topic, "partition", segment_id"""
+ORACLE["translate_group_job"] = "SELECT * FROM (" + ORACLE["starting_offsets"] + ") WHERE topic = 'r-view'"
+ORACLE["import_avro_generation"] = ORACLE["envelope_roundtrip"] + " WHERE topic IN ('ev-click', 'ev-error') AND v IS NOT NULL"
+ORACLE["watched_log"] = """WITH tx AS (SELECT lang, hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))) AS h FROM documents GROUP BY lang),
+    ck AS (SELECT lang, h, unnest(range((length(h) + 1999) // 2000)) AS pos FROM tx),
+    ix AS (SELECT substr(h, CAST(2000 * pos + 1 AS BIGINT), 2000) AS c, row_number() OVER (ORDER BY lang, pos) - 1 AS i FROM ck),
+    sp AS (SELECT c, i, CAST(CASE WHEN i % 7 < 4 THEN 0 ELSE i % 7 - 3 END AS INTEGER) AS p FROM ix)
+    SELECT 'files' AS topic, p AS "partition", row_number() OVER (PARTITION BY p ORDER BY i) - 1 AS "offset", md5(c) AS digest FROM sp"""

@@ -22,16 +22,51 @@ def scan_backup(
     spark: SparkSession, root: str, topics=None, generation: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
     """Records of a backup, of some topics or all. A backup with generations needs the name of one."""
-    df = spark.read.format(file_format(fmt)).schema(_schema(generation is not None)).load(root)
+    return _scan(spark, root, None if topics is None else _topics(topics), generation, None, fmt)
+
+
+def _scan(spark, root, topics, generation, partition, fmt="parquet") -> DataFrame:
+    """Only the folders of the topics, the generation and the partition are listed."""
+    schema = _schema(generation is not None)
+    if topics is None:
+        folders = [root]
+    else:
+        above = [f"{root.rstrip('/')}/topic={escaped(spark, t)}" for t in topics]
+        inner = "" if generation is None else f"/generation={escaped(spark, generation)}"
+        inner += "" if partition is None else f"/partition={int(partition)}"
+        folders = [a + inner for a in above if exists(spark, a + inner)]
+        if not folders and generation is None and any(_has_generations(spark, a) for a in above):
+            raise ValueError("the backup contains generations, name one")
+        if not folders:
+            return spark.createDataFrame([], LOG_SCHEMA)
+    df = spark.read.format(file_format(fmt)).schema(schema).option("basePath", root).load(folders)
     if generation is None and "generation" in df.columns:
         raise ValueError("the backup contains generations, name one")
-    if topics is not None:
-        df = df.filter(F.col("topic").isin(_topics(topics)))
     if generation is not None:
         df = df.filter(F.col("generation") == generation)
     return df.select(*LOG_COLUMNS)
 
 
+def escaped(spark: SparkSession, name: str) -> str:
+    """``name`` as Spark writes it in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+
+
+def _store(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    store, path = _store(spark, folder)
+    return store.exists(path)
+
+
+def _has_generations(spark: SparkSession, folder: str) -> bool:
+    store, path = _store(spark, folder)
+    return store.exists(path) and any(s.getPath().getName().startswith("generation=") for s in store.listStatus(path))
+
+
 def scan_generation(spark: SparkSession, root: str, topic: str, generation: str) -> DataFrame:
     """Records of one named generation of a compacted topic."""
     return scan_backup(spark, root, [topic], generation)
@@ -39,7 +74,7 @@ def scan_generation(spark: SparkSession, root: str, topic: str, generation: str)
 
 def scan_partition(spark, root: str, topic: str, partition: int, generation: str | None = None) -> DataFrame:
     """Records of one partition."""
-    return scan_backup(spark, root, [topic], generation).filter(F.col("partition") == partition)
+    return _scan(spark, root, [topic], generation, partition)
 
 
 def lookup_record(spark, root: str, topic: str, partition: int, offset: int, generation=None) -> DataFrame:
@@ -61,16 +96,22 @@ def scan_offset_range(spark, root: str, topic: str, partition: int, from_offset:
     )
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet", topics=None) -> DataFrame:
     """Files of a backup: path, relative path of plain names, topic, generation, partition, age, size.
 
-    Only the listing is read, no file content.
+    Only the listing is read, no file content, and of ``topics`` only their folders.
     """
+    folders: str | list[str] = root
+    if topics is not None:
+        named = [f"{root.rstrip('/')}/topic={escaped(spark, t)}" for t in topics]
+        folders = [f for f in named if exists(spark, f)]
+        if not folders:
+            raise ValueError(f"no backup of topic {', '.join(topics)}")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load(folders)
         .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
     )
 

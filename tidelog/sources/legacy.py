@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.envelopes import decode_envelopes
-from tidelog.operators.records import decode_nulls
+from tidelog.operators.records import _topics, decode_nulls
 from tidelog.schema import HEADERS_DDL, LOG_COLUMNS, file_format
 
 # old files keep headers as a map
@@ -38,14 +38,24 @@ def import_record_objects(spark: SparkSession, root: str, empty_as_null: bool =
     return decode_nulls(log) if empty_as_null else log
 
 
-def import_avro_segments(spark: SparkSession, root: str, empty_as_null: bool = False) -> DataFrame:
-    """Avro container files below ``root``, in any codec. Spark splits large files."""
-    rows = (
-        spark.read.format(file_format("avro"))
-        .schema(_ENVELOPE_DDL)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.avro")
-        .load(root)
-    )
+def import_avro_segments(
+    spark: SparkSession, root: str, empty_as_null: bool = False, topics=None, generation: str | None = None
+) -> DataFrame:
+    """Avro container files below ``root``, in any codec. Spark splits large files.
+
+    ``topics`` reads ``topic/partition`` folders only, or ``topic/generation/partition`` ones of a ``generation``; a topic
+    without such files is refused. Without ``topics`` all files are read, so name them where a topic has generations.
+    """
+    reader = spark.read.format(file_format("avro")).schema(_ENVELOPE_DDL).option("pathGlobFilter", "*.avro")
+    if topics is None:
+        rows = reader.option("recursiveFileLookup", "true").load(root)
+    else:
+        inner = "" if generation is None else f"/{generation}"
+        folders = [f"{root.rstrip('/')}/{t}{inner}/[0-9]*" for t in _topics(topics)]
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.avro")
+            if not path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path):
+                raise ValueError(f"no segments in {folder}")
+        rows = reader.load(folders)
     log = rows.withColumn("headers", F.map_entries("headers").cast(HEADERS_DDL)).select(*LOG_COLUMNS)
     return decode_nulls(log) if empty_as_null else log

@@ -14,7 +14,9 @@ def _position(side) -> Mapping | None:
 
 
 def _bounded(df: DataFrame, start, end) -> DataFrame:
-    """Offset bounds {topic: {partition: offset}} on a table, as a Kafka source reads them."""
+    """Offset bounds {topic: {partition: offset}} on a table, as a Kafka source reads them: -2 earliest, -1 latest."""
+    if any(at == -2 for offsets in (_position(end) or {}).values() for at in offsets.values()):
+        raise ValueError("a log cannot end at its earliest offset")
 
     def bound(spec, inside):
         cond = F.lit(True)
@@ -25,9 +27,9 @@ def _bounded(df: DataFrame, start, end) -> DataFrame:
         return cond
 
     if _position(start):
-        df = df.filter(bound(start, lambda o, at: o >= at))
+        df = df.filter(bound(start, lambda o, at: F.lit(False) if at == -1 else o >= at))
     if _position(end):
-        df = df.filter(bound(end, lambda o, at: o < at))
+        df = df.filter(bound(end, lambda o, at: F.lit(True) if at == -1 else o < at))
     return df
 
 

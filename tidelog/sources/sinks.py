@@ -7,45 +7,71 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.headers import add_header
 from tidelog.operators.ordering import BLOCK, number_records, offset_block
-from tidelog.schema import LOG_COLUMNS, TOPIC_PARTITION, file_format
-from tidelog.session import small_side
+from tidelog.operators.segments import segment
+from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA, TOPIC_PARTITION, file_format
+from tidelog.session import join_null_safe, small_side
+from tidelog.sources.backup import escaped, exists
 
 KEYS = list(TOPIC_PARTITION)
 
+#: Batch of a bulk write that names none; streams count from 0.
+BULK = -1
+
 
 def write_backup(
     df: DataFrame,
     root: str,
     generation: str | None = None,
-    batch_id: int | None = None,
+    batch_id: int = BULK,
     codec: str = "zstd",
     fmt: str = "parquet",
     block: int = BLOCK,
 ) -> None:
-    """File records under ``topic=/[generation=/]partition=/[batch_id=/]``, sorted by offset.
+    """File records under ``topic=/[generation=/]partition=/batch_id=/``, sorted by offset.
 
     One shuffle, by topic, partition and offset block: records that belong together meet in one
     file, and a topic-partition that holds much of the log is still written by many tasks. There is
     at most one file per block, however many small topic-partitions a task writes.
 
-    With a ``batch_id`` the write may be repeated: it replaces what the same batch wrote before
-    and nothing else. ``codec`` and ``fmt`` go to the writer: Parquet takes none, snappy, gzip and
+    A write may be repeated: it replaces what the same batch wrote before and nothing else. Give the bulk writes
+    that together make one backup different ids. ``codec`` and ``fmt`` go to the writer: Parquet takes none, snappy, gzip and
     zstd; Avro takes uncompressed, snappy, bzip2, deflate and xz.
     """
     rows, folders = df.select(*LOG_COLUMNS), ["topic"]
     if generation is not None:
         rows = rows.withColumn("generation", F.lit(generation))
         folders.append("generation")
-    folders.append("partition")
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        folders.append("batch_id")
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    folders += ["partition", "batch_id"]
     placed = rows.repartition(*KEYS, offset_block("offset", block)).sortWithinPartitions(*folders, "offset")
     writer = placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders)
-    if batch_id is None:
-        writer.mode("append").save(root)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+
+
+def write_segments(
+    df: DataFrame, root: str, flush_size: int, schedule_ms: int | None = None, timezone: str = "UTC",
+    generation: str | None = None, open_tail: bool = True, codec: str = "zstd",
+) -> None:
+    """One file per segment, in the layout of ``write_backup`` with the segment's first offset as batch.
+
+    Segments are cut by count and clock (``operators.segments.segment``). A repeated write replaces the same segments.
+    Without ``open_tail`` the newest segment of a topic-partition waits until it is full or another follows.
+    """
+    cut = segment(df, flush_size, schedule_ms, timezone)
+    whole = Window.partitionBy(*KEYS, "segment_id")
+    rows = cut.withColumn("batch_id", F.min("offset").over(whole)).withColumn("_n", F.count(F.lit(1)).over(whole))
+    if not open_tail:
+        newest = cut.groupBy(*KEYS).agg(F.max("offset").alias("_end"))
+        rows = join_null_safe(rows.withColumn("_last", F.max("offset").over(whole)), newest, KEYS)
+        rows = rows.filter((F.col("_last") < F.col("_end")) | (F.col("_n") >= flush_size))
+    folders = ["topic", "partition", "batch_id"]
+    if generation is not None:
+        rows = rows.withColumn("generation", F.lit(generation))
+        folders.insert(1, "generation")
+    # the windows have brought the records of a segment together; a segment has at most flush_size
+    placed = rows.select(*LOG_COLUMNS, *[c for c in folders if c not in LOG_COLUMNS]).sortWithinPartitions(*folders, "offset")
+    writer = placed.write.option("compression", codec).partitionBy(*folders)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
 def assign_offsets(df: DataFrame, ends: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
@@ -56,7 +82,7 @@ def assign_offsets(df: DataFrame, ends: DataFrame | None = None, block: int = BL
     numbered = number_records(df, out="_rn", block=block)
     base = F.lit(0)
     if ends is not None:
-        numbered = numbered.join(small_side(ends.select(*KEYS, "next_offset")), KEYS, "left")
+        numbered = join_null_safe(numbered, small_side(ends.select(*KEYS, "next_offset")), KEYS, "left")
         base = F.coalesce("next_offset", F.lit(0))
     return numbered.withColumn("offset", base + F.col("_rn") - 1).select(*df.columns)
 
@@ -103,15 +129,25 @@ def write_log(df: DataFrame, target, ends: DataFrame | None = None, wave_rows: i
     """Produce restored records: to Kafka (a dict of options) or to a Parquet log (a path).
 
     Topic, partition, key, value and headers are kept. A Kafka sink cannot set the timestamp, so it
-    travels in the header ``x-old-timestamp``; a table keeps it and gets new offsets here.
+    travels in the header ``x-old-timestamp``; a table keeps it and gets new offsets here, which continue what the
+    table holds unless ``ends`` says otherwise.
     """
     if isinstance(target, Mapping):
         _write_kafka(df, target, wave_rows)
     else:
         # numbering has brought neighbours together already: sort, no further shuffle
+        ends = log_ends(df.sparkSession, target) if ends is None else ends
         assign_offsets(df, ends).sortWithinPartitions(*KEYS, "offset").write.mode("append").parquet(target)
 
 
+def log_ends(spark: SparkSession, target: str) -> DataFrame | None:
+    """Next offset of every topic-partition of a Parquet log, None if there is no log yet."""
+    if not exists(spark, target):
+        return None
+    log = spark.read.schema(LOG_SCHEMA).parquet(target)
+    return log.groupBy(*KEYS).agg((F.max("offset") + 1).alias("next_offset"))
+
+
 def drop_generation(
     spark: SparkSession, root: str, topic: str, generation: str, partition: int | None = None
 ) -> bool:
@@ -119,8 +155,7 @@ def drop_generation(
     for name in (topic, generation):
         if not name or "/" in name or name in (".", ".."):
             raise ValueError(f"not a folder name: {name!r}")
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    folder = f"{root}/topic={escape(topic)}/generation={escape(generation)}"
+    folder = f"{root}/topic={escaped(spark, topic)}/generation={escaped(spark, generation)}"
     if partition is not None:
         folder += f"/partition={int(partition)}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -15,9 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.operators.compaction import progress_marks
-from tidelog.operators.records import rename_topics, resume_after
+from tidelog.operators.generator import generate_log
+from tidelog.operators.records import rename_topics
 from tidelog.schema import DEFAULT_POLL_SECONDS, TOPIC_PARTITION
-from tidelog.sources.sinks import write_backup, write_log
+from tidelog.session import join_null_safe, small_side
+from tidelog.sources.sinks import assign_offsets, exists, write_backup, write_log
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -50,21 +52,81 @@ def stream_restore(
 
     The checkpoint holds the restart position. ``positions`` skips records that an earlier restore,
     without this checkpoint, has produced. A table target gets one folder per batch, so a repeated
-    batch replaces itself; its records keep the old offset in their header.
+    batch replaces itself; its records get new offsets, which continue those of the batches before,
+    and keep the old one in their header.
     """
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    done = None if positions is None else small_side(positions.select(*KEYS, "last_offset"))
 
     def run(batch, batch_id):
-        rows = batch if positions is None else resume_after(batch, positions)
+        rows = batch if done is None else join_null_safe(batch, done, KEYS, "left").filter(
+            "last_offset IS NULL OR offset > last_offset"
+        ).select(*batch.columns)
         out = stamp_restore_headers(rename_topics(rows, topic_map), now)
         if isinstance(target, Mapping):
             write_log(out, target)
         else:
-            write_backup(out, target, batch_id=batch_id)
+            append_batch(out, target, batch_id)
 
     return _start(df, run, checkpoint, poll_seconds)
 
 
+def append_batch(rows: DataFrame, target: str, batch_id: int) -> None:
+    """Write a micro-batch to a table with offsets that continue those of the batches before.
+
+    ``target/_ends`` holds, per batch, the next offset of every topic-partition, which the next batch reads. A repeated
+    batch starts from its predecessor's and replaces its own.
+    """
+    spark = rows.sparkSession
+    ends = None
+    if batch_id > 0:
+        ends = spark.read.schema("topic string, partition int, next_offset bigint").parquet(f"{target}/_ends/batch_id={batch_id - 1}")
+    sizes = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("next_offset"))
+    both = sizes if ends is None else sizes.unionByName(ends)
+    write_backup(assign_offsets(rows, ends), target, batch_id=batch_id)
+    both.groupBy(*KEYS).agg(F.sum("next_offset").alias("next_offset")).write.mode("overwrite").parquet(f"{target}/_ends/batch_id={batch_id}")
+
+
+def stream_dedupe_sink(
+    df: DataFrame, root: str, checkpoint: str, poll_seconds: float | None = DEFAULT_POLL_SECONDS
+) -> StreamingQuery:
+    """Append a stream of records to a backup, each coordinate once, however late it comes again.
+
+    A micro-batch is compared with what earlier batches wrote, of its topics (folders) and between its smallest and its
+    largest offset (row groups): no state is kept, so none is forgotten.
+    """
+
+    def run(batch, batch_id):
+        once = batch.dropDuplicates([*KEYS, "offset"])
+        if batch_id > 0 and exists(batch.sparkSession, root):
+            # one row per topic
+            bounds = batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+            if not bounds:
+                return
+            written = batch.sparkSession.read.schema("topic string, partition int, offset bigint, batch_id bigint").parquet(root)
+            written = written.filter(F.col("topic").isin([r.topic for r in bounds]) & (F.col("batch_id") < batch_id))
+            written = written.filter(F.col("offset").between(min(r.low for r in bounds), max(r.high for r in bounds)))
+            once = once.join(written.select(*KEYS, "offset"), [*KEYS, "offset"], "left_anti")
+        write_backup(once, root, batch_id=batch_id)
+
+    return _start(df, run, checkpoint, poll_seconds)
+
+
+def stream_files(
+    files: DataFrame, target: str, checkpoint: str, topic: str, size: int, partitions: int, weights=None,
+    poll_seconds: float | None = DEFAULT_POLL_SECONDS,
+) -> StreamingQuery:
+    """New files of a watched folder (``sources.files.watch_files``) as messages, keyed by file name, appended to a log.
+
+    Weighted round robin begins anew in every batch; offsets continue.
+    """
+
+    def run(batch, batch_id):
+        append_batch(generate_log(batch, topic, size, partitions, weights), target, batch_id)
+
+    return _start(files, run, checkpoint, poll_seconds)
+
+
 def stream_progress_marks(
     df: DataFrame, marks: str, checkpoint: str, mark_every: int, poll_seconds: float | None = DEFAULT_POLL_SECONDS
 ) -> StreamingQuery:
