@@ -299,3 +299,14 @@ def test_positions_per_target(spark, make_log):
     got = sorted((r.topic, r.offset) for r in jobs.restore(log, "a:x,a:y,b:x", 0, done).collect())
     # a is continued in x and starts in y; b, which goes to x too, has no position of its own
     assert got == sorted([("x", 2), ("x", 3)] + [("y", o) for o in range(4)] + [("x", o) for o in range(4)])
+
+
+def test_losses_are_named(make_log):
+    from tidelog.functions.envelopes import envelope_losses
+
+    log = make_log([
+        {"offset": 0}, {"offset": 1, "timestamp": None}, {"offset": 2, "headers": [("a", b"1"), ("a", b"2")]},
+        {"offset": 3, "headers": [("a", None)]}, {"offset": 4, "headers": [("a", b""), ("b", b"")]},
+    ])
+    got = {r.offset: (r.timestamp, r.null_header, r.repeated_header) for r in envelope_losses(log).collect()}
+    assert got == {1: (True, False, False), 2: (False, False, True), 3: (False, True, False)}

@@ -108,10 +108,10 @@ def poll_batches(df: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataF
     """Add ``poll``: 0 for the first ``max_records`` records by topic, partition and offset, 1 for the next ones, and so on."""
     numbered = number_records(df, out="_rn")
     sizes = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_size"))
-    # one row per topic-partition
+    # one row per topic-partition, of which a cluster has some hundred thousand at most
     earlier = Window.orderBy(*KEYS).rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select(*KEYS, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
-    joined = join_null_safe(numbered, base, KEYS)
+    joined = join_null_safe(numbered, F.broadcast(base), KEYS)
     return joined.withColumn("poll", F.expr(f"(_base + _rn - 1) div {max_records}")).drop("_rn", "_base")
 
 

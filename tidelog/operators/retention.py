@@ -69,5 +69,6 @@ def expire_records(df: DataFrame, hours: int, now_ms) -> DataFrame:
     )
     open_segment = (F.col("_first") == F.col("_newest")) & F.col("_last").eqNullSafe(F.col("_newest_last"))
     young = F.col("_last").isNull() | (F.col("_last") >= now - hours * 3_600_000)
-    kept = segments.join(newest, KEYS).filter(young | open_segment)
+    # one row per topic-partition, of which a cluster has some hundred thousand at most
+    kept = segments.join(F.broadcast(newest), KEYS).filter(young | open_segment)
     return join_null_safe(df, kept.select(*KEYS, "segment_id"), [*KEYS, "segment_id"], "left_semi")

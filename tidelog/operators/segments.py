@@ -146,4 +146,5 @@ def commit_offsets(
     last = F.when(closed("_records", "_max_timestamp"), F.col("_last")).otherwise(
         F.when(F.col("first_offset") < F.col("_first"), F.col("last_offset"))
     )
-    return needed.join(newest, KEYS).groupBy(*KEYS).agg((F.max(last) + 1).alias("commit_offset"))
+    # one row per topic-partition, of which a cluster has some hundred thousand at most
+    return needed.join(F.broadcast(newest), KEYS).groupBy(*KEYS).agg((F.max(last) + 1).alias("commit_offset"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import headers as H
 from tidelog.functions import names as N
 from tidelog.functions.envelopes import decode_envelopes, encode_envelopes
+from tidelog.functions.envelopes import envelope_losses as lost_in_envelopes
 from tidelog.operators import commits as C
 from tidelog.operators import compaction as K
 from tidelog.operators import generator as G
@@ -261,6 +262,15 @@ def envelope_roundtrip(spark, sf_dir):
     return flat(decode_envelopes(encoded).select("record.*"))
 
 
+@query
+def envelope_losses(spark, sf_dir):
+    # every other record without its repeated header, and some without a timestamp
+    log = D.event_log(spark, sf_dir)
+    once = F.when(F.col("offset") % 2 == 0, F.slice("headers", F.lit(1), F.lit(2))).otherwise(F.col("headers"))
+    known = F.when(F.col("offset") % 5 != 0, F.col("timestamp"))
+    return lost_in_envelopes(log.withColumn("headers", once).withColumn("timestamp", known))
+
+
 @query
 def parse_segment_path(spark, sf_dir):
     manifest = S.segment_manifest(S.segment_by_count(D.event_log(spark, sf_dir), FLUSH), "gen-a")

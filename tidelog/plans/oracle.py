@@ -336,3 +336,5 @@ ORACLE["watched_log"] = """WITH tx AS (SELECT lang, hex(encode(string_agg(text |
     ix AS (SELECT substr(h, CAST(2000 * pos + 1 AS BIGINT), 2000) AS c, row_number() OVER (ORDER BY lang, pos) - 1 AS i FROM ck),
     sp AS (SELECT c, i, CAST(CASE WHEN i % 7 < 4 THEN 0 ELSE i % 7 - 3 END AS INTEGER) AS p FROM ix)
     SELECT 'files' AS topic, p AS "partition", row_number() OVER (PARTITION BY p ORDER BY i) - 1 AS "offset", md5(c) AS digest FROM sp"""
+ORACLE["envelope_losses"] = f"""WITH {EV} SELECT topic, "partition", "offset", "offset" % 5 = 0 AS "timestamp", false AS null_header,
+    "offset" % 2 <> 0 AS repeated_header FROM ev WHERE "offset" % 5 = 0 OR "offset" % 2 <> 0"""

@@ -62,7 +62,8 @@ def write_segments(
     rows = cut.withColumn("batch_id", F.min("offset").over(whole)).withColumn("_n", F.count(F.lit(1)).over(whole))
     if not open_tail:
         newest = cut.groupBy(*KEYS).agg(F.max("offset").alias("_end"))
-        rows = join_null_safe(rows.withColumn("_last", F.max("offset").over(whole)), newest, KEYS)
+        # one row per topic-partition, of which a cluster has some hundred thousand at most
+        rows = join_null_safe(rows.withColumn("_last", F.max("offset").over(whole)), F.broadcast(newest), KEYS)
         rows = rows.filter((F.col("_last") < F.col("_end")) | (F.col("_n") >= flush_size))
     folders = ["topic", "partition", "batch_id"]
     if generation is not None:
