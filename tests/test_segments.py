@@ -180,3 +180,41 @@ def test_records_without_a_clock_stay(spark, make_log):
     assert [cut[i] for i in range(6)] == ["none-0"] * 4 + ["none-1"] * 2 and len(cut) == 30
     silent = make_log([{"offset": i, "timestamp": None} for i in range(10)])
     assert S.segment(silent, 4, 10_000).count() == S.segment_by_interval(silent, 5).count() == 10
+
+
+@pytest.mark.parametrize("many", [1, 2, 7])
+def test_runs_of_blocks(skewed_log, monkeypatch, many):
+    """Runs of few small blocks give the same starts as one block."""
+    from tidelog.operators import greedy
+
+    monkeypatch.setattr(greedy, "BLOCKS_PER_RUN", many)
+    cut = lambda **k: sorted(map(tuple, greedy.greedy_starts(skewed_log, "offset", 37, **k).collect()))
+    assert cut(span=600) == cut()
+
+
+def test_no_task_follows_a_hot_key(spark, monkeypatch):
+    """Of a key with all positions, what is followed in order is a small share."""
+    from tidelog.operators import greedy
+
+    log = spark.range(200_000).selectExpr("'hot' AS topic", "0 AS partition", "id * 3 AS offset")
+    read = spark.sparkContext.accumulator(0)
+    enter = greedy._enter
+
+    def counted(names, types, width):
+        inner = enter(names, types, width)
+
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    if len(names) == 3:
+                        read.add(batch.num_rows)
+                    yield batch
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(greedy, "_enter", counted)
+    monkeypatch.setattr(greedy, "BLOCKS_PER_RUN", 16)
+    starts = greedy.greedy_starts(log, "offset", 50, span=800).count()
+    assert starts == -(-200_000 // 17) and 0 < read.value <= 200_000 // 100
