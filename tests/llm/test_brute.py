@@ -267,7 +267,7 @@ def test_mixture(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = learn(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     long = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max_by("text", "n_chars").alias("text")).collect()}
-    assert model.mixture(None) == model.mixture("") == model.mixture("12 34 !?") == {}
+    assert model.mixture(None) == model.mixture("") == model.mixture("12 34 !?") == model.mixture("² ½ _ ①") == {}
     assert {max(m, key=m.get) for m in [model.mixture(long["fr"])]} == {"fr"}
     both = model.mixture(long["en"][:3000] + " " + long["de"][:3000])
     assert set(both) == {"en", "de"} and 0.3 < both["en"] < 0.7

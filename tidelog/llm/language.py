@@ -8,9 +8,10 @@ parameter. The prediction is the language with the largest proportion in the set
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ ROUNDS = 20
 #: Charged for each language beyond the first, times the logarithm of the number of trigrams. Trigrams overlap threefold.
 PENALTY = 1.5
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
 #: ASCII other than letters becomes blank.
 _BLANK = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -42,6 +43,11 @@ def trigrams(text: str) -> np.ndarray:
     return ((joined * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
+def has_letter(text: str) -> bool:
+    # the class also has numbers such as superscripts, which are no letters
+    return any(found[0].isalpha() for found in _WORDLIKE.finditer(text))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the identifier as text divides by five; a null identifier counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
@@ -57,7 +63,7 @@ class Model:
 
     def mixture(self, text: str | None) -> dict[str, float]:
         """Selected languages and their proportions; empty if there is nothing to tell from."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return {}
         grams = trigrams(text)
         if not len(grams):
