@@ -29,7 +29,7 @@ from tidelog.streaming import jobs as T
 QUERIES: dict = {}
 
 # Parameters of the registered runs; the SQL uses the same values.
-FLUSH, SCHEDULE_MS, INTERVAL_MS, MARK_EVERY = 50, 25_200_000, 10_800_000, 100
+FLUSH, FILE_FLUSH, SCHEDULE_MS, INTERVAL_MS, MARK_EVERY = 50, 200, 25_200_000, 10_800_000, 100
 DAY0, DAY_MS = 1_704_067_200_000, 86_400_000
 MID = DAY0 + 15 * DAY_MS
 GROUP = "Grp-3"
@@ -161,7 +161,7 @@ def import_avro_generation(spark, sf_dir):
     def write(path):
         # topic/generation/partition folders, of which one generation is asked for
         log = D.event_log(spark, sf_dir).withColumn("headers", H.headers_map())
-        for (topic,) in D.event_topics(spark, sf_dir).select("source_topic").collect():
+        for topic in ("ev-click", "ev-error", "ev-view"):
             for name, rows in (("gen-a", log), ("gen-b", log.filter("value IS NOT NULL"))):
                 for partition in range(4):
                     mine = rows.filter((F.col("topic") == topic) & (F.col("partition") == partition))
@@ -825,14 +825,14 @@ def _files_of(spark, root):
 def write_segments(spark, sf_dir):
     root = scratch(spark, "segments")
     for _ in range(2):
-        put_segments(D.event_log(spark, sf_dir), root, FLUSH)
+        put_segments(D.event_log(spark, sf_dir), root, FILE_FLUSH)
     return _files_of(spark, root)
 
 
 @query
 def write_segments_mixed(spark, sf_dir):
     root = scratch(spark, "segments")
-    put_segments(D.event_log(spark, sf_dir), root, 20, SCHEDULE_MS)
+    put_segments(D.event_log(spark, sf_dir), root, FILE_FLUSH, 5 * DAY_MS)
     return _files_of(spark, root)
 
 
@@ -842,7 +842,7 @@ def merge_batches(spark, sf_dir):
     topics = [r.source_topic for r in D.event_topics(spark, sf_dir).collect()]
     source = stream_log(spark, exported(spark, sf_dir), topics, max_per_trigger=2)
     finished(T.stream_backup_sink(source, root, scratch(spark, "checkpoint"), poll_seconds=None))
-    jobs.merge_batches(spark, root, target, FLUSH)
+    jobs.merge_batches(spark, root, target, FILE_FLUSH)
     return _files_of(spark, target)
 
 

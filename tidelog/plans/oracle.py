@@ -1,6 +1,6 @@
 """The catalog's queries as SQL over the driver's tables."""
 
-FLUSH, SCHEDULE_MS, INTERVAL_MS, MARK_EVERY = 50, 25_200_000, 10_800_000, 100
+FLUSH, FILE_FLUSH, SCHEDULE_MS, INTERVAL_MS, MARK_EVERY = 50, 200, 25_200_000, 10_800_000, 100
 DAY0, DAY_MS = 1_704_067_200_000, 86_400_000
 MID = DAY0 + 15 * DAY_MS
 NOW = 1_735_689_600_000
@@ -320,14 +320,15 @@ ORACLE["restore_merged_topics"] = f"""WITH {EV} SELECT CASE WHEN topic IN ('ev-c
     CAST(sum("offset") AS BIGINT) AS old_offsets FROM ev GROUP BY 1, 2"""
 FILES = """ SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
     min("offset") AS lowest, max("offset") AS last_offset FROM sg GROUP BY topic, "partition", segment_id"""
-ORACLE["write_segments"] = SEG + FILES
-ORACLE["write_segments_mixed"] = mixed(EV, "ev", 20, SCHEDULE_MS) + FILES
-ORACLE["merge_batches"] = SEG + f""", nw AS (SELECT topic, "partition", max(segment_id) AS newest FROM sg GROUP BY 1, 2),
+FILE_SEG = f"""WITH {EV}, sg AS (SELECT *, {BY_COUNT.format(n=FILE_FLUSH)} AS segment_id FROM ev)"""
+ORACLE["write_segments"] = FILE_SEG + FILES
+ORACLE["write_segments_mixed"] = mixed(EV, "ev", FILE_FLUSH, 5 * DAY_MS) + FILES
+ORACLE["merge_batches"] = FILE_SEG + f""", nw AS (SELECT topic, "partition", max(segment_id) AS newest FROM sg GROUP BY 1, 2),
     cl AS (SELECT sg.topic, sg."partition", sg.segment_id, "offset",
              count(*) OVER (PARTITION BY sg.topic, sg."partition", sg.segment_id) AS n, newest
            FROM sg JOIN nw USING (topic, "partition"))
     SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
-      min("offset") AS lowest, max("offset") AS last_offset FROM cl WHERE segment_id < newest OR n = {FLUSH}
+      min("offset") AS lowest, max("offset") AS last_offset FROM cl WHERE segment_id < newest OR n = {FILE_FLUSH}
     GROUP BY topic, "partition", segment_id"""
 ORACLE["translate_group_job"] = "SELECT * FROM (" + ORACLE["starting_offsets"] + ") WHERE topic = 'r-view'"
 ORACLE["import_avro_generation"] = ORACLE["envelope_roundtrip"] + " WHERE topic IN ('ev-click', 'ev-error') AND v IS NOT NULL"
