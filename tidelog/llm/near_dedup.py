@@ -103,16 +103,17 @@ def bands(signatures: np.ndarray, rows: int = BAND) -> np.ndarray:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``key`` and ``sketch`` of ``texts`` (``key``, ``text``): a byte of every component of a long signature."""
+    """``key``, ``sketch`` and ``bands`` of ``texts`` (``key``, ``text``): a byte of every component of a long signature, and the buckets."""
 
     def sketch(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                signatures = bag_signatures([shingles(t) for t in part.column("text").to_pylist()], CROWD_COMPONENTS)
-                short = (mix(signatures.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([x.tobytes() for x in short], pa.binary())], names=["key", "sketch"])
+                bags = [shingles(t) for t in part.column("text").to_pylist()]
+                short = (mix(bag_signatures(bags, CROWD_COMPONENTS).view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                both = [[x.tobytes() for x in rows] for rows in (short, bands(bag_signatures(bags)))]
+                yield pa.RecordBatch.from_arrays([part.column("key"), *(pa.array(x, pa.binary()) for x in both)], names=["key", "sketch", "bands"])
 
-    return texts.select("key", "text").mapInArrow(sketch, "key binary, sketch binary")
+    return texts.select("key", "text").mapInArrow(sketch, "key binary, sketch binary, bands binary")
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -139,7 +140,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The ``pairs`` (keys ``a``, ``b``) whose ``texts`` (``key``, ``text``) are similar, by their whole multisets."""
     one, other = (texts.select(F.col("key").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    both = pairs.join(other, "b").join(one, "a").sortWithinPartitions("a")
+    # never a broadcast, as either side grows with the documents
+    both = pairs.join(other.hint("merge"), "b").join(one.hint("merge"), "a").sortWithinPartitions("a")
 
     def check(batches):
         last, bag = None, None
@@ -155,10 +157,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
 
 
-def _alike(table: pa.Table, own: int, other: int) -> pa.Table:
-    """Pairs between two blocks of a crowd (or inside one) with different labels and enough equal components."""
+def _alike(table: pa.Table, bucket: int, own: int, other: int) -> pa.Table:
+    """Pairs between two blocks of a bucket (or inside one) with different labels and enough equal components.
+
+    A pair comes out of the first of its common buckets only. If that one is worked off, the pair was compared there.
+    """
     keys, labels = table.column("key").to_pylist(), np.unique(table.column("label").to_pylist(), return_inverse=True)[1]
     short = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
+    banded = np.frombuffer(b"".join(table.column("bands").to_pylist()), np.int64).reshape(len(keys), -1)
     size, block = table.column("n").to_numpy(), table.column("block").to_numpy()
     least, whole = SIMILARITY
     found: list[tuple] = []
@@ -166,22 +172,24 @@ def _alike(table: pa.Table, own: int, other: int) -> pa.Table:
     for i in here.tolist():
         rest = there[there > i] if own == other else there
         rest = rest[(labels[rest] != labels[i]) & (size[rest] * whole >= size[i] * least) & (size[i] * whole >= size[rest] * least)]
-        for j in rest[(short[rest] == short[i]).sum(axis=1) >= EQUAL].tolist():
+        rest = rest[(short[rest] == short[i]).sum(axis=1) >= EQUAL]
+        rest = rest[banded[i][(banded[rest] == banded[i]).argmax(axis=1)] == bucket]
+        for j in rest.tolist():
             found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
     columns = zip(*found, strict=True) if found else [[], []]
     return pa.table([pa.array(list(c), pa.binary()) for c in columns], names=["a", "b"])
 
 
 def crowd_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``) that may be links among ``rows`` (``bucket``, ``key``, ``n``, ``label``, ``sketch``, ``members``: size of the bucket)."""
+    """Pairs (``a``, ``b``) that may be links among ``rows`` (``bucket``, ``key``, ``n``, ``label``, ``sketch``, ``bands``, ``members``: size of the bucket)."""
     blocks = F.ceil(F.col("members") / CROWD_BLOCK).cast("int")
     dealt = rows.withColumn("block", F.pmod(F.hash("key"), blocks)).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
 
     def alike(key, table):
-        return _alike(table, key[1].as_py(), key[2].as_py())
+        return _alike(table, *(k.as_py() for k in key))
 
-    return dealt.groupBy("bucket", "low", "high").applyInArrow(alike, "a binary, b binary").distinct()
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(alike, "a binary, b binary")
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -261,7 +269,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     buckets = stored(rows.join(crowded, "bucket"), "buckets")
     wanted = stored(buckets.select("key").distinct().join(texts.select("key", "doc_id"), "key"), "members")
     same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    bodies = keyed(docs).join(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")), same, "left_semi")
+    bodies = keyed(docs).join(wanted.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc")).hint("merge"), same, "left_semi")
     bodies = stored(bodies.select("key", "text"), "texts")
     labels = link_buckets(buckets, bodies)
     found = signatures.select("doc_id", "key", "n")
