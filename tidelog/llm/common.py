@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +38,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, wait: float = 0) -> None:
     """Let Spark drop the shuffle files that no plan refers to any more.
 
-    Its cleaner acts when the driver's JVM collects garbage, which a driver that only plans does rarely.
+    Its cleaner acts when the driver's JVM collects garbage, which a driver that only plans does rarely. The JVM learns
+    within a second or so which plans Python has let go; ``wait`` for it where files of just now are to go.
     """
+    gc.collect()
+    time.sleep(wait)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -24,13 +24,13 @@ from tidelog.llm.common import scratch, slices, stored, table, word_hashes
 TOP = 10
 K1, B = 1.2, 0.75
 #: Documents of a shard (their numbers fit 16 bits) and of a block, and postings after which a shard ends early.
-SHARD_DOCS = 16_384
+SHARD_DOCS = 8_192
 BLOCK_DOCS = 64
-SHARD_POSTINGS = 6_000_000
+SHARD_POSTINGS = 4_000_000
 #: Share of a shard's documents from which a term's row is dense.
 DENSE = 1 / 16
 #: Terms of the queries of a block, about: its broadcast is 16 bytes for each.
-QUERY_TERMS = 2_000_000
+QUERY_TERMS = 1_000_000
 #: Queries in the whole table are the documents whose identifier divides by this.
 EVERY = 50
 #: Queries whose dense parts are computed together.
@@ -45,7 +45,8 @@ RESULT_DDL = "query bigint, version int, doc_id bigint, score double"
 
 def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct words of a text in order, and how often each occurs."""
-    return np.unique(word_hashes((text or "").encode()), return_counts=True)
+    terms, counts = np.unique(word_hashes((text or "").encode()), return_counts=True)
+    return terms, counts.astype(np.uint32)
 
 
 def _packed(**arrays: np.ndarray) -> bytes:
@@ -62,7 +63,7 @@ def _unpacked(data: bytes) -> dict[str, np.ndarray]:
 def _shard(ids: list, bags: list[tuple[np.ndarray, np.ndarray]]) -> tuple[int, int, bytes]:
     terms = np.concatenate([b[0] for b in bags])
     counts = np.concatenate([b[1] for b in bags])
-    docs = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
+    docs = np.repeat(np.arange(len(bags), dtype=np.uint16), [len(b[0]) for b in bags])
     order = np.argsort(terms, kind="stable")
     terms, docs, counts = terms[order], docs[order], counts[order]
     head = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.empty(0, np.int64)
@@ -71,7 +72,7 @@ def _shard(ids: list, bags: list[tuple[np.ndarray, np.ndarray]]) -> tuple[int, i
     sizes = np.array([int(b[1].sum()) for b in bags], np.int64)
     blob = _packed(
         ids=numbers, known=known, sizes=sizes, terms=terms[head], starts=np.append(head, len(terms)).astype(np.int32),
-        docs=docs.astype(np.uint16), counts=counts.astype(np.uint32),
+        docs=docs, counts=counts.astype(np.uint32),
     )
     return len(ids), int(sizes.sum()), blob
 
@@ -147,19 +148,22 @@ class Shard:
         self.ids, self.known = own["ids"], own["known"]
         order = np.argsort(own["terms"], kind="stable")
         self.terms, starts = own["terms"][order], own["starts"].astype(np.int64)
-        self.docs = own["docs"].astype(np.int64)
+        self.docs = own["docs"]
         counts = own["counts"].astype(float)
-        self.impact = counts * (K1 + 1) / (counts + K1 * (1 - B + B * own["sizes"][self.docs] / mean_size))
+        self.impact = counts * (K1 + 1)
+        self.impact /= counts + (K1 * (1 - B + B * own["sizes"] / mean_size))[self.docs]
+        del own, counts
         self.n, self.blocks = len(self.ids), -(-len(self.ids) // BLOCK_DOCS)
         sizes = np.diff(starts)
         # parts: the postings of a term in a block
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        block = self.docs // BLOCK_DOCS
+        of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        block = self.docs // np.uint16(BLOCK_DOCS)
         new = np.ones(len(of), bool)
         new[1:] = (of[1:] != of[:-1]) | (block[1:] != block[:-1])
         self.part = np.flatnonzero(new)
         self.part_end = np.append(self.part[1:], len(of))
-        self.part_block = block[self.part]
+        self.part_block = block[self.part].astype(np.int64)
+        del of, block, new
         self.part_max = np.maximum.reduceat(self.impact, self.part) if len(self.part) else np.empty(0)
         self.first = np.searchsorted(self.part, starts)
         # dense rows of the terms that many documents hold

@@ -201,7 +201,8 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, passes: int = PASSES, s
     for part in range(passes):
         found = stored(bucket_ranges(pack(narrow, part, passes, window, common), window), "ranges")
         ranges = found if ranges is None else ranges.unionByName(found)
-    release(docs.sparkSession)
+        # the next pass writes as much again
+        release(docs.sparkSession, wait=2)
     per_doc = ranges.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(
         F.collect_list(F.struct("start", "end")).alias("ranges")
     )
