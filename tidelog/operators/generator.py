@@ -1,6 +1,6 @@
 """Synthetic logs: files cut into messages, spread over partitions and numbered."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.headers import add_header
@@ -30,6 +30,30 @@ def chunk_files(files: DataFrame, size: int, messages: int | None = None) -> Dat
     return repeat_to(cut, messages)
 
 
+def chunk_parts(parts: DataFrame, size: int) -> DataFrame:
+    """What ``chunk_files`` gives for the files that ``parts`` (path, part, content) make when joined in order of ``part``.
+
+    A chunk that goes over the edge of a part is put together from its pieces; only those are shuffled. One narrow row
+    per part tells where in its file a part begins.
+    """
+    usable = parts.filter(F.length("content") > 0).withColumn("_size", F.length("content").cast("bigint"))
+    earlier = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = usable.select("path", "part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    placed = usable.join(small_side(bases), ["path", "part"])
+    numbers = F.sequence(F.expr(f"_base div {size}"), F.expr(f"(_base + _size - 1) div {size}"))
+
+    def piece(pos):
+        start = F.greatest(pos * size - F.col("_base"), F.lit(0))
+        end = F.least((pos + 1) * size - F.col("_base"), F.col("_size"))
+        value = F.substr(F.col("content"), (start + 1).cast("int"), (end - start).cast("int"))
+        return F.struct(pos.alias("pos"), value.alias("value"))
+
+    pieces = placed.select("path", "part", F.explode(F.transform(numbers, piece)).alias("_p")).select("path", "part", "_p.*")
+    edges = pieces.filter(F.length("value") < size).groupBy("path", "pos").agg(F.sort_array(F.collect_list(F.struct("part", "value"))).alias("_all"))
+    joined = F.aggregate("_all", F.lit(b""), lambda done, p: F.concat(done, p["value"]))
+    return pieces.filter(F.length("value") == size).select("path", "pos", "value").unionByName(edges.select("path", "pos", joined.alias("value")))
+
+
 def repeat_to(chunks: DataFrame, messages: int) -> DataFrame:
     """Message ``pos`` of a file is its chunk ``pos % _n``, in as many whole passes as give ``messages``.
 
@@ -89,6 +113,17 @@ def generate_log(
 ) -> DataFrame:
     """Messages of all files, keyed by file name, as rows of a log."""
     indexed = message_index(chunk_files(files, size, messages), messages_per_file(files, size, messages))
+    return _as_log(indexed, topic, partitions, weights)
+
+
+def generate_log_of_parts(parts: DataFrame, topic: str, size: int, partitions: int, weights=None) -> DataFrame:
+    """``generate_log`` for files that come in parts (path, part, content)."""
+    sizes = parts.groupBy("path").agg(F.sum(F.length("content").cast("bigint")).alias("length"))
+    indexed = message_index(chunk_parts(parts, size), messages_per_file(sizes, size))
+    return _as_log(indexed, topic, partitions, weights)
+
+
+def _as_log(indexed: DataFrame, topic: str, partitions: int, weights) -> DataFrame:
     spread = assign_partitions(indexed, partitions, weights)
     return number_messages(spread).select(
         F.lit(topic).alias("topic"),

@@ -36,6 +36,8 @@ GROUP = "Grp-3"
 CHUNK, REPEAT, WEIGHTS = 1000, 7, (4, 1, 1, 1)
 MAP_TEXT = "ev-click:new-click,ev-view:new-view,ev-error"
 JAVA_STRING = "ACED000574"
+# Identifiers of one file of a watched folder, and bytes of a file that are one row while it is hashed.
+PART, PIECE_BYTES = 1 << 12, 1 << 14
 
 
 def query(fn):
@@ -709,36 +711,38 @@ def message_numbers(spark, sf_dir):
     return log.select("topic", "partition", "offset", F.hex("key").alias("key"), number.alias("number"))
 
 
-@query
-def watch_files(spark, sf_dir):
-    folder = D.once(
+def texts(spark, sf_dir) -> str:
+    """A folder with the texts of every language, cut into files of ``PART`` identifiers whose name order is id order."""
+    part = F.lpad(F.expr(f"doc_id div {PART}").cast("string"), 18, "0")
+    return D.once(
         spark, sf_dir, "texts",
-        lambda path: D.table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
-        .select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path),
+        lambda path: D.table(spark, sf_dir, "documents").withColumn("part", part).repartition("lang", "part")
+        .sortWithinPartitions("lang", "part", "doc_id").select("lang", "part", F.col("text").alias("value"))
+        .write.partitionBy("lang", "part").text(path),
     )
+
+
+@query
+def watch_files(spark, sf_dir):
     out = scratch(spark, "watched")
-    pieces = W.watch_files(spark, folder + "/*").select(
-        F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), F.length("content").cast("bigint").alias("bytes"),
-        F.md5("content").alias("digest"),
+    # pieces small enough for a batch of them in a Python worker
+    pieces = G.chunk_files(W.watch_files(spark, texts(spark, sf_dir) + "/*/*"), PIECE_BYTES).select(
+        F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), "path", "pos", "value"
     )
     finished(
         pieces.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint"))
         .trigger(availableNow=True).start()
     )
-    return spark.read.parquet(out).select("lang", "bytes", "digest")
+    return W.digests(spark.read.parquet(out), "lang", ["path", "pos"])
 
 
 @query
 def watched_log(spark, sf_dir):
-    folder = D.once(
-        spark, sf_dir, "texts",
-        lambda path: D.table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
-        .select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(path),
-    )
     target = scratch(spark, "watched")
     finished(
         T.stream_files(
-            W.watch_files(spark, folder + "/*"), target, scratch(spark, "checkpoint"), "files", CHUNK, 4, WEIGHTS, poll_seconds=None
+            W.watch_files(spark, texts(spark, sf_dir) + "/*/*"), target, scratch(spark, "checkpoint"), "files", CHUNK, 4, WEIGHTS,
+            poll_seconds=None, part_name="/part=[^/]+/[^/]+$",
         )
     )
     return B.scan_backup(spark, target).select("topic", "partition", "offset", F.md5(F.hex("value")).alias("digest"))

@@ -1,5 +1,8 @@
 """Folders of files as generator input."""
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -16,3 +19,32 @@ def watch_files(spark: SparkSession, folder: str, max_files: int | None = None)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder).select("path", "content")
+
+
+def digests(pieces: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``key`` (text), ``bytes`` and ``digest``: the MD5 of the ``value`` of each key's ``pieces``, joined in ``order``.
+
+    MD5 goes from byte to byte, so a task follows a key; it holds the state of the digest and one batch of pieces.
+    """
+
+    def follow(batches):
+        name, state, size = None, None, 0
+
+        def row():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name], pa.string()), pa.array([size], pa.int64()), pa.array([state.hexdigest()])], names=[key, "bytes", "digest"]
+            )
+
+        for batch in batches:
+            for own, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if state is None or own != name:
+                    if state is not None:
+                        yield row()
+                    name, state, size = own, hashlib.md5(), 0
+                state.update(value.as_buffer())
+                size += len(value.as_buffer())
+        if state is not None:
+            yield row()
+
+    rows = pieces.repartition(key).sortWithinPartitions(key, *order).select(key, "value")
+    return rows.mapInArrow(follow, f"{key} string, bytes bigint, digest string")

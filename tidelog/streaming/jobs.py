@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.operators.compaction import progress_marks
-from tidelog.operators.generator import generate_log
+from tidelog.operators.generator import generate_log, generate_log_of_parts
 from tidelog.operators.records import rename_topics
 from tidelog.schema import DEFAULT_POLL_SECONDS, TOPIC_PARTITION
 from tidelog.session import join_null_safe, small_side
@@ -114,15 +114,21 @@ def stream_dedupe_sink(
 
 def stream_files(
     files: DataFrame, target: str, checkpoint: str, topic: str, size: int, partitions: int, weights=None,
-    poll_seconds: float | None = DEFAULT_POLL_SECONDS,
+    poll_seconds: float | None = DEFAULT_POLL_SECONDS, part_name: str | None = None,
 ) -> StreamingQuery:
     """New files of a watched folder (``sources.files.watch_files``) as messages, keyed by file name, appended to a log.
 
-    Weighted round robin begins anew in every batch; offsets continue.
+    Weighted round robin begins anew in every batch; offsets continue. With ``part_name``, a pattern of the end of a path,
+    paths alike without it are the parts, in name order, of one file; its parts have to come in one batch.
     """
 
     def run(batch, batch_id):
-        append_batch(generate_log(batch, topic, size, partitions, weights), target, batch_id)
+        if part_name is None:
+            log = generate_log(batch, topic, size, partitions, weights)
+        else:
+            parts = batch.select(F.regexp_replace("path", part_name, "").alias("path"), F.col("path").alias("part"), "content")
+            log = generate_log_of_parts(parts, topic, size, partitions, weights)
+        append_batch(log, target, batch_id)
 
     return _start(files, run, checkpoint, poll_seconds)
 
