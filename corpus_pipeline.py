@@ -24,7 +24,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs.select("doc_id", "text"))
+    # the ids are part of the result: a row alone does not tell which of the readings of a document it is cut of
+    return pack_documents(docs.select("doc_id", "text"), ids=True)
 
 
 STAGES = [

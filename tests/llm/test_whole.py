@@ -1,12 +1,19 @@
 """Cases in which operators once did less than the whole job."""
 
 import random
+import sys
 import zlib
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 
-from tidelog.llm import packing
-from tidelog.llm.queries import QUERIES
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+
+from tidelog.llm import packing  # noqa: E402
+from tidelog.llm.queries import QUERIES  # noqa: E402
 
 
 def test_added_tokens(spark, tables):
@@ -25,3 +32,29 @@ def test_added_tokens(spark, tables):
     docs = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
     got = QUERIES["op5_packing"](spark, tables(documents=docs)).collect()
     assert sorted((r.doc_id, r.length, r.ids_crc32) for r in got) == [(i, len(w) + 1, zlib.crc32(np.array([*w, 0], "<u4").tobytes())) for i, w in enumerate(wanted)]
+
+
+def test_pipeline_gives_sequences(spark, prose):
+    # read three times, once cut short, as after mixing; one text is longer than a sequence
+    texts = [prose(300, 1), prose(300, 1), prose(300, 1)[:200], prose(4_000, 2), "", None, "a <|endoftext|> b"]
+    docs = spark.createDataFrame([(i // 3, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = corpus_pipeline.packing(spark, docs, "").collect()
+    assert "ids" in got[0].asDict()
+    encode = packing.encoder(packing.vocabulary_path()).encode
+    sequences, wanted = {}, Counter()
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        own = sequences.setdefault(r.sequence_id, [])
+        assert r.offset == len(own) and r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        own += r.ids
+    for i, t in enumerate(texts):
+        ids = [*encode(t or "", allowed_special="all"), 0]
+        wanted.update((i // 3, n, tuple(ids[a : a + size])) for n, (a, size) in enumerate(packing.cut(len(ids))))
+    assert Counter((r.doc_id, r.piece, tuple(sequences[r.sequence_id][r.offset : r.offset + r.length])) for r in got) == wanted
+    assert max(map(len, sequences.values())) <= 2048
+
+
+def test_run_gives_texts(spark, tables):
+    rows = [(i, f"The {w} of the house and the garden was in a book {i} " * 4, "en", "s", 0) for i, w in enumerate(["cat", "dog", "cow", "hen", "fox", "owl"])]
+    decode = packing.encoder(packing.vocabulary_path()).decode
+    got = corpus_pipeline.run(spark, tables(documents=rows)).collect()
+    assert got and all(rows[r.doc_id][1].startswith(decode(r.ids[:-1])) and r.ids[-1] == packing.END_ID for r in got)
