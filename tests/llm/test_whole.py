@@ -12,7 +12,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 
-from tidelog.llm import packing  # noqa: E402
+from tidelog.llm import packing, stages  # noqa: E402
+from tidelog.llm.language import has_letter  # noqa: E402
 from tidelog.llm.queries import QUERIES  # noqa: E402
 
 
@@ -58,3 +59,16 @@ def test_run_gives_texts(spark, tables):
     decode = packing.encoder(packing.vocabulary_path()).decode
     got = corpus_pipeline.run(spark, tables(documents=rows)).collect()
     assert got and all(rows[r.doc_id][1].startswith(decode(r.ids[:-1])) and r.ids[-1] == packing.END_ID for r in got)
+
+
+def test_no_label_drops_nothing(spark, prose):
+    texts = [prose(30, 1), "é", "\U0001d4d0 ①", "日本", "ª", "12 34", "² ½ _ ①", "", None]
+    wanted = sorted(i for i, t in enumerate(texts) if has_letter(t or ""))
+    ddl = "doc_id bigint, text string, lang string"
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], ddl)
+    assert sorted(r.doc_id for r in stages.keep_languages(docs).collect()) == wanted and len(wanted) == 5
+    # labelled, but all held out of learning
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    docs = spark.createDataFrame([(i, prose(20, i), "en") for i in held], ddl)
+    kept = stages.keep_languages(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == held

@@ -29,9 +29,12 @@ def with_text(rows: DataFrame) -> DataFrame:
 def keep_languages(docs: DataFrame) -> DataFrame:
     """``docs`` without those that have no letter and those in which no language has at least half.
 
-    Learned from the labelled documents of ``docs`` that are not held out; a prediction sees the text alone.
+    Learned from the labelled documents of ``docs`` that are not held out; a prediction sees the text alone. Where these
+    have no language there is nothing to judge by, and all documents that have a letter stay.
     """
     model = learn(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     judged = predict(docs, model)
     return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= MAIN_LANGUAGE)).select("row.*")
 
