@@ -7,14 +7,16 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 
-from tidelog.llm import packing, stages  # noqa: E402
+from tidelog.llm import packing, stages, warc  # noqa: E402
 from tidelog.llm.language import has_letter  # noqa: E402
-from tidelog.llm.queries import QUERIES  # noqa: E402
+from tidelog.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 
 def test_added_tokens(spark, tables):
@@ -72,3 +74,17 @@ def test_no_label_drops_nothing(spark, prose):
     docs = spark.createDataFrame([(i, prose(20, i), "en") for i in held], ddl)
     kept = stages.keep_languages(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == held
+
+
+def test_addresses_that_end_in_the_mark(spark, tables, same_as_sql):
+    urls = ["http://a.org/WARC/1.1", "WARC/1.1", "http://b.org/WARC/1.1/x", "http://c.org/WARC/1.1\r\n", "http://d.org/WARC/1.1"]
+    pages = [(i, u, t) for i, (u, t) in enumerate(zip(urls, ["<p>a</p>", "é" * 40_000, "b", "c", "<p>a</p>"], strict=True))]
+    folder = tables(pages=pages)
+    same_as_sql(QUERIES["op1_warc_reassembly"](spark, folder), ORACLE["op1_warc_reassembly"], folder)
+
+
+def test_damage_is_an_error(spark, tables, monkeypatch):
+    read = warc.read_payloads
+    monkeypatch.setattr(warc, "read_payloads", lambda *a: read(*a).withColumn("whole", F.lit(False)))
+    with pytest.raises(Exception, match="not read back whole"):
+        QUERIES["op1_warc_reassembly"](spark, tables(pages=[(1, "u", "<p>a</p>")])).collect()

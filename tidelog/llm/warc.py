@@ -124,7 +124,8 @@ def write_archives(records: DataFrame, path: str, segment_bytes: int = SEGMENT_B
     """Write ``record_id``, ``target_uri``, ``payload`` and ``refers_to`` as gzipped WARC archives below ``path``.
 
     One archive for each partition. A null payload is an empty one; control characters and blanks in an address are
-    written percent-encoded, as a header line cannot hold them.
+    written percent-encoded, as a header line cannot hold them, and so is the slash of a ``VERSION`` that ends it, as the
+    line would be a ``MARK``.
     """
 
     def pack(batches):
@@ -133,7 +134,7 @@ def write_archives(records: DataFrame, path: str, segment_bytes: int = SEGMENT_B
                 out = []
                 for r in part.to_pylist():
                     payload = r["payload"] or b""
-                    uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", r["target_uri"] or "")
+                    uri = re.sub(r"[\x00-\x20\x7f]|(?<=WARC)/(?=1\.1\Z)", lambda m: f"%{ord(m[0]):02X}", r["target_uri"] or "")
                     out += _records(r["record_id"], uri, payload, r["refers_to"], sha1_base32(payload), segment_bytes)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
@@ -261,6 +262,8 @@ def op1_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_archives(mark_revisits(pages.withColumn("record_id", record_id), "page_id"), path)
     read = resolve_revisits(read_payloads(spark, path).drop("payload"))
+    damaged = F.raise_error(F.concat(F.lit("not read back whole: "), F.coalesce("record_id", F.lit("")))).cast("boolean")
+    read = read.filter(F.when(F.col("whole"), F.lit(True)).otherwise(damaged))
     number = lambda c: F.expr(f"try_cast(nullif(split_part({c}, ':', 3), '') AS bigint)")
     return read.select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"),
