@@ -31,3 +31,12 @@ def test_watched_files_are_bounded(spark, monkeypatch, name):
     con = duckdb.connect()
     ((langs, parts),) = con.sql(f"SELECT count(DISTINCT lang), count(DISTINCT (lang, doc_id // 16)) FROM read_parquet('{SF}/documents.parquet')").fetchall()
     assert len(files) == parts > 4 * langs
+
+
+def test_generations_of_every_topic(spark, monkeypatch):
+    monkeypatch.setattr(D, "_written", {})
+    same_as_sql(catalog.QUERIES["import_avro_generation"](spark, SF), "import_avro_generation")
+    (folder,) = D._written.values()
+    folder = Path(re.sub("^file:/*", "/", folder))
+    log = D.event_log(spark, SF).select("topic", "partition").distinct().collect()
+    assert {str(f.relative_to(folder)) for f in folder.glob("*/*/*")} == {f"{t}/{g}/{p}" for t, p in log for g in ("gen-a", "gen-b")}

@@ -163,11 +163,10 @@ def import_avro_generation(spark, sf_dir):
     def write(path):
         # topic/generation/partition folders, of which one generation is asked for
         log = D.event_log(spark, sf_dir).withColumn("headers", H.headers_map())
-        for topic in ("ev-click", "ev-error", "ev-view"):
+        for topic, partition in sorted(log.select("topic", "partition").distinct().collect()):
             for name, rows in (("gen-a", log), ("gen-b", log.filter("value IS NOT NULL"))):
-                for partition in range(4):
-                    mine = rows.filter((F.col("topic") == topic) & (F.col("partition") == partition))
-                    mine.coalesce(1).write.format(file_format("avro")).save(f"{path}/{topic}/{name}/{partition}")
+                mine = rows.filter((F.col("topic") == topic) & (F.col("partition") == partition))
+                mine.coalesce(1).write.format(file_format("avro")).save(f"{path}/{topic}/{name}/{partition}")
 
     root = D.once(spark, sf_dir, "instances", write)
     return flat(import_segments(spark, root, topics=["ev-click", "ev-error"], generation="gen-b"))
