@@ -1,6 +1,6 @@
 """The queries of this package over the test tables, and what SQL can say of them."""
 
-from tidelog.llm import conversations, language, line_dedup, mixing, near_dedup, packing, quality, search, substring_dedup, suffix_dedup, url_templates, warc
+from tidelog.llm import conversations, language, line_dedup, mixing, near_dedup, packing, phrases, quality, search, substring_dedup, suffix_dedup, url_templates, warc
 
 QUERIES = {
     "op1_warc_reassembly": warc.op1_warc_reassembly,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_language_mixture": language.op8_language_mixture,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_collocations": phrases.op11_collocations,
     "op12_suffix_dedup": suffix_dedup.op12_suffix_dedup,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
@@ -23,6 +24,7 @@ ORACLE = {
     "op6_quality_cascade": quality.OP6_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
+    "op11_collocations": phrases.OP11_SQL,
     "op12_suffix_dedup": suffix_dedup.OP12_SQL,
     "op13_conversation_repair": conversations.OP13_SQL,
 }
