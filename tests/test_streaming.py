@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +12,9 @@ from tidelog.session import scratch
 from tidelog.sources import backup as B
 from tidelog.sources import files as W
 from tidelog.sources.log import stream_log
+from tidelog.sources.sinks import write_segments
 from tidelog.streaming import jobs as T
+from tidelog.streaming.segments import stream_segments
 
 
 def rows(df):
@@ -180,3 +185,91 @@ def test_merged_topics_get_new_offsets(spark, skewed_log):
         F.count("*").alias("n"), F.count_distinct("offset").alias("d"), F.max("offset").alias("top")
     ).collect()
     assert sum(r.n for r in got) == 20_000 and all(r.n == r.d == r.top + 1 for r in got)
+
+
+# ---- committed snapshots
+
+
+def test_new_checkpoints_add(spark, skewed_log):
+    """Two queries with checkpoints of their own, one after the other, into one backup, and so for a restore."""
+    root, target = scratch(spark, "root"), scratch(spark, "target")
+    for part in ("offset < 30000", "offset >= 30000"):
+        source = scratch(spark, "log")
+        skewed_log.filter(part).repartition(3).write.parquet(source)
+        for sink, folder in ((T.stream_backup_sink, root), (T.stream_restore, target)):
+            stream = stream_log(spark, source, TOPICS, max_per_trigger=1)
+            wait(sink(stream, folder, scratch(spark, "checkpoint"), poll_seconds=None))
+    assert rows(B.scan_backup(spark, root)) == rows(skewed_log)
+    ends = B.scan_backup(spark, target).groupBy("topic", "partition").agg(
+        F.count("*").alias("n"), F.count_distinct("offset").alias("d"), F.max("offset").alias("top")
+    ).collect()
+    assert sum(r.n for r in ends) == 20_000 and all(r.n == r.d == r.top + 1 for r in ends)
+
+
+def test_dedupe_goes_on_with_a_new_checkpoint(spark, skewed_log):
+    out = scratch(spark, "once")
+    for part in ("offset < 40000", "offset >= 20000"):
+        source = scratch(spark, "log")
+        skewed_log.filter(part).repartition(2).write.parquet(source)
+        stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+        wait(T.stream_dedupe_sink(stream, out, scratch(spark, "c"), poll_seconds=None))
+    assert rows(B.scan_backup(spark, out)) == rows(skewed_log)
+
+
+def test_dedupe_reads_no_history(spark, make_log):
+    """The state that a micro-batch touches is that of its own blocks, however many there were before."""
+    source = scratch(spark, "log")
+    for i in range(6):
+        make_log([{"offset": i * (1 << 20) + j} for j in range(50)] * 2).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    out = scratch(spark, "once")
+    query = T.stream_dedupe_sink(stream, out, scratch(spark, "c"), poll_seconds=None)
+    wait(query)
+    seen = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+    assert [s.numRowsTotal for s in seen] == [1, 2, 3, 4, 5, 6] and {s.numRowsUpdated for s in seen} == {1}
+    assert all(p.numInputRows == 100 for p in query.recentProgress if p.numInputRows)
+    assert B.scan_backup(spark, out).count() == 300
+
+
+# ---- rotation in the stream
+
+
+def segments_of(spark, root):
+    found = spark.read.schema(B._schema(False, True)).parquet(root)
+    per = found.groupBy("topic", "partition", "batch_id").agg(F.count("*").alias("n"), F.max("offset").alias("last"), F.count_distinct("_metadata.file_path").alias("files"))
+    return sorted(map(tuple, per.collect()))
+
+
+@pytest.mark.parametrize("schedule", [None, 50_000])
+def test_stream_segments(spark, skewed_log, schedule):
+    """A log in triggers that end anywhere gives the files that a bulk write of the closed segments gives."""
+    source, root, bulk = (scratch(spark, n) for n in ("log", "streamed", "bulk"))
+    for i in range(4):
+        # the log as it grew: a topic-partition's older records are in older files
+        age = f"offset >= {i * 16_000} AND offset < {(i + 1) * 16_000}"
+        skewed_log.filter(age).repartition(2, "topic", "partition").write.mode("append").parquet(source)
+    checkpoint = scratch(spark, "checkpoint")
+    for _ in range(2):
+        stream = stream_log(spark, source, TOPICS, max_per_trigger=1)
+        wait(stream_segments(stream, root, checkpoint, 300, schedule, poll_seconds=None))
+    write_segments(skewed_log, bulk, 300, schedule, open_tail=False)
+    got, wanted = segments_of(spark, root), segments_of(spark, bulk)
+    assert got == wanted and all(files == 1 for *_, files in got)
+    held = spark.read.schema(B._schema(False, True)).parquet(root)
+    assert rows(held) == rows(spark.read.schema(B._schema(False, True)).parquet(bulk))
+
+
+def test_idle_segments_close_without_input(spark, make_log):
+    source, root = scratch(spark, "log"), scratch(spark, "streamed")
+    make_log([{"offset": i} for i in range(5)]).coalesce(1).write.parquet(source)
+    stream = stream_log(spark, source, "t")
+    query = stream_segments(stream, root, scratch(spark, "c"), 100, idle_ms=1_500, poll_seconds=0.5)
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if os.path.exists(f"{root}/topic=t"):
+                break
+        wait_rows = segments_of(spark, root)
+    finally:
+        query.stop()
+    assert wait_rows == [("t", 0, 0, 5, 4, 1)]

@@ -1,13 +1,14 @@
 """Committed offsets and their translation to a restored topic."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.commits import decode_offset_keys, decode_offset_values
 from tidelog.functions.headers import old_offset
+from tidelog.operators.ordering import BLOCK, number_records, offset_block
 from tidelog.operators.records import valid_offset_records
 from tidelog.schema import TOPIC_PARTITION
-from tidelog.session import small_side
+from tidelog.session import join_null_safe, small_side
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -129,6 +130,55 @@ def offset_index(source: DataFrame, restored: DataFrame, mapping: DataFrame | No
     )
 
 
+RUN_KEYS = ["old_topic", "new_topic", "partition"]
+
+
+def offset_index_runs(restored: DataFrame, mapping: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """The offset index as runs: ``old_start`` … ``old_start + length - 1`` became ``new_start`` … in the same order.
+
+    A log that was restored whole is one run per topic-partition; a gap in either log, or an interleaved topic, begins another.
+    ``mapping`` is that of ``offset_index``; a target must have one source, as a run does not say which of several it is from.
+    Records are numbered in blocks, so no task follows a topic-partition.
+    """
+    new = restored.select(F.col("topic").alias("new_topic"), "partition", old_offset().alias("_old"), F.col("offset").alias("_new"))
+    new = new.filter("_old >= 0")
+    if mapping is None:
+        new = new.withColumn("old_topic", F.col("new_topic"))
+    else:
+        new = new.join(mapping.select(F.col("source_topic").alias("old_topic"), F.col("target_topic").alias("new_topic")), "new_topic")
+    numbered = number_records(new, keys=RUN_KEYS, order="_new", out="_rn", block=block)
+    islands = numbered.groupBy(*RUN_KEYS, (F.col("_new") - F.col("_rn")).alias("_a"), (F.col("_old") - F.col("_rn")).alias("_b"))
+    return islands.agg(
+        F.min("_old").alias("old_start"), F.min("_new").alias("new_start"), F.count(F.lit(1)).alias("length")
+    ).select(*RUN_KEYS, "old_start", "new_start", "length")
+
+
+def translate_by_runs(committed: DataFrame, runs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """New offsets for the commits of all groups at once: ``committed`` (old_topic, partition, committed and any other columns)
+    with ``new_topic`` and ``new_offset``.
+
+    As ``translate_offsets`` with ``first_at_or_after``: the first record at the committed offset or later, else the end of
+    the partition. A commit finds its run by an as-of search: commits and the ends of runs are sorted together inside blocks of
+    offsets, and one row per block tells the first run of the later ones. Old offsets grow with the new ones.
+    """
+    others = [c for c in committed.columns if c not in ("old_topic", "partition", "committed")]
+    targets = runs.groupBy(*RUN_KEYS).agg(F.max(F.col("new_start") + F.col("length")).alias("_end"))
+    asked = join_null_safe(committed, targets, ["old_topic", "partition"])
+    run = F.struct("old_start", "new_start")
+    ends = runs.select(*RUN_KEYS, (F.col("old_start") + F.col("length") - 1).alias("_at"), F.lit(1).alias("_kind"), run.alias("_run"))
+    points = asked.select(*RUN_KEYS, F.col("committed").alias("_at"), F.lit(0).alias("_kind"), "_end", *others)
+    both = ends.unionByName(points, allowMissingColumns=True).withColumn("_block", offset_block("_at", block))
+    blocks = both.groupBy(*RUN_KEYS, "_block").agg(F.min_by("_run", F.when(F.col("_kind") == 1, F.col("_at"))).alias("_first"))
+    later = Window.partitionBy(*RUN_KEYS).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    blocks = blocks.select(*RUN_KEYS, "_block", F.first("_first", ignorenulls=True).over(later).alias("_next"))
+    inside = Window.partitionBy(*RUN_KEYS, "_block").orderBy("_at", "_kind").rowsBetween(1, Window.unboundedFollowing)
+    found = both.withColumn("_hit", F.first("_run", ignorenulls=True).over(inside)).filter("_kind = 0")
+    found = join_null_safe(found, blocks, [*RUN_KEYS, "_block"]).withColumn("_hit", F.coalesce("_hit", "_next"))
+    step = F.greatest(F.col("_at") - F.col("_hit.old_start"), F.lit(0))
+    new = F.coalesce(F.col("_hit.new_start") + step, F.col("_end"))
+    return found.select("old_topic", "partition", F.col("_at").alias("committed"), *others, "new_topic", new.alias("new_offset"))
+
+
 def starting_offsets_json(translated: DataFrame, topic: str | None = None) -> DataFrame:
     """One row per topic, whose ``starting_offsets`` is the JSON that a Kafka source takes as a start.
 

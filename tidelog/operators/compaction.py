@@ -22,15 +22,43 @@ def latest_per_key(df: DataFrame, drop_tombstones: bool = True) -> DataFrame:
     Records without a key are all kept. Map tasks reduce every key before the shuffle, so a hot
     key costs one row per map task.
     """
-    rest = [c for c in df.columns if c not in (*KEYS, "key")]
-    alone = F.when(F.col("key").isNull(), F.col("offset"))
-    last = (
-        df.groupBy(*KEYS, "key", alone.alias("_alone"))
-        .agg(F.max_by(F.struct(*rest), "offset").alias("_last"))
-        .select(*KEYS, "key", "_last.*")
-        .select(*df.columns)
-    )
-    return last.filter("value IS NOT NULL") if drop_tombstones else last
+    # the last offset of every key is found on narrow rows, whose buffers are numbers; records are then picked by offset
+    ends = df.filter("key IS NOT NULL").groupBy(*KEYS, "key").agg(F.max("offset").alias("offset")).select(*KEYS, "offset")
+    live = F.col("value").isNotNull() if drop_tombstones else F.lit(True)
+    place = [*KEYS, "offset"]
+    keyed = df.filter(F.col("key").isNotNull() & live).join(ends, place, "left_semi").dropDuplicates(place)
+    return keyed.unionByName(df.filter(F.col("key").isNull() & live).dropDuplicates(place)).select(*df.columns)
+
+
+def record_id() -> Column:
+    """What a compacted log keeps one record of: a key of a topic-partition, or a record without a key (128 bits)."""
+    key = F.coalesce(F.concat(F.lit("k"), F.hex("key")), F.concat(F.lit("o"), F.col("offset").cast("string")))
+    return F.md5(F.concat(F.length("topic").cast("string"), F.lit(":"), "topic", F.lit("/"), F.col("partition").cast("string"), F.lit("/"), key))
+
+
+def put_run(records: DataFrame, name: str, path: str, buckets: int, placed: bool = False) -> None:
+    """Write compacted records as the table ``name`` at ``path``: a run per bucket, sorted by ``record_id``.
+
+    Records without a key have ids of their own, so they are spread like all others. ``placed``: the records are those of
+    ``merged_run``, whose tasks hold a bucket each.
+    """
+    rows = records if placed else records.withColumn("id", record_id()).repartition(buckets, "id")
+    rows.write.option("path", path).bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
+
+
+def merged_run(base: DataFrame, delta: DataFrame, buckets: int) -> DataFrame:
+    """The records of ``base`` (a table of ``put_run``, with as many buckets) after those of ``delta``, with their ``id``.
+
+    Only the delta is shuffled, at last its last record of every key: the base lies in the buckets that the join asks for,
+    and the result does, too. A tombstone removes the key, and is not remembered: deltas have to come in the order of offsets.
+    """
+    last = latest_per_key(delta, drop_tombstones=False).withColumn("id", record_id())
+    # the last record by offset wins, also where an old part of the log comes again
+    fresh = last.select(F.col("id"), F.struct(*delta.columns).alias("_new")).repartition(buckets, "id")
+    old = base.select("id", F.struct(*delta.columns).alias("_old"))
+    newer = F.col("_old").isNull() | (F.col("_new.offset") >= F.col("_old.offset"))
+    both = old.join(fresh.hint("merge"), "id", "full").select("id", F.when(newer & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old")).alias("_last"))
+    return both.select("id", "_last.*").filter("value IS NOT NULL")
 
 
 def apply_events(

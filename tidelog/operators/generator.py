@@ -1,5 +1,7 @@
 """Synthetic logs: files cut into messages, spread over partitions and numbered."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,28 @@ from tidelog.session import small_side
 
 #: Repetitions of one chunk that are generated together in one task.
 PAGE = 1 << 16
+#: Messages, and bytes of them, that a task hands over at once.
+HANDED_ROWS, HANDED_BYTES = 10_000, 1 << 24
+
+
+def _slices(content: pa.Scalar, first: int, size: int):
+    """Cuts of the bytes of ``content``, which begin at ``first`` of their file, at its multiples of ``size``.
+
+    Arrays of the number of the first cut and the cuts, which share the memory of ``content``: time is linear in its length.
+    """
+    data = content.as_buffer()
+    numbers = range(first // size, (first + len(data) - 1) // size + 1)
+    step = max(1, min(HANDED_ROWS, HANDED_BYTES // size))
+    for at in range(0, len(numbers), step):
+        own = numbers[at : at + step]
+        edges = np.clip(np.arange(own[0], own[-1] + 2, dtype=np.int64) * size - first, 0, len(data))
+        part = data.slice(int(edges[0]), int(edges[-1] - edges[0]))
+        offsets = pa.py_buffer((edges - edges[0]).astype(np.int32))
+        yield own[0], pa.Array.from_buffers(pa.binary(), len(own), [None, offsets, part])
+
+
+def _repeated(value: pa.Scalar, n: int) -> pa.Array:
+    return pa.repeat(value.cast(pa.string()), n)
 
 
 def chunk_files(files: DataFrame, size: int, messages: int | None = None) -> DataFrame:
@@ -19,15 +43,21 @@ def chunk_files(files: DataFrame, size: int, messages: int | None = None) -> Dat
     ``files`` has (path, content). With ``messages`` the chunks of every file are repeated until
     it gave at least that many, always in whole passes; an empty file gives none.
     """
-    count = F.ceil(F.length("content") / size).cast("int")
-    chunks = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.substr(F.col("content"), i * size + 1, F.lit(size))
-    )
-    usable = files.filter(F.length("content") > 0)
+    usable = files.filter(F.length("content") > 0).select("path", "content")
+
+    def cut(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                count = pa.scalar(-(-len(content.as_buffer()) // size), pa.int32())
+                for first, values in _slices(content, 0, size):
+                    n = len(values)
+                    pos = pa.array(np.arange(first, first + n, dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([_repeated(path, n), pa.repeat(count, n), pos, values], names=["path", "_n", "pos", "value"])
+
+    chunks = usable.mapInArrow(cut, "path string, _n int, pos int, value binary")
     if messages is None:
-        return usable.select("path", F.posexplode(chunks).alias("pos", "value"))
-    cut = usable.select("path", count.alias("_n"), F.posexplode(chunks).alias("_chunk", "value"))
-    return repeat_to(cut, messages)
+        return chunks.select("path", "pos", "value")
+    return repeat_to(chunks.withColumnRenamed("pos", "_chunk"), messages)
 
 
 def chunk_parts(parts: DataFrame, size: int) -> DataFrame:
@@ -39,16 +69,17 @@ def chunk_parts(parts: DataFrame, size: int) -> DataFrame:
     usable = parts.filter(F.length("content") > 0).withColumn("_size", F.length("content").cast("bigint"))
     earlier = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = usable.select("path", "part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
-    placed = usable.join(small_side(bases), ["path", "part"])
-    numbers = F.sequence(F.expr(f"_base div {size}"), F.expr(f"(_base + _size - 1) div {size}"))
+    placed = usable.join(bases, ["path", "part"]).select("path", "part", "_base", "content")
 
-    def piece(pos):
-        start = F.greatest(pos * size - F.col("_base"), F.lit(0))
-        end = F.least((pos + 1) * size - F.col("_base"), F.col("_size"))
-        value = F.substr(F.col("content"), (start + 1).cast("int"), (end - start).cast("int"))
-        return F.struct(pos.alias("pos"), value.alias("value"))
+    def cut(batches):
+        for batch in batches:
+            for path, part, base, content in zip(*batch.columns, strict=True):
+                for first, values in _slices(content, base.as_py(), size):
+                    n = len(values)
+                    pos = pa.array(np.arange(first, first + n, dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([_repeated(path, n), _repeated(part, n), pos, values], names=["path", "part", "pos", "value"])
 
-    pieces = placed.select("path", "part", F.explode(F.transform(numbers, piece)).alias("_p")).select("path", "part", "_p.*")
+    pieces = placed.mapInArrow(cut, "path string, part string, pos bigint, value binary")
     edges = pieces.filter(F.length("value") < size).groupBy("path", "pos").agg(F.sort_array(F.collect_list(F.struct("part", "value"))).alias("_all"))
     joined = F.aggregate("_all", F.lit(b""), lambda done, p: F.concat(done, p["value"]))
     return pieces.filter(F.length("value") == size).select("path", "pos", "value").unionByName(edges.select("path", "pos", joined.alias("value")))

@@ -1,5 +1,7 @@
 """Every operator run over the driver's tables, by name. ``oracle.py`` has the same in SQL."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +17,20 @@ from tidelog.operators import records as R
 from tidelog.operators import retention as X
 from tidelog.operators import segments as S
 from tidelog.plans import derived as D
-from tidelog.plans import jobs
+from tidelog.plans import cycle, jobs
 from tidelog.schema import LOG_SCHEMA, file_format
 from tidelog.session import scratch
 from tidelog.sources import backup as B
 from tidelog.sources import files as W
 from tidelog.sources.legacy import import_avro_segments as import_segments
 from tidelog.sources.log import read_log, stream_log
-from tidelog.sources.sinks import drop_generation, write_backup, write_log
+from tidelog.sources.sinks import drop_generation, put_files, write_backup, write_log
 from tidelog.sources.sinks import write_segments as put_segments
+from tidelog.sources.snapshots import reserve
+from tidelog.sources.times import index_times
+from tidelog.sources.times import scan_time_range_indexed as scan_indexed
 from tidelog.streaming import jobs as T
+from tidelog.streaming.segments import stream_segments as put_closed_segments
 
 QUERIES: dict = {}
 
@@ -124,6 +130,17 @@ def scan_time_range(spark, sf_dir):
     return flat(B.scan_time_range(spark, D.event_backup(spark, sf_dir), "ev-view", 1, DAY0 + 5 * DAY_MS, DAY0 + 10 * DAY_MS))
 
 
+@query
+def scan_time_range_indexed(spark, sf_dir):
+    # orders do not come in the order of their dates
+    def write(path):
+        write_backup(D.order_log(spark, sf_dir), path, block=4096)
+        index_times(spark, path)
+
+    root = D.once(spark, sf_dir, "timed", write)
+    return flat(scan_indexed(spark, root, "or-F", 3, 800_000_000_000, 850_000_000_000))
+
+
 @query
 def scan_offset_range(spark, sf_dir):
     return flat(B.scan_offset_range(spark, D.event_backup(spark, sf_dir), "ev-view", 1, 100, 5000))
@@ -457,6 +474,18 @@ def offset_index(spark, sf_dir):
     return C.offset_index(D.event_log(spark, sf_dir), D.restored_log(spark, sf_dir), mapping)
 
 
+@query
+def offset_index_runs(spark, sf_dir):
+    return C.offset_index_runs(D.restored_log(spark, sf_dir), D.event_topics(spark, sf_dir))
+
+
+@query
+def translate_all_groups(spark, sf_dir):
+    runs = C.offset_index_runs(D.restored_log(spark, sf_dir), D.event_topics(spark, sf_dir))
+    committed = C.commits_by_group(D.commit_log(spark, sf_dir)).withColumnsRenamed({"group": "group_id", "topic": "old_topic"})
+    return C.translate_by_runs(committed, runs)
+
+
 # ---- segments ---------------------------------------------------------------------------------
 
 
@@ -534,6 +563,35 @@ def latest_with_tombstones(spark, sf_dir):
     return flat(K.latest_per_key(D.event_log(spark, sf_dir), drop_tombstones=False))
 
 
+@query
+def compact_incremental(spark, sf_dir):
+    log, names = D.event_log(spark, sf_dir), [f"run_{uuid.uuid4().hex}" for _ in range(3)]
+    late = F.col("timestamp") >= MID + 7 * DAY_MS
+    try:
+        # a base and two later parts of the log, the last records of a key before and after its tombstone among them
+        jobs.compact(log.filter(F.col("timestamp") < MID), names[0], scratch(spark, "run"), 8)
+        jobs.compact_incremental(spark, names[0], log.filter((F.col("timestamp") >= MID) & ~late), names[1], scratch(spark, "run"), 8)
+        jobs.compact_incremental(spark, names[1], log.filter(late), names[2], scratch(spark, "run"), 8)
+        # records beyond the table's life: it goes with this call
+        path = scratch(spark, "compacted")
+        spark.table(names[2]).select(*LOG_SCHEMA.fieldNames()).write.parquet(path)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return flat(spark.read.schema(LOG_SCHEMA).parquet(path))
+
+
+@query
+def generation_cycle(spark, sf_dir):
+    root, log = scratch(spark, "cycle"), D.event_log(spark, sf_dir)
+    step = 5 * DAY_MS
+    for i in range(1, 7):
+        # starting and handing over in turn: three cycles in six steps
+        cycle.advance(spark, log.filter(F.col("timestamp") < DAY0 + i * step), root, DAY0 + i * step, ("backup-activate", "backup-passivate"))
+    left = spark.read.schema(B._schema(True, True)).parquet(root).select("topic", F.col("generation").alias("stored")).distinct()
+    return flat(cycle.current_records(spark, root).join(left, "topic").drop("generation").withColumn("topic", F.concat("topic", F.lit("@"), "stored")))
+
+
 def _coordination(spark, sf_dir):
     user = F.col("user_id")
     partition = (user % 4).cast("int")
@@ -792,6 +850,86 @@ def bulk_then_stream(spark, sf_dir):
     return flat(B.scan_backup(spark, root))
 
 
+@query
+def backup_in_two_runs(spark, sf_dir):
+    # the second run sees the whole log and goes on where the first ended; a third one finds nothing new
+    root, log = scratch(spark, "runs"), D.event_log(spark, sf_dir)
+    topics = [r.source_topic for r in D.event_topics(spark, sf_dir).collect()]
+    for part in (log.filter(F.col("timestamp") < MID), log, log):
+        jobs.backup(part, root, topics)
+    return flat(B.scan_backup(spark, root))
+
+
+@query
+def batch_shrunk(spark, sf_dir):
+    # two adding writes, of which one is repeated with less than before
+    root, log = scratch(spark, "shrunk"), D.event_log(spark, sf_dir)
+    write_backup(log.filter(F.col("timestamp") < MID), root)
+    for part in ("true", "partition <> 3"):
+        write_backup(log.filter(F.col("timestamp") >= MID).filter(part), root, batch_id=5)
+    return flat(B.scan_backup(spark, root))
+
+
+@query
+def generation_shrunk(spark, sf_dir):
+    root, log = scratch(spark, "generations"), D.event_log(spark, sf_dir)
+    jobs.new_generation(log, root, "gen-a")
+    jobs.new_generation(log.filter("partition = 0"), root, "gen-a")
+    return flat(B.scan_backup(spark, root, generation="gen-a"))
+
+
+def _halves(spark, sf_dir) -> list[str]:
+    """The event log as two Parquet logs, before and after its middle."""
+    log = D.event_log(spark, sf_dir)
+    return [
+        D.once(spark, sf_dir, f"half-{i}", lambda path, part=part: log.filter(part).write.parquet(path))
+        for i, part in enumerate((F.col("timestamp") < MID, F.col("timestamp") >= MID))
+    ]
+
+
+@query
+def stream_new_checkpoint(spark, sf_dir):
+    root = scratch(spark, "streamed")
+    for half in _halves(spark, sf_dir):
+        source = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 3).parquet(half)
+        finished(T.stream_backup_sink(source, root, scratch(spark, "checkpoint"), poll_seconds=None))
+    return flat(B.scan_backup(spark, root))
+
+
+def _offsets_of(restored):
+    return restored.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("offset").alias("offsets"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"), F.sum(H.old_offset()).alias("old_offsets"),
+    )
+
+
+@query
+def restore_new_checkpoint(spark, sf_dir):
+    target = scratch(spark, "restored")
+    for half in _halves(spark, sf_dir):
+        source = spark.readStream.schema(LOG_SCHEMA).parquet(half)
+        finished(T.stream_restore(source, target, scratch(spark, "checkpoint"), MAP_TEXT, now_ms=D.RESTORED_AT, poll_seconds=None))
+    return _offsets_of(B.scan_backup(spark, target))
+
+
+@query
+def stream_backup_by_manifest(spark, sf_dir):
+    # between two writes that count lie one that never ended and one that a later one replaces
+    root, target, checkpoint = (scratch(spark, n) for n in ("committed", "restored", "checkpoint"))
+    log = D.event_log(spark, sf_dir)
+
+    def follow():
+        finished(T.stream_restore_commits(spark, root, target, checkpoint, MAP_TEXT, now_ms=D.RESTORED_AT, max_commits=1, poll_seconds=None))
+
+    write_backup(log.filter(F.col("timestamp") < MID), root)
+    put_files(log, root, reserve(spark, root))
+    write_backup(log.filter((F.col("timestamp") >= MID) & (F.col("partition") < 2)), root, label="late")
+    follow()
+    write_backup(log.filter(F.col("timestamp") >= MID), root, label="late")
+    follow()
+    return _offsets_of(B.scan_backup(spark, target))
+
+
 @query
 def write_log_appended(spark, sf_dir):
     target, log = scratch(spark, "target"), D.event_log(spark, sf_dir)
@@ -839,6 +977,21 @@ def write_segments_mixed(spark, sf_dir):
     return _files_of(spark, root)
 
 
+@query
+def stream_segments(spark, sf_dir):
+    def write(path):
+        # the log as it grew: a topic-partition's older records are in older files
+        for i in range(4):
+            age = F.expr(f"timestamp >= {DAY0 + 8 * i * DAY_MS} AND timestamp < {DAY0 + 8 * (i + 1) * DAY_MS}")
+            D.event_log(spark, sf_dir).filter(age).repartition(4, "topic", "partition").write.mode("append").parquet(path)
+
+    root = scratch(spark, "segments")
+    topics = [r.source_topic for r in D.event_topics(spark, sf_dir).collect()]
+    source = stream_log(spark, D.once(spark, sf_dir, "grown", write), topics, max_per_trigger=3)
+    finished(put_closed_segments(source, root, scratch(spark, "checkpoint"), FILE_FLUSH, 5 * DAY_MS, poll_seconds=None))
+    return _files_of(spark, root)
+
+
 @query
 def merge_batches(spark, sf_dir):
     root, target = scratch(spark, "streamed"), scratch(spark, "merged")
@@ -921,4 +1074,4 @@ def stream_progress_marks(spark, sf_dir):
     marks = scratch(spark, "marks")
     source = spark.readStream.schema(LOG_SCHEMA).parquet(exported(spark, sf_dir))
     finished(T.stream_progress_marks(source, marks, scratch(spark, "checkpoint"), MARK_EVERY, poll_seconds=None))
-    return spark.read.parquet(marks + "/announced").select("topic", "partition", "offset")
+    return T.announced_marks(spark, marks)

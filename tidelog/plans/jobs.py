@@ -12,25 +12,36 @@ from tidelog.operators.commits import (
     starting_offsets_json,
     translate_offsets,
 )
-from tidelog.operators.compaction import caught_up, latest_per_key, live_generation
+from tidelog.operators.compaction import caught_up, latest_per_key, live_generation, merged_run, put_run
 from tidelog.operators.inventory import require_layout
 from tidelog.operators.records import dedupe_log, exclude_group, rename_topics, resume_after, select_topics, to_envelope
 from tidelog.operators.retention import expired_files
 from tidelog.operators.segments import segment, segment_manifest
-from tidelog.sources.backup import list_files, scan_backup
-from tidelog.sources.sinks import BULK, write_backup, write_segments
+from tidelog.sources.backup import list_files, scan_backup, written_ends
+from tidelog.sources.sinks import write_backup, write_segments
 
 GENERATION_COLUMNS = "topic string, generation string, promoted_at timestamp"
 
 
-def backup(df: DataFrame, root: str, topics, codec: str = "zstd", batch_id: int = BULK) -> None:
-    """Back up the given topics of a log. Repeated, it replaces itself."""
-    write_backup(to_envelope(select_topics(df, topics)), root, codec=codec, batch_id=batch_id)
+def backup(df: DataFrame, root: str, topics, codec: str = "zstd", batch_id: int | None = None) -> None:
+    """Back up the given topics of a log: what comes after the offsets that the backup at ``root`` holds already.
 
+    So a run may be repeated, and a later one adds. With ``batch_id`` all records are written, instead of those of an earlier
+    run with the same.
+    """
+    rows = to_envelope(select_topics(df, topics))
+    write_backup(rows if batch_id is not None else _new(rows, root), root, codec=codec, batch_id=batch_id)
+
+
+def backup_offsets(df: DataFrame, root: str, group: str, batch_id: int | None = None) -> None:
+    """Back up the consumer-offset log, without the commits of the backup's own ``group``; runs go on as in ``backup``."""
+    rows = exclude_group(to_envelope(df), group)
+    write_backup(rows if batch_id is not None else _new(rows, root), root, batch_id=batch_id)
 
-def backup_offsets(df: DataFrame, root: str, group: str, batch_id: int = BULK) -> None:
-    """Back up the consumer-offset log, without the commits of the backup's own ``group``."""
-    write_backup(exclude_group(to_envelope(df), group), root, batch_id=batch_id)
+
+def _new(rows: DataFrame, root: str) -> DataFrame:
+    ends = written_ends(rows.sparkSession, root)
+    return rows if ends is None else resume_after(rows, ends)
 
 
 def plan_segments(df: DataFrame, flush_size: int, schedule_ms: int | None = None, timezone: str = "UTC") -> DataFrame:
@@ -116,8 +127,24 @@ def merge_batches(
 
 
 def new_generation(df: DataFrame, root: str, name: str) -> None:
-    """Full backup of compacted topics, beside the live one: the latest record of every key. Repeated, it replaces itself."""
-    write_backup(latest_per_key(df), root, generation=name)
+    """Full backup of compacted topics, beside the live one: the latest record of every key.
+
+    Written again under its name, a generation holds what the last run wrote and nothing else.
+    """
+    write_backup(latest_per_key(df), root, generation=name, label=f"generation:{name}")
+
+
+def compact(log: DataFrame, name: str, path: str, buckets: int) -> None:
+    """The compacted records of a log as the table ``name`` of sorted runs, for ``compact_incremental`` to go on from."""
+    put_run(latest_per_key(log), name, path, buckets)
+
+
+def compact_incremental(spark: SparkSession, base: str, delta: DataFrame, name: str, path: str, buckets: int) -> None:
+    """The table ``base`` after the records of ``delta``, as the table ``name`` at ``path``.
+
+    The base is merged run by run, without a shuffle; the same number of buckets is needed.
+    """
+    put_run(merged_run(spark.table(base), delta, buckets), name, path, buckets, placed=True)
 
 
 def promote_generations(

@@ -339,3 +339,34 @@ ORACLE["watched_log"] = """WITH tx AS (SELECT lang, hex(encode(string_agg(text |
     SELECT 'files' AS topic, p AS "partition", row_number() OVER (PARTITION BY p ORDER BY i) - 1 AS "offset", md5(c) AS digest FROM sp"""
 ORACLE["envelope_losses"] = f"""WITH {EV} SELECT topic, "partition", "offset", "offset" % 5 = 0 AS "timestamp", false AS null_header,
     "offset" % 2 <> 0 AS repeated_header FROM ev WHERE "offset" % 5 = 0 OR "offset" % 2 <> 0"""
+ORACLE["backup_in_two_runs"] = ORACLE["stream_new_checkpoint"] = EV_ROWS
+ORACLE["batch_shrunk"] = EV_ROWS + f""" WHERE "timestamp" < {MID} OR "partition" <> 3"""
+ORACLE["generation_shrunk"] = ORACLE["latest_per_key"] + """ AND "partition" = 0"""
+ORACLE["restore_new_checkpoint"] = ORACLE["stream_backup_by_manifest"] = f"""WITH {EV} SELECT {RENAMED} AS topic,
+    "partition", count(*) AS records, count(*) AS offsets, CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset,
+    CAST(sum("offset") AS BIGINT) AS old_offsets FROM ev GROUP BY 1, 2"""
+ORACLE["scan_time_range_indexed"] = f"""WITH {ORD} SELECT topic, "partition", "offset", "timestamp",
+      hex(CAST(o_custkey AS VARCHAR)) AS key, hex(o_orderpriority) AS value, '' AS headers
+    FROM od JOIN orders ON o_orderkey = "offset" WHERE topic = 'or-F' AND "partition" = 3
+      AND "timestamp" BETWEEN 800000000000 AND 850000000000"""
+ORACLE["offset_index_runs"] = f"""WITH {RES}, rn AS (SELECT *, old_offset - new_offset AS d FROM res),
+    st AS (SELECT *, CASE WHEN old_offset = lag(old_offset) OVER w + 1 AND new_offset = lag(new_offset) OVER w + 1 THEN 0 ELSE 1 END AS fresh
+           FROM rn WINDOW w AS (PARTITION BY topic, "partition" ORDER BY new_offset)),
+    ru AS (SELECT *, sum(fresh) OVER (PARTITION BY topic, "partition" ORDER BY new_offset ROWS UNBOUNDED PRECEDING) AS run FROM st)
+    SELECT old_topic, topic AS new_topic, "partition", min(old_offset) AS old_start, min(new_offset) AS new_start, count(*) AS length
+    FROM ru GROUP BY old_topic, topic, "partition", run"""
+ORACLE["translate_all_groups"] = f"""WITH {RES}, {LAST}
+    SELECT lc.topic AS old_topic, lc."partition" AS "partition", committed, group_id, any_value(res.topic) AS new_topic,
+      coalesce(min(CASE WHEN old_offset >= committed THEN new_offset END), max(new_offset) + 1) AS new_offset
+    FROM lc JOIN res ON res.old_topic = lc.topic AND res."partition" = lc."partition"
+    GROUP BY lc.topic, lc."partition", committed, group_id"""
+ORACLE["compact_incremental"] = ORACLE["latest_per_key"]
+ORACLE["generation_cycle"] = f"""WITH {EV}, lt AS (SELECT *, row_number() OVER (PARTITION BY topic, "partition", k ORDER BY "offset" DESC) AS r
+      FROM ev WHERE "timestamp" < {DAY0 + 35 * DAY_MS})
+    SELECT topic || '@backup-activate' AS topic, "partition", "offset", "timestamp", hex(k) AS key, hex(v) AS value, headers
+    FROM lt WHERE r = 1 AND v IS NOT NULL"""
+ORACLE["stream_segments"] = mixed(EV, "ev", FILE_FLUSH, 5 * DAY_MS) + f""", fs AS (SELECT topic, "partition", segment_id, min("offset") AS f
+      FROM sg GROUP BY ALL), nw AS (SELECT topic, "partition", max(f) AS nf FROM fs GROUP BY 1, 2)
+    SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
+      min("offset") AS lowest, max("offset") AS last_offset FROM sg JOIN nw USING (topic, "partition")
+    GROUP BY topic, "partition", segment_id, nf HAVING min("offset") < nf OR count(*) = {FILE_FLUSH}"""

@@ -10,33 +10,46 @@ from tidelog.operators.ordering import BLOCK, number_records, offset_block
 from tidelog.operators.segments import segment
 from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA, TOPIC_PARTITION, file_format
 from tidelog.session import join_null_safe, small_side
+from tidelog.sources import snapshots
 from tidelog.sources.backup import escaped, exists
 
 KEYS = list(TOPIC_PARTITION)
 
-#: Batch of a bulk write that names none; streams count from 0.
-BULK = -1
-
 
 def write_backup(
     df: DataFrame,
     root: str,
     generation: str | None = None,
-    batch_id: int = BULK,
+    batch_id: int | None = None,
     codec: str = "zstd",
     fmt: str = "parquet",
     block: int = BLOCK,
-) -> None:
-    """File records under ``topic=/[generation=/]partition=/batch_id=/``, sorted by offset.
+    label: str | None = None,
+) -> snapshots.Commit:
+    """Add records to a backup, under ``topic=/[generation=/]partition=/batch_id=/``, sorted by offset.
 
     One shuffle, by topic, partition and offset block: records that belong together meet in one
     file, and a topic-partition that holds much of the log is still written by many tasks. There is
     at most one file per block, however many small topic-partitions a task writes.
 
-    A write may be repeated: it replaces what the same batch wrote before and nothing else. Give the bulk writes
-    that together make one backup different ids. ``codec`` and ``fmt`` go to the writer: Parquet takes none, snappy, gzip and
-    zstd; Avro takes uncompressed, snappy, bzip2, deflate and xz.
+    The records count from the moment that all of them are there (``sources.snapshots``). A write never touches what another
+    one wrote. One with a ``label`` stands in for an earlier one with the same, as a whole; ``batch_id`` alone is a label, too,
+    and the name of the folder where no other write has it. ``codec`` and ``fmt`` go to the writer: Parquet takes none,
+    snappy, gzip and zstd; Avro takes uncompressed, snappy, bzip2, deflate and xz.
     """
+    spark = df.sparkSession
+    if label is None and batch_id is not None:
+        label = f"batch:{batch_id}" if generation is None else f"generation:{generation}/batch:{batch_id}"
+    folder = snapshots.reserve(spark, root, batch_id)
+    put_files(df, root, folder, generation, codec, fmt, block)
+    return snapshots.commit(spark, root, folder, label, generation)
+
+
+def put_files(
+    df: DataFrame, root: str, batch_id: int, generation: str | None = None, codec: str = "zstd", fmt: str = "parquet",
+    block: int = BLOCK,
+) -> None:
+    """The files of a write whose folder is reserved; they count once it is committed."""
     rows, folders = df.select(*LOG_COLUMNS), ["topic"]
     if generation is not None:
         rows = rows.withColumn("generation", F.lit(generation))
@@ -44,8 +57,7 @@ def write_backup(
     rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     folders += ["partition", "batch_id"]
     placed = rows.repartition(*KEYS, offset_block("offset", block)).sortWithinPartitions(*folders, "offset")
-    writer = placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders)
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+    placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders).mode("append").save(root)
 
 
 def write_segments(
@@ -55,8 +67,11 @@ def write_segments(
     """One file per segment, in the layout of ``write_backup`` with the segment's first offset as batch.
 
     Segments are cut by count and clock (``operators.segments.segment``). A repeated write replaces the same segments.
-    Without ``open_tail`` the newest segment of a topic-partition waits until it is full or another follows.
+    Without ``open_tail`` the newest segment of a topic-partition waits until it is full or another follows. Segments are
+    named by their first offset alone, so they need a folder without commits.
     """
+    if snapshots.live_batches(df.sparkSession, root) is not None:
+        raise ValueError(f"{root} holds batches with commits; write segments to a folder of their own")
     cut = segment(df, flush_size, schedule_ms, timezone)
     whole = Window.partitionBy(*KEYS, "segment_id")
     rows = cut.withColumn("batch_id", F.min("offset").over(whole)).withColumn("_n", F.count(F.lit(1)).over(whole))

@@ -1,15 +1,16 @@
 """Continuous backup and restore.
 
-A micro-batch is written under its own ``batch_id`` before the checkpoint moves on. A batch that is
-repeated after a failure replaces its own files, so delivery is at least once and the backup holds
-every record once. An unfinished batch is read again. Failed tasks are retried by Spark with their
+A micro-batch is written and committed (``sources.snapshots``) before the checkpoint moves on. Its label is the checkpoint's own
+name and the number of the batch, so a batch that is repeated after a failure stands in for itself, and a query with another
+checkpoint adds to what is there. An unfinished batch is never seen and read again. Failed tasks are retried by Spark with their
 input. Back-pressure is set at the source (``max_per_trigger``, ``max_files``); the clock that
 closes idle segments is the trigger.
 """
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +20,10 @@ from tidelog.operators.generator import generate_log, generate_log_of_parts
 from tidelog.operators.records import rename_topics
 from tidelog.schema import DEFAULT_POLL_SECONDS, TOPIC_PARTITION
 from tidelog.session import join_null_safe, small_side
-from tidelog.sources.sinks import assign_offsets, exists, write_backup, write_log
+from tidelog.sources import snapshots
+from tidelog.sources.backup import committed_records, exists, scan_backup, stream_commits
+from tidelog.sources.sinks import assign_offsets, log_ends, put_files, write_backup, write_log
+from tidelog.streaming.dedupe import first_seen, state_store
 
 KEYS = list(TOPIC_PARTITION)
 
@@ -30,12 +34,21 @@ def _start(df: DataFrame, run, checkpoint: str, poll_seconds: float | None) -> S
     return writer.trigger(**trigger).start()
 
 
+def query_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a checkpoint, given at its first use and kept in it."""
+    store = snapshots._Store(spark, f"{checkpoint.rstrip('/')}/tidelog")
+    store.put("name", uuid.uuid4().hex)
+    return store.read("name")
+
+
 def stream_backup_sink(
     df: DataFrame, root: str, checkpoint: str, poll_seconds: float | None = DEFAULT_POLL_SECONDS, codec: str = "zstd"
 ) -> StreamingQuery:
     """Append a stream of records to a backup. ``poll_seconds=None`` stops when all input is read."""
+    name = query_name(df.sparkSession, checkpoint)
     return _start(
-        df, lambda batch, batch_id: write_backup(batch, root, batch_id=batch_id, codec=codec), checkpoint, poll_seconds
+        df, lambda batch, batch_id: write_backup(batch, root, batch_id=batch_id, codec=codec, label=f"{name}:{batch_id}"),
+        checkpoint, poll_seconds,
     )
 
 
@@ -51,12 +64,33 @@ def stream_restore(
     """Restore a stream of backup records: skip what is done, rename, stamp, produce.
 
     The checkpoint holds the restart position. ``positions`` skips records that an earlier restore,
-    without this checkpoint, has produced. A table target gets one folder per batch, so a repeated
-    batch replaces itself; its records get new offsets, which continue those of the batches before,
-    and keep the old one in their header.
+    without this checkpoint, has produced. A table target gets one commit per batch, so a repeated
+    batch stands in for itself; its records get new offsets, which continue those of the commits before, whichever query
+    made them, and keep the old one in their header.
     """
-    now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
     done = None if positions is None else small_side(positions.select(*KEYS, "last_offset"))
+    produce = _producer(df.sparkSession, target, checkpoint, topic_map, done, now_ms)
+    return _start(df, produce, checkpoint, poll_seconds)
+
+
+def stream_restore_commits(
+    spark: SparkSession, root: str, target, checkpoint: str, topic_map="", topics=None, generation: str | None = None,
+    positions: DataFrame | None = None, now_ms=None, max_commits: int | None = None,
+    poll_seconds: float | None = DEFAULT_POLL_SECONDS,
+) -> StreamingQuery:
+    """``stream_restore`` of the writes that count in the backup at ``root``, as they are committed."""
+    done = None if positions is None else small_side(positions.select(*KEYS, "last_offset"))
+    produce = _producer(spark, target, checkpoint, topic_map, done, now_ms)
+
+    def run(commits, batch_id):
+        produce(committed_records(commits, root, topics, generation), batch_id)
+
+    return _start(stream_commits(spark, root, max_commits), run, checkpoint, poll_seconds)
+
+
+def _producer(spark, target, checkpoint, topic_map, done, now_ms):
+    now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    name = query_name(spark, checkpoint)
 
     def run(batch, batch_id):
         rows = batch if done is None else join_null_safe(batch, done, KEYS, "left").filter(
@@ -66,25 +100,34 @@ def stream_restore(
         if isinstance(target, Mapping):
             write_log(out, target)
         else:
-            append_batch(out, target, batch_id)
+            append_batch(out, target, f"{name}:{batch_id}")
 
-    return _start(df, run, checkpoint, poll_seconds)
+    return run
 
 
-def append_batch(rows: DataFrame, target: str, batch_id: int) -> None:
-    """Write a micro-batch to a table with offsets that continue those of the batches before.
+def append_batch(rows: DataFrame, target: str, label: str) -> None:
+    """Add records to a table with offsets that continue those of the commits before.
 
-    ``target/_ends`` holds, per batch, the next offset of every topic-partition, which the next batch reads. A repeated
-    batch starts from its predecessor's and replaces its own.
+    With each commit goes a table of the next offset of every topic-partition, which the next commit reads. A batch that is
+    repeated goes on from what was there without it. A log that has no commits yet is read for its last offsets.
     """
     spark = rows.sparkSession
+    before = [c.batch_id for c in snapshots.commits(spark, target) or [] if c.label != label]
     ends = None
-    if batch_id > 0:
-        ends = spark.read.schema("topic string, partition int, next_offset bigint").parquet(f"{target}/_ends/batch_id={batch_id - 1}")
+    if before and exists(spark, _ends(target, before[-1])):
+        ends = spark.read.schema("topic string, partition int, next_offset bigint").parquet(_ends(target, before[-1]))
+    elif before or snapshots.commits(spark, target) is None:
+        ends = log_ends(spark, target)
     sizes = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("next_offset"))
     both = sizes if ends is None else sizes.unionByName(ends)
-    write_backup(assign_offsets(rows, ends), target, batch_id=batch_id)
-    both.groupBy(*KEYS).agg(F.sum("next_offset").alias("next_offset")).write.mode("overwrite").parquet(f"{target}/_ends/batch_id={batch_id}")
+    folder = snapshots.reserve(spark, target)
+    put_files(assign_offsets(rows, ends), target, folder)
+    both.groupBy(*KEYS).agg(F.sum("next_offset").alias("next_offset")).write.parquet(_ends(target, folder))
+    snapshots.commit(spark, target, folder, label)
+
+
+def _ends(target: str, batch_id: int) -> str:
+    return f"{target.rstrip('/')}/{snapshots.FOLDER}/ends/batch_id={batch_id}"
 
 
 def stream_dedupe_sink(
@@ -92,24 +135,21 @@ def stream_dedupe_sink(
 ) -> StreamingQuery:
     """Append a stream of records to a backup, each coordinate once, however late it comes again.
 
-    A micro-batch is compared with what earlier batches wrote, of its topics (folders) and between its smallest and its
-    largest offset (row groups): no state is kept, so none is forgotten.
+    The state store remembers the offsets that were seen, as one bitmap per block of offsets (``streaming.dedupe``): a
+    micro-batch reads and writes the bitmaps of its own blocks, never the backup. A query with a new checkpoint begins with
+    what the backup holds.
     """
+    spark, name = df.sparkSession, query_name(df.sparkSession, checkpoint)
+    own = {c.label for c in snapshots.commits(spark, root) or [] if c.label.startswith(f"{name}:")}
+    seen = None
+    if not own and exists(spark, root) and snapshots.live_batches(spark, root) != []:
+        seen = scan_backup(spark, root).select(*KEYS, "offset")
 
     def run(batch, batch_id):
-        once = batch.dropDuplicates([*KEYS, "offset"])
-        if batch_id > 0 and exists(batch.sparkSession, root):
-            # one row per topic
-            bounds = batch.groupBy("topic").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
-            if not bounds:
-                return
-            written = batch.sparkSession.read.schema("topic string, partition int, offset bigint, batch_id bigint").parquet(root)
-            written = written.filter(F.col("topic").isin([r.topic for r in bounds]) & (F.col("batch_id") < batch_id))
-            written = written.filter(F.col("offset").between(min(r.low for r in bounds), max(r.high for r in bounds)))
-            once = once.join(written.select(*KEYS, "offset"), [*KEYS, "offset"], "left_anti")
-        write_backup(once, root, batch_id=batch_id)
+        write_backup(batch, root, batch_id=batch_id, label=f"{name}:{batch_id}")
 
-    return _start(df, run, checkpoint, poll_seconds)
+    with state_store(spark):
+        return _start(first_seen(df, seen), run, checkpoint, poll_seconds)
 
 
 def stream_files(
@@ -122,13 +162,15 @@ def stream_files(
     paths alike without it are the parts, in name order, of one file; its parts have to come in one batch.
     """
 
+    name = query_name(files.sparkSession, checkpoint)
+
     def run(batch, batch_id):
         if part_name is None:
             log = generate_log(batch, topic, size, partitions, weights)
         else:
             parts = batch.select(F.regexp_replace("path", part_name, "").alias("path"), F.col("path").alias("part"), "content")
             log = generate_log_of_parts(parts, topic, size, partitions, weights)
-        append_batch(log, target, batch_id)
+        append_batch(log, target, f"{name}:{batch_id}")
 
     return _start(files, run, checkpoint, poll_seconds)
 
@@ -139,20 +181,33 @@ def stream_progress_marks(
     """Append announced offsets under ``marks/announced``, one folder per batch.
 
     ``marks/last`` holds, per batch, the last announcement of every topic-partition: the state the
-    next batch continues from. A repeated batch reads its predecessor's state and replaces its own.
+    next batch continues from, also the first one of a query with a new checkpoint. A repeated batch goes on from what was
+    there without it and stands in for its own; ``announced_marks`` reads what counts.
     """
+    name = query_name(df.sparkSession, checkpoint)
 
     def run(batch, batch_id):
-        def put(rows, name):
-            rows.write.mode("overwrite").parquet(f"{marks}/{name}/batch_id={batch_id}")
+        spark, label = batch.sparkSession, f"{name}:{batch_id}"
+        before = [c.batch_id for c in snapshots.commits(spark, marks) or [] if c.label != label]
+        folder = snapshots.reserve(spark, marks)
+
+        def put(rows, kind):
+            rows.write.parquet(f"{marks}/{kind}/batch_id={folder}")
 
         last = None
-        if batch_id > 0:
+        if before:
             schema = "topic string, partition int, offset bigint"
-            last = batch.sparkSession.read.schema(schema).parquet(f"{marks}/last/batch_id={batch_id - 1}")
+            last = spark.read.schema(schema).parquet(f"{marks}/last/batch_id={before[-1]}")
         put(progress_marks(batch, mark_every, last), "announced")
-        told = batch.sparkSession.read.parquet(f"{marks}/announced/batch_id={batch_id}").select(*KEYS, "offset")
+        told = spark.read.parquet(f"{marks}/announced/batch_id={folder}").select(*KEYS, "offset")
         both = told if last is None else told.unionByName(last)
         put(both.groupBy(*KEYS).agg(F.max("offset").alias("offset")), "last")
+        snapshots.commit(spark, marks, folder, label)
 
     return _start(df, run, checkpoint, poll_seconds)
+
+
+def announced_marks(spark: SparkSession, marks: str) -> DataFrame:
+    """The announcements of ``stream_progress_marks`` that count."""
+    found = spark.read.schema("topic string, partition int, offset bigint, batch_id bigint").parquet(f"{marks}/announced")
+    return snapshots.only_batches(found, snapshots.live_batches(spark, marks)).select(*KEYS, "offset")
