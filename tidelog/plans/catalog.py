@@ -189,12 +189,18 @@ def import_avro_generation(spark, sf_dir):
     return flat(import_segments(spark, root, topics=["ev-click", "ev-error"], generation="gen-b"))
 
 
+def _avro(spark, sf_dir) -> str:
+    return D.once(spark, sf_dir, "avro", lambda path: write_backup(D.event_log(spark, sf_dir), path, codec="xz", fmt="avro"))
+
+
 @query
 def scan_avro_backup(spark, sf_dir):
-    root = D.once(
-        spark, sf_dir, "avro", lambda path: write_backup(D.event_log(spark, sf_dir), path, codec="xz", fmt="avro")
-    )
-    return flat(B.scan_backup(spark, root, "ev-click,ev-view", fmt="avro"))
+    return flat(B.scan_backup(spark, _avro(spark, sf_dir), "ev-click,ev-view", fmt="avro"))
+
+
+@query
+def scan_avro_topics(spark, sf_dir):
+    return flat(B.scan_backup(spark, _avro(spark, sf_dir), fmt="avro"))
 
 
 # ---- record transforms ------------------------------------------------------------------------

@@ -370,3 +370,4 @@ ORACLE["stream_segments"] = mixed(EV, "ev", FILE_FLUSH, 5 * DAY_MS) + f""", fs A
     SELECT topic, "partition", min("offset") AS first_offset, CAST(1 AS BIGINT) AS files, count(*) AS records,
       min("offset") AS lowest, max("offset") AS last_offset FROM sg JOIN nw USING (topic, "partition")
     GROUP BY topic, "partition", segment_id, nf HAVING min("offset") < nf OR count(*) = {FILE_FLUSH}"""
+ORACLE["scan_avro_topics"] = EV_ROWS

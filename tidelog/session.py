@@ -16,10 +16,13 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
     ``spark.checkpoint.dir`` of the session, else the checkpoint folder of its context, else the warehouse, which a
-    cluster shares as well. Never a temporary folder of one machine.
+    cluster shares as well. Never a temporary folder of one machine: a warehouse on a local disk serves a local session alone.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or spark.conf.get("spark.sql.warehouse.dir")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not configured and not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return configured or warehouse
 
 
 def scratch(spark: SparkSession, label: str) -> str:
