@@ -8,6 +8,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
     "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 #: Names that the operators use inside.
 CLASHES = ["row", "key", "hash", "label", "size", "words", "n", "place", "bucket", "doc", "taken", "drop", "start", "length"]

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.queries import ORACLE, QUERIES
 
-BY_SQL = ["op6_quality_cascade", "op9_substring_dedup", "op10_line_dedup"]
+BY_SQL = ["op6_quality_cascade", "op9_substring_dedup", "op10_line_dedup", "op11_collocations", "op12_suffix_dedup"]
+#: Queries that do not give a row per document.
+OTHERS = ("op1_warc_reassembly", "op2_url_templates", "op7_bm25_search", "op11_collocations", "op13_conversation_repair")
 
 
 @pytest.mark.parametrize("name", BY_SQL)
@@ -48,7 +50,7 @@ def test_empty_tables(spark, tables, name):
     assert QUERIES[name](spark, tables()).count() == 0
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op1_warc_reassembly", "op2_url_templates", "op7_bm25_search")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in OTHERS])
 def test_null_and_repeated_rows(spark, tables, odd_docs, name):
     got = QUERIES[name](spark, tables(clashes=True, documents=odd_docs))
     assert got.count() == len(odd_docs)
@@ -58,6 +60,10 @@ def test_null_and_repeated_rows(spark, tables, odd_docs, name):
     if name == "op9_substring_dedup":
         # nulls come last, so their copies lose all words; those of one identifier do not count against each other
         assert sorted((r["doc_id"] or 99, r["n_removed"]) for r in found) == [(7, 0), (7, 0), (7, 0), (9, 0), (11, 100), (99, 0), (99, 0), (99, 50), (99, 50)]
+    if name == "op12_suffix_dedup":
+        # a text that a smaller document holds goes as a whole, and what is left of another are the blanks between
+        gone = {(r["doc_id"] or 99, r["n_bytes"], r["n_removed"]) for r in found}
+        assert {(d, n == g) for d, n, g in gone if d == 99 and n} == {(99, True)} and all(g == 0 for d, _, g in gone if d in (7, 9))
     if name == "op4_bag_minhash":
         assert sorted((r["doc_id"] or 99, r["class_id"] or 99) for r in found) == [(7, 7)] * 3 + [(9, 9), (11, 11), (99, 7), (99, 7), (99, 99), (99, 99)]
     if name == "op8_language_mixture":

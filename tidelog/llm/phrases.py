@@ -1,23 +1,24 @@
 """Mining of phrases by counts, after Toivonen: a sample proposes, one full pass counts, failures of the border go on.
 
-A sample of the documents yields the phrases that are frequent at a lowered threshold. The full pass counts these and
-their negative border: every phrase whose first words and whose last words are among them, though it is not itself. All
-single words are counted. A frequent phrase of the border is a failure: longer phrases around it may have been left out.
-Then the failures join the proposed phrases and another pass counts what the border has gained, until nothing fails. By
-then every phrase that is frequent has been counted, in full, as a part of a phrase is never rarer than the phrase.
-
-Which phrases are proposed is known to the tasks by a filter of a fixed size, as in Bloom's: what it lets through by
-mistake is counted exactly, like the rest, and costs nothing but time. Counts are exact: phrases are told apart by their
-words, summed in tasks before they are shuffled.
+A sample of the documents proposes the phrases that are frequent at a lowered threshold. The full pass counts these and
+their negative border: every phrase that was not proposed, though its first words and its last words were; all single words
+belong to one or the other. A frequent phrase of the border is a failure: longer phrases around it may have been left out.
+The failures join the proposed phrases, and another pass counts what is new of these and of the border, until nothing fails.
+By then every frequent phrase has been proposed and counted in full, as a part of a phrase is never rarer than the phrase.
+
+Passes count hashes of 63 bits, in packed arrays that are added up in tasks before they are shuffled. A last pass names the
+phrases of frequent hashes, each once per task. Where a hash should have two names, these are counted by their words, so the
+numbers are exact. Which phrases are proposed the tasks know by a filter of a fixed size, as Bloom's: what it lets through by
+mistake is counted like the rest, and costs nothing but time.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +33,12 @@ SCORE_SCALE = 2_000_000
 #: One document in so many is in the sample, in which so many occurrences propose a phrase.
 SAMPLE_EVERY = 4
 SAMPLE_COUNT = 2
-#: Bits of the filter, as a power of two: 8 MB, whatever the corpus.
-FILTER_BITS = 26
+#: Bits of the filter, as a power of two: 16 MB, whatever the corpus.
+FILTER_BITS = 27
+#: Phrases, and hashes, that a task gathers before it hands them over.
+TALLIED, PACKED = 200_000, 2_000_000
+#: Hashes of a bucket, about, which a task adds up together, and hashes that a byte of text gives, about.
+BUCKET_HASHES, HASHES_A_BYTE = 500_000, 0.15
 #: Parts that the first rows of a language are looked for in.
 RANK_PARTS = 16
 NO_LANGUAGE = "und"
@@ -43,7 +48,7 @@ BLANKS = b" \t"
 _AHEAD = re.compile(rb"(?:[ \t]+[^ \t.,;:!?\n\x0b\x0c\r]+){0,%d}" % (MAX_WORDS - 1))
 _DIVIDES = re.compile(rb"[ \t.,;:!?\n\x0b\x0c\r]")
 
-COUNTS_DDL = "lang string, phrase string, k int, n bigint"
+PASS_DDL = "bucket bigint, hashes binary, numbers binary"
 
 
 def chunks(text: bytes, size: int = BLOCK_BYTES):
@@ -63,6 +68,7 @@ class Words:
         self.data = np.frombuffer(b"\n".join(p for p, _ in parts) + b"\n", np.uint8).copy()
         upper = (self.data >= 65) & (self.data <= 90)
         self.data[upper] += 32
+        self.text = self.data.tobytes()
         kind = np.zeros(256, np.uint8)
         kind[list(BLANKS)], kind[list(BREAKS)] = 1, 2
         kinds = kind[self.data]
@@ -78,8 +84,8 @@ class Words:
         limits = np.cumsum(lengths) - lengths + np.array([own for _, own in parts])
         self.begins = self.first < np.repeat(limits, lengths)[self.first]
 
-    def text(self, word: int) -> str:
-        return self.data[self.first[word] : self.last[word]].tobytes().decode()
+    def phrase(self, word: int, size: int) -> str:
+        return b" ".join(self.text[a:b] for a, b in zip(self.first[word : word + size].tolist(), self.last[word : word + size].tolist(), strict=True)).decode()
 
 
 def seed(lang: str) -> np.uint64:
@@ -92,6 +98,14 @@ def longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(hashes * np.uint64(0xD6E8FEB86659FD93) + words)
 
 
+def fingerprints(words: Words, lang: str, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the phrases of ``k`` words at the places ``at`` that have nothing to do with those of ``longer``."""
+    out = np.full(len(at), seed(lang) ^ np.uint64(k))
+    for i in range(k):
+        out = mix(out ^ (words.hashes[at + i] * np.uint64(0xC2B2AE3D27D4EB4F)))
+    return out
+
+
 def has(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     if bits is None:
         return np.zeros(len(hashes), bool)
@@ -99,102 +113,221 @@ def has(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def counted(words: Words, lang: str, proposed: np.ndarray | None, before: np.ndarray | None, most: int):
-    """Phrases of up to ``most`` of ``words`` and their numbers, by length. Without ``proposed`` all of them; otherwise those whose parts
-    are ``proposed``, without those whose parts were so ``before``."""
+def looked_at(words: Words, lang: str, proposed: np.ndarray | None, before: np.ndarray | None, most: int):
+    """Per length: the hashes of phrases at the places of ``words``, and where there is a proposed one, or any of which both
+    parts are proposed but were not ``before``. Without ``proposed`` these are all."""
     n = len(words.hashes)
-    _, index, code = np.unique(words.hashes, return_index=True, return_inverse=True)
-    names = pa.array([words.text(i) for i in index.tolist()], pa.string())
-    # what is at a place: the phrase's hash and exact number, whether it is counted now, and whether it has been
-    hashes, ids = longer(np.full(n, seed(lang)), words.hashes), code.astype(np.int64)
-    valid, now, old = np.ones(n, bool), np.ones(n, bool), np.ones(n, bool)
+    hashes, valid, now, old = longer(np.full(n, seed(lang)), words.hashes), np.ones(n, bool), np.ones(n, bool), np.zeros(n, bool)
+    if before is not None:
+        old = np.ones(n, bool)
+    named = named_before = valid
     for k in range(1, most + 1):
         if k > 1:
+            # both parts of a phrase have to be proposed; of the parts at a place the last round knows it
             m = len(hashes) - 1
             if m <= 0:
                 return
-            part_now, part_old = now, old
-            if proposed is not None:
-                part_now, part_old = now & has(proposed, hashes), old & has(before, hashes)
             valid = valid[:m] & words.on[k - 2 : k - 2 + m]
-            now, old = valid & part_now[:m] & part_now[1:], valid & part_old[:m] & part_old[1:]
+            now, old = valid & named[:m] & named[1:], valid & named_before[:m] & named_before[1:]
             hashes = longer(hashes[:m], words.hashes[k - 1 : k - 1 + m])
-            key = ids[:m] * len(names) + code[k - 1 : k - 1 + m]
-            # numbers of phrases are dense again, so that keys stay small
-            at = np.flatnonzero(now)
-            ids = np.zeros(m, np.int64)
-            _, ids[at] = np.unique(key[at], return_inverse=True)
-        own = now & words.begins[: len(now)]
-        if before is not None:
-            own &= ~old
-        at = np.flatnonzero(own)
-        if len(at) and not (k == 1 and before is not None):
-            found, first, number = np.unique(ids[at], return_index=True, return_counts=True)
-            del found
-            places = at[first]
-            spelled = [names.take(pa.array(code[places + i])) for i in range(k)]
-            yield k, (pc.binary_join_element_wise(*spelled, " ") if k > 1 else spelled[0]), number
-
-
-def phrase_counts(docs: DataFrame, proposed: np.ndarray | None = None, before: np.ndarray | None = None, most: int = MAX_WORDS) -> DataFrame:
-    """``lang``, ``phrase``, ``k`` (words) and ``n`` of the phrases of ``docs`` (``lang``, ``text``) that this pass counts,
-    and in a pass without ``before`` a row with k = 0 for all words of a language."""
+        named = now if proposed is None else now & has(proposed, hashes)
+        named_before = old & has(before, hashes)
+        begins = words.begins[: len(hashes)]
+        # the last bit tells the longest phrases, out of which none grows
+        yield k, hashes & ~np.uint64(1) | np.uint64(k == MAX_WORDS), named & begins, now & ~old & begins
+
+
+def _by_language(part: pa.RecordBatch):
+    """Languages of ``part`` and their words, about a megabyte at once."""
+    by_lang: dict = {}
+    for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+        by_lang.setdefault(lang, []).append(text.encode())
+    for lang, texts in by_lang.items():
+        for group in _groups(c for text in texts for c in chunks(text)):
+            yield lang, Words(group)
+
+
+def _shared_filters(docs: DataFrame, *filters):
     sc = docs.sparkSession.sparkContext
-    filters = None if proposed is None else (sc.broadcast(proposed), None if before is None else sc.broadcast(before))
+    sent = [None if x is None else sc.broadcast(x) for x in filters]
+    return lambda: [None if x is None else x.value for x in sent]
+
+
+def frequent_hashes(
+    docs: DataFrame, least: int, bucket_bits: int, proposed: np.ndarray | None = None, before: np.ndarray | None = None, most: int = MAX_WORDS
+) -> DataFrame:
+    """One pass over ``docs`` (``lang``, ``text``): the ``hash`` and number ``n`` of the phrases found ``least`` times, of those
+    whose parts are ``proposed`` and were not ``before``, and whether one is a ``failure``: not proposed, though it may grow."""
+    filters = _shared_filters(docs, proposed, before)
 
     def count(batches):
-        use, gone = (None, None) if filters is None else (filters[0].value, filters[1] and filters[1].value)
+        use, gone = filters()
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                by_lang: dict = {}
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    by_lang.setdefault(lang, []).append(text.encode())
-                for lang, texts in by_lang.items():
-                    pending, size = [], 0
-                    for x in (c for text in texts for c in chunks(text)):
-                        pending.append(x)
-                        size += len(x[0])
-                        if size > 4 * BLOCK_BYTES:
-                            yield from counts_of(pending, lang, use, gone)
-                            pending, size = [], 0
-                    if pending:
-                        yield from counts_of(pending, lang, use, gone)
-
-    def counts_of(parts, lang, use, gone):
-        words = Words(parts)
-        rows = list(counted(words, lang, use, gone, most))
-        if gone is None:
-            rows.append((0, pa.array([None], pa.string()), np.array([words.begins.sum()])))
-        for k, phrases, number in rows:
-            size = len(phrases)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size, pa.string()), phrases, pa.array(np.full(size, k, np.int32)), pa.array(number, pa.int64())],
-                names=["lang", "phrase", "k", "n"],
-            )
-
-    return docs.select("lang", "text").mapInArrow(count, COUNTS_DDL).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
-
-
-def filter_of(phrases: DataFrame) -> np.ndarray:
-    """The filter for ``phrases`` (``lang``, ``phrase``): bits, of which only the set ones come to the driver."""
-
-    def bits(batches):
+                for lang, words in _by_language(part):
+                    for _, hashes, _, fresh in looked_at(words, lang, use, gone, most):
+                        held.append(hashes[fresh])
+                        size += len(held[-1])
+                if size > PACKED:
+                    yield _packed(np.concatenate(held), bucket_bits)
+                    held, size = [], 0
+        if size:
+            yield _packed(np.concatenate(held), bucket_bits)
+
+    def add_up(batches):
+        (use,) = filters()[:1]
+        bucket, arrays = None, []
+
+        def often():
+            hashes, numbers = (np.concatenate(x) for x in zip(*arrays, strict=True))
+            order = np.argsort(hashes)
+            hashes = hashes[order]
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            n = np.add.reduceat(numbers[order].astype(np.int64), first)
+            found, n = hashes[first[n >= least]], n[n >= least]
+            failure = ~has(use, found) & (found & np.uint64(1) == 0)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n), pa.array(failure)], names=["hash", "n", "failure"])
+
         for batch in batches:
-            parts = [p.encode() for p in batch.column("phrase").to_pylist()]
-            words = Words([(p, len(p)) for p in parts])
-            seeds = {lang: seed(lang) for lang in set(batch.column("lang").to_pylist())}
-            # each phrase is a piece of its own: its words go on up to the next one
-            at = np.flatnonzero(~np.append(False, words.on[:-1])) if len(words.on) else np.empty(0, np.int64)
-            h = longer(np.array([seeds[lang] for lang in batch.column("lang").to_pylist()], np.uint64), words.hashes[at])
-            more = np.ones(len(at), bool)
-            for k in range(1, MAX_WORDS):
-                more &= words.on[np.minimum(at + k - 1, len(words.on) - 1)]
-                h[more] = longer(h[more], words.hashes[at[more] + k])
-            slot = h >> np.uint64(64 - FILTER_BITS)
-            bit = (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(bit)], names=["slot", "bits"])
-
-    found = phrases.select("lang", "phrase").mapInArrow(bits, "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+            for own, hashes, numbers in zip(*batch.columns, strict=True):
+                if own.as_py() != bucket and arrays:
+                    yield often()
+                    arrays = []
+                bucket = own.as_py()
+                arrays.append((np.frombuffer(hashes.as_buffer(), np.uint64), np.frombuffer(numbers.as_buffer(), np.uint32)))
+        if arrays:
+            yield often()
+
+    packed = docs.select("lang", "text").mapInArrow(count, PASS_DDL)
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "hash bigint, n bigint, failure boolean")
+
+
+def named(docs: DataFrame, proposed: np.ndarray, frequent: np.ndarray, bucket_bits: int) -> DataFrame:
+    """``hash``, ``lang``, ``phrase`` and ``k`` of the phrases that were counted, as their parts are ``proposed``, and that the
+    filter ``frequent`` lets through, once each, and rows with k = 0 and ``n``, which add up to all words of a language.
+
+    Tasks name what they find once; names travel in lists, a row per bucket of hashes."""
+    filters = _shared_filters(docs, proposed, frequent)
+    columns, kinds = ["hash", "lang", "phrase", "k"], (pa.int64(), pa.string(), pa.string(), pa.int32())
+
+    def name(batches):
+        use, often = filters()
+        seen, totals, rows = np.empty(0, np.uint64), {}, []
+
+        def handed():
+            hashes = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+            bucket = (hashes >> np.uint64(63 - bucket_bits)).astype(np.int64) >> 1
+            order = np.argsort(bucket, kind="stable")
+            bucket, own = bucket[order], [rows[i] for i in order.tolist()]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            edges = pa.array(np.append(first, len(own)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(edges, pa.array([r[i] for r in own], t)) for i, t in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *lists, pa.nulls(len(first), pa.int64())], names=["bucket", *columns, "n"])
+
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for lang, words in _by_language(part):
+                    totals[lang] = totals.get(lang, 0) + int(words.begins.sum())
+                    for k, hashes, _, counted in looked_at(words, lang, use, None, MAX_WORDS):
+                        at = np.flatnonzero(counted & has(often, hashes))
+                        # a phrase that shares its hash with another one has another fingerprint, and is named, too
+                        found, first = np.unique(fingerprints(words, lang, at, k), return_index=True)
+                        place = np.searchsorted(seen, found)
+                        new = np.ones(len(found), bool)
+                        inside = place < len(seen)
+                        new[inside] = seen[place[inside]] != found[inside]
+                        seen = np.insert(seen, place[new], found[new])
+                        own = zip(hashes[at[first[new]]].view(np.int64).tolist(), at[first[new]].tolist(), strict=True)
+                        rows += [(h, lang, words.phrase(i, k), k) for h, i in own]
+                if len(rows) > TALLIED:
+                    yield handed()
+                    rows.clear()
+                if len(seen) > 20 * TALLIED:
+                    # what comes again is named again
+                    seen = np.empty(0, np.uint64)
+        if rows:
+            yield handed()
+        langs = pa.array([[x] for x in totals], pa.list_(pa.string()))
+        none = [pa.nulls(len(totals), pa.list_(t)) for t in kinds]
+        yield pa.RecordBatch.from_arrays([pa.array([-1] * len(totals), pa.int64()), none[0], langs, *none[2:], pa.array(totals.values(), pa.int64())], names=["bucket", *columns, "n"])
+
+    def once(batches):
+        bucket, held = None, []
+
+        def unique():
+            table = pa.concat_tables(held).group_by(columns).aggregate([])
+            for x in table.combine_chunks().to_batches():
+                yield pa.RecordBatch.from_arrays([*(x.column(c) for c in columns), pa.nulls(len(x), pa.int64())], names=[*columns, "n"])
+
+        for batch in batches:
+            for i, own in enumerate(batch.column("bucket").to_pylist()):
+                if own < 0:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(1, pa.int64()), batch.column("lang")[i].values, pa.nulls(1, pa.string()), pa.array([0], pa.int32()), batch.column("n").slice(i, 1)],
+                        names=[*columns, "n"],
+                    )
+                    continue
+                if own != bucket and held:
+                    yield from unique()
+                    held = []
+                bucket = own
+                held.append(pa.table([batch.column(c)[i].values for c in columns], names=columns))
+        if held:
+            yield from unique()
+
+    lists = "bucket bigint, hash array<bigint>, lang array<string>, phrase array<string>, k array<int>, n bigint"
+    packed = docs.select("lang", "text").mapInArrow(name, lists).repartition("bucket").sortWithinPartitions("bucket")
+    return packed.mapInArrow(once, "hash bigint, lang string, phrase string, k int, n bigint")
+
+
+def counted_by_words(docs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``k`` and ``n`` of the phrases with these ``hashes``, place by place."""
+    filters = _shared_filters(docs, filter_of(hashes))
+
+    def count(batches):
+        (use,) = filters()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for lang, words in _by_language(part):
+                    for k, found, _, fresh in looked_at(words, lang, None, None, MAX_WORDS):
+                        at = np.flatnonzero(fresh & has(use, found))
+                        names = pa.array([words.phrase(i, k) for i in at.tolist()], pa.string())
+                        same = [pa.array([lang] * len(at), pa.string()), names, pa.array(np.full(len(at), k, np.int32)), pa.array(found[at].view(np.int64))]
+                        yield pa.RecordBatch.from_arrays(same, names=["lang", "phrase", "k", "hash"])
+
+    rows = docs.select("lang", "text").mapInArrow(count, "lang string, phrase string, k int, hash bigint")
+    return rows.join(hashes, "hash", "left_semi").groupBy("lang", "phrase", "k").agg(F.count("*").alias("n"))
+
+
+def _groups(parts):
+    """Chunks in lists of about a megabyte."""
+    group, size = [], 0
+    for part in parts:
+        group.append(part)
+        size += len(part[0])
+        if size > 4 * BLOCK_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _packed(hashes: np.ndarray, bucket_bits: int) -> pa.RecordBatch:
+    """Hashes and their numbers, a row per bucket: those with the same first bits."""
+    found, number = np.unique(hashes, return_counts=True)
+    bucket = (found >> np.uint64(63 - bucket_bits)).astype(np.int64) >> 1
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.empty(0, np.int64)
+    ends = [*first[1:].tolist(), len(bucket)] if len(first) else []
+    packed = [pa.array([x[a:b].tobytes() for a, b in zip(first.tolist(), ends, strict=True)], pa.binary()) for x in (found, number.astype(np.uint32))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *packed], names=["bucket", "hashes", "numbers"])
+
+
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """The filter that lets ``hash`` through: bits, of which only the words with set ones come to the driver."""
+    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 AS INT))")
+    found = hashes.groupBy(F.shiftrightunsigned(slot, 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
@@ -204,22 +337,29 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample_every:
     """``lang``, ``phrase``, ``k`` and ``n`` of all phrases of at most four words that ``docs`` (``doc_id``, ``lang``,
     ``text``) hold ``min_count`` times, and a row with k = 0 for all words of a language."""
     texts = docs.select("doc_id", F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text").filter("text IS NOT NULL AND text <> ''")
+    size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    bucket_bits = max(1, int(size * HASHES_A_BYTE / BUCKET_HASHES)).bit_length()
     sample = texts.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample_every)) == 0)
     # the longest phrases propose nothing: no phrase grows out of them
-    proposals = phrase_counts(sample, most=MAX_WORDS - 1).filter((F.col("k") > 0) & (F.col("n") >= sample_count))
-    known = stored(proposals.select("lang", "phrase"), "proposed")
-    bits = filter_of(known)
-    found = stored(phrase_counts(texts, bits).filter((F.col("n") >= min_count) | (F.col("k") == 0)), "frequent")
-    fresh = found
+    proposals = frequent_hashes(sample, sample_count, bucket_bits, most=MAX_WORDS - 1)
+    before, bits, found = None, filter_of(stored(proposals, "proposed")), []
     while True:
-        grows = fresh.filter((F.col("k") > 0) & (F.col("k") < MAX_WORDS)).select("lang", "phrase")
-        failures = stored(grows.join(known, ["lang", "phrase"], "left_anti"), "failures")
+        found.append(stored(frequent_hashes(texts, min_count, bucket_bits, bits, before), "frequent"))
+        failures = found[-1].filter("failure")
         if failures.isEmpty():
-            return found
+            break
         before, bits = bits, bits | filter_of(failures)
-        known = known.unionByName(failures)
-        fresh = stored(phrase_counts(texts, bits, before).filter(F.col("n") >= min_count), "frequent")
-        found = found.unionByName(fresh)
+    every = reduce(DataFrame.unionByName, found).groupBy("hash").agg(F.sum("n").alias("n"))
+    every = stored(every, "frequent")
+    names = stored(named(texts, bits, filter_of(every), bucket_bits), "names")
+    rows = stored(names.filter("hash IS NOT NULL").drop("n").join(every, "hash").select("hash", "lang", "phrase", "k", "n"), "phrases")
+    twice = rows.groupBy("hash").count().filter("count > 1").select("hash")
+    totals = names.filter("k = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    out = rows.drop("hash")
+    if not twice.isEmpty():
+        twice = stored(twice, "twice")
+        out = rows.join(twice, "hash", "left_anti").drop("hash").unionByName(counted_by_words(texts, twice).filter(F.col("n") >= min_count))
+    return out.unionByName(totals.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("k"), "n"))
 
 
 def _exact(column: str):
