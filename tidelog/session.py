@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    if not configured and not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+    if not configured and warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return configured or warehouse
 
