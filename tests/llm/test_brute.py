@@ -183,7 +183,6 @@ def test_packing(spark, tables, plain_docs):
     docs = plain_docs + [(10_000, "<|endoftext|> a\u0300 \U0001f600 don't 12", None, None, 0)]
     got = QUERIES["op5_packing"](spark, tables(clashes=True, documents=docs)).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces, sequences = {}, {}
     for r in got:
         pieces.setdefault(r.doc_id, []).append(r)
