@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import time
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,19 +24,34 @@ BLOCK_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
+#: Folders of the tables that are stored.
+_paths: dict[int, str] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once, safe against lost executors."""
     spark, schema = df.sparkSession, df.schema
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     del df
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _paths[id(out)] = path
+    weakref.finalize(out, _paths.pop, id(out), None)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote, where nothing that is still to run reads it."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(_paths.pop(id(df)))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
 
 
 def release(spark: SparkSession, wait: float = 0) -> None:

@@ -7,6 +7,7 @@ corpus would move many times its volume, so positions that need no sort leave be
 1. Every window of ``threshold`` bytes has an anchor, the least hash among its strings of half that length. Equal windows
    have equal anchors at the same place. Consecutive windows with one anchor travel together, and anchors of a single
    document are unique: their windows leave.
+   Documents whose whole text a smaller one holds go at once.
 2. Stretches that are equal as a whole become one, with the smallest and largest document that holds them. A stretch that
    no other one shares its anchor with is settled: the smallest document is known for all its windows. Both steps are
    done again for what is left, with longer anchors.
@@ -14,19 +15,18 @@ corpus would move many times its volume, so positions that need no sort leave be
 
 All groupings are by content or its 128-bit names. A group is never collected: counts and minima are aggregated before
 the shuffle, anchors that a sample shows to be common are spread over tasks, and joins with hot keys are split by Spark.
+Anchors are many and small, so they travel in packed arrays, a row per bucket of hashes and some megabytes of text.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import BLOCK_BYTES, _powers, mix, release, slices, stored, table
+from tidelog.llm.common import BLOCK_BYTES, _powers, discard, mix, release, slices, stored, table
 
 THRESHOLD = 50
 #: Lengths of the anchors of documents, and of those of the stretches that are left, as shares of the threshold.
@@ -42,6 +42,9 @@ SALTS = 1_000
 #: Stands for a null identifier, which comes after all others.
 LAST = (1 << 63) - 1
 
+#: Stretches that a task packs together, and those of a bucket, about, which a task looks at together.
+PACK_ROWS = 1_000_000
+BUCKET_ROWS = 1_000_000
 #: Rows that a task hands over at once.
 ROWS = 50_000
 
@@ -113,72 +116,135 @@ def _bytes(texts: pa.Array) -> list[bytes]:
     return [x if isinstance(x, bytes) else (x or "").encode() for x in texts.to_pylist()]
 
 
-def _anchors(texts: DataFrame, threshold: int, common: np.ndarray) -> DataFrame:
-    """``h``, ``doc``, ``version``, ``at`` (place and number of windows) and ``salt`` (0 but for common anchors)."""
-    names = ["h", "doc", "version", "at", "salt"]
+PACKED = {"h": np.uint64, "start": np.uint32, "count": np.uint16, "new": np.uint8, "docs": np.int64, "versions": np.int64}
+PACKED_DDL = "bucket bigint, " + ", ".join(f"{c} binary" for c in PACKED)
+
+
+def _anchors(texts: DataFrame, threshold: int, common: np.ndarray, buckets: int) -> DataFrame:
+    """The stretches of all texts, packed: a row has those of some texts whose anchors fall into one bucket. Its arrays are
+    the anchors' hashes, first windows, numbers of windows, and whether the document is the next one, and the documents.
+    Buckets of common anchors are below 0, many for each."""
 
     def emit(batches):
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 i, start, count, h, _ = stretches(_bytes(part.column("text")), anchor_bytes(ANCHOR, threshold), threshold)
-                doc, version = (part.column(c).to_numpy()[i] for c in ("doc", "version"))
-                salt = np.where(np.isin(h, common), 1 + start % SALTS, 0).astype(np.int32)
-                yield _batch(names, h, doc, version, start * _LENGTH + count, salt)
-
-    return texts.select("doc", "version", "text").mapInArrow(emit, "h bigint, doc bigint, version bigint, at bigint, salt int")
+                held.append((h.view(np.uint64), start, count, *(part.column(c).to_numpy()[i] for c in ("doc", "version"))))
+                size += len(h)
+                if size > PACK_ROWS:
+                    yield packed([np.concatenate(x) for x in zip(*held, strict=True)])
+                    held, size = [], 0
+        if size:
+            yield packed([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    def packed(arrays):
+        h, start = arrays[:2]
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        hot = np.isin(h.view(np.int64), common)
+        bucket[hot] = -1 - (h[hot] + start[hot].astype(np.uint64) * np.uint64(7919)).astype(np.int64) % SALTS
+        order = np.argsort(bucket, kind="stable")
+        bucket, (h, start, count, doc, version) = bucket[order], [x[order] for x in arrays]
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        new = np.append(True, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
+        new[first] = True
+        columns = {c: [] for c in PACKED}
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+            heads = a + np.flatnonzero(new[a:b])
+            own = {"h": h[a:b], "start": start[a:b], "count": count[a:b], "new": new[a:b], "docs": doc[heads], "versions": version[heads]}
+            for c, kind in PACKED.items():
+                columns[c].append(own[c].astype(kind, copy=False).tobytes())
+        return _batch(["bucket", *PACKED], bucket[first], *[pa.array(columns[c], pa.binary()) for c in PACKED])
+
+    return texts.select("doc", "version", "text").mapInArrow(emit, PACKED_DDL)
+
+
+def _common(texts: DataFrame, threshold: int) -> tuple[np.ndarray, int]:
+    """Anchors with more than a share of the stretches of a sample of documents, of which there are at most 1 / share, and
+    the number of buckets that all anchors need."""
+    docs, size = texts.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
+    share = min(1.0, SAMPLE_DOCS / max(1, docs))
+    chosen = F.pmod(F.xxhash64("doc", "version", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
 
+    def hashes(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield _batch(["h"], stretches(_bytes(part.column("text")), anchor_bytes(ANCHOR, threshold), threshold)[3])
 
-def _common(texts: DataFrame, threshold: int) -> np.ndarray:
-    """Anchors with more than a share of the stretches of a sample of documents; there are at most 1 / share of them."""
-    share = min(1.0, SAMPLE_DOCS / max(1, texts.count()))
-    chosen = F.pmod(F.xxhash64("doc", "version", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    counts = _anchors(texts.filter(chosen), threshold, np.empty(0, np.int64)).groupBy("h").count()
-    counts = stored(counts, "anchor-sample")
+    counts = stored(texts.filter(chosen).select("text").mapInArrow(hashes, "h bigint").groupBy("h").count(), "anchor-sample")
     total = counts.agg(F.sum("count")).first()[0] or 0
-    found = counts.filter(F.col("count") > max(8, int(total * COMMON_SHARE))).select("h").toArrow().column("h")
-    return np.sort(found.to_numpy())
+    found = counts.filter(F.col("count") > max(8, int(total * COMMON_SHARE))).select("h").toArrow().column("h").to_numpy()
+    discard(counts)
+    width = threshold - anchor_bytes(ANCHOR, threshold) + 1
+    return np.sort(found), 1 + 2 * (size or 0) // (width + 1) // BUCKET_ROWS
 
 
 def _shared(anchors: DataFrame) -> DataFrame:
-    """The stretches whose anchor more than one document has; all of the common anchors."""
-    names = ["h", "doc", "version", "at", "salt"]
+    """The stretches whose anchor more than one text has; all of the common anchors."""
+
+    def unpacked(row: dict):
+        own = {c: np.frombuffer(row[c], kind) for c, kind in PACKED.items()}
+        owner = np.cumsum(own["new"], dtype=np.int64) - 1
+        return own["h"].view(np.int64), own["docs"][owner], own["versions"][owner], own["start"].astype(np.int64) * _LENGTH + own["count"]
+
+    def live(rows: list):
+        h, doc, version, at = (np.concatenate(x) for x in zip(*rows, strict=True))
+        order = np.argsort(h)
+        sorted_h, texts = h[order], version[order]
+        first = np.flatnonzero(np.append(True, sorted_h[1:] != sorted_h[:-1]))
+        several = np.minimum.reduceat(texts, first) < np.maximum.reduceat(texts, first)
+        out = order[np.repeat(several, np.diff(np.append(first, len(h))))]
+        return _batch(["h", "doc", "version", "at"], h[out], doc[out], version[out], at[out])
 
     def keep(batches):
-        held = None
+        bucket, held = None, []
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in names]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            h, doc, salt = rows[0], rows[1], rows[4]
-            if not len(h):
-                continue
-            first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
-            live = np.repeat(several, np.diff(np.append(first, len(h)))) | (salt > 0)
-            # the last anchor may go on: two rows with the ends of its documents tell what the next batch has to know
-            live_end = live[first[-1] :].all()
-            out = np.flatnonzero(live)
-            if held is not None and len(held[0]) and held_sent:
-                out = out[out >= len(held[0])]
-            yield _batch(names[:4], *[r[out] for r in rows[:4]])
-            tail = slice(first[-1], None)
-            if live_end:
-                ends = first[-1] + np.array([doc[tail].argmin(), doc[tail].argmax()])
-                held, held_sent = [r[ends] for r in rows], True
-            else:
-                held, held_sent = [r[tail] for r in rows], False
-
-    dealt = anchors.repartition("h", "salt").sortWithinPartitions("h")
+            for row in batch.to_pylist():
+                if row["bucket"] < 0:
+                    yield _batch(["h", "doc", "version", "at"], *unpacked(row))
+                    continue
+                if row["bucket"] != bucket and held:
+                    yield live(held)
+                    held = []
+                bucket = row["bucket"]
+                held.append(unpacked(row))
+        if held:
+            yield live(held)
+
+    dealt = anchors.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(keep, "h bigint, doc bigint, version bigint, at bigint")
 
 
-def _collapsed(rows: DataFrame) -> DataFrame:
-    """Distinct stretches (``h``, ``name``, ``bytes``) with ``low`` and ``high``, and whether they are ``contested``:
-    other ones, and another document, share the anchor."""
-    distinct = stored(rows.groupBy("h", "name", "bytes").agg(F.min("low").alias("low"), F.max("high").alias("high")), "stretches")
-    per = distinct.groupBy("h").agg(F.count("*").alias("n"), F.min("low").alias("least"), F.max("high").alias("most"))
-    per = per.filter("n > 1 AND least < most").select(F.col("h").alias("_h"))
-    return stored(distinct.join(per, F.col("h") == F.col("_h"), "left").withColumn("contested", F.col("_h").isNotNull()).drop("_h"), "stretches")
+def _collapsed(rows: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Of the distinct stretches the windows that are settled, and the stretches that are contested: another one, and
+    another document, share the anchor.
+
+    Windows have ``h``, ``name``, ``first``, ``n`` and ``low``; stretches ``h``, ``name``, ``bytes``, and the ends ``low`` and ``high``
+    of the documents.
+    """
+    windows = (F.octet_length("bytes") - (threshold - 1)).alias("n")
+    distinct = _kept(rows.groupBy("h", "name", "bytes").agg(F.min("low").alias("low"), F.max("high").alias("high")), "stretches")
+    per = distinct.groupBy("h").agg(F.count("*").alias("count"), F.min("low").alias("least"), F.max("high").alias("most"))
+    per = _kept(per.filter("count > 1 AND least < most").select("h"), "contested")
+    settled = distinct.filter("low < high").select("h", "name", F.lit(0).alias("first"), windows, "low").join(per, "h", "left_anti")
+    out = _kept(settled, "settled"), _kept(distinct.join(per, "h", "left_semi"), "stretches")
+    discard(distinct, per)
+    return out
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored, in little space; shuffle files of before are gone when the next one runs."""
+    out = stored(df, label, "zstd")
+    del df
+    release(out.sparkSession, 0.3)
+    return out
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """``rows`` of disjoint windows with those made one that follow each other and have the same smallest document."""
+    before = F.sum("n").over(Window.partitionBy("h", "name", "low").orderBy("first")) - F.col("n")
+    runs = rows.withColumn("run", F.col("first") - before).groupBy("h", "name", "low", "run")
+    return runs.agg(F.min("first").alias("first"), F.sum("n").cast("int").alias("n")).select("h", "name", "first", "n", "low")
 
 
 def _sub_stretches(rows: DataFrame, threshold: int) -> DataFrame:
@@ -203,7 +269,7 @@ def ranked(rows: DataFrame, key: list[str]) -> DataFrame:
     """
     groups = rows.groupBy(*key).agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
     ordered = groups.orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank"), "low")
-    return stored(ordered, "ranks")
+    return _kept(ordered, "ranks")
 
 
 def doubled(texts: DataFrame, threshold: int = THRESHOLD, start: int = START) -> DataFrame:
@@ -230,28 +296,38 @@ def doubled(texts: DataFrame, threshold: int = THRESHOLD, start: int = START) ->
             yield _batch(["id", "pos", "gram", "low", "high"], pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(grams, pa.binary()), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()))
 
     rows = texts.select("id", "bytes", "low", "high").mapInArrow(positions, "id bigint, pos int, gram binary, low bigint, high bigint")
-    rows, key = stored(rows, "positions"), ["gram"]
+    rows, key = _kept(rows, "positions"), ["gram"]
     for shorter, longer in zip(lengths, [*lengths[1:], None], strict=True):
         ranks = ranked(rows, key)
         if longer is None:
             return rows.drop("low", "high").join(ranks, key).select("id", "pos", "low")
-        live = stored(rows.join(ranks.drop("low"), key).select("id", "pos", "rank", "low", "high"), "ranked")
+        live = _kept(rows.join(ranks.drop("low"), key).select("id", "pos", "rank", "low", "high"), "ranked")
+        discard(rows, ranks)
         later = live.select("id", (F.col("pos") - (longer - shorter)).alias("pos"), F.col("rank").alias("second"))
-        rows, key = stored(live.withColumnRenamed("rank", "first").join(later, ["id", "pos"]), "pairs"), ["first", "second"]
+        rows, key = _kept(live.withColumnRenamed("rank", "first").join(later, ["id", "pos"]), "pairs"), ["first", "second"]
+        discard(live)
+
 
+def whole_copies(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``doc`` and ``version`` of the texts that a smaller document holds as a whole; all their windows are its windows."""
+    long = docs.filter(F.octet_length("text") >= threshold)
+    keys = long.select("doc", "version", F.md5(F.col("text").cast("binary")).alias("key"))
+    first = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    return keys.join(first, "key").filter("doc > low").select("doc", "version").distinct()
 
-def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+
+def repeated_spans(docs: DataFrame, copies: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc``, ``version`` and ``spans``: stretches (first byte times 1,024 plus length, overlapping) of the texts of
-    ``docs`` (``doc``, ``version``, ``text``) that windows of smaller documents cover."""
+    ``docs`` (``doc``, ``version``, ``text``) that windows of smaller documents cover, ``copies`` left out."""
     texts = docs.filter(F.octet_length("text") >= threshold)
-    anchors = _anchors(texts, threshold, _common(texts, threshold))
-    live = stored(_shared(anchors), "anchors")
+    anchors = _anchors(texts, threshold, *_common(texts, threshold))
+    live = stored(_shared(anchors).join(copies, ["doc", "version"], "left_anti"), "anchors", "zstd")
     del anchors
     release(docs.sparkSession, 1)
     places = live.groupBy("doc", "version").agg(F.collect_set(F.struct("h", "at")).alias("places"))
 
     def cut(batches):
-        names = ["doc", "version", "start", "h", "name", "bytes"]
+        names = ["doc", "version", "start", "h", "bytes"]
         for batch in batches:
             for part in slices(batch, "text"):
                 for row, text in enumerate(_bytes(part.column("text"))):
@@ -260,29 +336,37 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                         at = some.field("at").to_numpy()
                         start, stop = at // _LENGTH, at // _LENGTH + at % _LENGTH + threshold - 1
                         cuts = [text[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
-                        name = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for x in cuts]
                         ids = [np.full(len(at), part.column(c)[row].as_py(), np.int64) for c in ("doc", "version")]
-                        yield _batch(names, *ids, start, some.field("h"), pa.array(name, pa.int64()), pa.array(cuts, pa.binary()))
-
-    found = texts.select("doc", "version", "text").join(places, ["doc", "version"]).mapInArrow(cut, "doc bigint, version bigint, start bigint, h bigint, name bigint, bytes binary")
-    occurrences = stored(found, "occurrences")
-    windows = F.octet_length("bytes") - (threshold - 1)
-
-    rows = _collapsed(occurrences.select("h", "name", "bytes", F.col("doc").alias("low"), F.col("doc").alias("high")))
-    settled = rows.filter("NOT contested AND low < high").select("h", "name", F.lit(0).alias("first"), windows.alias("n"), "low")
-    subs = stored(_sub_stretches(rows.filter("contested"), threshold), "sub-stretches")
-    inner = _collapsed(subs.select("h", "name", "bytes", "low", "high"))
-    inner_settled = inner.filter("NOT contested AND low < high").select("h", "name", F.lit(0).alias("first"), windows.alias("n"), "low")
-    left = stored(inner.filter("contested").withColumn("id", F.monotonically_increasing_id()), "left")
+                        yield _batch(names, *ids, start, some.field("h"), pa.array(cuts, pa.binary()))
+
+    found = texts.select("doc", "version", "text").join(places, ["doc", "version"]).mapInArrow(cut, "doc bigint, version bigint, start bigint, h bigint, bytes binary")
+    wide = _kept(found.withColumn("name", F.xxhash64("bytes")), "occurrences")
+    del found, places
+    discard(live)
+    settled, contested = _collapsed(wide.select("h", "name", "bytes", F.col("doc").alias("low"), F.col("doc").alias("high")), threshold)
+    # of what is as large as the corpus only what is still needed stays
+    occurrences = _kept(wide.drop("bytes"), "occurrences")
+    discard(wide)
+    wide = _kept(_sub_stretches(contested, threshold), "sub-stretches")
+    discard(contested)
+    inner_settled, inner_contested = _collapsed(wide.select("h", "name", "bytes", "low", "high"), threshold)
+    subs = _kept(wide.drop("bytes", "low"), "sub-stretches")
+    discard(wide)
+    left = _kept(inner_contested.withColumn("id", F.monotonically_increasing_id()), "left")
+    discard(inner_contested)
     sorted_out = doubled(left, threshold).join(left.select("id", "h", "name"), "id").select("h", "name", F.col("pos").alias("first"), F.lit(1).alias("n"), "low")
-    inner_all = stored(inner_settled.unionByName(sorted_out), "windows")
+    inner_all = _kept(inner_settled.unionByName(_merged(sorted_out)), "windows")
+    discard(left, inner_settled)
     # windows of the sub-stretches are windows of the stretches that they are cut of, and these of documents
-    lifted = subs.select("h", "name", "in_h", "in_name", "place", "high").join(inner_all, ["h", "name"]).filter(F.col("low") < F.col("high"))
+    lifted = subs.join(inner_all, ["h", "name"]).filter(F.col("low") < F.col("high"))
     lifted = lifted.select(F.col("in_h").alias("h"), F.col("in_name").alias("name"), (F.col("place") + F.col("first")).cast("int").alias("first"), "n", "low")
-    firsts = stored(settled.unionByName(lifted), "windows")
-    hits = occurrences.select("doc", "version", "start", "h", "name").join(firsts, ["h", "name"]).filter(F.col("low") < F.col("doc"))
+    firsts = _kept(settled.unionByName(_merged(lifted)), "windows")
+    discard(settled, subs, inner_all)
+    hits = occurrences.join(firsts, ["h", "name"]).filter(F.col("low") < F.col("doc"))
     span = (F.col("start") + F.col("first")) * _LENGTH + F.col("n") + (threshold - 1)
-    return stored(hits.select("doc", "version", span.alias("span")), "spans").groupBy("doc", "version").agg(F.collect_set("span").alias("spans"))
+    spans = _kept(hits.select("doc", "version", span.alias("span")), "spans")
+    discard(occurrences, firsts)
+    return spans.groupBy("doc", "version").agg(F.collect_set("span").alias("spans"))
 
 
 def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -295,8 +379,12 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("version"), text.alias("text"))
-    spans = repeated_spans(rows.select("doc", "version", "text"), threshold)
-    joined = rows.join(spans, ["doc", "version"], "left").select("row", "text", "spans")
+    texts = rows.select("doc", "version", "text")
+    copies = stored(whole_copies(texts, threshold), "copies")
+    spans = repeated_spans(texts, copies, threshold).select("doc", "version", "spans", F.lit(False).alias("copy"))
+    none = F.lit(None).cast("array<bigint>").alias("spans")
+    found = spans.unionByName(copies.select("doc", "version", none, F.lit(True).alias("copy")))
+    joined = rows.join(found, ["doc", "version"], "left").select("row", "text", "spans", "copy")
     names = ["row", "kept", "n_bytes", "n_removed", "removed"]
     run = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -304,8 +392,13 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 kept, sizes, gone, runs = [], [], [], []
-                for text, spans in zip(_bytes(part.column("text")), part.column("spans"), strict=True):
+                for text, spans, copy in zip(_bytes(part.column("text")), part.column("spans"), part.column("copy").to_pylist(), strict=True):
                     sizes.append(len(text))
+                    if copy:
+                        kept.append(b"")
+                        gone.append(len(text))
+                        runs.append([{"start": 0, "end": len(text)}])
+                        continue
                     if not spans.is_valid:
                         kept.append(text)
                         gone.append(0)
