@@ -169,10 +169,11 @@ def translate_by_runs(committed: DataFrame, runs: DataFrame, block: int = BLOCK)
     points = asked.select(*RUN_KEYS, F.col("committed").alias("_at"), F.lit(0).alias("_kind"), "_end", *others)
     both = ends.unionByName(points, allowMissingColumns=True).withColumn("_block", offset_block("_at", block))
     blocks = both.groupBy(*RUN_KEYS, "_block").agg(F.min_by("_run", F.when(F.col("_kind") == 1, F.col("_at"))).alias("_first"))
-    later = Window.partitionBy(*RUN_KEYS).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
-    blocks = blocks.select(*RUN_KEYS, "_block", F.first("_first", ignorenulls=True).over(later).alias("_next"))
-    inside = Window.partitionBy(*RUN_KEYS, "_block").orderBy("_at", "_kind").rowsBetween(1, Window.unboundedFollowing)
-    found = both.withColumn("_hit", F.first("_run", ignorenulls=True).over(inside)).filter("_kind = 0")
+    # from the end on: Spark adds a row to a frame that grows, and goes anew through one that shrinks
+    later = Window.partitionBy(*RUN_KEYS).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*RUN_KEYS, "_block", F.last("_first", ignorenulls=True).over(later).alias("_next"))
+    inside = Window.partitionBy(*RUN_KEYS, "_block").orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("_hit", F.last("_run", ignorenulls=True).over(inside)).filter("_kind = 0")
     found = join_null_safe(found, blocks, [*RUN_KEYS, "_block"]).withColumn("_hit", F.coalesce("_hit", "_next"))
     step = F.greatest(F.col("_at") - F.col("_hit.old_start"), F.lit(0))
     new = F.coalesce(F.col("_hit.new_start") + step, F.col("_end"))
