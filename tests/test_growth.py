@@ -1,8 +1,14 @@
 """Steps whose work has to grow with their input, not faster."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidelog.operators import commits as C
+from tidelog.plans import catalog
+from tidelog.plans import derived as D
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan_of(df) -> str:
@@ -19,3 +25,20 @@ def test_the_search_of_runs_has_no_shrinking_frame(spark):
     got = C.translate_by_runs(committed, runs, 16)
     assert "unboundedfollowing" not in plan_of(got)
     assert {r.committed: r.new_offset for r in got.collect()} == {c: min(-(-c // 3), 50) for c in range(200)}
+
+
+def jobs_of(spark, run) -> int:
+    """Spark jobs that ``run`` starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_generations_are_written_in_one_pass(spark, monkeypatch):
+    """Not with a scan of the log for each of the 40 folders."""
+    monkeypatch.setattr(D, "_written", {})
+    assert jobs_of(spark, lambda: catalog.QUERIES["import_avro_generation"](spark, SF).count()) < 10

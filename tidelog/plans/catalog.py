@@ -16,6 +16,7 @@ from tidelog.operators import inventory as I
 from tidelog.operators import records as R
 from tidelog.operators import retention as X
 from tidelog.operators import segments as S
+from tidelog.operators.ordering import offset_block
 from tidelog.plans import derived as D
 from tidelog.plans import cycle, jobs
 from tidelog.schema import LOG_SCHEMA, file_format
@@ -23,6 +24,7 @@ from tidelog.session import scratch
 from tidelog.sources import backup as B
 from tidelog.sources import files as W
 from tidelog.sources.legacy import import_avro_segments as import_segments
+from tidelog.sources.legacy import strip_folder_names
 from tidelog.sources.log import read_log, stream_log
 from tidelog.sources.sinks import drop_generation, put_files, write_backup, write_log
 from tidelog.sources.sinks import write_segments as put_segments
@@ -178,12 +180,14 @@ def import_avro_segments(spark, sf_dir):
 @query
 def import_avro_generation(spark, sf_dir):
     def write(path):
-        # topic/generation/partition folders, of which one generation is asked for
+        # topic/generation/partition folders, of which one generation is asked for: all are written in one pass
         log = D.event_log(spark, sf_dir).withColumn("headers", H.headers_map())
-        for topic, partition in sorted(log.select("topic", "partition").distinct().collect()):
-            for name, rows in (("gen-a", log), ("gen-b", log.filter("value IS NOT NULL"))):
-                mine = rows.filter((F.col("topic") == topic) & (F.col("partition") == partition))
-                mine.coalesce(1).write.format(file_format("avro")).save(f"{path}/{topic}/{name}/{partition}")
+        both = log.withColumn("g", F.lit("gen-a")).unionByName(log.filter("value IS NOT NULL").withColumn("g", F.lit("gen-b")))
+        rows = both.withColumns({"t": F.col("topic"), "p": F.col("partition")})
+        placed = rows.repartition("t", "g", "p", offset_block()).sortWithinPartitions("t", "g", "p", "offset")
+        staged = scratch(spark, "staged")
+        placed.write.format(file_format("avro")).partitionBy("t", "g", "p").save(staged)
+        strip_folder_names(spark, staged, path, ("t", "g", "p"))
 
     root = D.once(spark, sf_dir, "instances", write)
     return flat(import_segments(spark, root, topics=["ev-click", "ev-error"], generation="gen-b"))

@@ -59,3 +59,20 @@ def import_avro_segments(
         rows = reader.load(folders)
     log = rows.withColumn("headers", F.map_entries("headers").cast(HEADERS_DDL)).select(*LOG_COLUMNS)
     return decode_nulls(log) if empty_as_null else log
+
+
+def strip_folder_names(spark: SparkSession, source: str, target: str, names) -> None:
+    """Move what ``partitionBy(*names)`` wrote below ``source`` to folders of the values alone, as old files have them.
+
+    One rename per folder of files.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for status in store.globStatus(path("/".join([source, *(f"{n}=*" for n in names)]))) or []:
+        parts = status.getPath().toString().split("/")[-len(names):]
+        values = [plain(p.split("=", 1)[1]) for p in parts]
+        above = path("/".join([target, *values[:-1]]))
+        store.mkdirs(above)
+        if not store.rename(status.getPath(), path(above, values[-1])):
+            raise OSError(f"cannot move {status.getPath()}")
