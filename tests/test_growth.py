@@ -1,5 +1,6 @@
 """Steps whose work has to grow with their input, not faster."""
 
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import commits as C
 from tidelog.plans import catalog
 from tidelog.plans import derived as D
+from tidelog.sources import files as W
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +44,19 @@ def test_generations_are_written_in_one_pass(spark, monkeypatch):
     """Not with a scan of the log for each of the 40 folders."""
     monkeypatch.setattr(D, "_written", {})
     assert jobs_of(spark, lambda: catalog.QUERIES["import_avro_generation"](spark, SF).count()) < 10
+
+
+def test_digests_have_tasks_of_their_own(spark):
+    """Keys do not share a task while there are others, and what a task reads is compressed."""
+    pieces = spark.range(4000).select(
+        F.concat(F.lit("k"), (F.col("id") % 4).cast("string")).alias("key"), (F.col("id") % 4 + F.col("id") / 2000).cast("int").cast("string").alias("path"),
+        F.expr("id div 4").cast("int").alias("pos"), F.encode(F.concat(F.col("id").cast("string"), F.lit("\n")), "utf-8").alias("value"),
+    ).repartition(3)
+    got = W.digests(pieces, "key", ["path", "pos"])
+    assert len({r.task for r in got.select(F.spark_partition_id().alias("task")).collect()}) == 4
+    texts = {k: [] for k in range(4)}
+    for i in range(4000):
+        texts[i % 4].append((str(int(i % 4 + i / 2000)), i // 4, f"{i}\n"))
+    wanted = {f"k{k}": hashlib.md5("".join(t for *_, t in sorted(rows)).encode()).hexdigest() for k, rows in texts.items()}
+    assert {r.key: r.digest for r in got.collect()} == wanted
+    assert "_size" in plan_of(got)
