@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidelog.operators import commits as C
+from tidelog.operators import generator as G
+from tidelog.operators.ordering import BLOCK
 from tidelog.plans import catalog
 from tidelog.plans import derived as D
 from tidelog.sources import files as W
@@ -60,3 +62,10 @@ def test_digests_have_tasks_of_their_own(spark):
     wanted = {f"k{k}": hashlib.md5("".join(t for *_, t in sorted(rows)).encode()).hexdigest() for k, rows in texts.items()}
     assert {r.key: r.digest for r in got.collect()} == wanted
     assert "_size" in plan_of(got)
+
+
+def test_blocks_of_messages_are_bounded_in_bytes(spark):
+    """A block of 2^20 messages of 1 KB is a gigabyte in one task."""
+    assert G.message_block(1000) == 67_108 and G.message_block(1) == BLOCK and G.message_block(1 << 30) == 1
+    files = spark.createDataFrame([("f", "a", b"x" * 5000)], "path string, part string, content binary")
+    assert "div 67108" in plan_of(G.generate_log_of_parts(files, "t", 1000, 2))

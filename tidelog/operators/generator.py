@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.headers import add_header
-from tidelog.operators.ordering import number_records, prefix_sum
+from tidelog.operators.ordering import BLOCK, number_records, prefix_sum
 from tidelog.schema import HEADERS_DDL, MESSAGE_NUMBER_HEADER
 from tidelog.session import small_side
 
 
 #: Repetitions of one chunk that are generated together in one task.
 PAGE = 1 << 16
+#: Bytes of the messages that are numbered and written together.
+BLOCK_BYTES = 1 << 26
 #: Messages, and bytes of them, that a task hands over at once.
 HANDED_ROWS, HANDED_BYTES = 10_000, 1 << 24
 
@@ -131,9 +133,14 @@ def assign_partitions(df: DataFrame, partitions: int, weights=None, index: str =
     return df.withColumn("partition", partition_of(F.col(index), partitions, weights))
 
 
-def number_messages(df: DataFrame, index: str = "index") -> DataFrame:
+def message_block(size: int) -> int:
+    """Offsets of a block of messages of ``size`` bytes, so that a block has ``BLOCK_BYTES`` at most."""
+    return max(1, min(BLOCK, BLOCK_BYTES // size))
+
+
+def number_messages(df: DataFrame, index: str = "index", block: int = BLOCK) -> DataFrame:
     """Header ``message.number``: 1, 2, 3 … per partition, as text."""
-    numbered = number_records(df, keys=["partition"], order=index, out="_number")
+    numbered = number_records(df, keys=["partition"], order=index, out="_number", block=block)
     if "headers" not in numbered.columns:
         numbered = numbered.withColumn("headers", F.array().cast(HEADERS_DDL))
     return add_header(numbered, MESSAGE_NUMBER_HEADER, F.col("_number").cast("string")).drop("_number")
@@ -144,19 +151,19 @@ def generate_log(
 ) -> DataFrame:
     """Messages of all files, keyed by file name, as rows of a log."""
     indexed = message_index(chunk_files(files, size, messages), messages_per_file(files, size, messages))
-    return _as_log(indexed, topic, partitions, weights)
+    return _as_log(indexed, topic, size, partitions, weights)
 
 
 def generate_log_of_parts(parts: DataFrame, topic: str, size: int, partitions: int, weights=None) -> DataFrame:
     """``generate_log`` for files that come in parts (path, part, content)."""
     sizes = parts.groupBy("path").agg(F.sum(F.length("content").cast("bigint")).alias("length"))
     indexed = message_index(chunk_parts(parts, size), messages_per_file(sizes, size))
-    return _as_log(indexed, topic, partitions, weights)
+    return _as_log(indexed, topic, size, partitions, weights)
 
 
-def _as_log(indexed: DataFrame, topic: str, partitions: int, weights) -> DataFrame:
+def _as_log(indexed: DataFrame, topic: str, size: int, partitions: int, weights) -> DataFrame:
     spread = assign_partitions(indexed, partitions, weights)
-    return number_messages(spread).select(
+    return number_messages(spread, block=message_block(size)).select(
         F.lit(topic).alias("topic"),
         "partition",
         F.col("index").alias("offset"),

@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.headers import stamp_restore_headers
 from tidelog.operators.compaction import progress_marks
-from tidelog.operators.generator import generate_log, generate_log_of_parts
+from tidelog.operators.generator import generate_log, generate_log_of_parts, message_block
+from tidelog.operators.ordering import BLOCK
 from tidelog.operators.records import rename_topics
 from tidelog.schema import DEFAULT_POLL_SECONDS, TOPIC_PARTITION
 from tidelog.session import join_null_safe, small_side
@@ -105,7 +106,7 @@ def _producer(spark, target, checkpoint, topic_map, done, now_ms):
     return run
 
 
-def append_batch(rows: DataFrame, target: str, label: str) -> None:
+def append_batch(rows: DataFrame, target: str, label: str, block: int = BLOCK) -> None:
     """Add records to a table with offsets that continue those of the commits before.
 
     With each commit goes a table of the next offset of every topic-partition, which the next commit reads. A batch that is
@@ -121,7 +122,7 @@ def append_batch(rows: DataFrame, target: str, label: str) -> None:
     sizes = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("next_offset"))
     both = sizes if ends is None else sizes.unionByName(ends)
     folder = snapshots.reserve(spark, target)
-    put_files(assign_offsets(rows, ends), target, folder)
+    put_files(assign_offsets(rows, ends, block), target, folder, block=block)
     both.groupBy(*KEYS).agg(F.sum("next_offset").alias("next_offset")).write.parquet(_ends(target, folder))
     snapshots.commit(spark, target, folder, label)
 
@@ -170,7 +171,7 @@ def stream_files(
         else:
             parts = batch.select(F.regexp_replace("path", part_name, "").alias("path"), F.col("path").alias("part"), "content")
             log = generate_log_of_parts(parts, topic, size, partitions, weights)
-        append_batch(log, target, f"{name}:{batch_id}")
+        append_batch(log, target, f"{name}:{batch_id}", message_block(size))
 
     return _start(files, run, checkpoint, poll_seconds)
 
