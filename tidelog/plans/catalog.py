@@ -965,7 +965,8 @@ def restore_merged_topics(spark, sf_dir):
 
 
 def _files_of(spark, root):
-    rows = spark.read.schema(B._schema(False, True)).parquet(root)
+    # the folders of segments are listed together, in one job, not in one for each topic-partition
+    rows = spark.read.schema(B._schema(False, True)).option("basePath", root).parquet(f"{root}/topic=*/partition=*/batch_id=*")
     return rows.groupBy("topic", "partition", F.col("batch_id").alias("first_offset")).agg(
         F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("records"),
         F.min("offset").alias("lowest"), F.max("offset").alias("last_offset"),
