@@ -3,6 +3,8 @@
 import hashlib
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tidelog.operators import commits as C
@@ -11,6 +13,8 @@ from tidelog.operators.ordering import BLOCK
 from tidelog.plans import catalog
 from tidelog.plans import derived as D
 from tidelog.sources import files as W
+from tidelog.sources.backup import scan_backup
+from tidelog.sources.sinks import write_backup
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +73,30 @@ def test_blocks_of_messages_are_bounded_in_bytes(spark):
     assert G.message_block(1000) == 67_108 and G.message_block(1) == BLOCK and G.message_block(1 << 30) == 1
     files = spark.createDataFrame([("f", "a", b"x" * 5000)], "path string, part string, content binary")
     assert "div 67108" in plan_of(G.generate_log_of_parts(files, "t", 1000, 2))
+
+
+def test_segments_are_listed_in_one_job(spark, tmp_path):
+    """However many topic-partitions have more folders than the driver lists itself."""
+    table = pa.table({"offset": pa.array([0, 1], pa.int64())})
+    for partition in range(4):
+        for first in range(40):
+            folder = tmp_path / "topic=t" / f"partition={partition}" / f"batch_id={first}"
+            folder.mkdir(parents=True)
+            pq.write_table(table, folder / "a.parquet")
+    assert jobs_of(spark, lambda: catalog._files_of(spark, str(tmp_path))) == 1
+    assert catalog._files_of(spark, str(tmp_path)).count() == 160
+
+
+def test_avro_blocks_are_large(spark, tmp_path):
+    """64 KB of records, the default, are too few for a compressor of their own."""
+    log = spark.range(40_000).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.col("id").alias("timestamp"),
+        F.lit(b"k").alias("key"), F.sha2(F.col("id").cast("string"), 512).cast("binary").alias("value"),
+        F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+    )
+    write_backup(log, str(tmp_path / "b"), codec="xz", fmt="avro")
+    (file,) = (tmp_path / "b").rglob("*.avro")
+    content = file.read_bytes()
+    mark = content[-16:]  # ends every block and the header
+    assert content.count(mark) - 1 <= 8
+    assert scan_backup(spark, str(tmp_path / "b"), fmt="avro").agg(F.sum("offset")).first()[0] == 40_000 * 39_999 // 2

@@ -14,6 +14,8 @@ from tidelog.sources import snapshots
 from tidelog.sources.backup import escaped, exists
 
 KEYS = list(TOPIC_PARTITION)
+#: Bytes of a block of an Avro file.
+AVRO_BLOCK = 1 << 20
 
 
 def write_backup(
@@ -57,7 +59,9 @@ def put_files(
     rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     folders += ["partition", "batch_id"]
     placed = rows.repartition(*KEYS, offset_block("offset", block)).sortWithinPartitions(*folders, "offset")
-    placed.write.format(file_format(fmt)).option("compression", codec).partitionBy(*folders).mode("append").save(root)
+    # an Avro block is compressed on its own: the default of 64 KB makes a new compressor for every few hundred records
+    writer = placed.write.format(file_format(fmt)).option("avro.mapred.sync.interval", AVRO_BLOCK)
+    writer.option("compression", codec).partitionBy(*folders).mode("append").save(root)
 
 
 def write_segments(
