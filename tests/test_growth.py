@@ -14,7 +14,7 @@ from tidelog.plans import catalog
 from tidelog.plans import derived as D
 from tidelog.sources import files as W
 from tidelog.sources.backup import scan_backup
-from tidelog.sources.sinks import write_backup
+from tidelog.sources.sinks import assign_offsets, write_backup
 
 SF = "/root/testdata/sf0.001"
 
@@ -100,3 +100,9 @@ def test_avro_blocks_are_large(spark, tmp_path):
     mark = content[-16:]  # ends every block and the header
     assert content.count(mark) - 1 <= 8
     assert scan_backup(spark, str(tmp_path / "b"), fmt="avro").agg(F.sum("offset")).first()[0] == 40_000 * 39_999 // 2
+
+
+def test_offsets_go_on_without_jobs_of_their_own(spark, skewed_log):
+    """A micro-batch is planned without a job that writes and counts the ends before it."""
+    ends = skewed_log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+    assert jobs_of(spark, lambda: assign_offsets(skewed_log, ends)) == 0

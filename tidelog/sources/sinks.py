@@ -9,7 +9,7 @@ from tidelog.functions.headers import add_header
 from tidelog.operators.ordering import BLOCK, number_records, offset_block
 from tidelog.operators.segments import segment
 from tidelog.schema import LOG_COLUMNS, LOG_SCHEMA, TOPIC_PARTITION, file_format
-from tidelog.session import join_null_safe, small_side
+from tidelog.session import join_null_safe
 from tidelog.sources import snapshots
 from tidelog.sources.backup import escaped, exists
 
@@ -102,7 +102,9 @@ def assign_offsets(df: DataFrame, ends: DataFrame | None = None, block: int = BL
     numbered = number_records(df, out="_rn", block=block)
     base = F.lit(0)
     if ends is not None:
-        numbered = join_null_safe(numbered, small_side(ends.select(*KEYS, "next_offset")), KEYS, "left")
+        # one row per topic-partition, of which a cluster has some hundred thousand at most: no count first, which a stream
+        # would make for each of its batches
+        numbered = join_null_safe(numbered, F.broadcast(ends.select(*KEYS, "next_offset")), KEYS, "left")
         base = F.coalesce("next_offset", F.lit(0))
     return numbered.withColumn("offset", base + F.col("_rn") - 1).select(*df.columns)
 
