@@ -14,7 +14,11 @@ from tidelog.plans import catalog
 from tidelog.plans import derived as D
 from tidelog.sources import files as W
 from tidelog.sources.backup import scan_backup
+from tidelog.schema import LOG_SCHEMA
+from tidelog.session import scratch
 from tidelog.sources.sinks import assign_offsets, write_backup
+from tidelog.streaming import dedupe
+from tidelog.streaming import jobs as T
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +110,31 @@ def test_offsets_go_on_without_jobs_of_their_own(spark, skewed_log):
     """A micro-batch is planned without a job that writes and counts the ends before it."""
     ends = skewed_log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
     assert jobs_of(spark, lambda: assign_offsets(skewed_log, ends)) == 0
+
+
+def test_records_reach_the_state_in_packs(spark, make_log):
+    """Not row by row; a pack has records of one block, and large ones are on their own. Every field comes back."""
+    rows = [
+        {
+            "topic": f"t{i % 2}", "partition": i % 3, "offset": i // 6 * 300_000, "timestamp": None if i % 7 == 0 else i, "key": None if i % 5 == 0 else b"k%d" % i,
+            "value": None if i % 4 == 0 else b"v" * (300_000 if i % 50 == 1 else i), "headers": None if i % 3 else [("h", b"%d" % i), ("h", None)],
+        }
+        for i in range(200)
+    ]
+    source, out = scratch(spark, "log"), scratch(spark, "once")
+    for part in (rows[:120], rows[60:] + rows[150:]):
+        make_log(part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    assert "mapinarrow" in dedupe.first_seen(stream)._jdf.queryExecution().analyzed().toString().lower()
+    query = T.stream_dedupe_sink(stream, out, scratch(spark, "c"), poll_seconds=None)
+    query.awaitTermination()
+    assert query.exception() is None
+
+    def plain(df):
+        return sorted((r.topic, r.partition, r.offset, r.timestamp, r.key, r.value, r.headers) for r in df.collect())
+
+    assert plain(scan_backup(spark, out).select(*LOG_SCHEMA.fieldNames())) == plain(make_log(rows))
+    records = spark.read.schema(LOG_SCHEMA).parquet(source).withColumn("block", F.expr("offset div 1048576")).toArrow().to_batches()
+    packs = dedupe._packs(records)
+    assert packs.num_rows < 90 < sum(b.num_rows for b in records) and max(len(p) for p in packs.column("records").to_pylist()) < 700_000
+    assert sum(b.num_rows for b in dedupe._unpack([packs])) == 340 - 30
