@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tidelog.llm import search as S
 from tidelog.operators import commits as C
 from tidelog.operators import generator as G
 from tidelog.operators.ordering import BLOCK
@@ -138,3 +139,19 @@ def test_records_reach_the_state_in_packs(spark, make_log):
     packs = dedupe._packs(records)
     assert packs.num_rows < 90 < sum(b.num_rows for b in records) and max(len(p) for p in packs.column("records").to_pylist()) < 700_000
     assert sum(b.num_rows for b in dedupe._unpack([packs])) == 340 - 30
+
+
+def test_results_of_a_search_grow_with_tasks_not_shards(spark):
+    """A task hands over the best of all its shards; ties go by identifier, over shards and tasks."""
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.expr("concat('a w', id % 7, ' v', id % 3)").alias("text")).repartition(12, "doc_id")
+    index = S.stored(S.build_index(docs), "index")
+    assert index.count() == 12
+    queries = docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query"), "text")
+    asked = S.weighted_queries(queries.withColumn("version", F.lit(0)), S.document_frequencies(index), 600)
+    tasks = index.coalesce(2)
+    assert S.search_block(tasks, asked.toArrow(), 3.0, 5).count() <= 12 * 5 * 2
+    got = {}
+    for r in S.search(docs, queries, 5).orderBy("query", "rank").collect():
+        got.setdefault(r.query, []).append(r.doc_id)
+    # the texts that are alike are 21 apart
+    assert got == {q: [q % 21 + 21 * k for k in range(5)] for q in range(0, 600, 50)}

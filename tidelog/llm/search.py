@@ -1,11 +1,11 @@
-"""Exact top-k search by BM25: an inverted index in shards, pruned by block maxima as in WAND.
-
-A shard is the index of some thousand documents: postings by term, cut into blocks of document numbers, with the largest
-impact of each term in each block. A query sums its terms' block maxima to bounds and reads the blocks in order of their
-bounds, until no bound reaches the score of the k-th document found. Terms that many documents hold are kept as dense
-rows: a product of matrices gives their part of all scores for many queries, and its maximum in a block is a closer bound
-than the sum of maxima. Document frequencies, number and length of documents are those of all shards together, so the
-shards' results merge exactly. Queries come in blocks of bounded size.
+"""Exact top-k search by BM25: an inverted index in shards, and products of queries with it.
+
+A shard is the index of some thousand documents: postings by term. Terms that many documents hold are kept as dense rows:
+a product of matrices gives their part of all scores for many queries. The postings of a query's other terms are few and
+are summed by document. Bounds for blocks of documents would not pay: a rare term's block holds little more than one
+posting, so a bound reads about as much as the score. A task goes through several shards and hands over the best of all
+of them, and a document has to reach the scores found so far. Document frequencies, number and length of documents are
+those of all shards together, so the tasks' results merge exactly. Queries come in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,13 @@ from tidelog.llm.common import scratch, slices, stored, table, word_hashes
 
 TOP = 10
 K1, B = 1.2, 0.75
-#: Documents of a shard (their numbers fit 16 bits) and of a block, and postings after which a shard ends early.
+#: Documents of a shard (their numbers fit 16 bits), and postings after which a shard ends early.
 SHARD_DOCS = 8_192
-BLOCK_DOCS = 64
 SHARD_POSTINGS = 4_000_000
 #: Share of a shard's documents from which a term's row is dense.
 DENSE = 1 / 16
 #: Terms of the queries of a block, about: its broadcast is 16 bytes for each.
-QUERY_TERMS = 1_000_000
+QUERY_TERMS = 2_000_000
 #: Queries in the whole table are the documents whose identifier divides by this.
 EVERY = 50
 #: Queries whose dense parts are computed together.
@@ -38,6 +38,7 @@ TOGETHER = 64
 #: Scores are rounded to so many digits, far above their errors; a bound must be lower by more than the rounding to be passed over.
 DIGITS = 6
 _CLOSE = 1e-5
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 INDEX_DDL = "n_docs bigint, n_words bigint, postings binary"
 RESULT_DDL = "query bigint, version int, doc_id bigint, score double"
@@ -153,30 +154,19 @@ class Shard:
         self.impact = counts * (K1 + 1)
         self.impact /= counts + (K1 * (1 - B + B * own["sizes"] / mean_size))[self.docs]
         del own, counts
-        self.n, self.blocks = len(self.ids), -(-len(self.ids) // BLOCK_DOCS)
-        sizes = np.diff(starts)
-        # parts: the postings of a term in a block
-        of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        block = self.docs // np.uint16(BLOCK_DOCS)
-        new = np.ones(len(of), bool)
-        new[1:] = (of[1:] != of[:-1]) | (block[1:] != block[:-1])
-        self.part = np.flatnonzero(new)
-        self.part_end = np.append(self.part[1:], len(of))
-        self.part_block = block[self.part].astype(np.int64)
-        del of, block, new
-        self.part_max = np.maximum.reduceat(self.impact, self.part) if len(self.part) else np.empty(0)
-        self.first = np.searchsorted(self.part, starts)
+        self.n, self.first, self.size = len(self.ids), starts[:-1], np.diff(starts)
         # dense rows of the terms that many documents hold
-        common = np.flatnonzero(sizes >= max(2, DENSE * self.n))
-        self.row = np.full(len(sizes), -1)
+        common = np.flatnonzero(self.size >= max(2, DENSE * self.n))
+        self.row = np.full(len(self.size), -1)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.blocks * BLOCK_DOCS))
+        self.dense = np.zeros((len(common), self.n))
         for r, t in enumerate(common.tolist()):
             mine = slice(starts[t], starts[t + 1])
             self.dense[r, self.docs[mine]] = self.impact[mine]
 
-    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each of ``queries`` (terms, weights) document numbers and scores of the ``top`` best, and of those as good as the last."""
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: int, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of ``queries`` (terms, weights) document numbers and scores of the ``top`` best, and of those as good as
+        the last, as far as they reach the query's entry in ``least``."""
         for begin in range(0, len(queries), TOGETHER):
             rare, weights = [], np.zeros((min(TOGETHER, len(queries) - begin), len(self.dense)))
             for q, (terms, own) in enumerate(queries[begin : begin + TOGETHER]):
@@ -188,69 +178,71 @@ class Shard:
                 weights[q, rows[often]] = own[often]
                 rare.append((at[~often], own[~often]))
             dense = weights @ self.dense
-            peaks = dense.reshape(len(dense), self.blocks, BLOCK_DOCS).max(axis=2)
             for q, (at, own) in enumerate(rare):
-                yield self._best(dense[q], peaks[q], at, own, top)
-
-    def _best(self, dense: np.ndarray, peaks: np.ndarray, at: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        parts, of = _ranges(self.first[at], self.first[at + 1])
-        by, blocks = weights[of], self.part_block[parts]
-        bound = np.bincount(blocks, self.part_max[parts] * by, self.blocks) + peaks
-        order = np.argsort(-bound, kind="stable")
-        docs, scores, least, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
-        while done < len(order) and bound[order[done]] > 0 and bound[order[done]] >= least - _CLOSE:
-            chosen = order[done : done + step]
-            chosen = chosen[bound[chosen] >= least - _CLOSE]
-            done, step = done + step, step * 4
-            wanted = np.zeros(self.blocks, bool)
-            wanted[chosen] = True
-            mine = np.flatnonzero(wanted[blocks])
-            postings, which = _ranges(self.part[parts[mine]], self.part_end[parts[mine]])
-            score = np.bincount(self.docs[postings], self.impact[postings] * by[mine][which], len(dense))
-            members = (chosen[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
-            found = score[members] + dense[members]
-            hit = found > 0
-            docs, scores = np.concatenate([docs, members[hit]]), np.concatenate([scores, found[hit]])
-            if len(scores) > top:
-                least = float(np.partition(scores, -top)[-top])
-                kept = scores >= least - _CLOSE
-                docs, scores = docs[kept], scores[kept]
+                yield self._best(dense[q], at, own, top, least[begin + q])
+
+    def _best(self, scores: np.ndarray, at: np.ndarray, weights: np.ndarray, top: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        postings = np.repeat(self.first[at] - (ends - sizes), sizes)
+        postings += np.arange(len(postings))
+        scores = scores + np.bincount(self.docs[postings], self.impact[postings] * np.repeat(weights, sizes), self.n)
+        docs = np.flatnonzero((scores > 0) & (scores >= least - _CLOSE))
+        scores = scores[docs]
+        if len(docs) > top:
+            kept = scores >= np.partition(scores, -top)[-top] - _CLOSE
+            docs, scores = docs[kept], scores[kept]
         return docs, scores
 
 
-def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All integers from ``first`` to below ``last``, range after range, and of which range each is."""
-    sizes = last - first
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    begin = np.cumsum(sizes) - sizes
-    return np.arange(len(of)) - begin[of] + first[of], of
-
-
 def search_block(index: DataFrame, queries: pa.Table, mean_size: float, top: int) -> DataFrame:
-    """Best documents of each shard (``RESULT_DDL``) for a block of queries, which is broadcast."""
-    asked = index.sparkSession.sparkContext.broadcast([
-        (q, v, np.array(t, np.int64).view(np.uint64), np.array(w))
-        for q, v, t, w in zip(*(queries.column(c).to_pylist() for c in ("query", "version", "terms", "weights")), strict=True)
-    ])
+    """Best documents of each task's shards (``RESULT_DDL``) for a block of queries, which is broadcast."""
+    queries = queries.combine_chunks()
+    terms, weights = (queries.column(c).combine_chunks() for c in ("terms", "weights"))
+    asked = index.sparkSession.sparkContext.broadcast((
+        queries.column("query").to_numpy(), queries.column("version").to_numpy(), np.append(0, np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))),
+        terms.flatten().to_numpy(zero_copy_only=False).view(np.uint64), weights.flatten().to_numpy(zero_copy_only=False),
+    ))
 
     def search(batches):
+        names, versions, bounds, terms, weights = asked.value
+        wanted = [(terms[a:b], weights[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        least, best = np.zeros(len(wanted)), [(np.empty(0), np.empty(0, bool), np.empty(0, np.int64))] * len(wanted)
+        shard = None
         for batch in batches:
             for blob in batch.column("postings"):
+                del shard
                 shard = Shard(blob.as_py(), mean_size)
-                rows: list[tuple] = []
-                found = shard.search([x[2:] for x in asked.value], top)
-                for (query, version, _, _), (docs, scores) in zip(asked.value, found, strict=True):
-                    ids, known = shard.ids[docs].tolist(), shard.known[docs].tolist()
-                    # what other shards may tie with, too: the best by score and identifier
-                    best = sorted((-round(s, DIGITS), not k, i) for s, k, i in zip(scores.tolist(), known, ids, strict=True))[:top]
-                    rows += [(query, version, None if unknown else i, -s) for s, unknown, i in best]
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
-                columns = zip(*rows, strict=True) if rows else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["query", "version", "doc_id", "score"])
+                for q, (docs, scores) in enumerate(shard.search(wanted, top, least)):
+                    if not len(docs):
+                        continue
+                    # what other tasks may tie with, too: the best by score and identifier
+                    all_of = zip(best[q], (np.round(scores, DIGITS), ~shard.known[docs], shard.ids[docs]), strict=True)
+                    scores, unknown, ids = (np.concatenate(x) for x in all_of)
+                    order = np.lexsort((ids, unknown, -scores))[:top]
+                    best[q] = scores[order], unknown[order], ids[order]
+                    if len(order) == top:
+                        least[q] = scores[order[-1]]
+        of = np.repeat(np.arange(len(best)), [len(x[0]) for x in best])
+        if len(of):
+            scores, unknown, ids = (np.concatenate(x) for x in zip(*best, strict=True))
+            columns = [pa.array(names[of]), pa.array(versions[of]), pa.array(ids, mask=unknown), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=["query", "version", "doc_id", "score"])
 
     return index.select("postings").mapInArrow(search, RESULT_DDL)
 
 
+@contextmanager
+def _row_by_row(spark: SparkSession):
+    """Arrow batches of one row while a job runs: a shard is megabytes, and a task has any number of them."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """``query``, ``rank``, ``doc_id``, ``score``: for each of ``queries`` (``query``, ``text``) the ``top`` of ``docs`` (``doc_id``, ``text``).
 
@@ -268,9 +260,12 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     n_terms = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
     blocks = max(1, math.ceil(n_terms / QUERY_TERMS))
     results = scratch(spark, "bm25-results")
+    # rows of results are those of tasks, so there are as many tasks as run at once, not as many as shards
+    tasks = index.coalesce(spark.sparkContext.defaultParallelism)
     for block in range(blocks):
         mine = asked.filter(F.pmod(F.hash("query"), F.lit(blocks)) == block).toArrow()
-        search_block(index, mine, max(n_words / max(n_docs, 1), 1e-9), top).write.mode("append").parquet(results)
+        with _row_by_row(spark):
+            search_block(tasks, mine, max(n_words / max(n_docs, 1), 1e-9), top).write.mode("append").parquet(results)
     order = Window.partitionBy("query", "version").orderBy(F.col("score").desc(), F.col("doc_id").isNull(), "doc_id")
     merged = spark.read.schema(RESULT_DDL).parquet(results).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return merged.select("query", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
