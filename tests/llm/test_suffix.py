@@ -94,6 +94,23 @@ def test_stretches_cover_all_windows():
     assert sorted(seen) == [(k, p) for k, t in enumerate(texts) for p in range(len(t) - 49)] and np.all(count <= 26)
 
 
+def test_shared_stretches_travel_packed(spark, monkeypatch, prose):
+    """No step has a row for each stretch of shared passages; what the steps move per byte makes the operator's CPU seconds."""
+    pool = [prose(400, i) for i in range(10)]
+    docs = [(i, prose(8, 100 + i) + pool[i % 10] + prose(8, 300 + i)) for i in range(100)]
+    rows, real = {}, S.stored
+
+    def counted(df, label, codec=None):
+        out = real(df, label, codec)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(S, "stored", counted)
+    assert found(spark, docs, 50) == plain(docs, 50)
+    shared = 10 * len(S.stretches([p.encode() for p in pool], 25)[0])
+    assert shared > 10_000 and max(rows.values()) < shared, rows
+
+
 def test_query_digests(spark, tables, prose):
     docs = [(1, prose(30, 1), "en", "s", 0), (2, "x " + prose(30, 1), "en", "s", 0)]
     from tidelog.llm.queries import QUERIES

@@ -5,17 +5,16 @@ ranked anew after every sort, until their rank is unique or stands for ``thresho
 corpus would move many times its volume, so positions that need no sort leave before:
 
 1. Every window of ``threshold`` bytes has an anchor, the least hash among its strings of half that length. Equal windows
-   have equal anchors at the same place. Consecutive windows with one anchor travel together, and anchors of a single
-   document are unique: their windows leave.
-   Documents whose whole text a smaller one holds go at once.
-2. Stretches that are equal as a whole become one, with the smallest and largest document that holds them. A stretch that
-   no other one shares its anchor with is settled: the smallest document is known for all its windows. Both steps are
-   done again for what is left, with longer anchors.
+   have equal anchors at the same place. Consecutive windows with one anchor travel together, as a stretch, and anchors of
+   a single document are unique: their windows leave.
+2. A stretch that a smaller document holds as a whole is a hit; so are all stretches of whole copies. Of the first
+   document that holds it, a stretch is settled unless another one, of another first document, shares its anchor. Both
+   steps are done again for what is left, with longer anchors.
 3. What then is left, mostly the edges of shared passages, is sorted position by position.
 
-All groupings are by content or its 128-bit names. A group is never collected: counts and minima are aggregated before
-the shuffle, anchors that a sample shows to be common are spread over tasks, and joins with hot keys are split by Spark.
-Anchors are many and small, so they travel in packed arrays, a row per bucket of hashes and some megabytes of text.
+All groupings are by content or its 128-bit names. Stretches are many and small, so they travel in packed arrays, a row
+per bucket of hashes and some megabytes of text, and are judged there. Anchors that a sample shows to be common are
+spread over buckets: of these only hits are settled at once, the rest goes on. Joins with hot keys are split by Spark.
 """
 
 from __future__ import annotations
@@ -37,16 +36,18 @@ START = 25
 #: Documents, about, from which common anchors are estimated, and the share of all anchors that makes one common.
 SAMPLE_DOCS = 5_000
 COMMON_SHARE = 1 / 2_000
-#: Tasks, at most, that a common anchor's stretches are spread over.
+#: Buckets, at most, that a common anchor's stretches are spread over, and those that equal ones are spread over.
 SALTS = 1_000
+SPREAD = 16
 #: Stands for a null identifier, which comes after all others.
 LAST = (1 << 63) - 1
 
 #: Stretches that a task packs together, and those of a bucket, about, which a task looks at together.
 PACK_ROWS = 1_000_000
 BUCKET_ROWS = 1_000_000
-#: Rows that a task hands over at once.
+#: Rows that a task hands over at once, and documents, about, whose stretches travel together.
 ROWS = 50_000
+PART_DOCS = 2_048
 
 _LENGTH = 1 << 10  # a stretch and its place go into one number; stretches are far shorter than this
 
@@ -116,120 +117,244 @@ def _bytes(texts: pa.Array) -> list[bytes]:
     return [x if isinstance(x, bytes) else (x or "").encode() for x in texts.to_pylist()]
 
 
-PACKED = {"h": np.uint64, "start": np.uint32, "count": np.uint16, "new": np.uint8, "docs": np.int64, "versions": np.int64}
-PACKED_DDL = "bucket bigint, " + ", ".join(f"{c} binary" for c in PACKED)
+PACKED = {"h": np.uint64, "name": np.uint64, "start": np.uint32, "count": np.uint16, "new": np.uint8, "docs": np.int64, "versions": np.int64}
+PACKED_DDL = "bucket bigint, " + ", ".join(f"{c} binary" for c in PACKED) + ", bytes binary"
+FOUND = {"docs": np.int64, "versions": np.int64, "at": np.int64}
+FOUND_DDL = "part bigint, hit boolean, n bigint, " + ", ".join(f"{c} binary" for c in FOUND)
+LEFT_DDL = FOUND_DDL + ", doc bigint, version bigint, first bigint, bytes binary"
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows of ``columns`` begin."""
+    new = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(True, new)) if len(columns[0]) else np.empty(0, np.int64)
+
+
+def _packed(arrays, texts, common: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Stretches by buckets of their anchors' hashes: ``arrays`` are hashes, names, first windows, numbers of windows, and
+    the documents and versions. ``texts`` has the bytes of all, or is None. Common anchors have many buckets below 0."""
+    h, name, _, _, doc, _ = arrays
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    hot = np.isin(h.view(np.int64), common)
+    bucket[hot] = -1 - (mix(h[hot] ^ name[hot] + (doc[hot] % SPREAD).astype(np.uint64)) % np.uint64(SALTS)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, (h, name, start, count, doc, version) = bucket[order], [x[order] for x in arrays]
+    first = _runs(bucket)
+    new = np.zeros(len(bucket), bool)
+    new[_runs(doc, version)] = True
+    new[first] = True
+    columns, blobs = {c: [] for c in PACKED}, []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+        heads = a + np.flatnonzero(new[a:b])
+        own = {"h": h[a:b], "name": name[a:b], "start": start[a:b], "count": count[a:b], "new": new[a:b], "docs": doc[heads], "versions": version[heads]}
+        for c, kind in PACKED.items():
+            columns[c].append(own[c].astype(kind, copy=False).tobytes())
+        blobs.append(None if texts is None else b"".join([texts[k] for k in order[a:b].tolist()]))
+    return _batch(["bucket", *PACKED, "bytes"], bucket[first], *[pa.array(columns[c], pa.binary()) for c in PACKED], pa.array(blobs, pa.binary()))
 
 
 def _anchors(texts: DataFrame, threshold: int, common: np.ndarray, buckets: int) -> DataFrame:
-    """The stretches of all texts, packed: a row has those of some texts whose anchors fall into one bucket. Its arrays are
-    the anchors' hashes, first windows, numbers of windows, and whether the document is the next one, and the documents.
-    Buckets of common anchors are below 0, many for each."""
+    """The stretches of all texts, packed: a row has those of some texts whose anchors fall into one bucket."""
 
     def emit(batches):
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                i, start, count, h, _ = stretches(_bytes(part.column("text")), anchor_bytes(ANCHOR, threshold), threshold)
-                held.append((h.view(np.uint64), start, count, *(part.column(c).to_numpy()[i] for c in ("doc", "version"))))
+                i, start, count, h, name = stretches(_bytes(part.column("text")), anchor_bytes(ANCHOR, threshold), threshold)
+                held.append((h.view(np.uint64), name.view(np.uint64), start, count, *(part.column(c).to_numpy()[i] for c in ("doc", "version"))))
                 size += len(h)
                 if size > PACK_ROWS:
-                    yield packed([np.concatenate(x) for x in zip(*held, strict=True)])
+                    yield _packed([np.concatenate(x) for x in zip(*held, strict=True)], None, common, buckets)
                     held, size = [], 0
         if size:
-            yield packed([np.concatenate(x) for x in zip(*held, strict=True)])
-
-    def packed(arrays):
-        h, start = arrays[:2]
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
-        hot = np.isin(h.view(np.int64), common)
-        bucket[hot] = -1 - (h[hot] + start[hot].astype(np.uint64) * np.uint64(7919)).astype(np.int64) % SALTS
-        order = np.argsort(bucket, kind="stable")
-        bucket, (h, start, count, doc, version) = bucket[order], [x[order] for x in arrays]
-        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        new = np.append(True, (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]))
-        new[first] = True
-        columns = {c: [] for c in PACKED}
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
-            heads = a + np.flatnonzero(new[a:b])
-            own = {"h": h[a:b], "start": start[a:b], "count": count[a:b], "new": new[a:b], "docs": doc[heads], "versions": version[heads]}
-            for c, kind in PACKED.items():
-                columns[c].append(own[c].astype(kind, copy=False).tobytes())
-        return _batch(["bucket", *PACKED], bucket[first], *[pa.array(columns[c], pa.binary()) for c in PACKED])
+            yield _packed([np.concatenate(x) for x in zip(*held, strict=True)], None, common, buckets)
 
     return texts.select("doc", "version", "text").mapInArrow(emit, PACKED_DDL)
 
 
-def _common(texts: DataFrame, threshold: int) -> tuple[np.ndarray, int]:
-    """Anchors with more than a share of the stretches of a sample of documents, of which there are at most 1 / share, and
-    the number of buckets that all anchors need."""
+def _sub_stretches(pieces: DataFrame, threshold: int, common: np.ndarray, buckets: int) -> DataFrame:
+    """The stretches with longer anchors, packed with their bytes, of the windows ``at`` of texts. Windows that follow each
+    other are looked at together, whichever stretch they were of."""
+
+    def emit(batches):
+        held, cuts, size = [], [], 0
+        for batch in batches:
+            for runs in part_runs(batch):
+                texts, firsts, docs, versions = ([x for r in runs for x in r[c]] for c in range(4))
+                i, start, count, h, name = stretches(texts, anchor_bytes(LONG_ANCHOR, threshold), threshold)
+                firsts, docs, versions = (np.array(x, np.int64)[i] for x in (firsts, docs, versions))
+                held.append((h.view(np.uint64), name.view(np.uint64), firsts + start, count, docs, versions))
+                cuts += [texts[k][a : a + c + threshold - 1] for k, a, c in zip(i.tolist(), start.tolist(), count.tolist(), strict=True)]
+                size += len(h)
+                if size > PACK_ROWS // 4:
+                    yield _packed([np.concatenate(x) for x in zip(*held, strict=True)], cuts, common, buckets)
+                    held, cuts, size = [], [], 0
+        if size:
+            yield _packed([np.concatenate(x) for x in zip(*held, strict=True)], cuts, common, buckets)
+
+    def part_runs(batch):
+        held, size = [], 0
+        texts = _bytes(batch.column("text"))
+        for row, (doc, version) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("version").to_pylist(), strict=True)):
+            places = batch.column("at")[row].values.to_numpy()
+            for k in range(0, len(places), ROWS):
+                start = places[k : k + ROWS] // _LENGTH
+                stop = start + places[k : k + ROWS] % _LENGTH
+                new = np.flatnonzero(np.append(True, start[1:] > stop[:-1]))
+                ends = stop[np.append(new[1:], len(stop)) - 1]
+                cuts = [texts[row][a : b + threshold - 1] for a, b in zip(start[new].tolist(), ends.tolist(), strict=True)]
+                held.append((cuts, start[new].tolist(), [doc] * len(new), [version] * len(new)))
+                size += len(start)
+                if size >= ROWS:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+    return pieces.mapInArrow(emit, PACKED_DDL)
+
+
+def _common(texts: DataFrame, threshold: int) -> tuple[list[np.ndarray], int, int]:
+    """Anchors, short and long ones, with more than a share of the stretches of a sample of documents, of which there are
+    at most 1 / share; the number of buckets that all short anchors need, and the number of documents."""
     docs, size = texts.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
     share = min(1.0, SAMPLE_DOCS / max(1, docs))
     chosen = F.pmod(F.xxhash64("doc", "version", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    anchors = [anchor_bytes(x, threshold) for x in (ANCHOR, LONG_ANCHOR)]
 
     def hashes(batches):
+        held = [[(np.empty(0, np.int64), np.empty(0, np.int64))] for _ in anchors]
         for batch in batches:
             for part in slices(batch, "text"):
-                yield _batch(["h"], stretches(_bytes(part.column("text")), anchor_bytes(ANCHOR, threshold), threshold)[3])
-
-    counts = stored(texts.filter(chosen).select("text").mapInArrow(hashes, "h bigint").groupBy("h").count(), "anchor-sample")
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    found = counts.filter(F.col("count") > max(8, int(total * COMMON_SHARE))).select("h").toArrow().column("h").to_numpy()
-    discard(counts)
-    width = threshold - anchor_bytes(ANCHOR, threshold) + 1
-    return np.sort(found), 1 + 2 * (size or 0) // (width + 1) // BUCKET_ROWS
-
-
-def _shared(anchors: DataFrame) -> DataFrame:
-    """The stretches whose anchor more than one text has; all of the common anchors."""
+                for own, anchor in zip(held, anchors, strict=True):
+                    own.append(np.unique(stretches(_bytes(part.column("text")), anchor, threshold)[3], return_counts=True))
+        for kind, own in enumerate(held):
+            h, n = (np.concatenate(x) for x in zip(*own, strict=True))
+            order = np.argsort(h)
+            h, n, first = h[order], n[order], _runs(h[order])
+            h, n = h[first], np.add.reduceat(n, first) if len(first) else n
+            # the total goes along; what a quarter of the sample has once is not common
+            yield _batch(["kind", "h", "n"], np.full(1 + (n > 1).sum(), kind), pa.array([None, *h[n > 1].tolist()], pa.int64()), np.append(n.sum(), n[n > 1]))
+
+    counts = texts.filter(chosen).select("text").repartition(4).mapInArrow(hashes, "kind bigint, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
+    total = F.sum(F.when(F.col("h").isNull(), F.col("n"))).over(Window.partitionBy("kind"))
+    found = counts.filter("n > 8").withColumn("total", total).filter(F.col("h").isNotNull() & (F.col("n") > F.floor(F.col("total") * COMMON_SHARE)))
+    found = found.select("kind", "h").toArrow()
+    kinds, h = found.column("kind").to_numpy(), found.column("h").to_numpy()
+    width = threshold - anchors[0] + 1
+    return [np.sort(h[kinds == k]) for k in range(2)], 1 + 2 * (size or 0) // (width + 1) // BUCKET_ROWS, docs
+
+
+def _judged(h, name, doc, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches the places of those that a smaller document holds as a whole, and of those that are contested: the
+    first document of a stretch may lose windows of it to another stretch, whose first document is smaller. Unless all
+    stretches of their anchors are there (``whole``), all that are no hits are contested."""
+    order = np.argsort(h)
+    if whole:
+        first = _runs(h[order])
+        several = np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)
+        order = order[np.repeat(several, np.diff(np.append(first, len(h))))]
+    order = order[np.lexsort((name[order], h[order]))]
+    if not len(order):
+        return order, order
+    first = _runs(h[order], name[order])
+    low = np.minimum.reduceat(doc[order], first)
+    above = doc[order] > np.repeat(low, np.diff(np.append(first, len(order))))
+    rest = ~above
+    if whole:
+        group = np.flatnonzero(np.append(True, np.diff(h[order][first].view(np.int64)) != 0))
+        contested = np.minimum.reduceat(low, group) < np.maximum.reduceat(low, group)
+        contested = np.repeat(contested, np.diff(np.append(group, len(first))))
+        rest &= np.repeat(contested, np.diff(np.append(first, len(order))))
+    return np.sort(order[above]), np.sort(order[rest])
+
+
+def _settled(anchors: DataFrame, threshold: int, parts: int, cut: bool) -> DataFrame:
+    """Stretches that are hits, and those that are contested, packed by parts of the documents. With ``cut`` the contested
+    ones are rows of their own, with their bytes."""
+    names = ["part", "hit", "n", *FOUND]
+    whole_rows = {"doc": pa.int64(), "version": pa.int64(), "first": pa.int64(), "bytes": pa.binary()} if cut else {}
 
     def unpacked(row: dict):
         own = {c: np.frombuffer(row[c], kind) for c, kind in PACKED.items()}
         owner = np.cumsum(own["new"], dtype=np.int64) - 1
-        return own["h"].view(np.int64), own["docs"][owner], own["versions"][owner], own["start"].astype(np.int64) * _LENGTH + own["count"]
-
-    def live(rows: list):
-        h, doc, version, at = (np.concatenate(x) for x in zip(*rows, strict=True))
-        order = np.argsort(h)
-        sorted_h, texts = h[order], version[order]
-        first = np.flatnonzero(np.append(True, sorted_h[1:] != sorted_h[:-1]))
-        several = np.minimum.reduceat(texts, first) < np.maximum.reduceat(texts, first)
-        out = order[np.repeat(several, np.diff(np.append(first, len(h))))]
-        return _batch(["h", "doc", "version", "at"], h[out], doc[out], version[out], at[out])
+        return own["h"], own["name"], own["docs"][owner], own["versions"][owner], own["start"].astype(np.int64) * _LENGTH + own["count"]
+
+    def dealt(hit: bool, doc, version, at):
+        part = (mix(doc.astype(np.uint64)) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable")
+        first = _runs(part[order])
+        bounds = [*first.tolist(), len(part)]
+        columns = [[x[order[a:b]].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for x in (doc, version, at)]
+        own = [part[order][first].astype(np.int64), np.full(len(first), hit), np.diff(bounds).astype(np.int64), *(pa.array(c, pa.binary()) for c in columns)]
+        return _batch([*names, *whole_rows], *own, *(pa.nulls(len(first), kind) for kind in whole_rows.values()))
+
+    def judged(rows: list, whole: bool):
+        h, name, doc, version, at = (np.concatenate(x) for x in zip(*[r[:5] for r in rows], strict=True))
+        hits, rest = _judged(h, name, doc, whole)
+        if len(hits):
+            yield dealt(True, doc[hits], version[hits], at[hits])
+        if not len(rest):
+            return
+        if not cut:
+            yield dealt(False, doc[rest], version[rest], at[rest])
+            return
+        ends = np.cumsum(at % _LENGTH + threshold - 1)
+        starts, text = ends - (at % _LENGTH + threshold - 1), b"".join(r[5] for r in rows)
+        for k in range(0, len(rest), ROWS):
+            some = rest[k : k + ROWS]
+            cuts = pa.array([text[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)], pa.binary())
+            empty = [pa.nulls(len(some), pa.binary())] * len(FOUND)
+            yield _batch([*names, *whole_rows], pa.nulls(len(some), pa.int64()), np.full(len(some), False), np.ones(len(some), np.int64), *empty, doc[some], version[some], at[some], cuts)
 
     def keep(batches):
-        bucket, held = None, []
+        bucket, held, size = None, [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                if row["bucket"] < 0:
-                    yield _batch(["h", "doc", "version", "at"], *unpacked(row))
-                    continue
-                if row["bucket"] != bucket and held:
-                    yield live(held)
-                    held = []
+                # stretches of common anchors need not meet: what is not found here is looked at again
+                if held and (row["bucket"] != bucket or bucket < 0 and size > BUCKET_ROWS):
+                    yield from judged(held, bucket >= 0)
+                    held, size = [], 0
                 bucket = row["bucket"]
-                held.append(unpacked(row))
+                held.append((*unpacked(row), row["bytes"]))
+                size += len(held[-1][0])
         if held:
-            yield live(held)
+            yield from judged(held, bucket >= 0)
 
-    dealt = anchors.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(keep, "h bigint, doc bigint, version bigint, at bigint")
+    rows = anchors.repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(keep, LEFT_DDL if cut else FOUND_DDL)
 
 
-def _collapsed(rows: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Of the distinct stretches the windows that are settled, and the stretches that are contested: another one, and
-    another document, share the anchor.
+def _by_document(found: DataFrame) -> DataFrame:
+    """``doc``, ``version`` and their ``at``, in order and once each, of what ``_settled`` has packed."""
 
-    Windows have ``h``, ``name``, ``first``, ``n`` and ``low``; stretches ``h``, ``name``, ``bytes``, and the ends ``low`` and ``high``
-    of the documents.
-    """
-    windows = (F.octet_length("bytes") - (threshold - 1)).alias("n")
-    distinct = _kept(rows.groupBy("h", "name", "bytes").agg(F.min("low").alias("low"), F.max("high").alias("high")), "stretches")
-    per = distinct.groupBy("h").agg(F.count("*").alias("count"), F.min("low").alias("least"), F.max("high").alias("most"))
-    per = _kept(per.filter("count > 1 AND least < most").select("h"), "contested")
-    settled = distinct.filter("low < high").select("h", "name", F.lit(0).alias("first"), windows, "low").join(per, "h", "left_anti")
-    out = _kept(settled, "settled"), _kept(distinct.join(per, "h", "left_semi"), "stretches")
-    discard(distinct, per)
-    return out
+    def unpack(batches):
+        part, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != part and held:
+                    yield from lists(held)
+                    held = []
+                part = row["part"]
+                held.append([np.frombuffer(row[c], kind) for c, kind in FOUND.items()])
+        if held:
+            yield from lists(held)
+
+    def lists(held):
+        doc, version, at = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((at, version, doc))
+        order = order[_runs(doc[order], version[order], at[order])]
+        doc, version, at = doc[order], version[order], at[order]
+        first = _runs(doc, version)
+        for k in range(0, len(first), 1_000):
+            some = np.append(first[k : k + 1_000], first[k + 1_000] if k + 1_000 < len(first) else len(doc))
+            own = pa.ListArray.from_arrays(pa.array(some - some[0], pa.int32()), pa.array(at[some[0] : some[-1]]))
+            yield _batch(["doc", "version", "at"], doc[some[:-1]], version[some[:-1]], own)
+
+    rows = found.select("part", *FOUND).repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(unpack, "doc bigint, version bigint, at array<bigint>")
 
 
 def _kept(df: DataFrame, label: str) -> DataFrame:
@@ -240,133 +365,88 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def _merged(rows: DataFrame) -> DataFrame:
-    """``rows`` of disjoint windows with those made one that follow each other and have the same smallest document."""
-    before = F.sum("n").over(Window.partitionBy("h", "name", "low").orderBy("first")) - F.col("n")
-    runs = rows.withColumn("run", F.col("first") - before).groupBy("h", "name", "low", "run")
-    return runs.agg(F.min("first").alias("first"), F.sum("n").cast("int").alias("n")).select("h", "name", "first", "n", "low")
-
-
-def _sub_stretches(rows: DataFrame, threshold: int) -> DataFrame:
-    """Stretches with longer anchors within contested ones, whose names and place go along."""
-
-    def emit(batches):
-        for batch in batches:
-            texts = _bytes(batch.column("bytes"))
-            i, start, count, h, name = stretches(texts, anchor_bytes(LONG_ANCHOR, threshold), threshold)
-            own = [texts[k][a : a + c + threshold - 1] for k, a, c in zip(i.tolist(), start.tolist(), count.tolist(), strict=True)]
-            above = [batch.column(c).to_numpy()[i] for c in ("h", "name", "low", "high")]
-            yield _batch(["h", "name", "bytes", "in_h", "in_name", "low", "high", "place"], h, name, pa.array(own, pa.binary()), *above, start)
-
-    ddl = "h bigint, name bigint, bytes binary, in_h bigint, in_name bigint, low bigint, high bigint, place bigint"
-    return rows.select("h", "name", "bytes", "low", "high").mapInArrow(emit, ddl)
-
-
 def ranked(rows: DataFrame, key: list[str]) -> DataFrame:
     """``key``, ``rank`` and ``low`` of the keys that more than one document has; ranks are in the order of the keys.
 
     Equal keys are aggregated before they are sorted, so a hot key is one row of the sort.
     """
-    groups = rows.groupBy(*key).agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
-    ordered = groups.orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank"), "low")
+    ordered = _several(rows, key).orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank"), "low")
     return _kept(ordered, "ranks")
 
 
+def _several(rows: DataFrame, key: list[str]) -> DataFrame:
+    return rows.groupBy(*key).agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select(*key, "low")
+
+
 def doubled(texts: DataFrame, threshold: int = THRESHOLD, start: int = START) -> DataFrame:
-    """``id``, ``pos`` and ``low``, the smallest document, of windows of ``texts`` (``id``, ``bytes``, ``low``, ``high``)
-    that are in more than one document, by prefix doubling. Positions whose rank is unique leave after each sort."""
+    """``id``, ``pos``, ``low``, the smallest document, and their own ``high`` of windows of ``texts`` (``id``, ``bytes``,
+    ``low``, ``high``) that are in more than one document, by prefix doubling. Windows with a unique rank leave after each sort."""
     lengths = [min(start, threshold)]
     while lengths[-1] < threshold:
         lengths.append(min(2 * lengths[-1], threshold))
-    # offsets at which the windows need first ranks: sums of the offsets of some of the later rounds
-    needed = {0}
-    for shorter, longer in zip(lengths, lengths[1:], strict=False):
-        needed |= {x + longer - shorter for x in needed}
+    # offsets within a window at which each round's ranks are needed: those of the next round, and as far behind as it looks
+    needed = [[0]]
+    for shorter, longer in zip(lengths[-2::-1], lengths[:0:-1], strict=True):
+        needed.insert(0, sorted({*needed[0], *(x + longer - shorter for x in needed[0])}))
 
-    def positions(batches):
+    def windows(batches):
         for batch in batches:
-            ids, pos, grams, lows, highs = [], [], [], [], []
+            ids, pos, lows, highs, grams = [], [], [], [], [[] for _ in needed[0]]
             for i, text, low, high in zip(*(batch.column(c).to_pylist() for c in ("id", "bytes", "low", "high")), strict=True):
-                own = sorted({j + x for j in range(len(text) - threshold + 1) for x in needed})
-                ids += [i] * len(own)
-                lows += [low] * len(own)
-                highs += [high] * len(own)
-                pos += own
-                grams += [text[p : p + lengths[0]] for p in own]
-            yield _batch(["id", "pos", "gram", "low", "high"], pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(grams, pa.binary()), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()))
-
-    rows = texts.select("id", "bytes", "low", "high").mapInArrow(positions, "id bigint, pos int, gram binary, low bigint, high bigint")
-    rows, key = _kept(rows, "positions"), ["gram"]
-    for shorter, longer in zip(lengths, [*lengths[1:], None], strict=True):
-        ranks = ranked(rows, key)
-        if longer is None:
-            return rows.drop("low", "high").join(ranks, key).select("id", "pos", "low")
-        live = _kept(rows.join(ranks.drop("low"), key).select("id", "pos", "rank", "low", "high"), "ranked")
+                n = len(text) - threshold + 1
+                ids += [i] * n
+                lows += [low] * n
+                highs += [high] * n
+                pos += range(n)
+                for x, own in zip(needed[0], grams, strict=True):
+                    own += [text[p + x : p + x + lengths[0]] for p in range(n)]
+            yield _batch(["id", "pos", "low", "high", *names(0)], pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), *(pa.array(g, pa.binary()) for g in grams))
+
+    def names(k: int) -> list[str]:
+        return [f"at{x}" for x in needed[k]]
+
+    ddl = "id bigint, pos int, low bigint, high bigint, " + ", ".join(f"{c} binary" for c in names(0))
+    rows = texts.select("id", "bytes", "low", "high").mapInArrow(windows, ddl)
+    rows, keys = _kept(rows, "positions"), {c: F.col(c) for c in names(0)}
+    for k in range(len(lengths)):
+        parts = ["first", "second"] if k else ["gram"]
+        fields = ["key.*"] if k else [F.col("key").alias("gram")]
+        if k + 1 == len(lengths):
+            own = rows.select("id", "pos", "low", "high", keys["at0"].alias("key")).select("id", "pos", "low", "high", *fields)
+            # stored, so that Spark can split the join where many windows are equal
+            return own.drop("low").join(_kept(_several(own, parts), "repeated"), parts).select("id", "pos", "low", "high")
+        ranks = ranked(rows.select(F.explode(F.array(*keys.values())).alias("key"), "low", "high").select(*fields, "low", "high"), parts)
+        live = rows.select("id", "pos", "low", "high", *(x.alias(c) for c, x in keys.items()))
+        for c in names(k):
+            own = ranks.select((F.struct(*parts) if k else F.col("gram")).alias(c), F.col("rank").alias("found"))
+            live = live.join(own, c).drop(c).withColumnRenamed("found", c)
+        live = _kept(live, "ranked")
         discard(rows, ranks)
-        later = live.select("id", (F.col("pos") - (longer - shorter)).alias("pos"), F.col("rank").alias("second"))
-        rows, key = _kept(live.withColumnRenamed("rank", "first").join(later, ["id", "pos"]), "pairs"), ["first", "second"]
-        discard(live)
-
-
-def whole_copies(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc`` and ``version`` of the texts that a smaller document holds as a whole; all their windows are its windows."""
-    long = docs.filter(F.octet_length("text") >= threshold)
-    keys = long.select("doc", "version", F.md5(F.col("text").cast("binary")).alias("key"))
-    first = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
-    return keys.join(first, "key").filter("doc > low").select("doc", "version").distinct()
-
-
-def repeated_spans(docs: DataFrame, copies: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc``, ``version`` and ``spans``: stretches (first byte times 1,024 plus length, overlapping) of the texts of
-    ``docs`` (``doc``, ``version``, ``text``) that windows of smaller documents cover, ``copies`` left out."""
-    texts = docs.filter(F.octet_length("text") >= threshold)
-    anchors = _anchors(texts, threshold, *_common(texts, threshold))
-    live = stored(_shared(anchors).join(copies, ["doc", "version"], "left_anti"), "anchors", "zstd")
-    del anchors
-    release(docs.sparkSession, 1)
-    places = live.groupBy("doc", "version").agg(F.collect_set(F.struct("h", "at")).alias("places"))
-
-    def cut(batches):
-        names = ["doc", "version", "start", "h", "bytes"]
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for row, text in enumerate(_bytes(part.column("text"))):
-                    own = part.column("places")[row].values
-                    for some in (own.slice(k, ROWS) for k in range(0, len(own), ROWS)):
-                        at = some.field("at").to_numpy()
-                        start, stop = at // _LENGTH, at // _LENGTH + at % _LENGTH + threshold - 1
-                        cuts = [text[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
-                        ids = [np.full(len(at), part.column(c)[row].as_py(), np.int64) for c in ("doc", "version")]
-                        yield _batch(names, *ids, start, some.field("h"), pa.array(cuts, pa.binary()))
-
-    found = texts.select("doc", "version", "text").join(places, ["doc", "version"]).mapInArrow(cut, "doc bigint, version bigint, start bigint, h bigint, bytes binary")
-    wide = _kept(found.withColumn("name", F.xxhash64("bytes")), "occurrences")
-    del found, places
-    discard(live)
-    settled, contested = _collapsed(wide.select("h", "name", "bytes", F.col("doc").alias("low"), F.col("doc").alias("high")), threshold)
-    # of what is as large as the corpus only what is still needed stays
-    occurrences = _kept(wide.drop("bytes"), "occurrences")
-    discard(wide)
-    wide = _kept(_sub_stretches(contested, threshold), "sub-stretches")
-    discard(contested)
-    inner_settled, inner_contested = _collapsed(wide.select("h", "name", "bytes", "low", "high"), threshold)
-    subs = _kept(wide.drop("bytes", "low"), "sub-stretches")
-    discard(wide)
-    left = _kept(inner_contested.withColumn("id", F.monotonically_increasing_id()), "left")
-    discard(inner_contested)
-    sorted_out = doubled(left, threshold).join(left.select("id", "h", "name"), "id").select("h", "name", F.col("pos").alias("first"), F.lit(1).alias("n"), "low")
-    inner_all = _kept(inner_settled.unionByName(_merged(sorted_out)), "windows")
-    discard(left, inner_settled)
-    # windows of the sub-stretches are windows of the stretches that they are cut of, and these of documents
-    lifted = subs.join(inner_all, ["h", "name"]).filter(F.col("low") < F.col("high"))
-    lifted = lifted.select(F.col("in_h").alias("h"), F.col("in_name").alias("name"), (F.col("place") + F.col("first")).cast("int").alias("first"), "n", "low")
-    firsts = _kept(settled.unionByName(_merged(lifted)), "windows")
-    discard(settled, subs, inner_all)
-    hits = occurrences.join(firsts, ["h", "name"]).filter(F.col("low") < F.col("doc"))
-    span = (F.col("start") + F.col("first")) * _LENGTH + F.col("n") + (threshold - 1)
-    spans = _kept(hits.select("doc", "version", span.alias("span")), "spans")
-    discard(occurrences, firsts)
-    return spans.groupBy("doc", "version").agg(F.collect_set("span").alias("spans"))
+        step = lengths[k + 1] - lengths[k]
+        rows, keys = live, {f"at{x}": F.struct(F.col(f"at{x}").alias("first"), F.col(f"at{x + step}").alias("second")) for x in needed[k + 1]}
+
+
+def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``doc``, ``version`` and ``spans``: stretches (first byte times 1,024 plus windows, overlapping) of the texts of
+    ``docs`` (``doc``, ``version``, ``text``) that windows of smaller documents cover."""
+    texts = docs.filter(F.octet_length("text") >= threshold).select("doc", "version", "text")
+    (common, long_common), buckets, n_docs = _common(texts, threshold)
+    parts = 1 + n_docs // PART_DOCS
+    found = _kept(_settled(_anchors(texts, threshold, common, buckets), threshold, parts, False), "found")
+    contested = found.filter("NOT hit").agg(F.sum("n")).first()[0] or 0
+    pieces = texts.join(_by_document(found.filter("NOT hit")), ["doc", "version"])
+    # some four stretches come of one, and their bytes take as much again
+    inner = _settled(_sub_stretches(pieces, threshold, long_common, 1 + 16 * contested // BUCKET_ROWS), threshold, parts, True)
+    del pieces
+    inner = _kept(inner, "inner")
+    own = inner.filter("doc IS NOT NULL").select("doc", "version", "first", "bytes", F.col("doc").alias("low"), F.col("doc").alias("high"))
+    left = _kept(own.withColumn("id", F.monotonically_increasing_id()), "left")
+    lost = doubled(left, threshold).filter("low < high").select("id", "pos").join(left.select("id", "doc", "version", "first"), "id")
+    at = (F.floor(F.col("first") / _LENGTH) + F.col("pos")) * _LENGTH + 1
+    lost = _kept(lost.groupBy("doc", "version").agg(F.collect_list(at).alias("at")), "lost")
+    discard(left)
+    hits = _by_document(found.filter("hit").select("part", *FOUND).unionByName(inner.filter("hit").select("part", *FOUND)))
+    return hits.unionByName(lost).groupBy("doc", "version").agg(F.flatten(F.collect_list("at")).alias("spans"))
 
 
 def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -380,11 +460,7 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("version"), text.alias("text"))
     texts = rows.select("doc", "version", "text")
-    copies = stored(whole_copies(texts, threshold), "copies")
-    spans = repeated_spans(texts, copies, threshold).select("doc", "version", "spans", F.lit(False).alias("copy"))
-    none = F.lit(None).cast("array<bigint>").alias("spans")
-    found = spans.unionByName(copies.select("doc", "version", none, F.lit(True).alias("copy")))
-    joined = rows.join(found, ["doc", "version"], "left").select("row", "text", "spans", "copy")
+    joined = rows.join(repeated_spans(texts, threshold), ["doc", "version"], "left").select("row", "text", "spans")
     names = ["row", "kept", "n_bytes", "n_removed", "removed"]
     run = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -392,13 +468,8 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 kept, sizes, gone, runs = [], [], [], []
-                for text, spans, copy in zip(_bytes(part.column("text")), part.column("spans"), part.column("copy").to_pylist(), strict=True):
+                for text, spans in zip(_bytes(part.column("text")), part.column("spans"), strict=True):
                     sizes.append(len(text))
-                    if copy:
-                        kept.append(b"")
-                        gone.append(len(text))
-                        runs.append([{"start": 0, "end": len(text)}])
-                        continue
                     if not spans.is_valid:
                         kept.append(text)
                         gone.append(0)
@@ -407,7 +478,7 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     at = spans.values.to_numpy()
                     change = np.zeros(len(text) + 1, np.int32)
                     np.add.at(change, at // _LENGTH, 1)
-                    np.add.at(change, at // _LENGTH + at % _LENGTH, -1)
+                    np.add.at(change, at // _LENGTH + at % _LENGTH + threshold - 1, -1)
                     covered = np.cumsum(change[:-1]) > 0
                     kept.append(np.frombuffer(text, np.uint8)[~covered].tobytes())
                     gone.append(int(covered.sum()))
