@@ -44,7 +44,7 @@ LAST = (1 << 63) - 1
 
 #: Stretches that a task packs together, and those of a bucket, about, which a task looks at together.
 PACK_ROWS = 1_000_000
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 500_000
 #: Rows that a task hands over at once, and documents, about, whose stretches travel together.
 ROWS = 50_000
 PART_DOCS = 2_048
@@ -113,6 +113,12 @@ def _batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
 
+def _rows(batch: pa.RecordBatch):
+    """Rows as dicts; few at a time, as a packed row is large."""
+    for k in range(0, batch.num_rows, 64):
+        yield from batch.slice(k, 64).to_pylist()
+
+
 def _bytes(texts: pa.Array) -> list[bytes]:
     return [x if isinstance(x, bytes) else (x or "").encode() for x in texts.to_pylist()]
 
@@ -312,7 +318,7 @@ def _settled(anchors: DataFrame, threshold: int, parts: int, cut: bool) -> DataF
     def keep(batches):
         bucket, held, size = None, [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 # stretches of common anchors need not meet: what is not found here is looked at again
                 if held and (row["bucket"] != bucket or bucket < 0 and size > BUCKET_ROWS):
                     yield from judged(held, bucket >= 0)
@@ -333,7 +339,7 @@ def _by_document(found: DataFrame) -> DataFrame:
     def unpack(batches):
         part, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if row["part"] != part and held:
                     yield from lists(held)
                     held = []
@@ -436,7 +442,7 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     contested = found.filter("NOT hit").agg(F.sum("n")).first()[0] or 0
     pieces = texts.join(_by_document(found.filter("NOT hit")), ["doc", "version"])
     # some four stretches come of one, and their bytes take as much again
-    inner = _settled(_sub_stretches(pieces, threshold, long_common, 1 + 16 * contested // BUCKET_ROWS), threshold, parts, True)
+    inner = _settled(_sub_stretches(pieces, threshold, long_common, 1 + 8 * contested // BUCKET_ROWS), threshold, parts, True)
     del pieces
     inner = _kept(inner, "inner")
     own = inner.filter("doc IS NOT NULL").select("doc", "version", "first", "bytes", F.col("doc").alias("low"), F.col("doc").alias("high"))
