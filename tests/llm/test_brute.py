@@ -252,6 +252,47 @@ def test_pruning_changes_nothing():
         assert all(every[d] == pytest.approx(s) for d, s in zip(docs.tolist(), scores.tolist(), strict=True))
 
 
+def test_products_in_single_precision_are_exact():
+    """Scores closer than single precision tells apart, in two kinds of documents, by queries in any order."""
+    pick = np.random.default_rng(5)
+    bags = []
+    texts = [np.unique(pick.integers(0, 60, 40) + 1000 * (i % 2)).astype(np.uint64) for i in range(30)]
+    for i in range(600):
+        bags.append((texts[i % 30], pick.integers(10_000, 10_009, len(texts[i % 30])).astype(np.uint32)))
+    blob = search._shard(list(range(600)), bags)[2]
+    sizes = np.array([b[1].sum() for b in bags])
+    shard = search.Shard(blob, float(sizes.mean()))
+    weights = 100 * pick.random(2000) + 10
+    queries = [(bags[i][0], weights[bags[i][0].astype(int)]) for i in range(0, 600, 3)]
+    queries += [(t, w * 1.5) for t, w in queries[:2]]  # a term need not weigh the same everywhere
+    bounds = np.append(0, np.cumsum([len(t) for t, _ in queries]))
+    asked = search.Asked.of(np.concatenate([t for t, _ in queries]), np.concatenate([w for _, w in queries]), bounds)
+    order = search.alike(asked)
+    kinds = [int(queries[q][0][0]) >= 1000 for q in order]
+    assert sorted(order.tolist()) == list(range(len(queries))) and sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) < search.KINDS
+    got = [None] * len(queries)
+    for q, found in zip(order.tolist(), shard.search(asked.in_order(order), 10), strict=True):
+        got[q] = found
+    rows = dict(zip(shard.ids.tolist(), range(600), strict=True))
+    close = 0
+    for (terms, weights), (docs, scores) in zip(queries, got, strict=True):
+        weight = dict(zip(terms.tolist(), weights.tolist(), strict=True))
+        every = {}
+        for i, (own, counts) in enumerate(bags):
+            length = 1.2 * (0.25 + 0.75 * sizes[i] / sizes.mean())
+            every[rows[i]] = sum(weight.get(t, 0) * c * 2.2 / (c + length) for t, c in zip(own.tolist(), counts.tolist(), strict=True))
+        best = sorted(every.values(), reverse=True)[:11]
+        close += any(search._CLOSE < a - b < 1e-8 * a for a, b in zip(best, best[1:], strict=False))
+        assert sorted(scores.tolist(), reverse=True)[:10] == pytest.approx(best[:10], rel=1e-12)
+        assert all(every[d] == pytest.approx(x, rel=1e-12) for d, x in zip(docs.tolist(), scores.tolist(), strict=True))
+        # what reaches a least score is found whatever the precision
+        [(few, _)] = shard.search([(terms, weights)], 10, np.array([best[4]]))
+        assert set(few.tolist()) == {d for d, x in every.items() if x >= best[4] - search._CLOSE}
+    assert close
+    nothing = asked.in_order(np.empty(0, int))
+    assert len(search.alike(nothing)) == 0 and not [*shard.search(nothing, 10)] and not [*shard.search([], 10)]
+
+
 # ---- languages
 
 
